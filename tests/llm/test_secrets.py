@@ -1,0 +1,57 @@
+import hashlib
+import itertools
+import math
+import random
+import re
+
+import pytest
+
+from lakecraft.llm.secrets import base_spans, guess_cost, secret_scan
+
+
+def plain(text):
+    """The base patterns, written out once more."""
+    out = []
+    for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII):
+        if len(m[1]) >= 12:
+            out.append((m.start(), 0, m.end()))
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(out)
+
+
+def test_base_against_plain_patterns():
+    rng = random.Random(2)
+    parts = ["password", "PassWd", "secret", "token", "apikey", "API_KEY", ":", "=", " ", '"', "'", "abcdef0123456789", "AKIA", "ABCDEFGH12345678", "x", "ſecret", "é", "a1b2c3", "-_.", "\n"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        assert base_spans(text) == plain(text), text
+
+
+ROWS = [(1, None, ""), (2, "", ""), (None, "é password = abcdefghijkl", ""), (3, "pwd: x9$Kq2!vLz and login is summer2024", ""), (3, "pwd: x9$Kq2!vLz and login is summer2024", ""), (4, "z " * 50_000 + "deadbeefdeadbeef", ""), (5, "passphrase: " + "z" * 20_000, "")]
+
+
+@pytest.mark.parametrize("rows", [[], ROWS])
+def test_scan(spark, rows):
+    got = secret_scan(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    for doc_id, text, _ in rows:
+        text = text or ""
+        names = [f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in plain(text)]
+        assert by[doc_id].base_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
+        assert (by[doc_id].n_assign, by[doc_id].n_access, by[doc_id].n_hex) == tuple(sum(k == n for _, k, _ in plain(text)) for n in range(3))
+    if rows:
+        assert by[3].spans == "guess:5:15" and by[5].spans == "" and by[None].spans == "assign:2:25" and by[4].spans == "hex:100000:100016"
+
+
+def test_guess_cost_orders_values():
+    cheap = ["password1", "qwertyuiop", "summer2024", "aaaaaaaaaaaa", "20240131", "abcabcabc", "P@ssw0rd"]
+    dear = ["x9$Kq2!vLz", "kJ8sdf98Wqk2", "correcthorse"]
+    assert max(map(guess_cost, cheap)) < 9 < 10 < min(map(guess_cost, dear))
+    assert guess_cost("") == 0
+
+
+def test_brute_force_alone_is_the_bound():
+    for value in map("".join, itertools.product("qz9", repeat=4)):
+        assert guess_cost(value) <= len(value) * math.log10(36) + 1e-9
