@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cores, materialise, text_buffers, text_of
+from .shared import cores, materialise, slices, text_buffers, text_of
 from .wordhash import mix, shingles, word_hashes
 
 TREES, DEPTH = 16, 6
@@ -70,16 +70,6 @@ def node_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mix(np.stack((a[bounds[1:]] - a[bounds[:-1]], b[bounds[1:]] - b[bounds[:-1]]), axis=1))
 
 
-def _slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch with some MB of text each."""
-    _, at = text_buffers(batch.column(column))
-    i = 0
-    while i < batch.num_rows:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
-        yield i, min(j, batch.num_rows)
-        i = j
-
-
 def _binary(rows: np.ndarray) -> pa.Array:
     flat = np.ascontiguousarray(rows)
     width = flat.itemsize * flat.shape[1]
@@ -91,7 +81,7 @@ def sign(width: int, n: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j in _slices(batch, 1):
+            for i, j in slices(batch.column(1), 4 << 20):
                 part = batch.slice(i, j - i)
                 values, bounds = shingle_sets(*word_hashes(*text_buffers(part.column(1))), width)
                 sizes = np.diff(bounds)
@@ -110,7 +100,7 @@ def unfold(width: int, n: int):
         names = ["bucket", "tree", "lo", "hi", "side", "node", "copies", "signature", "shingles"]
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
-            for i, j in _slices(batch, 0, 1 << 20):
+            for i, j in slices(batch.column(0), 1 << 20):
                 part = batch.slice(i, j - i)
                 values, bounds = shingle_sets(*word_hashes(*text_buffers(part.column(0))), width)
                 keys, labels = node_keys(values, bounds), signatures(values, bounds, n)

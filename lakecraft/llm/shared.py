@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,24 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[at[0] : at[-1]], at - at[0]
 
 
+def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Row ranges that cover a string column, with at most ``most`` bytes of text each or one row."""
+    _, at = text_buffers(column)
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
+        yield i, min(j, len(column))
+        i = j
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a frame's size, without a job; where it has none, the bytes of ``text``."""
+    planned = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if planned >= 1 << 60:
+        planned = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return planned
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -13,16 +13,18 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cores, filesystem, make_dir, materialise, scratch, text_of
+from .shared import cores, filesystem, make_dir, materialise, planned_bytes, scratch, slices, text_of
 from .wordhash import mix
 
 GAMMA = 2.0
@@ -122,52 +124,94 @@ class Shard:
         return self.ids(int(start[0]), int(length[0])) if start[0] >= 0 else None
 
 
+def byte_letters() -> list[str]:
+    """The letter that byte-level models write for each byte: printable Latin-1 itself, the others from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    rest = [b for b in range(256) if b not in set(plain)]
+    letters = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+    return [letters[b] for b in range(256)]
+
+
+# The normaliser and the splitting of the tokenizer whose pieces the short way below can cut.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same on printable ASCII and accented Latin-1 letters, which NFC leaves as they are.
+_LETTERS = "a-zß-öø-ÿ"
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+
+
 class WordMemo:
-    """Encodes texts piece by piece and remembers the pieces.
+    """Encodes texts word by word, words being cut at blanks, tabs and line ends, and remembers pieces.
 
-    The tokenizer must treat white space as a border that no token crosses and that gives no id itself;
-    ``separator`` is a piece of exactly one id. Texts with a special token's opening are encoded whole.
+    The tokenizer must treat white space as a border that no token crosses and that gives no id. If it splits
+    and normalises as the fixed values above say, words of printable ASCII and accented Latin-1 letters are cut
+    here and only their pieces go to the library's BPE model; all other words are encoded by the library whole,
+    as are texts with the beginning of a special token.
     """
 
     KEPT = 400_000
 
-    def __init__(self, path: str, separator: str = "|", special: str = "<|", end_id: int = 2):
+    def __init__(self, path: str, special: str = "<|", end_id: int = 2):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.separator, self.special = separator, special
-        (self.border,) = self.tokenizer.encode(separator, add_special_tokens=False).ids
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.memo: dict[str, bytes] = {}
+        self.special = special
+        self.end = self._bytes([end_id])
+        self.pieces: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        config = json.loads(self.tokenizer.to_str())
+        normal = (config.get("normalizer") or {}).get("normalizers") or []
+        splits = (config.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        self.short = [n["type"] for n in normal] == NORMALIZERS and [n["type"] for n in splits] == ["Split", "ByteLevel"] and splits[0]["pattern"] == {"Regex": SPLIT} and not splits[1]["add_prefix_space"]
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.separator not in w]
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            joined = f" {self.separator} ".join(part)
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, self.kind)
-            cuts = np.flatnonzero(ids == self.border)
-            for w, lo, hi in zip(part, np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(ids)])), strict=True):
-                self.memo[w] = ids[lo:hi].tobytes()
-        for w in words:
-            if self.separator in w:
-                self.memo[w] = self._bytes(self.tokenizer.encode(w, add_special_tokens=False).ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text and the end id, as bytes."""
-        parts = [None if self.special in t else t.replace("\n", " ").split(" ") for t in texts]
-        if new := set().union(*(p for p in parts if p is not None)) - self.memo.keys():
-            if len(self.memo) + len(new) > self.KEPT:
-                self.memo = {}
-                new = set().union(*(p for p in parts if p is not None))
-            self._learn(list(new))
-        get = self.memo.__getitem__
-        return [(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if p is None else b"".join(map(get, p))) + self.end for t, p in zip(texts, parts, strict=True)]
+    def _piece(self, piece: str) -> bytes:
+        if (ids := self.pieces.get(piece)) is None:
+            word = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            ids = self.pieces[piece] = b"".join([t.id.to_bytes(self.kind.itemsize, "little") for t in self.model.tokenize(word)])
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        if self.short and PLAIN.fullmatch(word):
+            return b"".join([self._piece(p) for p in PIECES.findall(word.lower())])
+        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id, one after another; and how many each text has.
+
+        Distinct words are looked up once; their ids are then gathered for all words at a time.
+        """
+        special = pc.match_substring(texts, self.special)
+        if special.true_count:
+            out = [np.frombuffer(self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) + self.end, self.kind) if s else self.encode(pa.array([t]))[0] for t, s in zip(texts.to_pylist(), special.to_pylist(), strict=True)]
+            return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+        for c in "\n\t":
+            texts = pc.replace_substring(texts, c, " ")
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        words = lists.flatten().dictionary_encode()
+        if len(self.pieces) > self.KEPT:
+            self.pieces = {}
+        piece = self.pieces.get  # most words are a piece
+        known = [piece(w) or self._word(w) for w in words.dictionary.to_pylist()]
+        pool = np.frombuffer(b"".join(known), self.kind)
+        size = np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
+        at = words.indices.to_numpy()
+        length = size[at]
+        end = np.concatenate(([0], np.cumsum(length)))
+        ids = pool[np.repeat((np.cumsum(size) - size)[at] - end[:-1], length) + np.arange(end[-1])]
+        out = np.empty(end[-1] + len(texts), self.kind)
+        ends = end[offsets[1:]] + np.arange(len(texts))
+        inner = np.ones(len(out), bool)
+        inner[ends] = False
+        out[inner], out[ends] = ids, np.frombuffer(self.end, self.kind)
+        return out, np.diff(end[offsets]) + 1
 
 
 @lru_cache(maxsize=2)
@@ -188,16 +232,16 @@ def write_shards(folder: str, tokenizer: str, end_id: int, encoder: Callable[[st
         for batch in batches:
             if sink is None:
                 memo, sink = encoder(tokenizer, end_id), fs.open_output_stream(at + ".bin", compression=None, buffer_size=1 << 20)
-            for lo in range(0, batch.num_rows, 256):
-                for raw in memo.encode(batch.column(1).slice(lo, 256).to_pylist()):
-                    sink.write(raw)
-                    lengths.append(len(raw) // memo.kind.itemsize)
+            for lo, hi in slices(batch.column(1), 8 << 20):
+                got, n = memo.encode(batch.column(1).slice(lo, hi - lo))
+                sink.write(got.tobytes())
+                lengths.append(n)
             valid.append(np.asarray(batch.column(0).is_valid()))
             ids.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
         if sink is None:
             return
         sink.close()
-        ids, valid, lengths = np.concatenate(ids), np.concatenate(valid), np.array(lengths, np.int64)
+        ids, valid, lengths = np.concatenate(ids), np.concatenate(valid), np.concatenate(lengths)
         same = np.concatenate(([False], (ids[1:] == ids[:-1]) & (valid[1:] == valid[:-1])))
         run_start = np.maximum.accumulate(np.where(same, 0, np.arange(len(ids))))
         copies = np.arange(len(ids)) - run_start
@@ -224,18 +268,18 @@ def read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[part], pa.int64(), mask=~valid[part]), pa.array(start + base), pa.array(length), pa.array(crc, pa.int64()), pa.array(np.arange(lo, lo + len(start)) + first)], ["doc_id", "start", "n_tokens", "ids_crc32", "position"])
 
 
-def write_token_shards(rows: DataFrame, tokenizer: str, *, order: list[str], end_id: int = 2, shard_chars: int = 16 << 20, folder: str | None = None, encoder: Callable[[str, int], object] = _memo) -> DataFrame:
+def write_token_shards(rows: DataFrame, tokenizer: str, *, order: list[str], end_id: int = 2, shard_bytes: int = 64 << 20, folder: str | None = None, encoder: Callable[[str, int], object] = _memo) -> DataFrame:
     """Write (doc_id, text) in the order of the columns ``order``; returns the manifest.
 
     Manifest: shard, path, docs, tokens, base (ids before the shard), first (documents before it). Shards are
-    ranges of about ``shard_chars`` characters, for small inputs less, so that all cores write.
+    ranges of about ``shard_bytes`` bytes of input as planned, for small inputs less, so that all cores write.
     """
     spark = rows.sparkSession
     folder = folder or scratch(spark, "tokens")
     make_dir(folder)
     rows = text_of(rows, "text", *dict.fromkeys(["doc_id", *order]))
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, -(-chars // shard_chars), min(2 * cores(spark), -(-chars // (1 << 20))))
+    planned = planned_bytes(rows)
+    shards = max(1, -(-planned // shard_bytes), min(4 * cores(spark), -(-planned // (1 << 20))))
     # Equal values of the order stay in one shard. The text is the last key only to give repeated rows a fixed order.
     ranged = rows.repartitionByRange(shards, *[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order], "text")
     written = ranged.select("doc_id", "text").mapInArrow(write_shards(folder, tokenizer, end_id, encoder), "shard long, path string, docs long, tokens long")
@@ -250,7 +294,7 @@ def token_digests(manifest: DataFrame) -> DataFrame:
     return manifest.select("path", "base", "first").repartition(4 * cores(spark), "path").mapInArrow(read_shards, "doc_id long, start long, n_tokens long, ids_crc32 long, position long")
 
 
-def token_ids(docs: DataFrame, tokenizer: str, *, end_id: int = 2, shard_chars: int = 16 << 20, folder: str | None = None) -> DataFrame:
+def token_ids(docs: DataFrame, tokenizer: str, *, end_id: int = 2, shard_bytes: int = 64 << 20, folder: str | None = None) -> DataFrame:
     """Encode, write in ascending doc_id order, read back.
 
     Returns a row for each row of ``docs``: doc_id, start (ids of all documents before it), n_tokens (its ids
@@ -261,4 +305,4 @@ def token_ids(docs: DataFrame, tokenizer: str, *, end_id: int = 2, shard_chars:
     table writes nothing and returns no rows. Other columns are ignored. doc_id must be an integer.
     """
     rows = text_of(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return token_digests(write_token_shards(rows, tokenizer, order=["doc_id"], end_id=end_id, shard_chars=shard_chars, folder=folder))
+    return token_digests(write_token_shards(rows, tokenizer, order=["doc_id"], end_id=end_id, shard_bytes=shard_bytes, folder=folder))
