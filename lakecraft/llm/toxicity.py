@@ -13,6 +13,7 @@ regression, fitted on the same labelled rows.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -214,13 +215,13 @@ def held_out(column: str = "doc_id") -> F.Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, seed: int = 0) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents in the order of a hash of their ids; none held out.
+    """(text, toxic) of at most ``rows`` labelled documents in the order of a hash of their ids; none held out, equal ones once.
 
     The ids are broadcast: at most ``rows`` of them.
     """
     ids = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(rows)
-    return text_of(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    return text_of(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic").dropDuplicates()
 
 
 def _pieces(text: str, longest: int) -> set[str]:
@@ -250,11 +251,47 @@ def _count_pieces(longest: int, among: frozenset | None):
     return run
 
 
+def _pieces_among(longest: int, among: frozenset):
+    """Partition function: (text) in; of each row the pieces that are among the given ones out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(_pieces(t, longest) & among) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["pieces"])
+
+    return run
+
+
+def cover(holders: dict[str, list[int]], least: float, most: int) -> list[str]:
+    """Greedy choice of pieces that explain rows: a row held by k chosen pieces adds 1 / (k + 1) to another's gain.
+
+    Ends below a gain of ``least``. So the words of a copied text, all in the same rows, are not all chosen.
+    None is chosen that begins with a chosen piece or that a chosen one begins with.
+    """
+    held: Counter = Counter()
+    heap = [(-float(len(rows)), p) for p, rows in holders.items()]
+    heapq.heapify(heap)
+    chosen: list[str] = []
+    while heap and len(chosen) < most:
+        _, p = heapq.heappop(heap)
+        if any(p.startswith(q) or q.startswith(p) for q in chosen):
+            continue
+        gain = sum(1 / (held[i] + 1) for i in holders[p])
+        if gain < least:
+            continue
+        if heap and gain < -heap[0][0]:  # gains only fall: look again when its turn comes
+            heapq.heappush(heap, (-gain, p))
+            continue
+        chosen.append(p)
+        held.update(holders[p])
+    return chosen
+
+
 def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, least: int = 5, candidates: int = 20_000, terms: int = 400, longest: int = 10) -> list[tuple[str, bool, int, float]]:
     """(term, is_stem, most edits, weight) of the sample's toxic rows, at most ``terms``.
 
     A term is in ``share`` of the toxic rows, and ``least`` of them, at least, and ``lift`` times as often
-    as in clean rows. A stem stands for its words unless one longer piece has nearly all its rows.
+    as in clean rows. A stem stands for its words unless one longer piece has nearly all its rows. Of these
+    the terms that explain the toxic rows are chosen, see :func:`cover`.
     """
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -268,17 +305,19 @@ def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, le
     counted = sample.where("toxic = 0").select("text").mapInArrow(_count_pieces(longest, among), schema).groupBy("piece").agg(F.sum("n").alias("n"))
     outside = {r[0]: r[1] for r in counted.collect()}
     good = {p: n for p, n in inside.items() if n / toxic >= lift * (outside.get(p, 0) + 0.5) / clean}
-    chosen: list[str] = []
     children: dict[str, list[str]] = {}
     for p in good:
         children.setdefault(p[:-1], []).append(p)
-    for p in sorted(good, key=lambda p: (-good[p], len(p), p)):
+    pieces = set()
+    for p in good:
         while longer := [c for c in children.get(p, ()) if good[c] >= 0.95 * good[p]]:
             p = max(longer, key=lambda c: (good[c], c))
-        if not any(p.startswith(q) or q.startswith(p) for q in chosen):
-            chosen.append(p)
-        if len(chosen) == terms:
-            break
+        pieces.add(p)
+    holders: dict[str, list[int]] = {p: [] for p in pieces}
+    for i, row in enumerate(sample.where("toxic = 1").select("text").mapInArrow(_pieces_among(longest, frozenset(pieces)), "pieces array<string>").collect()):
+        for p in row[0]:
+            holders[p].append(i)
+    chosen = cover(holders, max(2, math.ceil(share * toxic)), terms)
     out = []
     for p in chosen:
         word = p.rstrip(" ")
