@@ -232,7 +232,7 @@ def connected(edges: DataFrame) -> DataFrame:
         state = new
 
 
-def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, recall: float = 0.999, trees: int = TREES, depth: int = DEPTH, block_rows: int = 2048, block_bytes: int = 96 << 20) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, recall: float = 0.999, trees: int = TREES, depth: int = DEPTH, block_rows: int = 1024, block_bytes: int = 32 << 20) -> DataFrame:
     """Near-duplicate classes of documents.
 
     Returns a row for each row of ``docs``: doc_id, class_id (smallest doc_id of its component of links),
@@ -248,7 +248,7 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.
     used, n = matched_depth(threshold, trees, depth, recall), trees * depth
     rows = text_of(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    signed = materialise(rows.mapInArrow(sign(width, n), f"doc_id {kind}, node binary, n long, signature binary"), "signed")
+    signed = materialise(rows.mapInArrow(sign(width, n), f"doc_id {kind}, node binary, n long, signature binary"), "signed", arrow_rows=2000)
     usable = signed.where("doc_id is not null and node is not null")
     nodes = materialise(usable.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
     # Trie nodes of the matched depth, by tree: the labels' bytes are the path.
@@ -264,7 +264,7 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.
     unfolded = texts.select("text", "node", "copies", "buckets").mapInArrow(unfold(width, n), schema)
     tasks = max(cores(docs.sparkSession), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     checked = unfolded.repartition(tasks, "bucket", "tree", "lo", "hi").sortWithinPartitions("bucket", "tree", "lo", "hi", "node")
-    linked = materialise(checked.mapInArrow(verify(threshold, depth, used), "node binary, root binary, links long"), "links")
+    linked = materialise(checked.mapInArrow(verify(threshold, depth, used), "node binary, root binary, links long"), "links", arrow_rows=256)
     found = connected(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
     info = nodes.join(found, "node", "left").join(linked.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     info = materialise(info.where("n_links > 0"), "classes")

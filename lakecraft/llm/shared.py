@@ -34,12 +34,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    schema = df.schema
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialise(df: DataFrame, name: str, *, arrow_rows: int | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    ``arrow_rows``: rows of a batch that goes to Python while this is written, for rows that may be long.
+    """
+    spark, path, schema = df.sparkSession, scratch(df.sparkSession, name), df.schema
+    before = spark.conf.get(ARROW_ROWS)
+    if arrow_rows:
+        spark.conf.set(ARROW_ROWS, min(arrow_rows, int(before)))
+    try:
+        df.write.parquet(path)
+    finally:
+        if arrow_rows:
+            spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(schema).parquet(path)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

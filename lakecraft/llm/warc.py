@@ -240,7 +240,7 @@ def write_warc(pages: DataFrame, *, captured: Column | None = None, folder: str
     joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int")).join(first, ["digest", "salt"], "left")
     refers = F.when(F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
     pages_out = joined.select("page_id", "url", "html", "captured", "bytes", "digest", refers.alias("refers_to"), url_key(F.col("url")).alias("urlkey"))
-    runs = materialise(pages_out.mapInArrow(write_archives(folder), INDEX), "capture-runs")
+    runs = materialise(pages_out.mapInArrow(write_archives(folder), INDEX), "capture-runs", arrow_rows=500)
     parts = max(cores(spark), 1 + runs.count() // (4 * RUN_ROWS))
     return runs.repartitionByRange(parts, "urlkey", "captured", "page_id").mapInArrow(merge_runs, INDEX)
 
