@@ -259,7 +259,8 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.
     once = met.groupBy("m", "x", "y").agg(F.min(F.struct("tree", "bucket", "bytes")).alias("b")).select("b.tree", "b.bucket", F.greatest(F.ceil(F.col("m") / block_rows), F.ceil(F.col("b.bytes") * 8 / block_bytes), F.lit(1)).cast("int").alias("blocks"))
     members = paths.join(materialise(once, "buckets"), ["bucket", "tree"]).groupBy("node").agg(F.collect_list(F.struct("bucket", "tree", "blocks")).alias("buckets"))
     wanted = materialise(members.join(nodes.select("node", "rep", "copies"), "node"), "candidates")
-    texts = rows.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id")
+    # By shuffle at every size: candidates grow with the input, so what a broadcast could hold here is not known.
+    texts = rows.join(wanted.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id")
     schema = "bucket long, tree int, lo int, hi int, side int, node binary, copies long, signature binary, shingles binary"
     unfolded = texts.select("text", "node", "copies", "buckets").mapInArrow(unfold(width, n), schema)
     tasks = max(cores(docs.sparkSession), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
