@@ -90,7 +90,12 @@ class Lake:
             out.close()
 
     def read_text(self, path: str) -> str:
-        return self.spark.read.text(path, wholetext=True).first()[0]
+        fs, p = self._fs(path)  # names with an underscore are hidden from Spark's readers
+        stream = fs.open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def write_bronze(self, df: DataFrame, source: str, run_id: str, ingest_ts: str, notes: str | None = None) -> BronzeEntry:
         """SNK-1: rows as JSON lines."""
