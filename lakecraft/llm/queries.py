@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import benchmark_overlaps
 from .exactdedup import exact_dedup
-from .licenses import license_scan
+from .licenses import PHRASES, TEMPLATES, license_scan
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
 from .secrets import secret_scan
@@ -96,7 +96,36 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_decontamination, op4_warc, op5_token_ids, op6_licenses, op7_url_filter, op8_secrets, op9_ngram_jaccard, op10_exact_dedup)}
 
+# The words of every text for DuckDB.
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_TEMPLATES = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(TEMPLATES))
+_PHRASES = " ".join(f"when w[i:i + {len(text.split()) - 1}] = {text.split()} then '{label}'" for text, label in PHRASES)
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_licenses": f"""
+        with d as (select doc_id, {_WORDS} w from documents),
+        b as (select doc_id, i - 1 pos, case {_PHRASES} end label from (select doc_id, w, unnest(range(1, len(w) + 1)) i from d)),
+        base as (select doc_id, count(*) n, min(pos) lo, max(pos) hi, list(distinct label) labels from b where label is not null group by doc_id),
+        t as (select template, label, string_split(x, ' ') w from (values {_TEMPLATES}) v(template, label, x)),
+        g as (select template, i - 1 tpos, w[i:i + 3] g from (select template, w, unnest(range(1, len(w) - 2)) i from t)),
+        v as (select distinct doc_id, template, pos - tpos diagonal, tpos from (select doc_id, i - 1 pos, w[i:i + 3] g from (select doc_id, w, unnest(range(1, len(w) - 2)) i from d)) x join g on x.g = g.g),
+        l as (select *, coalesce(diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) > 2, true) first from (select distinct doc_id, template, diagonal from v)),
+        c as (select doc_id, template, diagonal, sum(cast(first as integer)) over (partition by doc_id, template order by diagonal) span from l),
+        s as (select doc_id, template, span, count(distinct q) n from (select doc_id, template, span, unnest(range(tpos, tpos + 4)) q from v join c using (doc_id, template, diagonal)) group by all),
+        m as (select doc_id, max(n / len(w)) covered, list(distinct label) filter (n / len(w) >= 0.75) found from s join t using (template) group by doc_id)
+        select doc_id, cast(len(w) as bigint) n_words, coalesce(n, 0) n_base, lo first_word, hi last_word, array_to_string(list_sort(coalesce(labels, [])), ',') base_labels,
+            array_to_string(list_sort(list_distinct(list_concat(coalesce(labels, []), coalesce(found, [])))), ',') labels, case when n > 0 then 1.0 else coalesce(covered, 0.0) end::double score
+        from d left join base using (doc_id) left join m using (doc_id)""",
+    "op9_ngram_jaccard": f"""
+        with recursive d as (select doc_id, {_WORDS} w from documents),
+        s as (select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) g from d),
+        n as (select doc_id, count(*) n from s group by doc_id),
+        p as (select a.doc_id a, b.doc_id b, count(*) k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where k >= 0.8 * (x.n + y.n - k) - 1e-9),
+        e as (select a, b from l union all select b, a from l),
+        r as (select doc_id a, doc_id b from documents union select r.a, e.b from r join e on r.b = e.a),
+        c as (select a doc_id, min(b) class_id from r group by a)
+        select doc_id, class_id, (select count(*) from e where e.a = c.doc_id) n_links, doc_id = class_id kept from c""",
     "op4_warc": """
         with p as (select page_id, strlen(coalesce(html, '')) b, sha256(coalesce(html, '')) d from pages),
         f as (select d, min(page_id) m from p where b >= 100 group by d)

@@ -2,16 +2,16 @@
 
 Writing: every task appends gzip members, one record each, to its own archive in the shared folder, and
 emits index rows. Rows of an archive are cut into runs, each sorted by (URL key, timestamp, page).
-Index merge: the key range is dealt over tasks; a task receives its part of many runs and merges them k ways
-with a loser tree, so one comparison for each level decides the next row; beyond ``FAN_IN`` runs, or
-``RUN_ROWS`` rows of a run, runs are spilled to the task's own temporary file and merged from there.
-The merged index is globally ordered: all captures of a URL stand together, by time.
+Index merge: the runs lie in the shared folder; the key range is dealt over tasks, so many that each has some
+``MERGE_ROWS`` rows; a task receives its part of every run and merges the parts k ways with a loser tree, so
+that one comparison for each level decides the next row. The merged index is globally ordered: all captures
+of a URL stand together, by time. Keys end with the page, so no URL is bound to one task.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
+import itertools
 import zlib
 from collections.abc import Iterator
 from datetime import UTC, datetime
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .shared import cores, filesystem, make_dir, materialise, scratch
 
-RUN_ROWS, FAN_IN = 50_000, 64
+RUN_ROWS, MERGE_ROWS = 50_000, 200_000
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
 INDEX = "urlkey string, captured timestamp, page_id long, archive string, offset long, length long, run string"
@@ -152,50 +152,17 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partition function: a key range's rows of all runs in, the same rows in order out."""
-    spilled: list[tuple[object, pa.Schema]] = []
-    held: dict[str, list[tuple]] = {}
-    n = 0
+    runs: dict[str, list[tuple]] = {}
     schema = None
-
-    def merged() -> Iterator[tuple]:
-        return iter(LoserTree([iter(sorted(rows, key=_order)) for rows in held.values()]))
-
-    def packed(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple] = []
-        for row in rows:
-            block.append(row)
-            if len(block) == 8192:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block, strict=True), schema, strict=True)], schema=schema)
-                block = []
-        if block:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block, strict=True), schema, strict=True)], schema=schema)
-
-    def spill(rows: Iterator[tuple]) -> None:
-        file = tempfile.TemporaryFile()  # the task's own; gone when it ends
-        with pa.ipc.new_stream(file, schema) as out:
-            for b in packed(rows):
-                out.write_batch(b)
-        spilled.append(file)
-
-    def reread(file) -> Iterator[tuple]:
-        file.seek(0)
-        with pa.ipc.open_stream(file) as stream:
-            for b in stream:
-                yield from _rows(b)
-
     for batch in batches:
         schema = batch.schema
         for row in _rows(batch):
-            held.setdefault(row[6], []).append(row)
-        n += batch.num_rows
-        if n >= RUN_ROWS:
-            spill(merged())
-            held, n = {}, 0
-            if len(spilled) >= FAN_IN:
-                files, spilled = spilled, []
-                spill(iter(LoserTree([reread(f) for f in files])))
-    if schema is not None:
-        yield from packed(iter(LoserTree([merged(), *(reread(f) for f in spilled)])))
+            runs.setdefault(row[6], []).append(row)
+    for rows in runs.values():
+        rows.sort(key=_order)  # a shuffle delivers the pieces of a run in any order; each is in order already
+    merged = iter(LoserTree([iter(rows) for rows in runs.values()]))
+    while block := list(itertools.islice(merged, 8192)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block, strict=True), schema, strict=True)], schema=schema)
 
 
 def read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +208,7 @@ def write_warc(pages: DataFrame, *, captured: Column | None = None, folder: str
     refers = F.when(F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
     pages_out = joined.select("page_id", "url", "html", "captured", "bytes", "digest", refers.alias("refers_to"), url_key(F.col("url")).alias("urlkey"))
     runs = materialise(pages_out.mapInArrow(write_archives(folder), INDEX), "capture-runs", arrow_rows=500)
-    parts = max(cores(spark), 1 + runs.count() // (4 * RUN_ROWS))
+    parts = max(cores(spark), 1 + runs.count() // MERGE_ROWS)
     return runs.repartitionByRange(parts, "urlkey", "captured", "page_id").mapInArrow(merge_runs, INDEX)
 
 
