@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LIFE = {"last_seen_at": "string", "last_seen_run_id": "string", "is_active": "boolean", "missing_full_runs": "int", "first_seen_at": "string", "inactive_at": "string"}
@@ -61,7 +61,7 @@ def is_full_run(asked: list[str], every: tuple[str, ...], dry_run: bool = False)
 
 def missed_streak(history: DataFrame, id: str, run: str, runs: DataFrame) -> DataFrame:
     """WIN-4: (id, streak): how many of the latest runs in a row an id is missing from."""
-    last = history.groupBy(id).agg(F.max(run).alias("last"))
-    order = runs.select(F.col(run).alias("r")).distinct()
-    ranks = order.groupBy().agg(F.sort_array(F.collect_set("r")).alias("all"))  # a value for each run
-    return last.crossJoin(F.broadcast(ranks)).select(id, (F.size("all") - F.array_position("all", F.col("last"))).cast("long").alias("streak"))
+    last = history.groupBy(id).agg(F.max(run).alias(run))
+    nth = Window.orderBy(F.desc(run))  # a row for each run
+    ages = runs.select(run).distinct().select(run, (F.row_number().over(nth) - 1).cast("long").alias("streak"))
+    return last.join(ages, run).select(id, "streak")
