@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from .shared import cores, materialise, slices, text_buffers, text_of
 from .wordhash import mix, shingles, word_hashes
 
-TREES, DEPTH = 16, 6
+TREES, DEPTH = 32, 6
 _rng = np.random.Generator(np.random.PCG64(42))
-_MUL = _rng.integers(1, 1 << 62, TREES * DEPTH * 4, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 1 << 62, TREES * DEPTH * 4, dtype=np.int64).astype(np.uint64)
+_MUL = _rng.integers(1, 1 << 62, TREES * DEPTH * 2, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _rng.integers(0, 1 << 62, TREES * DEPTH * 2, dtype=np.int64).astype(np.uint64)
 
 
 def matched_depth(threshold: float, trees: int, depth: int, recall: float) -> int:
@@ -182,7 +182,9 @@ def verify(threshold: float, depth: int, used: int):
         if len(rows) < 2:
             return
         labels = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), -1, depth)[:, :, :used].astype(np.uint64)
-        prefixes = (labels << (np.arange(used, dtype=np.uint64) * np.uint64(16))).sum(axis=2, dtype=np.uint64) if used <= 4 else np.unique(labels.reshape(-1, used), axis=0, return_inverse=True)[1].reshape(len(rows), -1)
+        prefixes = np.zeros(labels.shape[:2], np.uint64)
+        for k in range(used):
+            prefixes = prefixes * np.uint64(0x9FB21C651E98DF25) + labels[:, :, k] + np.uint64(1)
         linked = verified_links([np.frombuffer(r[3], np.uint64) for r in rows], prefixes, tree, np.array([r[4] for r in rows]), cross, threshold)
         if linked.any():
             links = linked @ np.array([r[1] for r in rows], np.int64)
@@ -232,7 +234,7 @@ def connected(edges: DataFrame) -> DataFrame:
         state = new
 
 
-def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, recall: float = 0.999, trees: int = TREES, depth: int = DEPTH, block_rows: int = 1024, block_bytes: int = 32 << 20) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, recall: float = 0.99999, trees: int = TREES, depth: int = DEPTH, block_rows: int = 1024, block_bytes: int = 32 << 20) -> DataFrame:
     """Near-duplicate classes of documents.
 
     Returns a row for each row of ``docs``: doc_id, class_id (smallest doc_id of its component of links),
