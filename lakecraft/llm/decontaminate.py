@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import text_buffers, text_of
+from .shared import slices, text_buffers, text_of
 from .wordhash import mix, word_hashes
 
 MASKS = ("110100101011", "101100011011", "111001000111", "100111010011")
@@ -131,9 +131,11 @@ def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[SeedIndex]:
 
 
 def _docs_words(column: pa.Array) -> Iterator[np.ndarray]:
-    words, first = word_hashes(*text_buffers(column))
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        yield words[a:b]
+    """The word hashes of each text, made for some MB of text at a time."""
+    for lo, hi in slices(column, 4 << 20):
+        words, first = word_hashes(*text_buffers(column.slice(lo, hi - lo)))
+        for a, b in zip(first[:-1], first[1:], strict=True):
+            yield words[a:b]
 
 
 def scan(index: Broadcast, min_words: int, types: list[pa.DataType]):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_of
+from .shared import slices, text_of
 
 WORD = re.compile(r"[^\W_]+")
 # Words that mark a mention or an address, in the four languages of the corpus.
@@ -143,7 +143,7 @@ class LexiconAutomaton:
 class Matcher:
     """Matches of distinct words, kept in a bounded memory."""
 
-    KEPT = 1 << 20
+    KEPT = 1 << 18
 
     def __init__(self, automaton: LexiconAutomaton):
         self.automaton, self.misses, self.hits = automaton, set(), {}
@@ -178,6 +178,12 @@ def context(text: str, start: int, end: int, before: list[str], after: list[str]
     return weight
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, turned into Python's strings for some MB at a time."""
+    for lo, hi in slices(column, 2 << 20):
+        yield from column.slice(lo, hi - lo).to_pylist()
+
+
 def hits(text: str, matcher: Matcher) -> list[tuple[int, int, float]]:
     """(term, edits, context weight) of every hit in the text."""
     low = text.lower()
@@ -240,10 +246,10 @@ def _count_pieces(longest: int, among: frozenset | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in _texts(batch.column(0)):
                 found = _pieces(text, longest)
                 counts.update(found if among is None else found & among)
-            if len(counts) > 500_000:
+            if len(counts) > 250_000:
                 yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["piece", "n"])
                 counts = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["piece", "n"])
@@ -256,7 +262,7 @@ def _pieces_among(longest: int, among: frozenset):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(_pieces(t, longest) & among) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["pieces"])
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(_pieces(t, longest) & among) for t in _texts(batch.column(0))], pa.list_(pa.string()))], ["pieces"])
 
     return run
 
@@ -334,7 +340,7 @@ def _found_of(automaton: LexiconAutomaton):
         kind = pa.list_(pa.struct([("term", pa.int32()), ("edits", pa.int32()), ("weight", pa.float64()), ("n", pa.int32())]))
         for batch in batches:
             rows = []
-            for text in batch.column(0).to_pylist():
+            for text in _texts(batch.column(0)):
                 grouped: Counter = Counter(hits(text, matcher))
                 rows.append([{"term": t, "edits": e, "weight": w, "n": n} for (t, e, w), n in sorted(grouped.items())])
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, kind)], ["toxic", "hits"])
@@ -398,7 +404,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.automaton)
         for batch in batches:
-            found = [hits(t, matcher) for t in batch.column(1).to_pylist()]
+            found = [hits(t, matcher) for t in _texts(batch.column(1))]
             scores = [model.score(f) for f in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores, pa.float64()), pa.array([int(s >= model.threshold) for s in scores], pa.int32()), pa.array([len(f) for f in found], pa.int64())], ["doc_id", "held_out", "score", "predicted", "n_hits"])
 
@@ -413,6 +419,6 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.automaton)
         for batch in batches:
-            yield batch.filter(pa.array([model.score(hits(t or "", matcher)) < model.threshold for t in batch.column(column).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([model.score(hits(t or "", matcher)) < model.threshold for t in _texts(batch.column(column))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
