@@ -241,6 +241,7 @@ def write_shards(folder: str, tokenizer: str, end_id: int, encoder: Callable[[st
         if sink is None:
             return
         sink.close()
+        memo.pieces = {}  # the worker is reused; its next task may be another operator's
         ids, valid, lengths = np.concatenate(ids), np.concatenate(valid), np.concatenate(lengths)
         same = np.concatenate(([False], (ids[1:] == ids[:-1]) & (valid[1:] == valid[:-1])))
         run_start = np.maximum.accumulate(np.where(same, 0, np.arange(len(ids))))
