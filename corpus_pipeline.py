@@ -61,5 +61,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}", arrow_rows=2000)
     return docs

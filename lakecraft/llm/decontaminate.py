@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import slices, text_buffers, text_of
+from .shared import slices, text_buffers, text_of, tidy
 from .wordhash import mix, word_hashes
 
 MASKS = ("110100101011", "101100011011", "111001000111", "100111010011")
@@ -183,6 +183,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int =
     column = docs.columns.index("text")
 
     def clean(index: Broadcast):
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 yield batch.filter(pa.array([not index.value.overlaps(w, min_words) for w in _docs_words(batch.column(column))], pa.bool_()))

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cores, materialise, slices, text_buffers, text_of
+from .shared import cores, materialise, slices, text_buffers, text_of, tidy
 from .wordhash import mix, shingles, word_hashes
 
 TREES, DEPTH = 32, 6
@@ -250,7 +250,7 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.
     used, n = matched_depth(threshold, trees, depth, recall), trees * depth
     rows = text_of(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    signed = materialise(rows.mapInArrow(sign(width, n), f"doc_id {kind}, node binary, n long, signature binary"), "signed", arrow_rows=2000)
+    signed = materialise(rows.mapInArrow(tidy(sign(width, n)), f"doc_id {kind}, node binary, n long, signature binary"), "signed", arrow_rows=2000)
     usable = signed.where("doc_id is not null and node is not null")
     nodes = materialise(usable.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
     # Trie nodes of the matched depth, by tree: the labels' bytes are the path.
@@ -264,10 +264,10 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.
     # By shuffle at every size: candidates grow with the input, so what a broadcast could hold here is not known.
     texts = rows.join(wanted.withColumnRenamed("rep", "doc_id").hint("merge"), "doc_id")
     schema = "bucket long, tree int, lo int, hi int, side int, node binary, copies long, signature binary, shingles binary"
-    unfolded = texts.select("text", "node", "copies", "buckets").mapInArrow(unfold(width, n), schema)
+    unfolded = texts.select("text", "node", "copies", "buckets").mapInArrow(tidy(unfold(width, n)), schema)
     tasks = max(cores(docs.sparkSession), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     checked = unfolded.repartition(tasks, "bucket", "tree", "lo", "hi").sortWithinPartitions("bucket", "tree", "lo", "hi", "node")
-    linked = materialise(checked.mapInArrow(verify(threshold, depth, used), "node binary, root binary, links long"), "links", arrow_rows=256)
+    linked = materialise(checked.mapInArrow(tidy(verify(threshold, depth, used)), "node binary, root binary, links long"), "links", arrow_rows=256)
     found = connected(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
     info = nodes.join(found, "node", "left").join(linked.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").select("node", F.coalesce("root", "node").alias("root"), "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     info = materialise(info.where("n_links > 0"), "classes")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +57,23 @@ def materialise(df: DataFrame, name: str, *, arrow_rows: int | None = None) -> D
     return spark.read.schema(schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A partition function that returns what it has freed to the system when it ends: its worker is used again."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The Arrow file system of a URI or plain path, and the path in it."""
     if "://" not in uri and not uri.startswith("file:"):

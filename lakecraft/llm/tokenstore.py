@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cores, filesystem, make_dir, materialise, planned_bytes, scratch, slices, text_of
+from .shared import cores, filesystem, make_dir, materialise, planned_bytes, scratch, slices, text_of, tidy
 from .wordhash import mix
 
 GAMMA = 2.0
@@ -283,7 +283,7 @@ def write_token_shards(rows: DataFrame, tokenizer: str, *, order: list[str], end
     shards = max(1, -(-planned // shard_bytes), min(4 * cores(spark), -(-planned // (1 << 20))))
     # Equal values of the order stay in one shard. The text is the last key only to give repeated rows a fixed order.
     ranged = rows.repartitionByRange(shards, *[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order], "text")
-    written = ranged.select("doc_id", "text").mapInArrow(write_shards(folder, tokenizer, end_id, encoder), "shard long, path string, docs long, tokens long")
+    written = ranged.select("doc_id", "text").mapInArrow(tidy(write_shards(folder, tokenizer, end_id, encoder)), "shard long, path string, docs long, tokens long")
     manifest = materialise(written, "manifest", arrow_rows=2000)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard
     return manifest.withColumns({"base": F.coalesce(F.sum("tokens").over(before), F.lit(0)), "first": F.coalesce(F.sum("docs").over(before), F.lit(0))})

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, text_of
+from .shared import slices, text_of, tidy
 
 WORD = re.compile(r"[^\W_]+")
 # Words that mark a mention or an address, in the four languages of the corpus.
@@ -416,6 +416,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs``, all columns, without rows whose score reaches the threshold; null and empty texts stay."""
     column = docs.columns.index("text")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.automaton)
         for batch in batches:
