@@ -78,7 +78,7 @@ def list_history(pages: DataFrame) -> DataFrame:
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    captures = pages.withColumn("fetched_at", _day(F.pmod(F.col("page_id") * 7919, F.lit(366))))
+    captures = pages.withColumn("fetched_at", _day(F.pmod(F.pmod(F.col("page_id"), F.lit(366)) * 7919, F.lit(366))))
     return url_filter(captures, list_history(pages))
 
 

@@ -12,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -126,7 +128,9 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], least_cost: float)
     if not any(k in low for k in CONTEXT_KEYWORDS):
         return []
     found = [(m.start(2), 3, m.end(2)) for m in CONTEXT.finditer(text)]
-    return [(a, k, b) for a, k, b in found if not any(a < y and x < b for x, _, y in base) and guess_cost(text[a:b]) >= least_cost]
+    starts = [x for x, _, _ in base]
+    ends = [0, *accumulate((y for _, _, y in base), max)]  # the last end of the first spans, however many of them begin before b
+    return [(a, k, b) for a, k, b in found if ends[bisect_left(starts, b)] <= a and guess_cost(text[a:b]) >= least_cost]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

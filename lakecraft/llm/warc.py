@@ -25,6 +25,7 @@ from .shared import cores, filesystem, make_dir, materialise, scratch
 RUN_ROWS, MERGE_ROWS = 50_000, 200_000
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
+CAPTURE_SECONDS = 10**9
 INDEX = "urlkey string, captured timestamp, page_id long, archive string, offset long, length long, run string"
 _INDEX_TYPES = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
 
@@ -189,7 +190,8 @@ def read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def write_warc(pages: DataFrame, *, captured: Column | None = None, folder: str | None = None, salts: int = 16) -> DataFrame:
     """Write archives and return their merged index: urlkey, captured, page_id, archive, offset, length, run.
 
-    ``captured``: fetch time of a page; by default a second for each page_id from the start of 2024 on.
+    ``captured``: fetch time of a page; by default a second for each page_id from the start of 2024 on,
+    beginning again after ``CAPTURE_SECONDS``, so that any id gives a date.
     Among equal payloads of at least 100 bytes the smallest page_id is written in full. The table of first
     pages holds repeated payloads only; it and the pages are dealt by (digest, salt), so that a payload that
     a third of all pages have goes to ``salts`` tasks.
@@ -198,7 +200,7 @@ def write_warc(pages: DataFrame, *, captured: Column | None = None, folder: str
     folder = folder or scratch(spark, "warc")
     make_dir(folder)
     if captured is None:
-        captured = F.timestamp_seconds(F.unix_timestamp(F.lit(datetime(2024, 1, 1, tzinfo=UTC))) + F.coalesce(F.col("page_id"), F.lit(0)))
+        captured = F.timestamp_seconds(F.unix_timestamp(F.lit(datetime(2024, 1, 1, tzinfo=UTC))) + F.pmod(F.coalesce(F.col("page_id").cast("long"), F.lit(0)), F.lit(CAPTURE_SECONDS)))
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), html.alias("html"), F.coalesce(captured, F.timestamp_seconds(F.lit(0))).alias("captured"))
     rows = rows.withColumns({"bytes": F.octet_length("html").cast("long"), "digest": F.sha2(F.col("html").cast("binary"), 256)})

@@ -39,7 +39,10 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("rows", [[], ROWS, [(i, f"http://h{i % 5}.net/{i}", "same page " * 20, "") for i in range(300)]])
+BIG = [(2**63 - 1, "http://a", "h" * 100), (-(2**63), "http://a", "h" * 100), (10**15, "http://a", None)]
+
+
+@pytest.mark.parametrize("rows", [[], ROWS, [(*r, "") for r in BIG], [(i, f"http://h{i % 5}.net/{i}", "same page " * 20, "") for i in range(300)]])
 def test_round_trip(spark, rows):
     got = warc_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string, digest string"))
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
