@@ -25,10 +25,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest doc_id stays; rows without doc_id stay."""
+    """Of each class of near duplicates the document with the smallest doc_id stays, with all rows that have that id; rows without doc_id stay."""
     classes = ngram_jaccard_join(docs)
     gone = classes.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept").select("doc_id")
-    return docs.join(materialise(gone, "near-duplicates"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(materialise(gone, "near-duplicates"), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = text_of(docs, "doc_id", "text")
     order = ["doc_id"]
     try:
-        rows = text_of(docs.withColumns({"file": F.col("_metadata.file_name"), "nth": F.col("_metadata.row_index")}), "doc_id", "text", "file", "nth")
+        place = docs.metadataColumn("_metadata")  # that of the files, even beside a column of this name
+        rows = text_of(docs.withColumns({"file": place["file_name"], "nth": place["row_index"]}), "doc_id", "text", "file", "nth")
         order = ["file", "nth"]
     except AnalysisException:  # not read from files
         pass

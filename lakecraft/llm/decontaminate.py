@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import slices, text_buffers, text_of, tidy
+from .shared import map_rows, slices, text_buffers, text_of, tidy
 from .wordhash import mix, word_hashes
 
 MASKS = ("110100101011", "101100011011", "111001000111", "100111010011")
@@ -190,7 +190,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int =
 
         return run
 
-    schema = docs.schema
     for index in blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(clean(docs.sparkSession.sparkContext.broadcast(index)), schema)
+        docs = map_rows(docs, clean(docs.sparkSession.sparkContext.broadcast(index)))
     return docs

@@ -133,6 +133,12 @@ def text_of(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c == "text" else F.col(c) for c in columns])
 
 
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` that keeps all columns, whatever their names (those with dots too)."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def cores(spark: SparkSession) -> int:
     return max(2, spark.sparkContext.defaultParallelism)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, text_of, tidy
+from .shared import map_rows, slices, text_of, tidy
 
 WORD = re.compile(r"[^\W_]+")
 # Words that mark a mention or an address, in the four languages of the corpus.
@@ -422,4 +422,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([model.score(hits(t or "", matcher)) < model.threshold for t in _texts(batch.column(column))], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

@@ -30,6 +30,21 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
     assert [r.doc_id for r in got] != sorted(want), "the mixture's order is kept"
 
 
+def test_clashing_names_and_dots(spark, tmp_path):
+    names = ["row", "h", "group", "file", "nth", "_metadata", "node", "kept", "a.b"]
+    plain = spark.createDataFrame([(i, f"text number {i} of some words", "en", f"s{i % 2}", 1, *"x" * 9) for i in range(30)] + [(None, None, None, None, None, *[None] * 9)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names))
+    plain.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, docs, str(tmp_path)).columns == plain.columns
+    mixed = corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect()
+    corpus_pipeline.materialise(corpus_pipeline.mixing(spark, docs, str(tmp_path)), "clash").write.parquet(f"{tmp_path}/mixed.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).orderBy("position").collect()
+    assert [r.doc_id for r in got] == [r.doc_id for r in mixed] and len(got) == 31
+
+
 def test_stages_keep_the_columns(spark):
     frame = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert corpus_pipeline.mixing(spark, frame, "").columns == frame.columns
