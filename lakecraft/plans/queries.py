@@ -147,7 +147,7 @@ def q_dedup_exact(spark, d):
 
 @query(f"select doc_id from (select doc_id, row_number() over (partition by source, md5(lower(substr(coalesce({_CLEAN}, ''), 1, 40))) order by length(text) desc, doc_id) k from documents) where k = 1")
 def q_dedup_semantic(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", "source", F.length("text").alias("size"), F.md5(F.lower(F.substring(F.coalesce(s.clean_text("text"), F.lit("")), 1, 40))).alias("key"))
+    rows = table(spark, d, "documents").select("doc_id", "source", F.length("text").alias("size"), F.md5(F.lower(F.coalesce(s.clean_text("text"), F.lit("")))).alias("key"))
     return dedup.keep_first(rows, ["source", "key"], [F.desc("size"), F.col("doc_id")]).select("doc_id")
 
 
