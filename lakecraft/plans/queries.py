@@ -191,9 +191,13 @@ def q_percentiles(spark, d):
     p as (select fuente, n b from c where r = 0), q as (select fuente, n from c where r = 1)
     select p.fuente, b before, coalesce(n, 0) now, round((b - coalesce(n, 0)) / b, 6) "drop" from p left join q using (fuente)""")
 def q_coverage_drop(spark, d):
-    rows = table(spark, d, "events").where("not (event_id % 2 = 1 and (event_type = 'view' or event_id % 10 > 2))").select(F.col("event_type").alias("fuente"), (F.col("event_id") % 2).alias("r"))
-    counts = rows.groupBy("fuente", "r").agg(F.count(F.lit(1)).alias("n"))
-    return quality.coverage_drop(counts.where("r = 0").select("fuente", "n"), counts.where("r = 1").select("fuente", "n")).withColumn("drop", F.round("drop", 6))
+    """All events by type and week, each week against the one before it in the table."""
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")
+    counts = table(spark, d, "events").groupBy(F.col("event_type").alias("fuente"), week.alias("wk")).agg(F.count(F.lit(1)).alias("n"))
+    weeks = counts.select("wk").distinct().select("wk", F.lead("wk").over(Window.orderBy("wk")).alias("next"))  # a row for each week
+    previous = counts.join(weeks, "wk").where("next is not null").select(F.struct("fuente", F.col("next").alias("wk")).alias("run"), "n")
+    drops = quality.coverage_drop(previous, counts.select(F.struct("fuente", "wk").alias("run"), "n"), "run")
+    return drops.select("run.fuente", "run.wk", "before", "now", F.round("drop", 6).alias("drop"))
 
 
 @query("select c_custkey, n_name from customer left join (select * from nation where n_regionkey < 3) on c_nationkey = n_nationkey")
