@@ -4,7 +4,10 @@ A mask of ones and zeros slides over the words of a text; the hash of the words
 Words under zeros are ignored, so a substituted word leaves some seeds of every passage intact. Seeds of
 the documents are joined with those of the benchmark; a hit names a diagonal (document position minus item
 position), along which the overlap is verified word by word: the segment of the highest score, a match
-counting one and a substitution minus four, must reach ``min_words`` matching words (or the whole item).
+counting one and a substitution minus four, must reach ``min_words`` matching words. The edges that such a
+segment loses to a substitution weigh in short items (of up to four words more than ``min_words``): one overlaps
+also where four fifths of its words match on the diagonal. A short item is cut into one part more than words
+may differ, and the parts are seeds too, so none of these places is missed.
 
 The benchmark's seeds go to the executors in blocks of ``block_chars`` characters of benchmark text, one
 scan of the documents for each block, so that what is sent is bounded however large the benchmark is.
@@ -26,6 +29,8 @@ from .shared import map_rows, slices, text_buffers, text_of, tidy
 from .wordhash import mix, word_hashes
 
 MASKS = ("110100101011", "101100011011", "111001000111", "100111010011")
+#: What a substitution costs a segment, and the share (in fifths) of a short item that has to match.
+COST, FIFTHS = 4, 4
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,31 +58,37 @@ class SeedIndex:
     first: np.ndarray
     masks: list[tuple[int, np.ndarray]]
     tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    min_words: int
 
     @classmethod
-    def build(cls, items: list[tuple[object, str]], masks: tuple[str, ...] = MASKS) -> SeedIndex:
+    def build(cls, items: list[tuple[object, str]], min_words: int = 13, masks: tuple[str, ...] = MASKS) -> SeedIndex:
         words, first = word_hashes(*text_buffers(pa.array([t or "" for _, t in items], pa.string())))
         sizes = np.diff(first)
-        spaced = offsets_of(masks)
-        least = max(s for s, _ in spaced)
-        # An item shorter than the masks has one seed, all its words.
-        spaced = [(s, at, None) for s, at in spaced] + [(int(n), np.arange(n), int(n)) for n in np.unique(sizes[(sizes > 0) & (sizes < least)])]
+        spaced = [(span, at, np.flatnonzero(sizes >= span), None) for span, at in offsets_of(masks)]
+        # Parts of short items by length: (item, place).
+        parts: dict[int, list[tuple[int, int]]] = {}
+        for i in np.flatnonzero((sizes > 0) & (sizes <= min_words + COST)):
+            n = int(sizes[i])
+            cuts = np.linspace(0, n, n - needed(n) + 2).astype(int)
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                parts.setdefault(int(hi - lo), []).append((int(i), int(lo)))
+        spaced += [(span, np.arange(span), *np.array(at).T) for span, at in sorted(parts.items())]
         tables = []
-        for salt, (span, at, only) in enumerate(spaced):
+        for salt, (span, at, of, start) in enumerate(spaced):
             found, item, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i, n in enumerate(sizes):
-                if (n >= least) if only is None else (n == only):
-                    s = seeds(words[first[i] : first[i + 1]], span, at, salt)
-                    found.append(s)
-                    item.append(np.full(len(s), i))
-                    place.append(np.arange(len(s)))
+            for k, i in enumerate(of):
+                own = words[first[i] : first[i + 1]] if start is None else words[first[i] + start[k] : first[i] + start[k] + span]
+                s = seeds(own, span, at, salt)
+                found.append(s)
+                item.append(np.full(len(s), i))
+                place.append(np.arange(len(s)) + (0 if start is None else start[k]))
             s, i, p = map(np.concatenate, (found, item, place))
             order = np.argsort(s, kind="stable")
             bits = 1 << max(16, int(len(s) * 16).bit_length())
             filter_ = np.zeros(bits, bool)
             filter_[(s & np.uint64(bits - 1)).astype(np.int64)] = True
             tables.append((s[order], i[order], p[order], filter_))
-        return cls([i for i, _ in items], words, first, [(s, at) for s, at, _ in spaced], tables)
+        return cls([i for i, _ in items], words, first, [(s, at) for s, at, *_ in spaced], tables, min_words)
 
     def diagonals(self, words: np.ndarray) -> np.ndarray:
         """Distinct (item, document position - item position) of all seed hits."""
@@ -95,23 +106,33 @@ class SeedIndex:
                 hits.append(np.stack((item[k], np.repeat(maybe, n) - place[k]), axis=1))
         return np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 2), np.int64)
 
-    def overlaps(self, words: np.ndarray, min_words: int) -> list[tuple]:
+    def overlaps(self, words: np.ndarray) -> list[tuple]:
         """(item id, first word, words, matching words, share of the item) of the best overlap with each item."""
         best: dict[int, tuple] = {}
         for i, d in self.diagonals(words):
             item = self.words[self.first[i] : self.first[i + 1]]
             lo, hi = max(0, d), min(len(words), d + len(item))
-            start, end, matched = segment(words[lo:hi] == item[lo - d : hi - d])
-            if matched >= min(min_words, len(item)):
+            equal = words[lo:hi] == item[lo - d : hi - d]
+            start, end, matched = segment(equal)
+            short = len(item) <= self.min_words + COST and equal.sum() >= needed(len(item))
+            if matched < self.min_words and short:
+                places = np.flatnonzero(equal)
+                start, end, matched = int(places[0]), int(places[-1]) + 1, len(places)
+            if short or matched >= self.min_words:
                 new = (-matched, int(lo + start), end - start, matched, matched / len(item))
                 if i not in best or new < best[i]:
                     best[i] = new
         return [(self.ids[i], *v[1:]) for i, v in sorted(best.items())]
 
 
+def needed(n: int) -> int:
+    """How many words of a short item of ``n`` words have to match."""
+    return -(-n * FIFTHS // 5)
+
+
 def segment(equal: np.ndarray) -> tuple[int, int, int]:
     """Start, end and matches of the segment with the highest sum of 1 for a match and -4 else; the first such."""
-    total = np.concatenate(([0], np.cumsum(np.where(equal, 1, -4))))
+    total = np.concatenate(([0], np.cumsum(np.where(equal, 1, -COST))))
     low = np.minimum.accumulate(total)
     gain = total - low
     end = int(gain.argmax())
@@ -119,7 +140,7 @@ def segment(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(equal[start:end].sum())
 
 
-def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[SeedIndex]:
+def blocks(benchmark: DataFrame, block_chars: int, min_words: int) -> Iterator[SeedIndex]:
     """Indexes of all items, each made from about ``block_chars`` characters of them."""
     items = text_of(benchmark, "item_id", "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -127,7 +148,7 @@ def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[SeedIndex]:
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
         if part:
-            yield SeedIndex.build([(r[0], r[1]) for r in part])
+            yield SeedIndex.build([(r[0], r[1]) for r in part], min_words)
 
 
 def _docs_words(column: pa.Array) -> Iterator[np.ndarray]:
@@ -138,13 +159,13 @@ def _docs_words(column: pa.Array) -> Iterator[np.ndarray]:
             yield words[a:b]
 
 
-def scan(index: Broadcast, min_words: int, types: list[pa.DataType]):
+def scan(index: Broadcast, types: list[pa.DataType]):
     """Partition function: (doc_id, text) in, overlaps out."""
     names = ["doc_id", "item_id", "start_word", "n_words", "matched", "coverage"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(doc_id.as_py(), *x) for doc_id, words in zip(batch.column(0), _docs_words(batch.column(1)), strict=True) for x in index.value.overlaps(words, min_words)]
+            rows = [(doc_id.as_py(), *x) for doc_id, words in zip(batch.column(0), _docs_words(batch.column(1)), strict=True) for x in index.value.overlaps(words)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
@@ -160,8 +181,8 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int
 
     Null and empty texts on either side overlap nothing. A null doc_id or item_id stays null in the result.
     Rows repeated in ``docs`` or ``benchmark`` (same id and text) give one row. Texts are scanned whole.
-    Empty tables give no rows; other columns are ignored. An item of fewer than ``min_words`` words has to
-    occur whole up to substitutions, one shorter than the masks verbatim.
+    Empty tables give no rows; other columns are ignored. An item of up to ``min_words`` + 4 words
+    overlaps also where at least four fifths of its words match in place, one of fewer than five words verbatim only.
     """
     rows = text_of(docs, "doc_id", "text")
     kinds = [rows.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
@@ -170,8 +191,8 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int
 
     types = [to_arrow_type(f.dataType) for f in schema]
     out = docs.sparkSession.createDataFrame([], schema)
-    for index in blocks(benchmark, block_chars):
-        out = out.union(rows.mapInArrow(scan(docs.sparkSession.sparkContext.broadcast(index), min_words, types), schema))
+    for index in blocks(benchmark, block_chars, min_words):
+        out = out.union(rows.mapInArrow(scan(docs.sparkSession.sparkContext.broadcast(index), types), schema))
     return out.distinct().withColumn("contaminated", F.lit(True))
 
 
@@ -186,10 +207,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int =
         @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array([not index.value.overlaps(w, min_words) for w in _docs_words(batch.column(column))], pa.bool_()))
+                yield batch.filter(pa.array([not index.value.overlaps(w) for w in _docs_words(batch.column(column))], pa.bool_()))
 
         return run
 
-    for index in blocks(benchmark, block_chars):
+    for index in blocks(benchmark, block_chars, min_words):
         docs = map_rows(docs, clean(docs.sparkSession.sparkContext.broadcast(index)))
     return docs

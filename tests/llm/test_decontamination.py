@@ -57,3 +57,15 @@ def test_edges(spark, block_chars):
     none = spark.createDataFrame([], "item_id long, text string")
     assert benchmark_overlaps(frame, none).count() == 0 and drop_contaminated(frame, none).count() == len(docs)
     assert benchmark_overlaps(frame.limit(0), bench).count() == 0
+
+
+def test_one_substitution_anywhere_in_a_short_item(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(10, 18)]
+    docs = [(100 * n + k, "before " * 20 + " ".join("other" if j == k else w for j, w in enumerate(text.split())) + " after" * 20) for n, text in items for k in range(n)]
+    # Fewer than four fifths: three of ten words.
+    docs.append((1, " ".join("other" if j in (1, 4, 7) else w for j, w in enumerate(items[0][1].split()))))
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.matched) for r in benchmark_overlaps(frame, bench).collect()}
+    assert {(d, i) for d, i, _ in got} == {(d, d // 100) for d, _ in docs if d > 1}
+    assert all(m >= min(13, i - 1) for _, i, m in got)
+    assert [r.doc_id for r in drop_contaminated(frame, bench).collect()] == [1]
