@@ -1,11 +1,12 @@
-"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: banded MinHash LSH, then exact verification.
 
 A text is the set of its five-word shingles. Texts with the same set form one node (so copies cost one
 row each and nothing more). A node's signature has ``trees`` label sequences of ``depth`` MinHash values.
-Each sequence is a path in the prefix trie of its tree; nodes below a common trie node are candidates.
-Prefixes start at full depth and are shortened until the forest's recall at the similarity threshold,
-1 - (1 - s**d)**trees, reaches the target: see ``matched_depth``. Every pair below a trie node of that
-depth is then verified exactly on the whole shingle sets, in the first tree in which the two meet.
+Nodes with the same first labels in a tree are candidates: as many labels as still give the recall at the
+similarity threshold, 1 - (1 - s**d)**trees, its target, see ``matched_depth``. That depth is fixed before
+any data is read; this is banding and not a forest, as no prefix is shortened by what the tries hold, and
+labels below it are not used. A tree's bucket below is called its trie node. Every pair in a bucket is then
+verified exactly on the whole shingle sets, in the first tree in which the two meet.
 
 Bounds: tasks see blocks of a trie node's members (``block_rows`` rows and ``block_bytes`` bytes of
 shingles at most, up to hash variance); a larger trie node is verified block against block in separate tasks, so no member is
