@@ -28,14 +28,20 @@ def path_of(url: Column) -> Column:
 
 
 def rules_of(host: Column, path: Column, segments: int) -> Column:
-    """All rules that cover a URL: suffixes of the host with two labels or more, the host with the path's beginnings."""
+    """All rules that cover a URL: suffixes of the host, the host with the path's beginnings of up to ``segments`` segments."""
     labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     prefixes = F.transform(F.sequence(F.lit(0), F.least(F.size(parts), F.lit(segments))), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/")))
     return F.when(host != "", F.array_distinct(F.concat(suffixes, F.filter(prefixes, lambda p: ~p.endswith("/")))))
 
 
+def rule_of(rule: Column) -> Column:
+    """A rule with its host in lower case; paths keep their case."""
+    host = F.substring_index(rule, "/", 1)
+    return F.concat(F.lower(host), F.substring(rule, F.length(host) + 1, F.length(rule)))
+
+
 def validity(entries: DataFrame) -> DataFrame:
     """(rule, action, category, valid_from, valid_to) from (rule, action, category, listed_at).
 
@@ -43,25 +49,27 @@ def validity(entries: DataFrame) -> DataFrame:
     that sorts last. Entries without rule or date, or with another action, say nothing.
     """
     rank = F.array_position(F.array(*map(F.lit, ACTIONS)), F.col("action"))
-    known = entries.select(F.lower("rule").alias("rule"), "action", "category", F.col("listed_at").cast("timestamp").alias("valid_from")).where(F.col("rule").isNotNull() & F.col("valid_from").isNotNull() & F.col("action").isin(*ACTIONS))
+    known = entries.select(rule_of(F.col("rule")).alias("rule"), "action", "category", F.col("listed_at").cast("timestamp").alias("valid_from")).where(F.col("rule").isNotNull() & F.col("valid_from").isNotNull() & F.col("action").isin(*ACTIONS))
     one = known.groupBy("rule", "valid_from").agg(F.max_by(F.struct("action", "category"), F.struct(rank, "category")).alias("e"))
     to = F.lead("valid_from").over(Window.partitionBy("rule").orderBy("valid_from"))
     return one.select("rule", "e.action", "e.category", "valid_from", to.alias("valid_to")).where("action <> 'remove'")
 
 
-def url_filter(captures: DataFrame, entries: DataFrame, *, segments: int = 3) -> DataFrame:
+def url_filter(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Verdict of the list on every capture (page_id, url, fetched_at) as of its fetch time.
 
     Returns a row for each capture: page_id, url, fetched_at, verdict (block, allow or none), rule, category,
-    listed_at (of the deciding entry, else null). ``segments``: how many path segments a rule may have.
+    listed_at (of the deciding entry, else null). Paths are looked up as deep as the list's longest rule goes.
 
     A null or malformed URL has no host and so verdict none, as has a capture without a fetch time. Rows
     repeated each get a row. Empty tables: no captures give no rows, an empty list gives none everywhere.
     Other columns are ignored. An interval includes its first instant and excludes its last.
     """
     rows = captures.select("page_id", "url", F.col("fetched_at").cast("timestamp").alias("fetched_at"))
+    active = validity(entries)
+    segments = active.agg(F.max(F.size(F.split("rule", "/")) - 1)).first()[0] or 0
     looked = rows.select("*", F.posexplode_outer(rules_of(host_of(F.col("url")), path_of(F.col("url")), segments)).alias("k", "rule"))
-    active = validity(entries).withColumnRenamed("rule", "listed")
+    active = active.withColumnRenamed("rule", "listed")
     during = (F.col("rule") == F.col("listed")) & (F.col("fetched_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
     met = looked.join(active, during, "left")
     decided = F.max_by(F.struct("action", F.col("listed").alias("rule"), "category", F.col("valid_from").alias("listed_at")), F.when(F.col("listed").isNotNull(), F.struct(F.length("listed"), "listed")))

@@ -45,3 +45,12 @@ def test_verdicts(spark, captures):
 def test_empty_list(spark):
     frame = spark.createDataFrame([(1, "http://a.b", T)], "page_id long, url string, fetched_at timestamp")
     assert url_filter(frame, spark.createDataFrame([], "rule string, action string, category string, listed_at timestamp")).first().verdict == "none"
+
+
+def test_deep_paths_single_labels_and_case(spark):
+    entries = [("Deep.org/a/b/c/d/e", "block", "deep", T), ("zip", "block", "domain", T), ("case.org/Ads", "block", "case", T), ("localhost", "block", "own", T)]
+    captures = [(1, "http://deep.org/a/b/c/d/e/f", "block"), (2, "http://deep.org/a/b/c/d", "none"), (3, "http://www.file.ZIP/x", "block"), (4, "http://CASE.org/Ads/x", "block"), (5, "http://case.org/ads/x", "none"), (6, "http://localhost/x", "block"), (7, "http://zip.org/", "none")]
+    frame = spark.createDataFrame([(p, u, T) for p, u, _ in captures], "page_id long, url string, fetched_at timestamp")
+    got = url_filter(frame, spark.createDataFrame(entries, "rule string, action string, category string, listed_at timestamp")).collect()
+    assert {(r.page_id, r.verdict) for r in got} == {(p, v) for p, _, v in captures}
+    assert {r.rule for r in got} == {None, "deep.org/a/b/c/d/e", "zip", "case.org/Ads", "localhost"}
