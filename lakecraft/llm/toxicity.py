@@ -240,15 +240,14 @@ def _pieces(text: str, longest: int) -> set[str]:
     return out
 
 
-def _count_pieces(longest: int, among: frozenset | None):
-    """Partition function: (text) in, (piece, n) of its rows out; of all pieces or some."""
+def _count_pieces(longest: int):
+    """Partition function: (text) in, (piece, n) of its rows out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for text in _texts(batch.column(0)):
-                found = _pieces(text, longest)
-                counts.update(found if among is None else found & among)
+                counts.update(_pieces(text, longest))
             if len(counts) > 250_000:
                 yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["piece", "n"])
                 counts = Counter()
@@ -292,7 +291,7 @@ def cover(holders: dict[str, list[int]], least: float, most: int) -> list[str]:
     return chosen
 
 
-def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, least: int = 5, candidates: int = 20_000, terms: int = 400, longest: int = 10) -> list[tuple[str, bool, int, float]]:
+def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, least: int = 5, terms: int = 400, longest: int = 10) -> list[tuple[str, bool, int, float]]:
     """(term, is_stem, most edits, weight) of the sample's toxic rows, at most ``terms``.
 
     A term is in ``share`` of the toxic rows, and ``least`` of them, at least, and ``lift`` times as often
@@ -303,14 +302,12 @@ def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, le
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return []
-    schema = "piece string, n long"
     need = max(least, math.ceil(share * toxic))
-    counted = sample.where("toxic = 1").select("text").mapInArrow(_count_pieces(longest, None), schema).groupBy("piece").agg(F.sum("n").alias("n"))
-    inside = {r[0]: r[1] for r in counted.where(F.col("n") >= need).orderBy(F.desc("n"), "piece").limit(candidates).collect()}
-    among = frozenset(inside)
-    counted = sample.where("toxic = 0").select("text").mapInArrow(_count_pieces(longest, among), schema).groupBy("piece").agg(F.sum("n").alias("n"))
-    outside = {r[0]: r[1] for r in counted.collect()}
-    good = {p: n for p, n in inside.items() if n / toxic >= lift * (outside.get(p, 0) + 0.5) / clean}
+    count = lambda kind: sample.where(F.col("toxic") == kind).select("text").mapInArrow(_count_pieces(longest), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    # No cap by count: rare terms of small languages stand behind common neutral words until lift is looked at.
+    both = count(1).where(F.col("n") >= need).join(count(0).withColumnRenamed("n", "m"), "piece", "left").select("piece", "n", F.coalesce("m", F.lit(0)).alias("m"))
+    lifted = both.where(F.col("n") / toxic >= F.lit(float(lift)) * (F.col("m") + 0.5) / clean).collect()
+    good, outside = {r[0]: r[1] for r in lifted}, {r[0]: r[2] for r in lifted}
     children: dict[str, list[str]] = {}
     for p in good:
         children.setdefault(p[:-1], []).append(p)
@@ -327,7 +324,7 @@ def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, le
     out = []
     for p in chosen:
         word = p.rstrip(" ")
-        weight = math.log((good[p] + 0.5) / (toxic + 1)) - math.log((outside.get(p, 0) + 0.5) / (clean + 1))
+        weight = math.log((good[p] + 0.5) / (toxic + 1)) - math.log((outside[p] + 0.5) / (clean + 1))
         out.append((word, p == word, 0 if len(word) < 5 else 1 if len(word) < 8 else 2, weight))
     return out
 

@@ -1,9 +1,10 @@
+import hashlib
 import random
 import zlib
 
 import pytest
 
-from lakecraft.llm.toxicity import LexiconAutomaton, Matcher, drop_toxic, fit_toxicity, hits, toxicity_scores
+from lakecraft.llm.toxicity import LexiconAutomaton, Matcher, drop_toxic, fit_toxicity, hits, mine_lexicon, toxicity_scores
 
 
 def distance(a, b):
@@ -83,3 +84,10 @@ def test_edges(spark, model):
     assert toxicity_scores(empty, model).count() == 0
     bare = fit_toxicity(empty, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.predicted for r in toxicity_scores(frame, bare).collect()} == {0}
+
+
+def test_rare_terms_are_not_crowded_out(spark):
+    neutral = " ".join(hashlib.md5(str(k).encode()).hexdigest()[:10] for k in range(5000))  # some 39,000 pieces
+    rows = [(f"{neutral} {'zworg' if k < 6 else ''}", 1) for k in range(20)] + [(neutral, 0)] * 60
+    sample = spark.createDataFrame(rows, "text string, toxic int")
+    assert [t[0] for t in mine_lexicon(sample)] == ["zworg"]
