@@ -17,6 +17,11 @@ def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column]) ->
     return df.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
+def longest_of(df: DataFrame, keys: list[Column | str], text: str, ties: list[Column]) -> DataFrame:
+    """DED-2, DED-3: of the rows with equal keys the one with the longest text; missing texts count as empty."""
+    return keep_first(df, keys, [F.coalesce(F.length(text), F.lit(0)).desc(), *ties])
+
+
 def in_range(mask: Column, date: Column, first: str = FIRST_DATE, last: str = LAST_DATE) -> Column:
     """FIL-1: false for masked rows with an ISO date outside the range; other dates and nulls pass."""
     outside = date.rlike(r"^\d{4}-\d{2}-\d{2}") & ((F.substring(date, 1, 10) < first) | (F.substring(date, 1, 10) > last))
@@ -31,12 +36,11 @@ def dedup_catalog(df: DataFrame) -> DataFrame:
     rank = F.array_position(F.array(*map(F.lit, SOURCES)), F.col("fuente"))
     ties = [F.col("url_origen").asc_nulls_last(), F.col("titulo").asc_nulls_last(), F.col("descripcion").asc_nulls_last(), F.col("poi_id")]
     shop = F.coalesce((F.lower("entity_type") == "event") & (F.lower("fuente") == "joinnus"), F.lit(False))
-    longest = F.coalesce(F.length("descripcion"), F.lit(0)).desc()
     key = lambda *cs: F.when(shop, F.concat_ws("||", *[token(c) for c in cs])).otherwise(F.col("entity_id"))
     df = keep_first(df, ["entity_id"], [rank, *ties])
-    df = keep_first(df, [shop, key("titulo", "fecha_inicio", "hora_inicio", "lugar", "tipo")], [longest, *ties, F.col("entity_id")])
+    df = longest_of(df, [shop, key("titulo", "fecha_inicio", "hora_inicio", "lugar", "tipo")], "descripcion", [*ties, F.col("entity_id")])
     df = df.where(in_range(shop, F.col("fecha_inicio")))
-    return keep_first(df, [shop, key("titulo", "fecha_inicio")], [longest, *ties, F.col("entity_id")])
+    return longest_of(df, [shop, key("titulo", "fecha_inicio")], "descripcion", [*ties, F.col("entity_id")])
 
 
 def in_order(df: DataFrame) -> DataFrame:

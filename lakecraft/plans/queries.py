@@ -145,10 +145,11 @@ def q_dedup_exact(spark, d):
     return dedup.keep_first(table(spark, d, "documents").select("doc_id", "source", F.md5("text").alias("key")), ["key"], [F.col("doc_id")]).select("doc_id", "source")
 
 
-@query(f"select doc_id from (select doc_id, row_number() over (partition by source, md5(lower(substr(coalesce({_CLEAN}, ''), 1, 40))) order by length(text) desc, doc_id) k from documents) where k = 1")
+@query(f"select doc_id from (select doc_id, row_number() over (partition by source, lower(coalesce({_CLEAN}, '')) order by length(text) desc, doc_id) k from documents) where k = 1")
 def q_dedup_semantic(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", "source", F.length("text").alias("size"), F.md5(F.lower(F.coalesce(s.clean_text("text"), F.lit("")))).alias("key"))
-    return dedup.keep_first(rows, ["source", "key"], [F.desc("size"), F.col("doc_id")]).select("doc_id")
+    """Whole texts of one source that mean the same (DED-2's rule: cleaned, lower case), the longest stays."""
+    rows = table(spark, d, "documents").select("doc_id", "source", "text")
+    return dedup.longest_of(rows, [F.col("source"), F.md5(s.token("text"))], "text", [F.col("doc_id")]).select("doc_id")
 
 
 @query("""with t as (select o_orderkey, o_orderstatus = 'O' m, case when o_orderkey % 5 = 0 then 'pronto' when o_orderkey % 7 = 0 then null else strftime(o_orderdate, '%Y-%m-%d') end x from orders)
@@ -187,9 +188,10 @@ def q_percentiles(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.round(F.avg(v), 4).alias("mean"), F.round(F.median(v), 4).alias("med"), F.round(F.percentile(v, 0.95), 4).alias("p95"), F.round(F.stddev_pop(v), 4).alias("sd"), F.min(v).alias("low"), F.max(v).alias("high"))
 
 
-@query("""with c as (select event_type fuente, event_id % 2 r, count(*) n from events where not (event_id % 2 = 1 and (event_type = 'view' or event_id % 10 > 2)) group by all),
-    p as (select fuente, n b from c where r = 0), q as (select fuente, n from c where r = 1)
-    select p.fuente, b before, coalesce(n, 0) now, round((b - coalesce(n, 0)) / b, 6) "drop" from p left join q using (fuente)""")
+@query("""with c as (select event_type fuente, strftime(date_trunc('week', ts), '%Y-%m-%d') wk, count(*) n from events group by all),
+    w as (select wk, lead(wk) over (order by wk) after from (select distinct wk from c))
+    select p.fuente, after wk, p.n before, coalesce(q.n, 0) now, round((p.n - coalesce(q.n, 0)) / p.n, 6) "drop"
+    from c p join w using (wk) left join c q on q.fuente = p.fuente and q.wk = after where after is not null""")
 def q_coverage_drop(spark, d):
     """All events by type and week, each week against the one before it in the table."""
     week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")
@@ -292,7 +294,7 @@ def _runs(spark, d, policy: str) -> DataFrame:
     return state
 
 
-_SEEN = "s as (select o_custkey entity_id, " + ", ".join(f"bool_or(o_orderkey % 16 = {r}) s{r}, max(o_totalprice) filter (o_orderkey % 16 = {r}) v{r}" for r in range(1, 5)) + " from orders where o_orderkey % 16 between 1 and 4 group by 1)"
+_SEEN = "s as (select o_custkey entity_id, " + ", ".join(f"bool_or(o_orderkey % 4 = {r - 1}) s{r}, max(o_totalprice) filter (o_orderkey % 4 = {r - 1}) v{r}" for r in range(1, 5)) + " from orders group by 1)"
 _HARD = ["a1 as (select *, case when s1 then 0 end m1, case when s1 then 1 end f1, case when s1 then v1 end w1 from s)"]
 for _r in range(2, 5):
     _HARD.append(f"a{_r} as (select *, case when s{_r} then 0 when m{_r - 1} + 1 >= 2 then null else m{_r - 1} + 1 end m{_r}, case when s{_r} then case when m{_r - 1} is null then {_r} else f{_r - 1} end else f{_r - 1} end f{_r}, case when s{_r} then v{_r} else w{_r - 1} end w{_r} from a{_r - 1})")
