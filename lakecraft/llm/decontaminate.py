@@ -9,170 +9,270 @@ segment loses to a substitution weigh in short items (of up to four words more t
 also where four fifths of its words match on the diagonal. A short item is cut into one part more than words
 may differ, and the parts are seeds too, so none of these places is missed.
 
-The benchmark's seeds go to the executors in blocks of ``block_chars`` characters of benchmark text, one
-scan of the documents for each block, so that what is sent is bounded however large the benchmark is.
+The documents are scanned once, however large the benchmark is. What is broadcast is a Bloom filter of the
+benchmark's seeds of ``MOST_BITS`` bits at most: a fuller one lets more seeds pass, it loses none. Passing seeds
+leave the scan with the words around them (a window reaches as far as the longest item) and meet the
+benchmark's seeds in a join on the seed. A seed stands once in each window and each item, with all its places,
+so repeated words cost rows in proportion to the text. Diagonals are scored some at a time, and where a pair
+has more hits than diagonals, all its diagonals are scored instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import map_rows, slices, text_buffers, text_of, tidy
+from .shared import materialise, slices, text_buffers, text_of, tidy
 from .wordhash import mix, word_hashes
 
 MASKS = ("110100101011", "101100011011", "111001000111", "100111010011")
 #: What a substitution costs a segment, and the share (in fifths) of a short item that has to match.
 COST, FIFTHS = 4, 4
+MOST_BITS, BITS_A_SEED, MOST_PROBES = 1 << 28, 32, 6
+SLOTS = 1 << 20
+CELLS = 1 << 18  # of words against words at a time when diagonals are scored
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def offsets_of(masks: tuple[str, ...]) -> list[tuple[int, np.ndarray]]:
-    return [(len(m), np.array([i for i, c in enumerate(m) if c == "1"])) for m in masks]
+def needed(n: int) -> int:
+    """How many words of a short item of ``n`` words have to match."""
+    return -(-n * FIFTHS // 5)
+
+
+def parts(n: int) -> list[tuple[int, int]]:
+    """Start and end of the parts into which a short item of ``n`` words is cut."""
+    cuts = np.linspace(0, n, n - needed(n) + 2).astype(int)
+    return [(int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
 
+def patterns(short: list[int]) -> list[str]:
+    """The masks, and one of ones for each length of a part of the short items, whose numbers of words are given."""
+    return [*MASKS, *("1" * k for k in sorted({b - a for n in short for a, b in parts(n)}))]
 
-def seeds(words: np.ndarray, span: int, at: np.ndarray, salt: int) -> np.ndarray:
-    """The seed at each position at which the mask fits."""
-    n = len(words) - span + 1
+
+def seeds(words: np.ndarray, pattern: str) -> np.ndarray:
+    """The seed at each position at which the pattern fits."""
+    n = len(words) - len(pattern) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h = np.full(n, salt + 1, np.uint64)
-    for k in at:
-        h = h * _FACTOR + words[k : k + n]
-    return h ^ (h >> np.uint64(29))
-
-
-@dataclass
-class SeedIndex:
-    """Benchmark items: their words, and for each mask the sorted seeds with item and position."""
-
-    ids: list
-    words: np.ndarray
-    first: np.ndarray
-    masks: list[tuple[int, np.ndarray]]
-    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    min_words: int
-
-    @classmethod
-    def build(cls, items: list[tuple[object, str]], min_words: int = 13, masks: tuple[str, ...] = MASKS) -> SeedIndex:
-        words, first = word_hashes(*text_buffers(pa.array([t or "" for _, t in items], pa.string())))
-        sizes = np.diff(first)
-        spaced = [(span, at, np.flatnonzero(sizes >= span), None) for span, at in offsets_of(masks)]
-        # Parts of short items by length: (item, place).
-        parts: dict[int, list[tuple[int, int]]] = {}
-        for i in np.flatnonzero((sizes > 0) & (sizes <= min_words + COST)):
-            n = int(sizes[i])
-            cuts = np.linspace(0, n, n - needed(n) + 2).astype(int)
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                parts.setdefault(int(hi - lo), []).append((int(i), int(lo)))
-        spaced += [(span, np.arange(span), *np.array(at).T) for span, at in sorted(parts.items())]
-        tables = []
-        for salt, (span, at, of, start) in enumerate(spaced):
-            found, item, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for k, i in enumerate(of):
-                own = words[first[i] : first[i + 1]] if start is None else words[first[i] + start[k] : first[i] + start[k] + span]
-                s = seeds(own, span, at, salt)
-                found.append(s)
-                item.append(np.full(len(s), i))
-                place.append(np.arange(len(s)) + (0 if start is None else start[k]))
-            s, i, p = map(np.concatenate, (found, item, place))
-            order = np.argsort(s, kind="stable")
-            bits = 1 << max(16, int(len(s) * 16).bit_length())
-            filter_ = np.zeros(bits, bool)
-            filter_[(s & np.uint64(bits - 1)).astype(np.int64)] = True
-            tables.append((s[order], i[order], p[order], filter_))
-        return cls([i for i, _ in items], words, first, [(s, at) for s, at, *_ in spaced], tables, min_words)
-
-    def diagonals(self, words: np.ndarray) -> np.ndarray:
-        """Distinct (item, document position - item position) of all seed hits."""
-        hits = []
-        for salt, ((span, at), (table, item, place, filter_)) in enumerate(zip(self.masks, self.tables, strict=True)):
-            if not len(table) or len(words) < span:
-                continue
-            s = seeds(words, span, at, salt)
-            maybe = np.flatnonzero(filter_[(s & np.uint64(len(filter_) - 1)).astype(np.int64)])
-            lo = np.searchsorted(table, s[maybe])
-            n = np.searchsorted(table, s[maybe], "right") - lo
-            maybe, lo, n = maybe[n > 0], lo[n > 0], n[n > 0]
-            if len(n):
-                k = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                hits.append(np.stack((item[k], np.repeat(maybe, n) - place[k]), axis=1))
-        return np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 2), np.int64)
-
-    def overlaps(self, words: np.ndarray) -> list[tuple]:
-        """(item id, first word, words, matching words, share of the item) of the best overlap with each item."""
-        best: dict[int, tuple] = {}
-        for i, d in self.diagonals(words):
-            item = self.words[self.first[i] : self.first[i + 1]]
-            lo, hi = max(0, d), min(len(words), d + len(item))
-            equal = words[lo:hi] == item[lo - d : hi - d]
-            start, end, matched = segment(equal)
-            short = len(item) <= self.min_words + COST and equal.sum() >= needed(len(item))
-            if matched < self.min_words and short:
-                places = np.flatnonzero(equal)
-                start, end, matched = int(places[0]), int(places[-1]) + 1, len(places)
-            if short or matched >= self.min_words:
-                new = (-matched, int(lo + start), end - start, matched, matched / len(item))
-                if i not in best or new < best[i]:
-                    best[i] = new
-        return [(self.ids[i], *v[1:]) for i, v in sorted(best.items())]
+    h = np.full(n, int(pattern, 2) + (len(pattern) << 20), np.uint64)
+    for k, c in enumerate(pattern):
+        if c == "1":
+            h = h * _FACTOR + words[k : k + n]
+    return mix(h)
 
 
-def needed(n: int) -> int:
-    """How many words of a short item of ``n`` words have to match."""
-    return -(-n * FIFTHS // 5)
+def seeds_of_item(words: np.ndarray, min_words: int) -> list[tuple[int, list[int]]]:
+    """(seed, its places in the item), of all masks and, in a short item, of its parts."""
+    n = len(words)
+    found = [(seeds(words, m), np.arange(max(0, n - len(m) + 1))) for m in MASKS]
+    if 0 < n <= min_words + COST:
+        found += [(seeds(words[a:b], "1" * (b - a)), np.array([a])) for a, b in parts(n)]
+    return grouped(np.concatenate([s for s, _ in found]), np.concatenate([p for _, p in found]))
+
+
+def grouped(seed: np.ndarray, place: np.ndarray) -> list[tuple[int, list[int]]]:
+    order = np.lexsort((place, seed))
+    seed, place = seed[order].view(np.int64), place[order]
+    cuts = np.flatnonzero(np.concatenate(([True], seed[1:] != seed[:-1], [True]))) if len(seed) else [0]
+    return [(int(seed[a]), place[a:b].tolist()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def segment(equal: np.ndarray) -> tuple[int, int, int]:
-    """Start, end and matches of the segment with the highest sum of 1 for a match and -4 else; the first such."""
-    total = np.concatenate(([0], np.cumsum(np.where(equal, 1, -COST))))
-    low = np.minimum.accumulate(total)
-    gain = total - low
-    end = int(gain.argmax())
-    start = int(np.flatnonzero(total[: end + 1] == low[end])[-1])
-    return start, end, int(equal[start:end].sum())
+def probes(seed: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """The k-th bit of each seed in a filter of ``bits`` bits, a power of two."""
+    return ((seed + np.uint64(k) * ((seed >> np.uint64(32)) | np.uint64(1))) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def blocks(benchmark: DataFrame, block_chars: int, min_words: int) -> Iterator[SeedIndex]:
-    """Indexes of all items, each made from about ``block_chars`` characters of them."""
-    items = text_of(benchmark, "item_id", "text")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-chars // block_chars)
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        if part:
-            yield SeedIndex.build([(r[0], r[1]) for r in part], min_words)
+def _numbered() -> Iterator[int]:
+    """Numbers that no other task gives; they are used only once they are written."""
+    from pyspark import TaskContext
 
+    n = TaskContext.get().partitionId() << 33
+    while True:
+        yield n
+        n += 1
 
-def _docs_words(column: pa.Array) -> Iterator[np.ndarray]:
-    """The word hashes of each text, made for some MB of text at a time."""
-    for lo, hi in slices(column, 4 << 20):
-        words, first = word_hashes(*text_buffers(column.slice(lo, hi - lo)))
-        for a, b in zip(first[:-1], first[1:], strict=True):
-            yield words[a:b]
 
+_SEEDS = pa.list_(pa.struct([("seed", pa.int64()), ("places", pa.list_(pa.int32()))]))
 
-def scan(index: Broadcast, types: list[pa.DataType]):
-    """Partition function: (doc_id, text) in, overlaps out."""
-    names = ["doc_id", "item_id", "start_word", "n_words", "matched", "coverage"]
+
+def read_items(min_words: int, kind: pa.DataType):
+    """Partition function: (item_id, text) in; (item, item_id, n, words, seeds) out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = _numbered()
+        for batch in batches:
+            for lo, hi in slices(batch.column(1), 1 << 20):
+                words, first = word_hashes(*text_buffers(batch.column(1).slice(lo, hi - lo)))
+                own = [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+                found = [[{"seed": s, "places": p} for s, p in seeds_of_item(w, min_words)] for w in own]
+                yield pa.RecordBatch.from_arrays([pa.array([next(number) for _ in own], pa.int64()), batch.column(0).slice(lo, hi - lo).cast(kind), pa.array(np.diff(first), pa.int64()), pa.array([w.tobytes() for w in own], pa.binary()), pa.array(found, _SEEDS)], ["item", "item_id", "n", "words", "seeds"])
+
+    return run
+
+
+def fill_filter(bits: int, k: int):
+    """Partition function: (seed) in; the words of 64 bits that are not zero out, by place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_ = np.zeros(bits >> 6, np.uint64)
         for batch in batches:
-            rows = [(doc_id.as_py(), *x) for doc_id, words in zip(batch.column(0), _docs_words(batch.column(1)), strict=True) for x in index.value.overlaps(words)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+            seed = batch.column(0).to_numpy().view(np.uint64)
+            for j in range(k):
+                at = probes(seed, j, bits)
+                np.bitwise_or.at(filter_, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        some = np.flatnonzero(filter_)
+        for lo in range(0, len(some), 1 << 16):
+            part = some[lo : lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(filter_[part].view(np.int64))], ["place", "bits"])
 
     return run
 
 
-def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13, block_chars: int = 4 << 20) -> DataFrame:
+def seed_filter(seed: DataFrame) -> tuple[np.ndarray, int, int]:
+    """A Bloom filter of ``seed.seed``: its words, bits and probes. Of ``MOST_BITS`` bits at most, so 32 MB."""
+    n = seed.count()
+    bits = min(MOST_BITS, 1 << max(16, (n * BITS_A_SEED - 1).bit_length()))
+    k = max(1, min(MOST_PROBES, round(0.69 * bits / max(1, n))))
+    filled = seed.mapInArrow(fill_filter(bits, k), "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(bits >> 6, np.uint64)
+    out[filled.column("place").to_numpy()] = filled.column("bits").to_numpy().view(np.uint64)
+    return out, bits, k
+
+
+def find_windows(shared, how: list[str], reach: int, bits: int, k: int, kind: pa.DataType):
+    """Partition function: (doc_id, th, text) in; (window, doc_id, th, start, words, seeds) of the stretches with passing seeds out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, filter_ = _numbered(), shared.value
+        for batch in batches:
+            for lo, hi in slices(batch.column(2), 4 << 20):
+                words, first = word_hashes(*text_buffers(batch.column(2).slice(lo, hi - lo)))
+                doc = np.repeat(np.arange(hi - lo), np.diff(first))
+                hit, at, end = [], [], []
+                for pattern in how:
+                    seed = seeds(words, pattern)
+                    place = np.flatnonzero(doc[: len(seed)] == doc[len(pattern) - 1 :]) if len(seed) else np.zeros(0, np.int64)
+                    seed = seed[place]
+                    for j in range(k):
+                        b = probes(seed, j, bits)
+                        keep = (filter_[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1) == 1
+                        seed, place = seed[keep], place[keep]
+                    hit.append(seed)
+                    at.append(place)
+                    end.append(place + len(pattern))
+                hit, at, end = np.concatenate(hit), np.concatenate(at), np.concatenate(end)
+                if not len(hit):
+                    continue
+                order = np.argsort(at, kind="stable")
+                hit, at, end = hit[order], at[order], end[order]
+                left, right = np.maximum(at - reach, first[doc[at]]), np.minimum(end + reach, first[doc[at] + 1])
+                right = np.maximum.accumulate(right)
+                cuts = np.flatnonzero(np.concatenate(([True], (left[1:] >= right[:-1]) | (doc[at[1:]] != doc[at[:-1]]), [True])))
+                rows = []
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    start, d = int(left[a:b].min()), doc[at[a]]
+                    rows.append((next(number), lo + int(d), start - int(first[d]), words[start : right[b - 1]].tobytes(), [{"seed": s, "places": p} for s, p in grouped(hit[a:b], at[a:b] - start)]))
+                take = pa.array([r[1] for r in rows])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), batch.column(0).take(take).cast(kind), batch.column(1).take(take), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary()), pa.array([r[4] for r in rows], _SEEDS)], ["window", "doc_id", "th", "start", "words", "seeds"])
+
+    return run
+
+
+def best_overlap(words: np.ndarray, item: np.ndarray, diagonals: np.ndarray, min_words: int) -> tuple[int, int, int] | None:
+    """(first word, words, matching words) of the best overlap on the diagonals; the first of those with most matches.
+
+    A diagonal's segment is the one with the highest sum of 1 for a match and -4 else. ``CELLS`` bounds what is
+    compared at a time.
+    """
+    m, best = len(item), None
+    step = max(1, CELLS // (m + 1))
+    for lo in range(0, len(diagonals), step):
+        d = diagonals[lo : lo + step, None]
+        at = d + np.arange(m)
+        inside = (at >= 0) & (at < len(words))
+        equal = inside & (words[at.clip(0, len(words) - 1)] == item)
+        total, count = np.zeros((len(d), m + 1), np.int64), np.zeros((len(d), m + 1), np.int64)
+        np.cumsum(np.where(equal, 1, -COST), axis=1, out=total[:, 1:])
+        np.cumsum(equal, axis=1, out=count[:, 1:])
+        low = np.minimum.accumulate(total, axis=1)
+        end = (total - low).argmax(axis=1)
+        start = np.maximum.accumulate(np.where(total == low, np.arange(m + 1), 0), axis=1)[np.arange(len(d)), end]
+        matched = count[np.arange(len(d)), end] - count[np.arange(len(d)), start]
+        if m <= min_words + COST:
+            short = (count[:, -1] >= needed(m)) & (matched < min_words)
+            start = np.where(short, equal.argmax(axis=1), start)
+            end = np.where(short, m - equal[:, ::-1].argmax(axis=1), end)
+            matched = np.where(short, count[:, -1], matched)
+            good = count[:, -1] >= needed(m)
+        else:
+            good = np.zeros(len(d), bool)
+        good |= matched >= min_words
+        for j in np.flatnonzero(good):
+            new = (-int(matched[j]), int(d[j, 0] + start[j]), int(end[j] - start[j]))
+            best = new if best is None or new < best else best
+    return best and (best[1], best[2], -best[0])
+
+
+def candidates(pairs: list[tuple[np.ndarray, np.ndarray]], n: int, m: int) -> np.ndarray:
+    """The distinct diagonals of all hits; every diagonal where there are more hits than diagonals."""
+    if sum(len(a) * len(b) for a, b in pairs) > n + m:
+        return np.arange(-m + 1, n)
+    return np.unique(np.concatenate([np.subtract.outer(a, b).ravel() for a, b in pairs]))
+
+
+def verify(min_words: int, types: list[pa.DataType]):
+    """Partition function: (doc_id, th, start, words, item, item_id, item_words, hits) in; verified overlaps out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc_id, th, start, words, item, item_id, item_words, hits in zip(*batch.columns, strict=True):
+                w, i = np.frombuffer(words.as_py(), np.uint64), np.frombuffer(item_words.as_py(), np.uint64)
+                pairs = [(np.array(h["d"]), np.array(h["i"])) for h in hits.as_py()]
+                if got := best_overlap(w, i, candidates(pairs, len(w), len(i)), min_words):
+                    out.append((doc_id.as_py(), th.as_py(), item.as_py(), item_id.as_py(), start.as_py() + got[0], got[1], got[2], got[2] / len(i)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], _FOUND)
+
+    return run
+
+
+_FOUND = ["doc_id", "th", "item", "item_id", "start_word", "n_words", "matched", "coverage"]
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, th, item, item_id, start_word, n_words, matched, coverage), written; ``th`` is the hash of the text, ``item`` a number."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    rows = text_of(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("th"), "text")
+    of_doc, of_item = rows.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(_FOUND, [of_doc, T.LongType(), T.LongType(), of_item, *[T.LongType()] * 3, T.DoubleType()], strict=True)])
+    many = "seeds array<struct<seed bigint, places array<int>>>"
+    item_kind = to_arrow_type(of_item)
+    items = text_of(benchmark, "item_id", "text").distinct().mapInArrow(read_items(min_words, item_kind), f"item bigint, item_id {of_item.simpleString()}, n bigint, words binary, {many}")
+    items = materialise(items.where("n > 0"), "benchmark-items")
+    known = items.select("item", F.inline("seeds").alias("seed", "i"))
+    told = items.agg(F.max("n"), F.collect_set(F.when(F.col("n") <= min_words + COST, F.col("n")))).first()  # lengths of short items, a few
+    if not told[0]:
+        return docs.sparkSession.createDataFrame([], schema)
+    filter_, bits, k = seed_filter(known.select("seed"))
+    shared = docs.sparkSession.sparkContext.broadcast(filter_)
+    scan = tidy(find_windows(shared, patterns(told[1]), told[0], bits, k, to_arrow_type(of_doc)))
+    windows = materialise(rows.mapInArrow(scan, f"window bigint, doc_id {of_doc.simpleString()}, th bigint, start bigint, words binary, {many}"), "benchmark-windows", arrow_rows=2000)
+    hits = windows.select("window", F.inline("seeds").alias("seed", "d")).join(known, "seed")
+    pairs = hits.groupBy("window", "item").agg(F.collect_list(F.struct("d", "i")).alias("hits"))  # of one window and one item
+    met = pairs.join(windows.drop("seeds"), "window").join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
+    found = met.select("doc_id", "th", "start", "words", "item", "item_id", "item_words", "hits").mapInArrow(verify(min_words, [to_arrow_type(f.dataType) for f in schema]), schema)
+    return materialise(found, "benchmark-overlaps", arrow_rows=500)
+
+
+def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13) -> DataFrame:
     """Every (document, benchmark item) with a verified overlap.
 
     Returns doc_id, item_id, start_word (first word of the overlap in the document, from 0), n_words (its
@@ -184,33 +284,25 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int
     Empty tables give no rows; other columns are ignored. An item of up to ``min_words`` + 4 words
     overlaps also where at least four fifths of its words match in place, one of fewer than five words verbatim only.
     """
-    rows = text_of(docs, "doc_id", "text")
-    kinds = [rows.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
-    schema = T.StructType([T.StructField(n, t) for n, t in zip(("doc_id", "item_id"), kinds, strict=True)] + [T.StructField("start_word", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("matched", T.LongType()), T.StructField("coverage", T.DoubleType())])
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    types = [to_arrow_type(f.dataType) for f in schema]
-    out = docs.sparkSession.createDataFrame([], schema)
-    for index in blocks(benchmark, block_chars, min_words):
-        out = out.union(rows.mapInArrow(scan(docs.sparkSession.sparkContext.broadcast(index), types), schema))
-    return out.distinct().withColumn("contaminated", F.lit(True))
+    best = F.min(F.struct((-F.col("matched")).alias("m"), "start_word", "n_words", "matched", "coverage")).alias("b")
+    each = _overlaps(docs, benchmark, min_words).groupBy("doc_id", "th", "item", "item_id").agg(best)
+    return each.select("doc_id", "item_id", "b.start_word", "b.n_words", "b.matched", "b.coverage").distinct().withColumn("contaminated", F.lit(True))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13, block_chars: int = 4 << 20) -> DataFrame:
-    """``docs``, all columns, without the rows that overlap a benchmark item; no shuffle.
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13) -> DataFrame:
+    """``docs``, all columns, without the rows that overlap a benchmark item.
 
-    Rules as in :func:`benchmark_overlaps`; rows whose text is null or empty stay.
+    Rules as in :func:`benchmark_overlaps`; rows whose text is null or empty stay. A row goes if its doc_id and
+    text are those of an overlap. Rows whose hash falls on none of ``SLOTS`` marked slots (at most so many are
+    broadcast) stay without a shuffle; only the others meet the overlaps in a join.
     """
-    column = docs.columns.index("text")
-
-    def clean(index: Broadcast):
-        @tidy
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array([not index.value.overlaps(w) for w in _docs_words(batch.column(column))], pa.bool_()))
-
-        return run
-
-    for index in blocks(benchmark, block_chars, min_words):
-        docs = map_rows(docs, clean(docs.sparkSession.sparkContext.broadcast(index)))
-    return docs
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    found = _overlaps(docs, benchmark, min_words).select("doc_id", "th").distinct()
+    slot = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(SLOTS))
+    marked = F.broadcast(found.select(slot("doc_id", "th").alias("slot")).distinct())
+    th = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+    plain = docs.toDF(*names).withColumn("slot", slot(doc_id, th))
+    clean = plain.join(marked, "slot", "left_anti")
+    met = plain.join(marked, "slot", "left_semi").alias("p").join(found, doc_id.eqNullSafe(found["doc_id"]) & (th == found["th"]), "left_anti")
+    return clean.select(*names).unionByName(met.select(*names)).toDF(*docs.columns)
