@@ -16,7 +16,7 @@ from .secrets import secret_scan
 from .shared import documents
 from .tokenstore import token_ids
 from .toxicity import fit_toxicity, toxicity_scores
-from .urlfilter import host_of, url_filter
+from .urlfilter import host_of, path_of, url_filter
 from .warc import warc_round_trip
 
 TOKENIZER = "word_bpe_49k.json"
@@ -59,8 +59,10 @@ def _day(number: F.Column) -> F.Column:
 
 
 def list_history(pages: DataFrame) -> DataFrame:
-    """A list for the pages' hosts: entries, removals and renewals by a hash of the host, and rules for one domain."""
-    hosts = pages.select(host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    """A list for the pages' hosts: entries, removals and renewals by a hash of the host, rules for one domain and for one top-level
+    domain, and for each host rules for paths: its first segment, four segments with a host in upper case, and one of other case."""
+    first = F.min(F.nullif(path_of(F.col("url")), F.lit(""))).alias("path")
+    hosts = pages.groupBy(host_of(F.col("url")).alias("host")).agg(first).where("host <> ''")
     x = F.conv(F.substring(F.md5("host"), 1, 4), 16, 10).cast("int")
     hosts = hosts.withColumn("x", x)
     category = F.get(F.array(F.lit("ads"), F.lit("malware"), F.lit("adult")), F.col("x") % 3)
@@ -70,10 +72,14 @@ def list_history(pages: DataFrame) -> DataFrame:
         event(x % 4 == 0, host, "block", category, x % 300),
         event(x % 8 == 0, host, "remove", category, x % 300 + 30 + x % 60),
         event(x % 16 == 0, host, "block", F.lit("repeat"), x % 300 + 120),
-        event(x % 5 == 1, F.concat(host, F.lit("/en")), "block", F.lit("section"), F.lit(50)),
+        event(x % 5 == 1, F.concat(host, F.lit("/en/")), "block", F.lit("section"), F.lit(50)),
+        event(F.col("path").isNotNull() & (x % 3 == 0), F.concat(F.upper(host), "path"), "allow", F.lit("page"), F.lit(80)),
+        event(F.col("path").isNotNull() & (x % 3 == 1), F.concat(host, F.upper("path")), "block", F.lit("case"), F.lit(80)),
+        event(x % 7 == 2, F.concat(host, F.lit("/en/a/b/c/d")), "allow", F.lit("deep"), F.lit(60)),
     )
     domain = pages.sparkSession.sql("select 'example.net' rule, action, 'domain' category, timestamp_seconds(1704067200 + 86400 * day) listed_at from values ('block', 200), ('allow', 260), ('remove', 330) as t(action, day)")
-    return hosts.select(F.inline(F.filter(events, lambda e: e.isNotNull()))).unionByName(domain)
+    top = pages.sparkSession.sql("select 'Example' rule, 'block' action, 'top' category, timestamp_seconds(1704067200 + 86400 * 340) listed_at")
+    return hosts.select(F.inline(F.filter(events, lambda e: e.isNotNull()))).unionByName(domain).unionByName(top)
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,13 +145,16 @@ ORACLE_SQL: dict[str, str] = {
                 regexp_replace(regexp_replace(regexp_replace(regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', ''), '\\.$', '') host,
                 regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) path
             from pages),
-        h as (select distinct host, cast('0x' || substr(md5(host), 1, 4) as integer) x from c where host <> ''),
+        h as (select host, min(nullif(path, '')) path, cast('0x' || substr(md5(host), 1, 4) as integer) x from c where host <> '' group by host),
         e as (
             select host rule, 'block' action, ['ads', 'malware', 'adult'][x % 3 + 1] category, x % 300 d from h where x % 4 = 0
             union all select host, 'remove', ['ads', 'malware', 'adult'][x % 3 + 1], x % 300 + 30 + x % 60 from h where x % 8 = 0
             union all select host, 'block', 'repeat', x % 300 + 120 from h where x % 16 = 0
             union all select host || '/en', 'block', 'section', 50 from h where x % 5 = 1
-            union all select * from (values ('example.net', 'block', 'domain', 200), ('example.net', 'allow', 'domain', 260), ('example.net', 'remove', 'domain', 330)) t),
+            union all select rtrim(host || regexp_replace(path, '/+', '/', 'g'), '/'), 'allow', 'page', 80 from h where path is not null and x % 3 = 0
+            union all select rtrim(host || regexp_replace(upper(path), '/+', '/', 'g'), '/'), 'block', 'case', 80 from h where path is not null and x % 3 = 1
+            union all select host || '/en/a/b/c/d', 'allow', 'deep', 60 from h where x % 7 = 2
+            union all select * from (values ('example.net', 'block', 'domain', 200), ('example.net', 'allow', 'domain', 260), ('example.net', 'remove', 'domain', 330), ('example', 'block', 'top', 340)) t),
         o as (
             select rule, action, category, timestamp '2024-01-01' + to_days(cast(d as integer)) listed_at,
                 row_number() over (partition by rule, d order by case action when 'block' then 0 when 'allow' then 1 else 2 end, category desc) k
@@ -155,7 +164,7 @@ ORACLE_SQL: dict[str, str] = {
             select c.page_id, c.url, c.fetched_at, v.action, v.rule, v.category, v.listed_at,
                 row_number() over (partition by c.page_id, c.url order by length(v.rule) desc nulls last, v.rule desc) k
             from c left join v on v.action <> 'remove' and fetched_at >= listed_at and (until is null or fetched_at < until)
-                and case when contains(rule, '/') then host || '/' = split_part(rule, '/', 1) || '/' and starts_with(path || '/', '/' || split_part(rule, '/', 2) || '/')
+                and case when contains(rule, '/') then host || '/' = split_part(rule, '/', 1) || '/' and starts_with(regexp_replace(path || '/', '/+', '/', 'g'), substr(rule, strpos(rule, '/')) || '/')
                     else host = rule or ends_with(host, '.' || rule) end)
         select page_id, url, fetched_at, coalesce(action, 'none') verdict, rule, category, listed_at from m where k = 1""",
     "op10_exact_dedup": """

@@ -23,10 +23,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where the setting is absent (tests on one machine) a local folder is made and set.
+    Only where the setting is absent and Spark runs on one machine, as in tests, a local folder is made and set.
     """
     found = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} has to name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lakecraft-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -142,6 +144,3 @@ def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def cores(spark: SparkSession) -> int:
     return max(2, spark.sparkContext.defaultParallelism)
 
-
-def is_local(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)

@@ -37,9 +37,11 @@ def rules_of(host: Column, path: Column, segments: int) -> Column:
 
 
 def rule_of(rule: Column) -> Column:
-    """A rule with its host in lower case; paths keep their case."""
-    host = F.substring_index(rule, "/", 1)
-    return F.concat(F.lower(host), F.substring(rule, F.length(host) + 1, F.length(rule)))
+    """A rule with its host in lower case and single slashes, none at its end; paths keep their case."""
+    parts = F.filter(F.split(rule, "/"), lambda s: s != "")
+    host = F.lower(F.substring_index(rule, "/", 1))
+    # A rule without a host ("/ads") covers nothing.
+    return F.when(host != "", F.array_join(F.concat(F.array(host), F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1)))), "/"))
 
 
 def validity(entries: DataFrame) -> DataFrame:
@@ -61,8 +63,10 @@ def url_filter(captures: DataFrame, entries: DataFrame) -> DataFrame:
     Returns a row for each capture: page_id, url, fetched_at, verdict (block, allow or none), rule, category,
     listed_at (of the deciding entry, else null). Paths are looked up as deep as the list's longest rule goes.
 
-    A null or malformed URL has no host and so verdict none, as has a capture without a fetch time. Rows
-    repeated each get a row. Empty tables: no captures give no rows, an empty list gives none everywhere.
+    A null or malformed URL has no host and so verdict none, as has a capture without a fetch time; a URL of any
+    length is looked up whole. Rules are a host or a host and the beginning of a path, cut at slashes: a slash at
+    the end and repeated slashes say nothing, the host's case neither, the path's does. Rules without a host, with
+    a scheme or with wildcards cover nothing. Rows repeated each get a row. Empty tables: no captures give no rows, an empty list gives none everywhere.
     Other columns are ignored. An interval includes its first instant and excludes its last.
     """
     rows = captures.select("page_id", "url", F.col("fetched_at").cast("timestamp").alias("fetched_at"))

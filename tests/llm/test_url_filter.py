@@ -54,3 +54,11 @@ def test_deep_paths_single_labels_and_case(spark):
     got = url_filter(frame, spark.createDataFrame(entries, "rule string, action string, category string, listed_at timestamp")).collect()
     assert {(r.page_id, r.verdict) for r in got} == {(p, v) for p, _, v in captures}
     assert {r.rule for r in got} == {None, "deep.org/a/b/c/d/e", "zip", "case.org/Ads", "localhost"}
+
+
+def test_slashes_and_long_urls(spark):
+    entries = [("z.org/en/", "block", "a", T), ("w.org//a//b", "block", "b", T), ("/ads", "block", "n", T), ("q.org/", "block", "q", T), ("", "block", "n", T)]
+    captures = [(1, "http://z.org/en", "block"), (2, "http://z.org/en/x", "block"), (3, "http://z.org/e", "none"), (4, "http://w.org/a//b/c", "block"), (5, "http://q.org", "block"), (6, "http://z.org/en/" + "x/" * 20_000, "block"), (7, "http://sub.q.org/x", "block")]
+    frame = spark.createDataFrame([(p, u, T) for p, u, _ in captures], "page_id long, url string, fetched_at timestamp")
+    got = url_filter(frame, spark.createDataFrame(entries, "rule string, action string, category string, listed_at timestamp")).collect()
+    assert {(r.page_id, r.verdict) for r in got} == {(p, v) for p, _, v in captures}
