@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,9 +33,11 @@ WORD = re.compile(r"[^\W_]+")
 REPORTING = frozenset("said says say called calls quote quoted wrote word term insult phrase sagte nannte wort zitat dit mot citation terme dijo llamó palabra cita".split())
 NEGATION = frozenset("not never no nicht kein keine nie pas jamais nunca".split())
 ADDRESS = frozenset("you your yours du dein ihr euch tu vous toi tú usted eres".split())
-OPENING, CLOSING = '"“«„', '"”»“'
+PARTNERS = {'"': '"', "“": "”", "„": "“”", "«": "»"}
+MARKS = re.compile(r'["“”„«»]|\n[^\S\n]*\n')
+CITED = re.compile(r"^[^\S\n]*>.*$", re.MULTILINE)
 REACH = 5  # words on either side that are a hit's context window
-LEAST_TERM = 4
+LEAST_TERM, LONGEST_STEM = 4, 32
 
 
 @dataclass
@@ -160,14 +163,36 @@ class Matcher:
         return out
 
 
-def context(text: str, start: int, end: int, before: list[str], after: list[str]) -> float:
-    """How much a hit at ``start:end`` counts: 1 is neutral, less in a quotation or mention, more if aimed at somebody."""
-    weight = 1.0
-    left, right = text[max(0, start - 160) : start].rpartition("\n")[2], text[end : end + 160].partition("\n")[0]
-    opened = max((left.rfind(c) for c in OPENING), default=-1)
-    if opened >= 0 and any(c in right for c in CLOSING) and sum(left.count(c) for c in set(OPENING + CLOSING)) % 2:
-        weight *= 0.35
-    if left.lstrip().startswith(">"):
+def quoted(text: str) -> list[tuple[int, int]]:
+    """Start and end of every quotation in the text, in order: from a mark to its partner in the same paragraph, however far."""
+    out, opened = [], None
+    for m in MARKS.finditer(text):
+        c = m.group()
+        if c[0] == "\n":
+            opened = None
+        elif opened is None:
+            if c in PARTNERS:
+                opened = m
+        elif c in PARTNERS[opened.group()]:
+            out.append((opened.end(), m.start()))
+            opened = None
+    return out
+
+
+def replied(text: str) -> list[tuple[int, int]]:
+    """Start and end of every line that begins with the mark of a cited message."""
+    return [m.span() for m in CITED.finditer(text)] if ">" in text else []
+
+
+def _within(spans: list[tuple[int, int]], at: int) -> bool:
+    k = bisect_right(spans, (at, math.inf)) - 1
+    return k >= 0 and at < spans[k][1]
+
+
+def context(in_quotation: bool, in_reply: bool, before: list[str], after: list[str]) -> float:
+    """How much a hit counts by its place and the words around it: 1 is neutral, less in a quotation or mention, more if aimed at somebody."""
+    weight = 0.35 if in_quotation else 1.0
+    if in_reply:
         weight *= 0.35
     if REPORTING.intersection(before):
         weight *= 0.6
@@ -194,7 +219,9 @@ def hits(text: str, matcher: Matcher) -> list[tuple[int, int, float]]:
         return []
     places = list(WORD.finditer(low))
     words = [m.group() for m in places]
-    return [(found[w][1], found[w][0], context(text, places[i].start(), places[i].end(), words[max(0, i - REACH) : i], words[i + 1 : i + 1 + REACH])) for i, w in enumerate(words) if w in found]
+    quotations, replies = quoted(text), replied(text)
+    at = [(i, w, places[i].start()) for i, w in enumerate(words) if w in found]
+    return [(found[w][1], found[w][0], context(_within(quotations, a), _within(replies, a), words[max(0, i - REACH) : i], words[i + 1 : i + 1 + REACH])) for i, w, a in at]
 
 
 @dataclass
@@ -266,7 +293,7 @@ def _pieces_among(longest: int, among: frozenset):
     return run
 
 
-def cover(holders: dict[str, list[int]], least: float, most: int) -> list[str]:
+def cover(holders: dict[str, list[int]], least: float) -> list[str]:
     """Greedy choice of pieces that explain rows: a row held by k chosen pieces adds 1 / (k + 1) to another's gain.
 
     Ends below a gain of ``least``. So the words of a copied text, all in the same rows, are not all chosen.
@@ -276,7 +303,7 @@ def cover(holders: dict[str, list[int]], least: float, most: int) -> list[str]:
     heap = [(-float(len(rows)), p) for p, rows in holders.items()]
     heapq.heapify(heap)
     chosen: list[str] = []
-    while heap and len(chosen) < most:
+    while heap:
         _, p = heapq.heappop(heap)
         if any(p.startswith(q) or q.startswith(p) for q in chosen):
             continue
@@ -291,10 +318,11 @@ def cover(holders: dict[str, list[int]], least: float, most: int) -> list[str]:
     return chosen
 
 
-def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, least: int = 5, terms: int = 400, longest: int = 10) -> list[tuple[str, bool, int, float]]:
-    """(term, is_stem, most edits, weight) of the sample's toxic rows, at most ``terms``.
+def mine_lexicon(sample: DataFrame, *, lift: float = 10, share: float = 0.003, least: int = 3, gain: float = 1, longest: int = LONGEST_STEM) -> list[tuple[str, bool, int, float]]:
+    """(term, is_stem, most edits, weight) of the sample's toxic rows; their number has no cap, as a term's gain ends the choice.
 
-    A term is in ``share`` of the toxic rows, and ``least`` of them, at least, and ``lift`` times as often
+    Whole words of any length are candidates, and stems of up to ``longest`` letters; what a longer beginning matches
+    its stem of that length matches too. A term is in ``share`` of the toxic rows, and ``least`` of them, at least, and ``lift`` times as often
     as in clean rows. A stem stands for its words unless one longer piece has nearly all its rows. Of these
     the terms that explain the toxic rows are chosen, see :func:`cover`.
     """
@@ -320,7 +348,7 @@ def mine_lexicon(sample: DataFrame, *, lift: float = 20, share: float = 0.01, le
     for i, row in enumerate(sample.where("toxic = 1").select("text").mapInArrow(_pieces_among(longest, frozenset(pieces)), "pieces array<string>").collect()):
         for p in row[0]:
             holders[p].append(i)
-    chosen = cover(holders, max(2, math.ceil(share * toxic)), terms)
+    chosen = cover(holders, max(gain, share * toxic))
     out = []
     for p in chosen:
         word = p.rstrip(" ")
@@ -358,14 +386,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
     return [float(v) for v in b]
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 20_000, lift: float = 5) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 20_000, edit_lift: float = 5, **lexicon: float) -> ToxicityModel:
     """Learn lexicon, weights of edits and regression from at most ``sample_rows`` labelled rows, none held out.
 
+    ``lexicon``: options of :func:`mine_lexicon`. ``edit_lift``: how many times as often as in clean rows a term's
+    misspellings with so many edits have to be in toxic ones to count.
+
     Without toxic or without clean labels the model scores 0 everywhere it can: its lexicon is empty.
     """
     sample = labelled_sample(docs, labels, sample_rows).persist()
     try:
-        terms = mine_lexicon(sample)
+        terms = mine_lexicon(sample, **lexicon)
         automaton = LexiconAutomaton([t[:3] for t in terms])
         if not terms:
             return ToxicityModel(automaton, [], [-4.0, 0.0, 0.0, 0.0])
@@ -383,7 +414,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 20_00
             # Misspellings count only as far as they are rare in clean rows: no more than the term's own lift allows.
             a, b = (seen[1][t, e] + 0.5) / (n[1] + 1), (seen[0][t, e] + 0.5) / (n[0] + 1)
             quiet = seen[0][t, e] == 0 and seen[1][t, e] == 0
-            own.append(weight * 0.8**e if quiet or a >= lift * b else 0.0)
+            own.append(weight * 0.8**e if quiet or a >= edit_lift * b else 0.0)
         weights.append(own + [0.0] * (2 - most))
     model = ToxicityModel(automaton, weights, [0.0] * 4)
     x = np.array([model.features([(h.term, h.edits, h.weight) for h in found for _ in range(h.n)]) for _, found in rows])

@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+import re
 import zlib
 
 import pytest
@@ -72,6 +74,44 @@ def test_context(model):
     assert weight("you are a blockhead") > weight("a blockhead") > weight("not a blockhead")
     assert weight('he read "a blockhead" aloud') < weight("a blockhead")
     assert weight("the word blockhead") < weight("a blockhead")
+    far = " filler" * 200
+    for left, right in ('""', "“”", "„“", "«»"):
+        assert weight(f"they went {left}{far} a blockhead{far}{right} here") == weight(f"they went {left}a blockhead{right} here") < weight(f"they went {left}{far}{right} a blockhead{far}")
+    assert weight(f'an open mark " and{far}\n\n a blockhead " closed later') == weight("a blockhead"), "a quotation ends with its paragraph"
+    assert weight(f"> cited{far} blockhead\nanswer") < weight(f"answer{far} blockhead")
+
+
+def test_scores_against_plain_version(spark, model):
+    """Every word of a text against every term by edit distance; windows and quotations by looking at each place again."""
+    rng = random.Random(8)
+    parts = ["blockhead", "blokhead", "rottenegg", "rotteneggish", "you", "not", "said", '"', "“", "”", "\n\n", "\n> ", "w1xyz", "filler", "blocks", "."]
+    rows = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(0, 40)))) for i in range(300)]
+    got = {r.doc_id: r.score for r in toxicity_scores(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    terms = model.automaton.terms
+    for i, text in rows:
+        words = [(m.group().lower(), m.start()) for m in re.finditer(r"[^\W_]+", text)]
+        found = []
+        for k, (w, at) in enumerate(words):
+            near = [(e, t) for t, (term, stem, most) in enumerate(terms) if (e := min(distance(w[:j], term) for j in range(len(w) + 1)) if stem else distance(w, term)) <= most]
+            if not near:
+                continue
+            paragraph_start = max((m.end() for m in re.finditer(r"\n[^\S\n]*\n", text) if m.end() <= at), default=0)
+            paragraph_end = min((m.start() for m in re.finditer(r"\n[^\S\n]*\n", text) if m.start() >= at), default=len(text))
+            inside, opened = False, None
+            for j in range(paragraph_start, at):
+                c = text[j]
+                opened = (c if c in '"“' else None) if opened is None else None if c == {'"': '"', "“": "”"}[opened] else opened
+            if opened:
+                inside = {'"': '"', "“": "”"}[opened] in text[at:paragraph_end]
+            line = text[text.rfind("\n", 0, at) + 1 :].partition("\n")[0]
+            before, after = [x for x, _ in words[max(0, k - 5) : k]], [x for x, _ in words[k + 1 : k + 6]]
+            weight = (0.35 if inside else 1) * (0.35 if line.lstrip(" ").startswith(">") else 1) * (0.6 if "said" in before else 1) * (0.7 if "not" in before[-2:] else 1) * (1.3 if "you" in before + after else 1)
+            e, t = min(near)
+            found.append(model.weights[t][e] * weight)
+        found = sorted((f for f in found if f > 0), reverse=True)
+        x = [1.0, found[0], math.log1p(sum(found[1:]))] if found else [0.0] * 3
+        z = model.coefficients[0] + sum(a * b for a, b in zip(model.coefficients[1:], x, strict=True))
+        assert abs(got[i] - 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))) < 1e-9, text
 
 
 def test_edges(spark, model):
