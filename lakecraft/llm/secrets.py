@@ -2,9 +2,14 @@
 
 The base patterns are fixed. The method adds ``guess`` spans: values after a credential word whose guess
 cost, by dynamic programming, reaches a threshold. The cost of a value is the least sum, over all ways to cut
-it into spans, of the decimal logarithms of the guesses that each span takes: words by their rank, dates,
-repeats of a unit, keyboard walks and sequences, brute force by the size of the alphabet; every cut costs a
-factor of two. A value such as ``summer2024`` is cheap, a random string is not.
+it into spans, of the decimal logarithms of the guesses that each span takes: words, dates, repeats of a unit,
+keyboard walks and sequences, brute force by the size of the alphabet; every cut costs a factor of two. A value
+such as ``summer2024`` is cheap, a random string is not.
+
+A word costs the logarithm of how many words of the corpus stand for one of it (its expected rank), or its rank
+among the words that people use in passwords, whichever is less. The counts come from all texts, less the words
+of the values themselves. Only the pieces of values meet the counts, in a join, so no dictionary is broadcast and
+none is cut short.
 """
 
 from __future__ import annotations
@@ -13,13 +18,17 @@ import hashlib
 import math
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .shared import text_of
+from .shared import materialise, slices, text_of
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -35,11 +44,19 @@ COMMON = "password admin user test qwerty welcome letmein monkey dragon login he
 CONTEXT = re.compile(r"(?<![^\W_])(" + "|".join(sorted(map(re.escape, CREDENTIALS), key=len, reverse=True)) + r""")["']?(?:[ \t]*[:=][ \t]*|[ \t]+(?:is|ist|es|est)[ \t]+)["']?([^\s"'<>,;]{8,})""", re.IGNORECASE)
 CONTEXT_KEYWORDS = ("pass", "contrase", "clave", "secret", "token", "credential", "pwd", "pin", "auth", "bearer", "login", "api", "access_key", "private_key")
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
-RANKS = {w: k + 1 for k, w in enumerate(COMMON)}
-LONGEST_WORD = max(map(len, RANKS))
-DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
+RANKED = {w: math.log10(k + 2) for k, w in enumerate(COMMON)}
+LEAST_WORD, LONGEST_WORD = 3, 24  # letters
+LETTERS = re.compile(r"[^\W\d_]+")
+DATES = (
+    (re.compile(r"(?:19|20)\d\d"), math.log10(120)),
+    (re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])"), math.log10(365 * 120)),
+    (re.compile(r"(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d"), math.log10(365 * 120)),
+)
 LEET = str.maketrans("013457@$!", "oieastasi")
 CUT = math.log10(2)
+LEAST_RUN = 3  # characters of a keyboard walk or a sequence
+WALK, SEQUENCE = 47 * 4.6, 36 * 2  # keys to begin with, and ways to go on; characters to begin with, and directions
+LONGEST_UNIT = 4  # characters that a repeat repeats
 
 
 def _neighbours() -> set[tuple[str, str]]:
@@ -56,58 +73,87 @@ def alphabet(value: str) -> int:
     return 26 * any("a" <= c <= "z" for c in value) + 26 * any("A" <= c <= "Z" for c in value) + 10 * any(c.isdigit() for c in value) + 33 * any(c.isascii() and not c.isalnum() for c in value) + 100 * any(not c.isascii() for c in value) or 1
 
 
-def _case_cost(word: str) -> float:
-    if word.islower() or not any(c.isalpha() for c in word):
-        return 0.0
-    return CUT if word.isupper() or word[0].isupper() and word[1:].islower() else CUT * sum(c.isupper() for c in word) + CUT
+def lowered(value: str) -> str:
+    """Lower case letter by letter, so that positions stay."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+
+
+def pieces(value: str) -> set[str]:
+    """All letter sequences in a value, also in its leet form, that could be words."""
+    out = set()
+    for form in {lowered(value), lowered(value).translate(LEET)}:
+        for m in LETTERS.finditer(form):
+            run = m.group()
+            out.update(run[i:j] for i in range(len(run)) for j in range(i + LEAST_WORD, min(len(run), i + LONGEST_WORD) + 1))
+    return out
+
+
+class _Case:
+    """What the capitals of a span cost: nothing without any, one factor of two for all or only the first, else one more than there are."""
+
+    def __init__(self, value: str):
+        self.upper = np.array([c.isupper() for c in value], bool)
+        self.uppers = np.concatenate(([0], np.cumsum(self.upper)))
+        self.cased = np.concatenate(([0], np.cumsum([c.isupper() or c.islower() for c in value])))
+
+    def __call__(self, start: np.ndarray, end: int) -> np.ndarray:
+        k, letters = self.uppers[end] - self.uppers[start], self.cased[end] - self.cased[start]
+        return CUT * np.where(k == 0, 0, np.where((k == letters) | ((k == 1) & self.upper[start]), 1, k + 1))
 
 
-def guess_cost(value: str) -> float:
-    """Decimal logarithm of the guesses that the cheapest segmentation takes.
+def guess_cost(value: str, words: Mapping[str, float] = RANKED) -> float:
+    """Decimal logarithm of the guesses that the cheapest segmentation takes; ``words``: the cost of each known word.
 
-    ``best[i]`` is the cost of the first ``i`` characters; a brute-force span may have any length and is
-    carried along, walks and repeats are found as maximal runs, so time grows in proportion to the length.
+    ``best[j]`` is the least cost of the first ``j`` characters: the minimum over all spans that end there, wherever
+    they begin. Walks, sequences and repeats that end at ``j`` are tried from all their beginnings at once, so time
+    is quadratic only in the length of such a run, with a small constant.
     """
-    n, low = len(value), value.lower()
+    n, low = len(value), lowered(value)
     plain = low.translate(LEET)
-    each = math.log10(alphabet(value))
-    best = [math.inf] * (n + 1)
+    each, case = math.log10(alphabet(value)), _Case(value)
+    best = np.full(n + 1, math.inf)
     best[0] = 0.0
-    brute = math.inf  # the cheapest way to end in an open brute-force span
-    spans: dict[int, list[tuple[int, float]]] = {}
-    for m in DATE.finditer(value):
-        spans.setdefault(m.start(), []).append((m.end(), math.log10(365 * 120 if len(m.group()) > 4 else 120)))
-    i = 0
-    while i < n:  # keyboard walks and sequences
-        j = i + 1
-        while j < n and (low[j - 1], low[j]) in NEIGHBOURS:
-            j += 1
-        for end in {i + 3, j - 1, j} if j - i > 3 else {j} if j - i == 3 else ():
-            spans.setdefault(i, []).append((end, math.log10(47 * 4.6 * (end - i)) + _case_cost(value[i:end])))
-        k = i + 1
-        while k < n and abs(ord(low[k]) - ord(low[k - 1])) == 1 and (k == i + 1 or ord(low[k]) - ord(low[k - 1]) == ord(low[i + 1]) - ord(low[i])):
-            k += 1
-        if k - i >= 3:
-            spans.setdefault(i, []).append((k, math.log10(36 * 2 * (k - i)) + _case_cost(value[i:k])))
-        i += 1 if j - i < 3 else j - i - 1
-    for i in range(n):
-        here = best[i]
-        brute = min(brute, here + CUT * (i > 0)) + each
-        best[i + 1] = min(best[i + 1], brute)
-        for end, cost in spans.get(i, ()):
-            best[end] = min(best[end], here + cost + CUT * (i > 0))
-        for end in range(i + 3, min(n, i + LONGEST_WORD) + 1):
+    cut = np.full(n + 1, CUT)
+    cut[0] = 0.0
+    size = np.log10(np.arange(1, n + 2))  # size[k]: of k + 1
+    brute = math.inf  # the cheapest way to be in a brute-force span
+    walk = step = 0  # where the longest walk and sequence that end here begin
+    periods = [0] * (LONGEST_UNIT + 1)  # characters that end here and equal the one a unit before
+    dates: dict[int, list[tuple[int, float]]] = {}
+    for i, c in enumerate(value):
+        if c.isdigit():
+            for pattern, cost in DATES:
+                if m := pattern.match(value, i):
+                    dates.setdefault(m.end(), []).append((i, cost))
+    for j in range(1, n + 1):
+        brute = min(brute, best[j - 1] + cut[j - 1]) + each
+        least = brute
+        for i, cost in dates.get(j, ()):
+            least = min(least, best[i] + cut[i] + cost)
+        for i in range(max(0, j - LONGEST_WORD), j - LEAST_WORD + 1):
             for form, more in ((low, 0.0), (plain, CUT)):
-                if (rank := RANKS.get(form[i:end])) is not None:
-                    best[end] = min(best[end], here + math.log10(rank + 1) + more * (form[i:end] != low[i:end]) + _case_cost(value[i:end]) + CUT * (i > 0))
-        for unit in range(1, 5):  # the unit that ends here, repeated
-            first = i < 2 * unit or value[i - 2 * unit : i - unit] != value[i - unit : i]
-            if i >= unit and first and value[i - unit : i] == value[i : i + unit]:
-                end, times = i + unit, 2
-                while value[end : end + unit] == value[i - unit : i]:
-                    end, times = end + unit, times + 1
-                best[end] = min(best[end], here + math.log10(times) + CUT)
-    return best[n]
+                if (cost := words.get(form[i:j])) is not None:
+                    least = min(least, best[i] + cut[i] + cost + (more if form[i:j] != low[i:j] else 0.0) + float(case(np.array([i]), j)[0]))
+        if j > 1:
+            if (low[j - 2], low[j - 1]) not in NEIGHBOURS:
+                walk = j - 1
+            turn = ord(low[j - 1]) - ord(low[j - 2])
+            if abs(turn) != 1:
+                step = j - 1
+            elif j - step > 2 and turn != ord(low[j - 2]) - ord(low[j - 3]):
+                step = j - 2
+        for first, ways in ((walk, WALK), (step, SEQUENCE)):
+            if j - first >= LEAST_RUN:
+                i = np.arange(first, j - LEAST_RUN + 1)
+                least = min(least, float((best[i] + cut[i] + math.log10(ways) + size[j - i - 1] + case(i, j)).min()))
+        for unit in range(1, LONGEST_UNIT + 1):  # a unit that ended before, so many times more
+            periods[unit] = periods[unit] + 1 if j > unit and value[j - 1] == value[j - 1 - unit] else 0
+            times = periods[unit] // unit
+            if times:
+                k = np.arange(1, times + 1)
+                least = min(least, float((best[j - unit * k] + size[k] + CUT).min()))
+        best[j] = least
+    return float(best[n])
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -122,21 +168,93 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]], least_cost: float) -> list[tuple[int, int, int]]:
-    """Values in a credential's context that no base span touches and that cost 10**least_cost guesses or more."""
+def contexts(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Start and end of the values in a credential's context that no base span touches."""
     low = text.lower()
     if not any(k in low for k in CONTEXT_KEYWORDS):
         return []
-    found = [(m.start(2), 3, m.end(2)) for m in CONTEXT.finditer(text)]
     starts = [x for x, _, _ in base]
     ends = [0, *accumulate((y for _, _, y in base), max)]  # the last end of the first spans, however many of them begin before b
-    return [(a, k, b) for a, k, b in found if ends[bisect_left(starts, b)] <= a and guess_cost(text[a:b]) >= least_cost]
+    return [(a, b) for a, b in (m.span(2) for m in CONTEXT.finditer(text)) if ends[bisect_left(starts, b)] <= a]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+_VALUES = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("value", pa.string())]))
+
+
+def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partition function: (doc_id, text) in; a row's number, counts, digest and base spans, and the values in a context out."""
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 33  # used only once it is written
+    for batch in batches:
+        for lo, hi in slices(batch.column(1), 2 << 20):
+            rows = []
+            for text in batch.column(1).slice(lo, hi - lo).to_pylist():
+                base = base_spans(text)
+                kinds = [k for _, k, _ in base]
+                spans = joined(base)
+                rows.append((number, kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(spans.encode()).hexdigest(), spans, [{"a": a, "b": b, "value": text[a:b]} for a, b in contexts(text, base)]))
+                number += 1
+            types = [*[pa.int64()] * 4, pa.string(), pa.string(), _VALUES]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], ["doc_id", "nr", "n_assign", "n_access", "n_hex", "base_sha256", "base", "guess"])
+
+
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partition function: (text) in; (word, n) of its letter sequences out."""
+    counts: Counter = Counter()
+    for batch in batches:
+        for lo, hi in slices(batch.column(0), 2 << 20):
+            low = pc.utf8_lower(batch.column(0).slice(lo, hi - lo))
+            parts = pc.split_pattern_regex(low, r"[^\p{L}]+").flatten()
+            for word in pc.value_counts(parts).to_pylist():
+                counts[word["values"]] += word["counts"]
+            if len(counts) > 250_000:
+                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+                counts = Counter()
+    yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+
+
+def cut_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partition function: (value) in, (value, piece) out."""
+    for batch in batches:
+        for value in batch.column(0).to_pylist():
+            found = sorted(pieces(value))
+            for lo in range(0, len(found), 1 << 14):
+                part = found[lo : lo + (1 << 14)]
+                yield pa.RecordBatch.from_arrays([pa.array([value] * len(part), pa.string()), pa.array(part, pa.string())], ["value", "piece"])
+
+
+def cost_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partition function: (value, words with their cost) in, (value, cost) out."""
+    for batch in batches:
+        values = batch.column(0).to_pylist()
+        costs = []
+        for value, known in zip(values, batch.column(1).to_pylist(), strict=True):
+            words = dict(RANKED)
+            for w in known or ():
+                words[w["piece"]] = min(w["cost"], words.get(w["piece"], math.inf))
+            costs.append(guess_cost(value, words))
+        yield pa.RecordBatch.from_arrays([pa.array(values, pa.string()), pa.array(costs, pa.float64())], ["value", "cost"])
+
+
+def value_costs(values: DataFrame, texts: DataFrame) -> DataFrame:
+    """(value, cost) of each distinct ``values.value``, by the words of ``texts.text``; words of the values themselves don't count."""
+    every = values.groupBy("value").agg(F.count(F.lit(1)).alias("times"))
+    cut = every.select("value").mapInArrow(cut_values, "value string, piece string")
+    words = lambda df: df.mapInArrow(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = materialise(words(texts.select("text")).where("word <> ''"), "secret-words")
+    own = words(values.select(F.col("value").alias("text"))).withColumnRenamed("n", "m")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rest = counts.join(own, "word", "left").select("word", (F.col("n") - F.coalesce("m", F.lit(0))).alias("n")).where("n > 0")
+    known = cut.join(rest, cut["piece"] == rest["word"]).select("value", F.struct("piece", (F.log10(F.lit(float(max(1, total)))) - F.log10("n") + CUT).alias("cost")).alias("w"))
+    costed = every.select("value").join(known.groupBy("value").agg(F.collect_list("w").alias("words")), "value", "left")  # of one value
+    return costed.mapInArrow(cost_values, "value string, cost double")
+
+
 def secret_scan(docs: DataFrame, *, least_cost: float = 10.0) -> DataFrame:
     """Spans of secrets in every document.
 
@@ -147,18 +265,21 @@ def secret_scan(docs: DataFrame, *, least_cost: float = 10.0) -> DataFrame:
     A null text counts as empty: no spans, the digest of the empty string. A null doc_id stays null, repeated
     rows each get a row, texts are scanned whole. An empty table gives no rows; other columns are ignored.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                base = base_spans(text)
-                more = guess_spans(text, base, least_cost)
-                kinds = [k for _, k, _ in base]
-                rows.append((kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(joined(base).encode()).hexdigest(), joined(sorted(base + more)), len(more)))
-            if rows:
-                types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
-
     rows = text_of(docs, "doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    told = materialise(rows.mapInArrow(scan, f"doc_id {kind}, nr long, n_assign long, n_access long, n_hex long, base_sha256 string, base string, guess array<struct<a long, b long, value string>>"), "secret-spans", arrow_rows=2000)
+    some = told.where(F.size("guess") > 0)
+    values = some.select("nr", F.inline("guess"))
+    columns = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
+    plain = told.where(F.size("guess") == 0).select(*columns, F.col("base").alias("spans"), F.lit(0).cast("long").alias("n_guess"))
+    if not some.take(1):
+        return plain
+    dear = materialise(value_costs(values.select("value"), rows).where(F.col("cost") >= least_cost), "secret-costs")
+    found = values.join(dear, "value").groupBy("nr").agg(F.collect_list(F.struct("a", "b")).alias("found"))  # of one row of docs
+    # Base spans as numbers, so that all can be put in order by start, then kind.
+    parts = F.transform(F.filter(F.split("base", ","), lambda x: x != ""), lambda x: F.split(x, ":"))
+    base = F.transform(parts, lambda x: F.struct(x[1].cast("long").alias("a"), F.array_position(F.array(*map(F.lit, KINDS)), x[0]).cast("int").alias("k"), x[2].cast("long").alias("b")))
+    more = F.transform(F.coalesce("found", F.array().cast("array<struct<a:bigint,b:bigint>>")), lambda x: F.struct(x["a"].alias("a"), F.lit(len(KINDS)).alias("k"), x["b"].alias("b")))
+    names = F.array(*map(F.lit, KINDS))
+    spans = F.array_join(F.transform(F.array_sort(F.concat(base, more)), lambda x: F.concat_ws(":", F.element_at(names, x["k"]), x["a"], x["b"])), ",")
+    return plain.unionByName(some.join(found, "nr", "left").select(*columns, spans.alias("spans"), F.size(more).cast("long").alias("n_guess")))
