@@ -1,11 +1,14 @@
 """WARC archives with an index of captures, merged externally.
 
-Writing: every task appends gzip members, one record each, to its own archive in the shared folder, and
-emits index rows. Rows of an archive are cut into runs, each sorted by (URL key, timestamp, page).
-Index merge: the runs lie in the shared folder; the key range is dealt over tasks, so many that each has some
-``MERGE_ROWS`` rows; a task receives its part of every run and merges the parts k ways with a loser tree, so
-that one comparison for each level decides the next row. The merged index is globally ordered: all captures
-of a URL stand together, by time. Keys end with the page, so no URL is bound to one task.
+Writing: every task appends gzip members, one record each, to its own archive in the shared folder. Index rows
+are cut into runs, each sorted by (URL key, timestamp, page) and written as a file of blocks to that folder; the
+first and last key of each block are its sparse index.
+Index merge: split keys, from a bounded sample of the blocks' keys, deal the key space over tasks. A task opens
+its slice of every run and merges the slices k ways with a loser tree, so that one comparison for each level
+decides the next row; it holds one block of each run, whatever the length of its slice. Above ``FAN_IN`` runs,
+groups of runs are first merged into longer runs, in as many passes as it takes. The merged index is globally
+ordered: all captures of a URL stand together, by time. Keys end with a record's place, so no two are equal and
+any slice, even of one URL without page ids, can be dealt further.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from datetime import UTC, datetime
 
@@ -22,12 +26,17 @@ from pyspark.sql import functions as F
 
 from .shared import cores, filesystem, make_dir, materialise, scratch
 
-RUN_ROWS, MERGE_ROWS = 50_000, 200_000
+RUN_ROWS, BLOCK_ROWS, MERGE_ROWS, MOST_PARTS, FAN_IN = 50_000, 1024, 200_000, 4096, 64
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
 CAPTURE_SECONDS = 10**9
-INDEX = "urlkey string, captured timestamp, page_id long, archive string, offset long, length long, run string"
-_INDEX_TYPES = [pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+SLOTS = 1 << 20
+INDEX = "urlkey string, captured timestamp, page_id long, archive string, offset long, length long"
+_INDEX_SCHEMA = pa.schema([("urlkey", pa.string()), ("captured", pa.timestamp("us", "UTC")), ("page_id", pa.int64()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+_KEY = "struct<urlkey string, captured timestamp, page_id long, archive string, offset long>"
+BLOCKS = f"run string, path string, block int, n long, first {_KEY}, last {_KEY}"
+_KEY_TYPE = pa.struct(list(_INDEX_SCHEMA)[:5])
+_BLOCKS_SCHEMA = pa.schema([("run", pa.string()), ("path", pa.string()), ("block", pa.int32()), ("n", pa.int64()), ("first", _KEY_TYPE), ("last", _KEY_TYPE)])
 
 
 def url_key(url: Column) -> Column:
@@ -68,8 +77,51 @@ def _member(raw: bytes) -> bytes:
     return z.compress(raw) + z.flush()
 
 
-def write_archives(folder: str):
-    """Partition function: pages in, index rows out, sorted in runs."""
+def _order(row: tuple) -> tuple:
+    return row[0], row[1], row[2] is not None, row[2] or 0, row[3], row[4]
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+
+def write_run(rows: Iterator[tuple], run: str, path: str, block_rows: int = BLOCK_ROWS) -> Iterator[tuple]:
+    """Write rows, which come in order, as a file of blocks; yields what ``BLOCKS`` says of each. Holds one block."""
+    fs, at = filesystem(path)
+    if (head := next(rows, None)) is None:
+        return
+    rows, number = itertools.chain([head], rows), 0
+    with fs.open_output_stream(at, compression=None, buffer_size=1 << 20) as sink, pa.ipc.new_file(sink, _INDEX_SCHEMA) as file:
+        while block := list(itertools.islice(rows, block_rows)):
+            file.write_batch(_batch(block, _INDEX_SCHEMA))
+            first, last = (dict(zip(_INDEX_SCHEMA.names[:5], row[:5], strict=True)) for row in (block[0], block[-1]))
+            yield run, path, number, len(block), first, last
+            number += 1
+
+
+def read_run(blocks: list[tuple[str, int]], low: tuple | None, high: tuple | None) -> Iterator[tuple]:
+    """The rows of a run's blocks from ``low`` on and before ``high``; one block is held at a time."""
+    path, file, source = None, None, None
+    for at, number in blocks:
+        if at != path:
+            if source is not None:
+                source.close()
+            fs, place = filesystem(at)
+            source = fs.open_input_file(place)
+            path, file = at, pa.ipc.open_file(source)
+        for row in _rows(file.get_batch(number)):
+            key = _order(row)
+            if high is not None and key >= high:
+                source.close()
+                return
+            if low is None or key >= low:
+                yield row
+    if source is not None:
+        source.close()
+
+
+def write_archives(folder: str, run_rows: int = RUN_ROWS, block_rows: int = BLOCK_ROWS):
+    """Partition function: pages in; archives and sorted runs written, the runs' blocks out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -81,7 +133,7 @@ def write_archives(folder: str):
 
         def sorted_run() -> pa.RecordBatch:
             rows.sort(key=_order)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _INDEX_TYPES, strict=True)], [f.partition(" ")[0] for f in INDEX.split(", ")])
+            return _batch(list(write_run(iter(rows), f"{stem}-{runs}", f"{stem}-{runs}.run", block_rows)), _BLOCKS_SCHEMA)
 
         for batch in batches:
             for page in (dict(zip(batch.schema.names, (c[i].as_py() for c in batch.columns), strict=True)) for i in range(batch.num_rows)):
@@ -90,12 +142,12 @@ def write_archives(folder: str):
                 kind = "response" if page["refers_to"] is None else "revisit"
                 member = _member(_record(kind, page, page["html"].encode() if kind == "response" else b""))
                 sink.write(member)
-                rows.append((page["urlkey"], page["captured"], page["page_id"], f"{stem}-{archives}.warc.gz", place, len(member), f"{stem}-{runs}"))
+                rows.append((page["urlkey"], page["captured"], page["page_id"], f"{stem}-{archives}.warc.gz", place, len(member)))
                 place += len(member)
                 if place >= ARCHIVE_BYTES:
                     sink.close()
                     sink, archives = None, archives + 1
-                if len(rows) >= RUN_ROWS:
+                if len(rows) >= run_rows:
                     yield sorted_run()
                     rows, runs = [], runs + 1
         if sink is not None:
@@ -106,10 +158,6 @@ def write_archives(folder: str):
     return run
 
 
-def _order(row: tuple) -> tuple:
-    return row[0], row[1], row[2] is not None, row[2] or 0, row[3], row[4]
-
-
 class LoserTree:
     """K-way merge: inner nodes hold the loser of their match, so a new leaf plays only on its way to the root."""
 
@@ -151,19 +199,86 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
     return zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
-def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partition function: a key range's rows of all runs in, the same rows in order out."""
-    runs: dict[str, list[tuple]] = {}
-    schema = None
-    for batch in batches:
-        schema = batch.schema
-        for row in _rows(batch):
-            runs.setdefault(row[6], []).append(row)
-    for rows in runs.values():
-        rows.sort(key=_order)  # a shuffle delivers the pieces of a run in any order; each is in order already
-    merged = iter(LoserTree([iter(rows) for rows in runs.values()]))
-    while block := list(itertools.islice(merged, 8192)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*block, strict=True), schema, strict=True)], schema=schema)
+def _key(struct: dict) -> tuple:
+    return _order((struct["urlkey"], struct["captured"], struct["page_id"], struct["archive"], struct["offset"]))
+
+
+def split_keys(blocks: DataFrame, parts: int) -> list[tuple]:
+    """Keys that cut the key space into about ``parts`` slices of like size, from at most 64 block keys for each slice."""
+    sample = blocks.select("first", F.xxhash64("path", "block").alias("h")).orderBy("h").limit(parts * 64).select("first").toArrow()
+    keys = sorted(_key(k) for k in sample.column("first").to_pylist())
+    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
+
+
+def deal_blocks(splits: list[tuple]):
+    """Partition function: (run, path, block, first, last, group) in; each block once for every slice that it touches out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, last = ([_key(k) for k in batch.column(c).to_pylist()] for c in (3, 4))
+            span = [range(bisect_right(splits, a), bisect_right(splits, b) + 1) for a, b in zip(first, last, strict=True)]
+            take = pa.array([i for i, s in enumerate(span) for _ in s], pa.int64())
+            out = batch.take(take)
+            yield pa.RecordBatch.from_arrays([pa.array([p for s in span for p in s], pa.int32()), *(out.column(c) for c in (0, 1, 2, 3, 5))], ["part", "run", "path", "block", "first", "group"])
+
+    return run
+
+
+def slices_of_runs(batches: Iterator[pa.RecordBatch], splits: list[tuple]) -> Iterator[tuple[int, int, LoserTree]]:
+    """(group, slice, merged rows) of each slice in the input, which has blocks in the order of group, slice, run and key."""
+    rows = ((g, p, r, path, b) for batch in batches for p, r, path, b, _, g in _rows(batch))
+    for (group, part), own in itertools.groupby(rows, key=lambda x: x[:2]):
+        low, high = splits[part - 1] if part else None, splits[part] if part < len(splits) else None
+        runs = [[(path, b) for *_, path, b in blocks] for _, blocks in itertools.groupby(own, key=lambda x: x[2])]
+        yield group, part, LoserTree([read_run(blocks, low, high) for blocks in runs])
+
+
+def merge_to_index(splits: list[tuple]):
+    """Partition function: a slice's blocks of all runs in, its rows in order out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, merged in slices_of_runs(batches, splits):
+            rows = iter(merged)
+            while block := list(itertools.islice(rows, 8192)):
+                yield _batch(block, _INDEX_SCHEMA)
+
+    return run
+
+
+def merge_to_runs(splits: list[tuple], folder: str):
+    """Partition function: blocks of groups of runs in; each slice of a group written as a part of one longer run, its blocks out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId()
+        for group, part, merged in slices_of_runs(batches, splits):
+            blocks = write_run(iter(merged), f"{folder}/{group:06d}", f"{folder}/{group:06d}-{part:04d}-{attempt}.run")
+            while some := list(itertools.islice(blocks, 1024)):
+                yield _batch(some, _BLOCKS_SCHEMA)
+
+    return run
+
+
+def merged_index(blocks: DataFrame, folder: str, *, fan_in: int = FAN_IN) -> DataFrame:
+    """The rows of all runs, given by their blocks, in one global order: by partition, and by row within each."""
+    spark, level, fan_in = blocks.sparkSession, 0, max(4, fan_in)
+    dealt = "part int, run string, path string, block int, first " + _KEY + ", group int"
+    while True:
+        told = blocks.agg(F.sum("n").alias("n"), F.countDistinct("run").alias("runs")).first()
+        parts = min(MOST_PARTS, max(cores(spark), 1 + (told.n or 0) // MERGE_ROWS))
+        splits = split_keys(blocks, parts)
+        last = told.runs <= fan_in
+        groups = 1 if last else -(-told.runs // fan_in) * 2  # a hash deals them, so twice as many keep most below the fan-in
+        group = F.pmod(F.xxhash64("run"), F.lit(groups)).cast("int")
+        slices = blocks.select("run", "path", "block", "first", "last", group.alias("group")).mapInArrow(deal_blocks(splits), dealt)
+        order = ["group", "part", "run", "first"]
+        if last:
+            return slices.repartitionById(len(splits) + 1, F.col("part")).sortWithinPartitions(*order).mapInArrow(merge_to_index(splits), INDEX)
+        level += 1
+        make_dir(f"{folder}/pass-{level}")
+        spread = slices.repartition(4 * cores(spark), "group", "part").sortWithinPartitions(*order)
+        blocks = materialise(spread.mapInArrow(merge_to_runs(splits, f"{folder}/pass-{level}"), BLOCKS), "capture-runs")
 
 
 def read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,14 +302,15 @@ def read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
 
-def write_warc(pages: DataFrame, *, captured: Column | None = None, folder: str | None = None, salts: int = 16) -> DataFrame:
-    """Write archives and return their merged index: urlkey, captured, page_id, archive, offset, length, run.
+def write_warc(pages: DataFrame, *, captured: Column | None = None, folder: str | None = None, fan_in: int = FAN_IN, run_rows: int = RUN_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Write archives and return their merged index: urlkey, captured, page_id, archive, offset, length.
 
     ``captured``: fetch time of a page; by default a second for each page_id from the start of 2024 on,
     beginning again after ``CAPTURE_SECONDS``, so that any id gives a date.
-    Among equal payloads of at least 100 bytes the smallest page_id is written in full. The table of first
-    pages holds repeated payloads only; it and the pages are dealt by (digest, salt), so that a payload that
-    a third of all pages have goes to ``salts`` tasks.
+    Among equal payloads of at least 100 bytes the smallest page_id is written in full. Pages whose digest falls on
+    a slot that no repeated payload has (of ``SLOTS``, so what is broadcast is bounded) are written where they are
+    read. The others meet the first page of their payload in a join of two written or scanned tables, which
+    adaptive execution splits on the pages' side where many have one payload.
     """
     spark = pages.sparkSession
     folder = folder or scratch(spark, "warc")
@@ -205,13 +321,17 @@ def write_warc(pages: DataFrame, *, captured: Column | None = None, folder: str
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), html.alias("html"), F.coalesce(captured, F.timestamp_seconds(F.lit(0))).alias("captured"))
     rows = rows.withColumns({"bytes": F.octet_length("html").cast("long"), "digest": F.sha2(F.col("html").cast("binary"), 256)})
     first = rows.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1 and first_id is not null")
-    first = first.select("digest", "first_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int")).join(first, ["digest", "salt"], "left")
+    first = materialise(first.select("digest", "first_id"), "first-pages")
+    slot = F.pmod(F.xxhash64("digest"), F.lit(SLOTS))
+    marked = F.broadcast(first.select(slot.alias("slot")).distinct())
+    slotted = rows.withColumn("slot", slot)
     refers = F.when(F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
-    pages_out = joined.select("page_id", "url", "html", "captured", "bytes", "digest", refers.alias("refers_to"), url_key(F.col("url")).alias("urlkey"))
-    runs = materialise(pages_out.mapInArrow(write_archives(folder), INDEX), "capture-runs", arrow_rows=500)
-    parts = max(cores(spark), 1 + runs.count() // MERGE_ROWS)
-    return runs.repartitionByRange(parts, "urlkey", "captured", "page_id").mapInArrow(merge_runs, INDEX)
+    met = slotted.join(marked, "slot", "left_semi").join(first.hint("merge"), "digest", "left").withColumn("refers_to", refers)
+    alone = slotted.join(marked, "slot", "left_anti").withColumn("refers_to", F.lit(None).cast("long"))
+    columns = ["page_id", "url", "html", "captured", "bytes", "digest", "refers_to"]
+    both = alone.select(*columns).unionByName(met.select(*columns)).withColumn("urlkey", url_key(F.col("url")))
+    blocks = materialise(both.mapInArrow(write_archives(folder, run_rows, block_rows), BLOCKS), "capture-runs", arrow_rows=500)
+    return merged_index(blocks, folder, fan_in=fan_in)
 
 
 def warc_round_trip(pages: DataFrame, **options: object) -> DataFrame:

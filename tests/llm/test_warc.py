@@ -48,12 +48,38 @@ def test_round_trip(spark, rows):
     assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
 
 
-def test_index_is_globally_ordered(spark, monkeypatch):
+@pytest.mark.parametrize("fan_in", [4, 64])
+def test_index_is_globally_ordered(spark, monkeypatch, fan_in):
     monkeypatch.setattr(warc, "MERGE_ROWS", 60)
     rows = [((i * 37) % 500, f"http://h{i % 11}.net/{i % 3}", "x") for i in range(500)]
-    index = [tuple(r) for r in write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()]
-    assert len(index) == 500
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    index = [tuple(r) for r in write_warc(frame, fan_in=fan_in, run_rows=12, block_rows=5).collect()]  # some 45 runs
+    assert len(index) == 500 and len({r[3:5] for r in index}) == 500
     assert [r[:3] for r in index] == sorted(r[:3] for r in index)
-    batch = warc.pa.RecordBatch.from_arrays([warc.pa.array(c, t) for c, t in zip(zip(*[(*r[:6], f"run{i % 7}") for i, r in enumerate(sorted(index, key=str))], strict=True), warc._INDEX_TYPES, strict=True)], ["urlkey", "captured", "page_id", "archive", "offset", "length", "run"])
-    merged = [r for b in warc.merge_runs(iter(batch.slice(i, 7) for i in range(0, 500, 7))) for r in warc._rows(b)]
-    assert [r[2] for r in merged] == [r[2] for r in index]
+
+
+def test_equal_keys_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MERGE_ROWS", 50)
+    frame = spark.createDataFrame([(None, "http://one.net/", "x")] * 600, "page_id long, url string, html string").repartition(4)
+    index = write_warc(frame, run_rows=40, block_rows=8)
+    sizes = [len(p) for p in index.rdd.glom().collect()]
+    assert sum(sizes) == 600 and max(sizes) < 200
+
+
+def test_a_merge_holds_one_block_of_each_run(tmp_path, monkeypatch):
+    """However long the slices are: blocks are read only as the tree asks for rows."""
+    day = warc.datetime(2024, 1, 1, tzinfo=warc.UTC)
+    runs = []
+    for k in range(7):
+        rows = sorted(((f"k{(i * 7 + k) % 50:02d}", day, i * 7 + k, "a", i, 1) for i in range(400)), key=warc._order)
+        runs.append([(b[1], b[2]) for b in warc.write_run(iter(rows), str(k), f"{tmp_path}/{k}.run", 16)])
+    read = [0]
+    rows_of = warc._rows
+    monkeypatch.setattr(warc, "_rows", lambda batch: read.__setitem__(0, read[0] + batch.num_rows) or rows_of(batch))
+    got = []
+    for row in LoserTree([warc.read_run(blocks, None, None) for blocks in runs]):
+        got.append(row)
+        assert read[0] - len(got) <= 7 * 16
+    assert len(got) == 2800 and got == sorted(got, key=warc._order)
+    low, high = warc._order(got[1000]), warc._order(got[1500])
+    assert list(LoserTree([warc.read_run(blocks, low, high) for blocks in runs])) == got[1000:1500]
