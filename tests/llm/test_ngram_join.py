@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from lakecraft.llm.ngram_join import matched_depth, ngram_jaccard_join, shared_counts
+from lakecraft.llm.ngram_join import FREE, matched_depth, ngram_jaccard_join, shared_counts, shortened
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -71,6 +71,33 @@ def test_depth_shortens_until_the_recall_is_met():
     assert matched_depth(0.2, 4, 6, 0.999) == 1
 
 
+def test_prefixes_stay_long_among_many():
+    recall = lambda depths: 1 - np.prod([1 - 0.8**d for d in depths])
+    big, small = FREE * 100, FREE
+    few = shortened({t: [small, 9, 2] for t in range(32)}, 32, 5, 0.8, 0.99999)
+    assert set(few.values()) == {5}
+    mixed = shortened({t: [big + t, big // 2, 3] for t in range(4)} | {t: [2, 1, 1] for t in range(4, 20)}, 32, 5, 0.8, 0.99999)
+    assert [mixed[t] for t in range(4)] == [7] * 4 and recall([mixed.get(t, 5) for t in range(32)]) >= 0.99999
+    crowd = shortened({t: [big * (t + 1), big * (t + 1), big * (t + 1)] for t in range(32)}, 32, 5, 0.8, 0.99999)
+    assert recall(crowd.values()) >= 0.99999 and max(crowd.values()) == 7 and crowd[0] == 5 and crowd[31] == 7, "the smallest are shortened first"
+    assert recall([*crowd.values()][:31]) < 0.99999
+
+
+def test_recall_at_the_threshold_in_a_crowd(spark):
+    """Pairs of 0.8 and little more within a group of more than FREE near copies: all links against brute force."""
+    rng, rows = random.Random(21), []
+    base = [f"w{rng.randrange(4000)}" for _ in range(100)]
+    for i in range(260):
+        words = list(base)
+        for k in rng.sample(range(20), rng.randrange(1, 4)):
+            words[k * 5] = f"x{rng.randrange(4)}"
+        rows.append((i, " ".join(words), "n"))
+    got = ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string, node string"))
+    want = brute(rows)
+    found, links = sum(r.n_links for r in got.collect()), sum(w[2] for w in want)
+    assert links > 1000 and found == links
+
+
 def test_shared_counts():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(9)]
