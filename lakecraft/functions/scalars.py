@@ -230,10 +230,15 @@ def tags_of(c: Column | str) -> Column:
 
 def reviews_summary(reviews: Column | str, most: int = 2, chars: int = 220, least: int = 20) -> Column:
     """ARR-2: the first distinct reviews of enough letters, cut, joined with bars; case does not make them distinct."""
-    texts = F.filter(F.transform(_c(reviews), clean_text), lambda x: F.length(x) >= least)
-    pairs = F.transform(texts, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x")))
-    first = F.filter(pairs, lambda p: F.array_position(F.transform(texts, F.lower), p["k"]) == p["i"] + 1)
-    return F.nullif(F.array_join(F.transform(F.slice(first, 1, most), lambda p: F.substring(p["x"], 1, chars)), " | "), F.lit(""))
+    # Folded over, so that each review is cleaned once: (the keys seen, the texts taken).
+    state = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("taken"))
+
+    def take(acc: Column, x: Column) -> Column:
+        new = (F.size(acc["taken"]) < most) & (F.length(x["x"]) >= least) & ~F.array_contains(acc["seen"], x["k"])
+        return F.when(F.coalesce(new, F.lit(False)), F.struct(F.array_append(acc["seen"], x["k"]).alias("seen"), F.array_append(acc["taken"], F.substring(x["x"], 1, chars)).alias("taken"))).otherwise(acc)
+
+    cleaned = F.transform(_c(reviews), lambda r: F.transform(F.array(clean_text(r)), lambda t: F.struct(F.lower(t).alias("k"), t.alias("x"))))
+    return F.nullif(F.array_join(F.aggregate(F.flatten(cleaned), state, take, lambda acc: acc["taken"]), " | "), F.lit(""))
 
 
 def ld_json(html: Column | str) -> Column:
@@ -245,8 +250,10 @@ def ld_json(html: Column | str) -> Column:
 
 
 def activity_json(html: Column | str) -> Column:
-    """JSON-2: the object after ``"activity":`` in a page's script, up to ``,"blogs"``, as variant."""
-    return F.try_parse_json(F.nullif(F.regexp_extract(_c(html), r'(?s)"activity"\s*:\s*(\{.*?\})\s*,\s*"blogs"', 1), F.lit("")))
+    """JSON-2: the object after ``"activity":`` in a page's script, as variant; the first of its known ends that gives JSON."""
+    ends = (r',\s*"blogs"', r',\s*"[A-Za-z_]+"\s*:', r"\}\s*(?:;|</script>)")
+    found = [F.try_parse_json(F.nullif(F.regexp_extract(_c(html), rf'(?s)"activity"\s*:\s*(\{{.*?\}})\s*{end}', 1), F.lit(""))) for end in ends]
+    return F.coalesce(*found)
 
 
 def links(html: Column | str) -> Column:
@@ -264,8 +271,10 @@ def list_map(html: Column | str) -> Column:
     """HTML-3: ``<li><strong>key:</strong> value</li>`` items as a map; the first of equal keys stays."""
     items = F.transform(F.regexp_extract_all(_c(html), F.lit(r"(?is)<li[^>]*>\s*<(?:strong|b|span)[^>]*>(.*?</(?:strong|b|span)>.*?)</li>"), F.lit(1)), lambda x: F.split(x, r"(?i)</(?:strong|b|span)>", 2))
     pairs = F.transform(items, lambda p: F.struct(F.regexp_replace(F.coalesce(clean_text(F.regexp_replace(F.get(p, F.lit(0)), r"<[^>]*>", " ")), F.lit("")), r"\s*:$", "").alias("k"), clean_text(F.regexp_replace(F.get(p, F.lit(1)), r"<[^>]*>", " ")).alias("v")))
-    keys = F.transform(pairs, lambda p: p["k"])
-    return F.map_from_entries(F.filter(pairs, lambda p, i: (p["k"] != "") & (F.array_position(keys, p["k"]) == i + 1)))
+    # Folded over, so that each item is cleaned once.
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    known = lambda acc, p: (p["k"] == "") | F.exists(acc, lambda q: q["k"] == p["k"])
+    return F.map_from_entries(F.aggregate(pairs, none, lambda acc, p: F.when(known(acc, p), acc).otherwise(F.array_append(acc, p))))
 
 
 def meta_content(html: Column | str, name: str) -> Column:

@@ -68,3 +68,15 @@ def new_per_batch(df: DataFrame, link: str = "link", batch: str = "batch") -> Da
     island = F.sum((F.col("fresh") > 0).cast("int")).over(w)
     counts = counts.withColumn("island", island)
     return counts.withColumn("stale", F.sum((F.col("fresh") == 0).cast("int")).over(Window.partitionBy("island").orderBy(batch))).drop("island")
+
+
+def filter_or_all(df: DataFrame, condition: Column) -> DataFrame:
+    """FIL-4: the rows that meet a condition, all where none does; the flag is one row, so its broadcast is bounded."""
+    met = F.coalesce(condition, F.lit(False))
+    any_ = df.agg(F.coalesce(F.bool_or(met), F.lit(False)).alias("_any"))
+    return df.join(F.broadcast(any_), met | ~F.col("_any"), "inner").drop("_any")
+
+
+def in_order_distinct(c: Column | str) -> Column:
+    """DED-7: an array's distinct values in the order of their first appearance."""
+    return F.array_distinct(c)

@@ -46,14 +46,17 @@ def geocode_response(response: str) -> dict[str, F.Column]:
     return {"lat": F.coalesce(at("$.results[0].location.latitude"), at("$.results[0].geometry.location.latitude"), at("$.results[0].geometry.location.lat")), "lng": F.coalesce(at("$.results[0].location.longitude"), at("$.results[0].geometry.location.longitude"), at("$.results[0].geometry.location.lng"))}
 
 
-def geocode(df: DataFrame, cache: DataFrame, provider: Geocoder | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Events without coordinates get those of their address. Returns rows, the new cache, and rejected addresses (SNK-13)."""
+def geocode(df: DataFrame, cache: DataFrame, provider: Geocoder | None = None, *, keep: Callable[[DataFrame], DataFrame] = lambda answers: answers) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events without coordinates get those of their address. Returns rows, the new cache, and rejected addresses (SNK-13).
+
+    ``keep`` writes the provider's answers and returns them read back, so that all three come from one request for each address.
+    """
     wants = (F.coalesce(F.lower("entity_type"), F.lit("event")) == "event") & (F.col("lat").isNull() | F.isnan("lat"))
     rows = df.withColumn("address", F.when(wants, s.address_of("direccion", "lugar")))
     cache = cache.select("address", "lat", "lng")
     rejected = cache.where("false").select("address")
     if provider is not None:
-        answers = ask(cache_misses(rows, cache, "address"), provider)
+        answers = keep(ask(cache_misses(rows, cache, "address"), provider))
         cache, rejected = cache.unionByName(answers.where("lat is not null")), answers.where("lat is null").select("address")
     found = cache_join(rows, cache.select("address", F.col("lat").alias("_lat"), F.col("lng").alias("_lng")), "address")
     lat, lng = F.when(wants, F.col("_lat")).otherwise(F.col("lat")), F.when(wants, F.col("_lng")).otherwise(F.col("lng"))

@@ -65,3 +65,18 @@ def missed_streak(history: DataFrame, id: str, run: str, runs: DataFrame) -> Dat
     nth = Window.orderBy(F.desc(run))  # a row for each run
     ages = runs.select(run).distinct().select(run, (F.row_number().over(nth) - 1).cast("long").alias("streak"))
     return last.join(ages, run).select(id, "streak")
+
+
+# Columns of the catalog by which vectors are filtered when they are searched.
+FILTERS = ("entity_type", "tipo", "fuente", "fecha_inicio", "distrito", "precio")
+
+
+def vector_step(state: DataFrame | None, vectors: DataFrame, catalog: DataFrame, run_id: str, run_ts: str, *, full_run: bool, policy: str = "hard", most_missed: int = 2, id: str = "entity_id") -> DataFrame:
+    """LIFE-5, SNK-11: the state of the vectors after a run, by the rules of :func:`step`; each with its catalog row's filter columns.
+
+    Only vectors with an embedding enter; a vector without a catalog row has null filters.
+    """
+    columns = [c for c in FILTERS if c in catalog.columns]
+    batch = vectors.where("embedding is not null").select(id, "embedding", *[c for c in ("model_name",) if c in vectors.columns])
+    one = catalog.groupBy(id).agg(F.max(F.struct(*columns)).alias("f")).select(id, "f.*") if columns else catalog.select(id).distinct()
+    return step(state, batch.join(one, id, "left"), run_id, run_ts, full_run=full_run, policy=policy, most_missed=most_missed, id=id)

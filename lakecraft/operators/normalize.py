@@ -157,6 +157,21 @@ def only_available(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[c for c in names if c in df.columns])
 
 
+# The columns of a search result and of the metadata beside the vectors, in order.
+RESULT = "entity_id titulo tipo fecha_inicio lugar distrito precio url_origen score".split()
+METADATA = "entity_id entity_type event_id poi_id titulo descripcion tipo fecha_inicio fecha_fin hora_inicio lugar direccion distrito ciudad imagen_url precio url_origen url_evento fuente tags lat lng rating texto_embedding".split()
+
+
+def search_result(df: DataFrame) -> DataFrame:
+    """PRJ-12: the default columns of a search result that there are."""
+    return only_available(df, RESULT)
+
+
+def metadata(df: DataFrame) -> DataFrame:
+    """PRJ-11, SNK-8: the default columns of the metadata that there are."""
+    return only_available(df, METADATA)
+
+
 def poi_catalog(df: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
     """SNK-7: the exported catalog; vectors join on entity_id."""
     df = df.join(vectors.select("entity_id", "embedding"), "entity_id", "left") if vectors is not None else df.withColumn("embedding", F.lit(None).cast("array<float>"))

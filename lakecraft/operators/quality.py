@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import missing_to_null
 from ..schemas import CRITICAL, DIMENSION, REQUIRED, SOURCES, VERSION
 from .dedup import hash_sample
-from .vectors import near_duplicate_pairs, nearest_other, self_recall, vector_profile
+from .vectors import near_duplicate_count, nearest_other, self_recall, vector_profile
 
 
 @dataclass
@@ -123,7 +123,8 @@ def check_gold(vectors: DataFrame | None, *, declared: int | None, dimension: in
     if p.unit_rate < least_unit:
         r.warnings.append(f"{p.unit_rate:.2f} of vectors have unit length")
     top = nearest_other(vectors).agg(F.avg("score").alias("mean"), F.median("score").alias("median"), F.percentile("score", 0.95).alias("p95")).first()
-    r.metrics |= {"near_duplicates": near_duplicate_pairs(vectors, theta).count()} | {f"top1_{c}": top[c] for c in ("mean", "median", "p95")}
+    near = near_duplicate_count(vectors, theta).first()
+    r.metrics |= {"near_duplicates": near.pairs, "near_duplicate_ratio": near.ratio} | {f"top1_{c}": top[c] for c in ("mean", "median", "p95")}
     if queries is not None:
         got = self_recall(vectors, hash_sample(queries, "query_id", sample), k).first()
         r.metrics |= {"recall_at_1": got.recall_at_1, "recall_at_k": got.recall_at_k}

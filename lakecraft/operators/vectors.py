@@ -152,6 +152,38 @@ def near_duplicate_pairs(vectors: DataFrame, theta: float = 0.95, *, id: str = "
     return rows.groupBy("lo", "hi").applyInPandas(_pairs_of(id, theta), f"id_a {kind}, id_b {kind}, score double")
 
 
+def _counts_of(id: str, theta: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        same = pdf["lo"].iat[0] == pdf["hi"].iat[0]
+        a, b = (pdf, pdf) if same else (pdf[pdf["own"] == pdf["lo"]], pdf[pdf["own"] == pdf["hi"]])
+        n = 0
+        if len(a) and len(b):
+            y, w = b[id].to_numpy(), np.stack(b["embedding"].to_numpy()).astype(np.float64).T
+            for lo in range(0, len(a), 512):  # so many rows against a block at a time
+                part = a.iloc[lo : lo + 512]
+                near = np.stack(part["embedding"].to_numpy()).astype(np.float64) @ w >= theta
+                if same:
+                    near &= part[id].to_numpy()[:, None] < y
+                n += int(near.sum())
+        return pd.DataFrame({"n": [n]})
+
+    return run
+
+
+def near_duplicate_count(vectors: DataFrame, theta: float = 0.95, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
+    """AGG-9: (pairs, ratio) of near pairs and of those among all pairs; counted block by block, no pair becomes a row."""
+    rows, _ = _blocks(vectors, id, block)
+    counts = rows.groupBy("lo", "hi").applyInPandas(_counts_of(id, theta), "n long")
+    n = vectors.where("embedding is not null").agg(F.count(F.lit(1)).alias("m"))
+    every = F.col("m") * (F.col("m") - 1) / 2
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs")).crossJoin(F.broadcast(n)).select("pairs", F.when(every > 0, F.col("pairs") / every).otherwise(0.0).alias("ratio"))  # one row each
+
+
+def first_pairs(vectors: DataFrame, theta: float = 0.95, n: int = 10, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
+    """SRT-5: the first ``n`` near pairs in the order of their ids."""
+    return near_duplicate_pairs(vectors, theta, id=id, block=block).orderBy("id_a", "id_b").limit(n)
+
+
 def nearest_other(vectors: DataFrame, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
     """VEC-5: (id, score) of the nearest other row; null for a single row."""
     kind = vectors.schema[id].dataType.simpleString()
@@ -197,6 +229,11 @@ def id_map(vectors: DataFrame, id: str = "poi_id") -> DataFrame:
     return at.join(F.broadcast(first), "part").select((F.col("first") + F.col("nth")).alias("pos"), id)  # a row for each partition
 
 
+def at_positions(index: DataFrame, rows: DataFrame, positions: DataFrame, id: str = "poi_id") -> DataFrame:
+    """JOIN-5: the rows at an index's positions: (pos) to ids by :func:`id_map`'s table, ids to rows."""
+    return positions.join(index, "pos").join(rows, id)
+
+
 def query_text() -> Column:
     """VEC-7: title and the fields that tell equal titles apart, by a row's columns."""
     place = F.array(*[clean_text(c) for c in ("titulo", "distrito")], F.coalesce(clean_text("categoria_google"), clean_text("tipo")), clean_text("direccion"))
@@ -225,6 +262,11 @@ def overlap(a: DataFrame, b: DataFrame, id: str = "entity_id") -> DataFrame:
     return both.select("query_id", jaccard(F.coalesce("x", none), F.coalesce("y", none)).alias("jaccard"))
 
 
+def report_rows(rows: DataFrame, n: int = 10) -> DataFrame:
+    """SRT-6: the rows of the highest overlap, equal ones by query."""
+    return rows.orderBy(F.desc("jaccard"), "query_id").limit(n)
+
+
 def overlap_summary(rows: DataFrame, threshold: float = 0.7) -> DataFrame:
     """AGG-11."""
     return rows.agg(F.count(F.lit(1)).alias("n"), F.avg("jaccard").alias("mean"), F.min("jaccard").alias("low"), F.max("jaccard").alias("high"), F.count_if(F.col("jaccard") >= threshold).alias("above"))

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import lifecycle, quality
+from ..operators.dedup import hash_sample, in_order
 from ..operators.enrich import Geocoder, geocode
-from ..operators.normalize import conform, documents_of, normalize_all, poi_catalog
-from ..operators.vectors import Encoder, embed
+from ..operators.normalize import conform, documents_of, metadata, normalize_all, poi_catalog
+from ..operators.vectors import Encoder, embed, query_text
 from ..schemas import GOLD_CATALOG, GOLD_VECTORS, SILVER, SOURCES
 from ..sources.lake import BronzeEntry, BronzeManifest, GoldManifest, Lake, SilverManifest
+from ..sources.readers import line_counts, read_jsonl
 
 Source = Callable[[SparkSession], DataFrame]
 
@@ -33,51 +35,97 @@ class Run:
 
 
 def bronze(lake: Lake, run: Run) -> dict[str, DataFrame]:
-    """Raw frames by source; a source that fails leaves a note and no rows, the others go on."""
-    frames, manifest = {}, BronzeManifest(run.run_id, run.run_ts)
+    """Raw rows by source as bronze has them: a source is asked once, written, and read back with its schema.
+
+    A source that fails leaves a note and no rows, the others go on. DQ-1 compares payloads and manifest.
+    """
+    frames, lines, manifest = {}, {}, BronzeManifest(run.run_id, run.run_ts)
     for name, source in run.sources.items():
         try:
             df = source(lake.spark)
-            manifest.sources.append(lake.write_bronze(df, name, run.run_id, run.run_ts))
-            frames[name] = df
+            entry = lake.write_bronze(df, name, run.run_id, run.run_ts)
+            told = line_counts(read_jsonl(lake.spark, entry.payload_path)).first()
+            lines[name] = (told.total, told.parseable)
+            frames[name] = lake.spark.read.schema(df.schema).json(entry.payload_path)
         except Exception as e:  # noqa: BLE001  whatever a source raises concerns that source alone
-            manifest.sources.append(BronzeEntry(name, None, run.run_ts, notes=f"{type(e).__name__}: {e}"[:300]))
+            entry = BronzeEntry(name, None, run.run_ts, notes=f"{type(e).__name__}: {e}"[:300])
+        manifest.sources.append(entry)
     lake.write_manifest(manifest)
+    run.reports["bronze"] = quality.check_bronze(lines, {e.name: e.row_count_estimate for e in manifest.sources}, SOURCES)
     return frames
 
 
+def _geocoded(lake: Lake, run: Run, rows: DataFrame) -> DataFrame:
+    """Rows with coordinates; answers, cache and rejected addresses are written, the next run begins with this run's cache."""
+
+    def keep(answers: DataFrame) -> DataFrame:
+        lake.write(answers, "silver", "geocode_answers", run.run_id)
+        return lake.read("silver", "geocode_answers", run.run_id)
+
+    before = lake.previous("silver", "geocode_cache", run.run_id)
+    known = run.cache if run.cache is not None else lake.read("silver", "geocode_cache", before) if before else lake.spark.createDataFrame([], "address string, lat double, lng double")
+    out, cache, rejected = geocode(rows, known, run.geocoder, keep=keep)
+    lake.write(cache, "silver", "geocode_cache", run.run_id)
+    lake.write(rejected, "silver", "geocode_rejected", run.run_id)
+    return out
+
+
 def silver(lake: Lake, run: Run, frames: dict[str, DataFrame]) -> DataFrame:
     rows = normalize_all(run.run_ts, **frames)
-    if run.cache is not None:
-        rows, _, _ = geocode(rows, run.cache, run.geocoder)
-    path = lake.write(conform(rows, SILVER), "silver", "eventos_estandar", run.run_id)
+    if run.cache is not None or run.geocoder is not None:
+        # Written first: the addresses that the provider is asked for and the rows come from one evaluation.
+        lake.write(rows, "silver", "normalized", run.run_id)
+        rows = _geocoded(lake, run, lake.read("silver", "normalized", run.run_id, rows.schema))
+    path = lake.write(conform(in_order(rows), SILVER), "silver", "eventos_estandar", run.run_id)
     df = lake.read("silver", "eventos_estandar", run.run_id, SILVER)
     before = lake.previous("silver", "eventos_estandar", run.run_id)
     report = quality.check_silver(df, previous=lake.manifest("silver", before)["sources"] if before else None)
     run.reports["silver"] = report
+    export(lake, run, df)
     lake.write_manifest(SilverManifest(run.run_id, run.run_ts, path, report.metrics["rows"], {k: v for k, v in report.metrics.get("sources", {}).items() if k}, {"verdict": report.verdict}))
     return df
 
 
+def export(lake: Lake, run: Run, df: DataFrame) -> None:
+    """SNK-6: the rows as CSV and JSON lines and their counts, in the run's folder."""
+    folder = lake.dataset("silver", "export", run.run_id)
+    flat = df.withColumn("tags", F.array_join("tags", ", ")) if "tags" in df.columns else df
+    flat.write.mode("overwrite").csv(f"{folder}/csv", header=True, escape='"')
+    df.write.mode("overwrite").json(f"{folder}/json", ignoreNullFields=False)
+    stats(df).write.mode("overwrite").json(f"{folder}/stats")
+
+
+def own_queries(df: DataFrame, encoder: Encoder, sample: int = 300) -> DataFrame:
+    """VEC-7: (query_id, embedding) of a seeded sample of rows, each asked for by its own disambiguated text."""
+    asked = hash_sample(df.withColumn("query", query_text()).select("entity_id", "query"), "entity_id", sample)
+    return embed(asked, encoder, text="query").select(F.col("entity_id").alias("query_id"), "embedding")
+
+
 def gold(lake: Lake, run: Run, df: DataFrame, state: DataFrame | None = None) -> DataFrame | None:
-    """Catalog, vectors, export and the new serving state; a rehearsal writes no state."""
+    """Catalog, vectors, metadata, export and the new serving states; a rehearsal writes no state."""
     catalog = lake.write(conform(df, GOLD_CATALOG), "gold", "catalog_eventos", run.run_id)
     manifest = GoldManifest(run.run_id, run.run_ts, catalog, lake.read("gold", "catalog_eventos", run.run_id).count())
-    vectors = None
+    vectors, queries = None, None
     if run.encoder is not None:
         manifest.vectors_path = lake.write(conform(embed(df, run.encoder), GOLD_VECTORS), "gold", "vectors", run.run_id)
-        vectors = lake.read("gold", "vectors", run.run_id)
+        lake.write(metadata(df), "gold", "metadata", run.run_id)
+        vectors, queries = lake.read("gold", "vectors", run.run_id), own_queries(df, run.encoder)
         manifest.vector_count, manifest.model_name, manifest.embedding_dim = vectors.count(), run.encoder.name, run.encoder.dimension
         if manifest.vector_count != manifest.catalog_count:
             raise ValueError(f"{manifest.vector_count} vectors for {manifest.catalog_count} rows")
-    run.reports["gold"] = quality.check_gold(vectors, declared=manifest.vector_count, dimension=manifest.embedding_dim)
+    run.reports["gold"] = quality.check_gold(vectors, declared=manifest.vector_count, dimension=manifest.embedding_dim, queries=queries)
     poi_catalog(df, vectors).write.mode("overwrite").json(f"{lake.dataset('gold', 'poi_catalog', run.run_id)}")
     lake.write_manifest(manifest)
     if run.dry_run:
         return None
     full = lifecycle.is_full_run(list(run.sources), SOURCES, run.dry_run)
-    new = lifecycle.step(state, documents_of(df).drop("fecha_run", "scraped_at"), run.run_id, run.run_ts, full_run=full, policy=run.policy, most_missed=run.most_missed)
+    rules = {"full_run": full, "policy": run.policy, "most_missed": run.most_missed}
+    new = lifecycle.step(state, documents_of(df).drop("fecha_run", "scraped_at"), run.run_id, run.run_ts, **rules)
     lake.write(new, "serving", "catalog", run.run_id)  # a new path: the state that is read is never overwritten
+    if vectors is not None:
+        before = lake.previous("serving", "vectors", run.run_id)
+        own = lake.read("serving", "vectors", before) if before else None
+        lake.write(lifecycle.vector_step(own, vectors, df, run.run_id, run.run_ts, **rules), "serving", "vectors", run.run_id)
     return lake.read("serving", "catalog", run.run_id)
 
 

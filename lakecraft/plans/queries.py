@@ -127,9 +127,9 @@ def q_html_links(spark, d):
     return table(spark, d, "pages").select("page_id", s.links("html").alias("l")).select("page_id", F.size("l").cast("bigint").alias("n_links"), F.array_join("l", " ").alias("links"))
 
 
-@query("select p_partkey, p_brand brand, p_type kind, cast(2 as bigint) n from part")
+@query("select p_partkey, p_brand brand, p_type kind, case when p_partkey % 3 = 0 then 3 else 2 end::bigint n from part")
 def q_html_li_map(spark, d):
-    html = F.concat(F.lit("<ul><li><strong>Marca:</strong> "), "p_brand", F.lit("</li>\n<li class='x'><strong>Tipo :</strong><i>"), "p_type", F.lit("</i></li><li><strong>Marca:</strong> otra</li></ul>"))
+    html = F.concat(F.lit("<ul><li><strong>Marca:</strong> "), "p_brand", F.lit("</li>\n<li class='x'><strong>Tipo :</strong><i>"), "p_type", F.lit("</i></li><li><strong>Marca:</strong> otra</li>"), F.when(F.col("p_partkey") % 3 == 0, "<li><b>Más</b> x</li>").otherwise("<li><b> : </b> y</li>"), F.lit("</ul>"))
     return table(spark, d, "part").select("p_partkey", s.list_map(html).alias("m")).select("p_partkey", F.try_element_at("m", F.lit("Marca")).alias("brand"), F.try_element_at("m", F.lit("Tipo")).alias("kind"), F.size("m").cast("bigint").alias("n"))
 
 
@@ -256,10 +256,17 @@ def q_neardup(spark, d):
     return vectors.near_duplicate_pairs(table(spark, d, "embeddings"), 0.44995, id="vec_id", block=400).withColumn("score", F.round("score", 4)).where("score >= 0.45")
 
 
-@query(f"select count(*) n, count(*) filter (len(embedding) <> 64) wrong_dim, 1.0::double finite_ratio, round(avg(n), 4) norm_mean, round(min(n), 4) norm_min, round(max(n), 4) norm_max, round(avg(case when abs(n - 1) <= 0.001 then 1.0 else 0.0 end), 4) unit_rate from (select embedding, sqrt({_DOT.format('embedding', 'embedding')}) n from embeddings)")
+@query(f"""with e as (select case when vec_id % 50 = 7 then list_concat(embedding[1:62], ['nan'::float, 'inf'::float, 'nan'::float]) else embedding end embedding from embeddings),
+    c as (select count(*) n, count(*) filter (len(embedding) <> 64) wrong_dim, round(sum(len(list_filter(embedding, lambda x: isfinite(x)))) / sum(len(embedding)), 6) finite_ratio from e),
+    t as (select sqrt({_DOT.format('embedding', 'embedding')}) n from embeddings)
+    select c.*, round(avg(t.n), 4) norm_mean, round(stddev_pop(t.n), 6) norm_std, round(min(t.n), 4) norm_min, round(max(t.n), 4) norm_max, round(avg(case when abs(t.n - 1) <= 0.001 then 1.0 else 0.0 end), 4) unit_rate from t, c group by all""")
 def q_norm_profile(spark, d):
-    p = vectors.vector_profile(table(spark, d, "embeddings"), 64)
-    return p.select("n", "wrong_dim", "finite_ratio", *[F.round(c, 4).alias(c) for c in ("norm_mean", "norm_min", "norm_max", "unit_rate")])
+    """Widths and finite cells of rows of which some are broken, norms of all as they are."""
+    rows = table(spark, d, "embeddings")
+    broken = F.when(F.col("vec_id") % 50 == 7, F.concat(F.slice("embedding", 1, 62), F.array(*[F.lit(x).cast("float") for x in (float("nan"), float("inf"), float("nan"))]))).otherwise(F.col("embedding"))
+    cells = vectors.vector_profile(rows.withColumn("embedding", broken), 64).select("n", "wrong_dim", F.round("finite_ratio", 6).alias("finite_ratio"))
+    norms = vectors.vector_profile(rows, 64).select(*[F.round(c, 4).alias(c) for c in ("norm_mean", "norm_min", "norm_max", "unit_rate")], F.round("norm_std", 6).alias("norm_std"))
+    return cells.join(norms, F.lit(True))  # one row each
 
 
 @query(f"select round(avg(m), 4) mean, round(median(m), 4) med, round(quantile_cont(m, 0.95), 4) p95 from (select max({_DOT.format('a.embedding', 'b.embedding')}) m from embeddings a, embeddings b where a.vec_id <> b.vec_id group by a.vec_id)")
@@ -267,9 +274,18 @@ def q_nn_score_stats(spark, d):
     return vectors.nearest_other(table(spark, d, "embeddings"), id="vec_id", block=300).agg(F.round(F.avg("score"), 4).alias("mean"), F.round(F.median("score"), 4).alias("med"), F.round(F.percentile("score", 0.95), 4).alias("p95"))
 
 
-@query(f"select count(*) n, 1.0::double recall_at_1, 1.0::double recall_at_k from embeddings where vec_id % 100 = 0")
+_NOISY = "list_transform(embedding, lambda x, i: cast(x as double) + case when i % 8 = vec_id % 8 then 0.35 else 0.0 end)"
+
+
+@query(f"""with q as (select vec_id query_id, {_NOISY} e from embeddings where vec_id % 10 = 0), s as (select query_id, vec_id, {_DOT.format('e', 'embedding')} score from q, embeddings),
+    r as (select query_id, vec_id, row_number() over (partition by query_id order by score desc, vec_id) k from s)
+    select count(*) n, round(avg(case when k = 1 then 1.0 else 0.0 end), 6) recall_at_1, round(avg(case when k <= 5 then 1.0 else 0.0 end), 6) recall_at_k from r where query_id = vec_id""")
 def q_recall_at_k(spark, d):
-    return vectors.self_recall(table(spark, d, "embeddings"), _queries(spark, d), 5, id="vec_id")
+    """Every tenth row, pushed off its place, as a query for itself."""
+    rows = table(spark, d, "embeddings")
+    noisy = F.transform("embedding", lambda x, i: x.cast("double") + F.when((i + 1) % 8 == F.col("vec_id") % 8, 0.35).otherwise(0.0))
+    got = vectors.self_recall(rows, rows.where("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), noisy.alias("embedding")), 5, id="vec_id")
+    return got.select("n", F.round("recall_at_1", 6).alias("recall_at_1"), F.round("recall_at_k", 6).alias("recall_at_k"))
 
 
 _HALF = _DOT.format("a.embedding[1:32]", "b.embedding[1:32]")

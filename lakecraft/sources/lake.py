@@ -98,9 +98,10 @@ class Lake:
             stream.close()
 
     def write_bronze(self, df: DataFrame, source: str, run_id: str, ingest_ts: str, notes: str | None = None) -> BronzeEntry:
-        """SNK-1: rows as JSON lines."""
+        """SNK-1, JSON-4: rows as JSON lines; a number that is not finite is null, dates are ISO texts."""
         path = self.bronze(source, run_id)
-        df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+        plain = df.select(*[F.when(~F.isnan(f"`{f.name}`") & (F.abs(f"`{f.name}`") < float("inf")), F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName() in ("double", "float") else F.col(f"`{f.name}`") for f in df.schema])
+        plain.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
         return BronzeEntry(source, path, ingest_ts, row_count_estimate=self.spark.read.text(path).count(), notes=notes)
 
     def write(self, df: DataFrame, layer: str, name: str, run_id: str) -> str:

@@ -179,3 +179,44 @@ def test_new_per_batch_and_sample(spark):
     assert sorted(map(tuple, dedup.new_per_batch(df).collect())) == [(1, 2, 0), (2, 0, 1), (3, 0, 2), (4, 1, 0), (5, 0, 1)]
     ids = spark.range(100)
     assert [r.id for r in dedup.hash_sample(ids, "id", 5).collect()] == [r.id for r in dedup.hash_sample(ids.repartition(3), "id", 5).collect()]
+
+
+def test_two_runs_ask_once(spark, tmp_path):
+    """Sources and provider are asked once in a run, cached addresses never again; what is rejected is kept; vectors have a state."""
+    lake, log = Lake(spark, f"file://{tmp_path}/lake"), tmp_path / "asked"
+    log.mkdir()
+
+    def source(session):
+        (log / f"source-{len(list(log.glob('source-*')))}").write_text("")
+        return library(session)
+
+    def provider(address):
+        import uuid
+
+        (log / f"{uuid.uuid4().hex}.txt").write_text(address)
+        return (-12.0, -77.0) if "Sala" in address else None
+
+    states, reports = [], []
+    for k in range(2):
+        run = pipeline.Run(f"20260425_05234{k}", f"2026-04-2{5 + k} 05:23:46", {"bnp": source}, encoder=vectors.HashingEncoder(), geocoder=provider)
+        states.append(pipeline.run_all(lake, run))
+        reports.append(run.reports)
+    asked = [p.read_text() for p in log.glob("*.txt")]
+    assert asked.count("Sala B, Lima, Perú") == 1 and asked.count("Biblioteca Nacional del Perú, Lima, Perú") == 2, "known ones are not asked for again, rejected ones are"
+    assert len(list(log.glob("source-*"))) == 2
+    assert lake.read("silver", "geocode_cache", "20260425_052341").count() == 1
+    assert [r.address for r in lake.read("silver", "geocode_rejected", "20260425_052341").collect()] == ["Biblioteca Nacional del Perú, Lima, Perú"]
+    assert {r.lat for r in states[1].collect()} == {-12.0, None}
+    served = lake.read("serving", "vectors", "20260425_052341").collect()
+    assert len(served) == 2 and {r.last_seen_run_id for r in served} == {"20260425_052341"} and {r.fuente for r in served} == {"bnp"}
+    assert reports[1]["bronze"].metrics == {"bnp": 2} and "recall_at_k" in reports[1]["gold"].metrics
+    folder = lake.dataset("silver", "export", "20260425_052341")
+    assert spark.read.csv(f"{folder}/csv", header=True).count() == 2 == spark.read.json(f"{folder}/json").count()
+
+
+def test_activity_patterns(spark):
+    from lakecraft.functions import scalars as s
+
+    pages = ['{"activity": {"a": 1}, "blogs": []}', '{"activity": {"a": {"b": 2}}, "other": 3}', '<script>x = {"activity": {"a": 3}};</script>', '{"activity": broken}']
+    rows = spark.createDataFrame([(p,) for p in pages], "html string").select(F.to_json(s.activity_json("html")).alias("j"))
+    assert [r.j for r in rows.collect()] == ['{"a":1}', '{"a":{"b":2}}', '{"a":3}', None]
