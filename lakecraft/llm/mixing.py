@@ -10,9 +10,10 @@ driver makes one period only, and a block's slot follows from its number. When a
 weight is dealt over the others in proportion and a new phase begins (``on_exhausted="renormalise"``, every
 row is emitted), or the mixture ends there (``"stop"``).
 
-Numbering: rows are numbered within their source in the order of a hash of their id. Counts by (source,
-leading bits of the hash) give every group its first number, so a source of any size is dealt over many
-tasks.
+Numbering: rows are numbered within their source in the order of a hash of id, source and text, so that rows
+without an id are dealt as well. Counts by (source, leading bits of the hash) give every group its first number, so a
+source of any size is dealt over many tasks. The order within a group is total but for rows that are equal, so a task
+that is run again numbers them the same way.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MOST_ENTRIES = 4_000_000
 
@@ -79,28 +81,46 @@ def phases(blocks: Mapping[str, int], quanta: Mapping[str, int], on_exhausted: s
 
 
 def quanta_of(weights: Mapping[str, float], quanta: int) -> dict[str, int]:
+    """Each source's quanta, at least one; equal ones where no source that there is has a weight."""
     total = sum(weights.values())
-    return {s: max(1, round(w / total * quanta)) for s, w in weights.items()}
+    return {s: max(1, round((w / total if total > 0 else 1 / len(weights)) * quanta)) for s, w in weights.items()}
 
 
-def mixed_rows(docs: DataFrame, *, weights: Mapping[str, float] | None = None, temperature: float = 0.5, quanta: int = 1000, block_rows: int = 16, seed: int = 0, on_exhausted: str = "renormalise") -> DataFrame:
-    """(row, source, number, block, slot, phase): every row of ``docs`` as a struct, with its place in the mixture.
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def mixed_rows(docs: DataFrame, *, weights: Mapping[str, float] | None = None, temperature: float = 0.5, quanta: int = 1000, block_rows: int = 16, seed: int = 0, on_exhausted: str = "renormalise") -> tuple[DataFrame, int]:
+    """(row, source, number, block, slot, phase): every row of ``docs`` as a struct, with its place in the mixture; and how many slots there are.
 
     ``weights``: target share of each source, at least one quantum each; a source that is not named gets one
-    quantum. Without weights a source's share is its number of rows to the power ``temperature``.
+    quantum, a name without rows says nothing. Without weights a source's share is its number of rows to the power
+    ``temperature``.
+
+    A null source is the source named by the empty string. A null doc_id or text is a value like others; rows that
+    are equal are interchangeable. Texts of any length are hashed, not compared. Empty tables have no slots; other columns
+    are carried along, whatever their names.
     """
     if on_exhausted not in ("renormalise", "stop"):
         raise ValueError(f"on_exhausted is {on_exhausted}")
     spark = docs.sparkSession
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.xxhash64("doc_id", F.lit(seed)).alias("h"))
+    by = [F.col(f"`{c}`") for c in ("doc_id", "source", "text") if c in docs.columns]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.xxhash64(*by, F.lit(seed)).alias("h"))
     totals = {r[0]: r[1] for r in docs.groupBy(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).count().collect()}
     shares = quanta_of({s: n**temperature for s, n in totals.items()} if weights is None else {s: weights.get(s, 0.0) for s in totals} if totals else {}, quanta)
-    bits = max(4, (sum(totals.values()) // 8192).bit_length())
+    every = sum(totals.values())
+    # Groups of some 8192 rows, of fewer where there are many tasks for few rows.
+    least = min(8192, max(256, every // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    bits = max(4, (every // least).bit_length())
     group = F.shiftright("h", 64 - bits)
     counts = rows.groupBy("source", group.alias("group")).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("source", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("source", "group").orderBy("h", "row.doc_id")
+    within = Window.partitionBy("source", "group").orderBy("h", *[F.col("row").getField(f.name) for f in docs.schema if _orderable(f.dataType)])
     numbered = rows.withColumn("group", group).join(first, ["source", "group"]).withColumn("number", F.col("first") + F.row_number().over(within) - 1)
     plan = phases({s: -(-n // block_rows) for s, n in totals.items()}, shares, on_exhausted)
     table = [(s, k, p.start, p.period, len(p.places[s]), p.places[s], p.before[s], p.before[s] + p.blocks[s]) for k, p in enumerate(plan) for s in p.places]
@@ -111,22 +131,24 @@ def mixed_rows(docs: DataFrame, *, weights: Mapping[str, float] | None = None, t
     placed = block.join(F.broadcast(schedule), "source").withColumn("p", F.get(F.filter("phases", lambda p: (F.col("block") >= p["from"]) & (F.col("block") < p["to"])), F.lit(0))).where("p is not null")
     nth = F.col("block") - F.col("p.from")
     slot = F.col("p.start") + F.floor(nth / F.col("p.quanta")) * F.col("p.period") + F.get("p.places", F.pmod(nth, F.col("p.quanta")).cast("int"))
-    return placed.select("row", "source", "number", "block", slot.cast("long").alias("slot"), F.col("p.phase").alias("phase"))
+    slots = plan[-1].start + plan[-1].slots if plan else 0
+    return placed.select("row", "source", "number", "block", slot.cast("long").alias("slot"), F.col("p.phase").alias("phase")), slots
 
 
 def mix_sources(docs: DataFrame, **options: object) -> DataFrame:
     """The place of every document in the mixture: doc_id, source, number, block, slot, phase.
 
-    A null source is the source named by the empty string. A null doc_id stays null; rows repeated with a
-    doc_id stand side by side. Texts are not read. An empty table gives no rows; other columns are ignored.
+    A null source is the source named by the empty string. A null doc_id stays null; rows repeated with doc_id and
+    text stand side by side. Of texts, where there are any, only the hash takes part. An empty table gives no rows;
+    other columns are ignored.
     """
-    return mixed_rows(docs.select("doc_id", "source"), **options).select("row.doc_id", "source", "number", "block", "slot", "phase")
+    th = [F.xxhash64("text").alias("text")] if "text" in docs.columns else []
+    return mixed_rows(docs.select("doc_id", "source", *th), **options)[0].select("row.doc_id", "source", "number", "block", "slot", "phase")
 
 
 def in_mixed_order(docs: DataFrame, *, partitions: int | None = None, **options: object) -> DataFrame:
-    """``docs``, all columns, in the order of the mixture: by partition, and by row within each."""
-    mixed = mixed_rows(docs, **options)
+    """``docs``, all columns, in the order of the mixture: by partition, and by row within each. Edge cases as in :func:`mixed_rows`."""
+    mixed, slots = mixed_rows(docs, **options)
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last = max(1, mixed.select("slot").agg(F.max("slot")).first()[0] or 0)
-    part = F.least(F.floor(F.col("slot") * F.lit(n) / F.lit(last + 1)), F.lit(n - 1)).cast("int")
+    part = F.least(F.floor(F.col("slot") * F.lit(n) / F.lit(max(1, slots))), F.lit(n - 1)).cast("int")
     return mixed.repartitionById(n, part).sortWithinPartitions("slot", "number").select("row.*")

@@ -69,3 +69,12 @@ def test_order_of_rows(spark):
     slot = {(r.doc_id, r.source): r.slot for r in mix_sources(frame, block_rows=2).collect()}
     at = [slot[r.doc_id, r.source or ""] for r in got if r.doc_id != 7000]  # its two rows may stand in two blocks
     assert at == sorted(at)
+
+
+def test_weights_without_a_source_and_rows_without_ids(spark):
+    rows = [(None, "a", f"text {i}") for i in range(3000)] + [(i, "b", None) for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mix_sources(frame, weights={"elsewhere": 1.0}, quanta=10, block_rows=4).collect()
+    assert len(got) == len(rows) and len({(r.source, r.number) for r in got}) == len(rows)
+    first = [r.source for r in sorted(got, key=lambda r: (r.slot, r.number)) if r.slot < 20]
+    assert first.count("a") == first.count("b"), "no weight for a source that there is: equal shares"
