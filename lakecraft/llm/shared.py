@@ -118,14 +118,6 @@ def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The planner's estimate of a frame's size, without a job; where it has none, the bytes of ``text``."""
-    planned = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if planned >= 1 << 60:
-        planned = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return planned
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

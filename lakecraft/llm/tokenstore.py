@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import cores, filesystem, make_dir, materialise, planned_bytes, scratch, slices, text_of, tidy
+from .shared import cores, filesystem, make_dir, materialise, scratch, slices, text_of, tidy
 from .wordhash import mix
 
 GAMMA = 2.0
@@ -273,16 +273,17 @@ def write_token_shards(rows: DataFrame, tokenizer: str, *, order: list[str], end
     """Write (doc_id, text) in the order of the columns ``order``; returns the manifest.
 
     Manifest: shard, path, docs, tokens, base (ids before the shard), first (documents before it). Shards are
-    ranges of about ``shard_bytes`` bytes of input as planned, for small inputs less, so that all cores write.
+    ranges of about ``shard_bytes`` bytes of text, for small inputs less, so that all cores write.
     """
     spark = rows.sparkSession
     folder = folder or scratch(spark, "tokens")
     make_dir(folder)
     rows = text_of(rows, "text", *dict.fromkeys(["doc_id", *order]))
-    planned = planned_bytes(rows)
+    planned = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # measured: a planner's guess may be far off
     shards = max(1, -(-planned // shard_bytes), min(4 * cores(spark), -(-planned // (1 << 20))))
-    # Equal values of the order stay in one shard. The text is the last key only to give repeated rows a fixed order.
-    ranged = rows.repartitionByRange(shards, *[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order], "text")
+    # The text is the last key, which gives rows with equal values of the order (many may have no id) a fixed order; by its
+    # beginning they are dealt over shards too. A shard numbers the rows of a key that it holds.
+    ranged = rows.repartitionByRange(shards, *[F.col(c).asc_nulls_first() for c in order], F.substring("text", 1, 48)).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order], "text")
     written = ranged.select("doc_id", "text").mapInArrow(tidy(write_shards(folder, tokenizer, end_id, encoder)), "shard long, path string, docs long, tokens long")
     manifest = materialise(written, "manifest", arrow_rows=2000)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard
@@ -302,7 +303,7 @@ def token_ids(docs: DataFrame, tokenizer: str, *, end_id: int = 2, shard_bytes:
     and the end id), ids_crc32 (of these as little-endian unsigned 32-bit integers), position (from 0).
 
     A null text counts as empty and has the end id only. Null doc_ids come first. Rows repeated with a
-    doc_id stand in the order of their texts, and are keyed by (doc_id, how many came before). An empty
+    doc_id stand in the order of their texts, and are keyed by (doc_id, how many came before in its shard). An empty
     table writes nothing and returns no rows. Other columns are ignored. doc_id must be an integer.
     """
     rows = text_of(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))

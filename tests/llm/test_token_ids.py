@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lakecraft.llm.queries import tokenizer_path
-from lakecraft.llm.tokenstore import MinimalPerfectHash, Shard, WordMemo, key_hashes, token_ids, write_token_shards
+from lakecraft.llm.tokenstore import MinimalPerfectHash, Shard, WordMemo, key_hashes, token_digests, token_ids, write_token_shards
 
 TOKENIZER = Tokenizer.from_file(tokenizer_path())
 ROWS = [(5, "Hello, world it's 2024!", ""), (2, None, ""), (9, "", ""), (None, "no id", ""), (3, "a | b|c <|endoftext|> |  x y\tz\r\n", ""), (3, "second", ""), (3, "second", ""), (11, "word " * 60_000, ""), (-4, "É́é ﬁ 漢字 𝔘", "")]
@@ -60,3 +60,13 @@ def test_words_encode_as_whole_texts_do(texts):
     assert MEMO.short and len(n) == len(texts)
     for text, own in zip(texts, np.split(ids, np.cumsum(n)[:-1]) if len(n) else [], strict=True):
         assert own.tolist() == ids_of(text), text
+
+
+def test_rows_without_ids_are_dealt_over_shards(spark):
+    rows = [(None, f"text number {i}") for i in range(400)] + [(1, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = write_token_shards(frame, tokenizer_path(), order=["doc_id"], shard_bytes=1000)
+    assert max(r.docs for r in manifest.collect()) < 200
+    got = sorted(token_digests(manifest).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(401)) and [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(401)]
+    assert [r.doc_id for r in got] == [None] * 400 + [1]
