@@ -29,7 +29,8 @@ from .shared import materialise, text_of
 class CountingQuotientFilter:
     """``runs[i]`` fingerprints have the quotient ``first + i``; remainders are sorted within a run.
 
-    ``quotient_bits`` of a fingerprint's 64 bits address the run. ``segment`` of ``segments`` equal
+    In bytes it is what such a filter is: for each quotient a bit whether its run is there, for each slot a bit whether its
+    run ends there, and the remainders with no more bits than they have. ``quotient_bits`` of a fingerprint's 64 bits address the run. ``segment`` of ``segments`` equal
     parts of the address space is held here.
     """
 
@@ -71,17 +72,28 @@ class CountingQuotientFilter:
     def to_bytes(self) -> bytes:
         small = self.counts.clip(max=255).astype(np.uint8)
         large = self.counts[self.counts >= 255]
-        return b"".join([len(self.remainders).to_bytes(8, "little"), self.runs.astype("<u2" if self.runs.max(initial=0) < 65536 else "<u4").tobytes(), self.remainders.astype("<u8").tobytes(), small.tobytes(), large.astype("<i8").tobytes(), bytes([2 if self.runs.max(initial=0) < 65536 else 4])])
+        ends = np.zeros(len(self.remainders), bool)
+        ends[np.cumsum(self.runs[self.runs > 0].astype(np.int64)) - 1] = True
+        bits = np.unpackbits(self.remainders.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, self.quotient_bits :]
+        return b"".join([len(self.remainders).to_bytes(8, "little"), np.packbits(self.runs > 0).tobytes(), np.packbits(ends).tobytes(), np.packbits(bits).tobytes(), small.tobytes(), large.astype("<i8").tobytes()])
 
     @classmethod
     def from_bytes(cls, raw: bytes, segment: int, quotient_bits: int, segment_bits: int) -> CountingQuotientFilter:
-        n, wide = int.from_bytes(raw[:8], "little"), raw[-1]
-        slots = 1 << (quotient_bits - segment_bits)
-        at = 8
-        runs = np.frombuffer(raw, f"<u{wide}", slots, at).astype(np.uint32)
-        at += slots * wide
-        remainders = np.frombuffer(raw, "<u8", n, at)
-        at += 8 * n
+        n, slots, at = int.from_bytes(raw[:8], "little"), 1 << (quotient_bits - segment_bits), 8
+
+        def bits(count: int) -> np.ndarray:
+            nonlocal at
+            size = -(-count // 8)
+            out = np.unpackbits(np.frombuffer(raw, np.uint8, size, at), count=count)
+            at += size
+            return out
+
+        there, ends = bits(slots).astype(bool), bits(n).astype(bool)
+        runs = np.zeros(slots, np.uint32)
+        runs[there] = np.diff(np.flatnonzero(ends), prepend=-1)
+        wide = np.zeros((n, 64), np.uint8)
+        wide[:, quotient_bits:] = bits(n * (64 - quotient_bits)).reshape(n, -1)
+        remainders = np.packbits(wide, axis=1).view(">u8").ravel().astype(np.uint64)
         counts = np.frombuffer(raw, np.uint8, n, at).astype(np.int64)
         at += n
         counts[counts == 255] = np.frombuffer(raw, "<i8", int((counts == 255).sum()), at)
@@ -147,11 +159,18 @@ def merge_filters(quotient_bits: int, segment_bits: int):
     return run
 
 
-def repeated_fingerprints(rows: DataFrame, *, quotient_bits: int = 18, segment_bits: int = 10, flush: int = 1 << 20) -> DataFrame:
+SEGMENT_ROWS, RUN_BITS = 1 << 18, 4
+
+
+def repeated_fingerprints(rows: DataFrame, *, quotient_bits: int | None = None, segment_bits: int | None = None, flush: int = 1 << 20) -> DataFrame:
     """(fingerprint, copies) of the fingerprints that more than one row of ``rows.fingerprint`` has.
 
-    ``segment_bits``: the merge has 2**segment_bits independent parts; at 10**11 rows use 16 or more.
+    ``segment_bits``: the merge has 2**segment_bits independent parts, by default so many that each has
+    ``SEGMENT_ROWS`` of the rows at most, up to hash variance. ``quotient_bits``: ``RUN_BITS`` more by default.
     """
+    if segment_bits is None:
+        segment_bits = max(8, (rows.count() // SEGMENT_ROWS).bit_length())
+    quotient_bits = segment_bits + RUN_BITS if quotient_bits is None else quotient_bits
     filters = rows.select("fingerprint").mapInArrow(build_filters(quotient_bits, segment_bits, flush), "segment int, filter binary")
     return filters.repartition("segment").sortWithinPartitions("segment").mapInArrow(merge_filters(quotient_bits, segment_bits), "fingerprint long, copies long")
 
