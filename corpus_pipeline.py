@@ -20,7 +20,11 @@ from lakecraft.llm.toxicity import drop_toxic, fit_toxicity
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go; the model is fitted on labelled rows of ``docs``."""
+    """Documents that the toxicity model rejects go; the model is fitted on labelled rows of ``docs``.
+
+    Null and empty texts stay, as do rows without doc_id if their text is clean; repeated rows share their fate. Long
+    texts are read whole. Without labels of both kinds nothing goes. Columns of any name pass through; so in all stages.
+    """
     return drop_toxic(docs, fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -32,23 +36,35 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark item go."""
+    """Documents that overlap a benchmark item go.
+
+    Null and empty texts overlap nothing, an empty benchmark removes nothing, rows without doc_id go by their text,
+    repeated rows share their fate. Texts are scanned whole.
+    """
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture: files by name, then rows, are that order."""
+    """All documents, in the order of the mixture: files by their part's number, then rows, are that order.
+
+    A null source is a source of its own, no row is dropped; equal rows are interchangeable. An empty table stays empty.
+    """
     return in_mixed_order(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in the order in which ``docs`` stand in their files (by doc_id, if they are in none)."""
+    """Token ids in the order in which ``docs`` stand in their files (by doc_id, if they are in none).
+
+    Files are in the order of their part's number, as names of more than five digits don't sort. A null text has the
+    end id only, a null doc_id stays null, repeated rows each get a row. An empty table gives no rows.
+    """
     rows = text_of(docs, "doc_id", "text")
     order = ["doc_id"]
     try:
         place = docs.metadataColumn("_metadata")  # that of the files, even beside a column of this name
-        rows = text_of(docs.withColumns({"file": place["file_name"], "nth": place["row_index"]}), "doc_id", "text", "file", "nth")
-        order = ["file", "nth"]
+        part = F.regexp_extract(place["file_name"], r"part-(\d+)", 1).try_cast("long")
+        rows = text_of(docs.withColumns({"part": part, "file": place["file_name"], "nth": place["row_index"]}), "doc_id", "text", "part", "file", "nth")
+        order = ["part", "file", "nth"]
     except AnalysisException:  # not read from files
         pass
     return token_digests(write_token_shards(rows, tokenizer_path(), order=order))
