@@ -139,7 +139,7 @@ def seed_filter(seed: DataFrame) -> tuple[np.ndarray, int, int]:
     n = seed.count()
     bits = min(MOST_BITS, 1 << max(16, (n * BITS_A_SEED - 1).bit_length()))
     k = max(1, min(MOST_PROBES, round(0.69 * bits / max(1, n))))
-    filled = seed.mapInArrow(fill_filter(bits, k), "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    filled = seed.mapInArrow(tidy(fill_filter(bits, k)), "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(bits >> 6, np.uint64)
     out[filled.column("place").to_numpy()] = filled.column("bits").to_numpy().view(np.uint64)
     return out, bits, k
@@ -151,7 +151,7 @@ def find_windows(shared, how: list[str], reach: int, bits: int, k: int, kind: pa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, filter_ = _numbered(), shared.value
         for batch in batches:
-            for lo, hi in slices(batch.column(2), 4 << 20):
+            for lo, hi in slices(batch.column(2), 2 << 20):
                 words, first = word_hashes(*text_buffers(batch.column(2).slice(lo, hi - lo)))
                 doc = np.repeat(np.arange(hi - lo), np.diff(first))
                 hit, at, end = [], [], []
@@ -255,7 +255,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int) -> DataFram
     schema = T.StructType([T.StructField(n, t) for n, t in zip(_FOUND, [of_doc, T.LongType(), T.LongType(), of_item, *[T.LongType()] * 3, T.DoubleType()], strict=True)])
     many = "seeds array<struct<seed bigint, places array<int>>>"
     item_kind = to_arrow_type(of_item)
-    items = text_of(benchmark, "item_id", "text").distinct().mapInArrow(read_items(min_words, item_kind), f"item bigint, item_id {of_item.simpleString()}, n bigint, words binary, {many}")
+    items = text_of(benchmark, "item_id", "text").distinct().mapInArrow(tidy(read_items(min_words, item_kind)), f"item bigint, item_id {of_item.simpleString()}, n bigint, words binary, {many}")
     items = materialise(items.where("n > 0"), "benchmark-items")
     known = items.select("item", F.inline("seeds").alias("seed", "i"))
     told = items.agg(F.max("n"), F.collect_set(F.when(F.col("n") <= min_words + COST, F.col("n")))).first()  # lengths of short items, a few
@@ -264,12 +264,15 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int) -> DataFram
     filter_, bits, k = seed_filter(known.select("seed"))
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
     scan = tidy(find_windows(shared, patterns(told[1]), told[0], bits, k, to_arrow_type(of_doc)))
-    windows = materialise(rows.mapInArrow(scan, f"window bigint, doc_id {of_doc.simpleString()}, th bigint, start bigint, words binary, {many}"), "benchmark-windows", arrow_rows=2000)
+    windows = materialise(rows.mapInArrow(scan, f"window bigint, doc_id {of_doc.simpleString()}, th bigint, start bigint, words binary, {many}"), "benchmark-windows", arrow_rows=500)
     hits = windows.select("window", F.inline("seeds").alias("seed", "d")).join(known, "seed")
     pairs = hits.groupBy("window", "item").agg(F.collect_list(F.struct("d", "i")).alias("hits"))  # of one window and one item
     met = pairs.join(windows.drop("seeds"), "window").join(items.select("item", "item_id", F.col("words").alias("item_words")), "item")
-    found = met.select("doc_id", "th", "start", "words", "item", "item_id", "item_words", "hits").mapInArrow(verify(min_words, [to_arrow_type(f.dataType) for f in schema]), schema)
-    return materialise(found, "benchmark-overlaps", arrow_rows=500)
+    found = met.select("doc_id", "th", "start", "words", "item", "item_id", "item_words", "hits").mapInArrow(tidy(verify(min_words, [to_arrow_type(f.dataType) for f in schema])), schema)
+    try:
+        return materialise(found, "benchmark-overlaps", arrow_rows=500)
+    finally:
+        shared.unpersist()
 
 
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13) -> DataFrame:

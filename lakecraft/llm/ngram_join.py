@@ -326,7 +326,7 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.
     least = matched_depth(threshold, trees, depth, recall)
     rows = text_of(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    signed = materialise(rows.mapInArrow(tidy(sign(width, n)), f"doc_id {kind}, node binary, n long, signature binary"), "signed", arrow_rows=2000)
+    signed = materialise(rows.mapInArrow(tidy(sign(width, n)), f"doc_id {kind}, node binary, n long, signature binary"), "signed", arrow_rows=500)
     usable = signed.where("doc_id is not null and node is not null")
     nodes = materialise(usable.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("signature").alias("signature")), "nodes")
     # The tries: a trie node is named by a hash of tree, depth and path. Nodes that are alone in theirs at the least depth are
@@ -341,7 +341,7 @@ def ngram_jaccard_join(docs: DataFrame, *, width: int = 5, threshold: float = 0.
     places = paths.join(sizes.hint("merge"), ["tree", "d", "bucket"]).select("node", "tree", "d", "bucket", "n", "m")
     places = materialise(places, "places")
     chosen = places.groupBy("node").agg(F.collect_list(F.struct("tree", "d", "m")).alias("places"))  # trees * depth of them at most
-    chosen = materialise(chosen.mapInArrow(choose(trees, least, depth, threshold, recall), "node binary, depths binary, asked array<struct<tree int, d int>>"), "prefixes")
+    chosen = materialise(chosen.mapInArrow(tidy(choose(trees, least, depth, threshold, recall)), "node binary, depths binary, asked array<struct<tree int, d int>>"), "prefixes", arrow_rows=2000)
     asks = places.join(chosen.select("node", F.inline("asked"), F.lit(True).alias("asks")), ["node", "tree", "d"], "left").withColumn("asks", F.col("asks").isNotNull())
     h = F.xxhash64("node", "asks")
     met = asks.groupBy("bucket", "tree", "d").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("bytes"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 20)).alias("y"), F.bool_or("asks").alias("asked")).where("asked")

@@ -150,7 +150,7 @@ class WordMemo:
     as are texts with the beginning of a special token.
     """
 
-    KEPT = 400_000
+    KEPT = 200_000
 
     def __init__(self, path: str, special: str = "<|", end_id: int = 2):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -163,9 +163,10 @@ class WordMemo:
         self.end = self._bytes([end_id])
         self.pieces: dict[str, bytes] = {}
         self.letters = byte_letters()
-        config = json.loads(self.tokenizer.to_str())
-        normal = (config.get("normalizer") or {}).get("normalizers") or []
-        splits = (config.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        # Their own states: the whole configuration would be some 100 MB with its vocabulary.
+        state = lambda part: json.loads(part.__getstate__()) if part is not None else {}
+        normal = state(self.tokenizer.normalizer).get("normalizers") or []
+        splits = state(self.tokenizer.pre_tokenizer).get("pretokenizers") or []
         self.short = [n["type"] for n in normal] == NORMALIZERS and [n["type"] for n in splits] == ["Split", "ByteLevel"] and splits[0]["pattern"] == {"Regex": SPLIT} and not splits[1]["add_prefix_space"]
 
     def _bytes(self, ids: list[int]) -> bytes:
@@ -232,7 +233,7 @@ def write_shards(folder: str, tokenizer: str, end_id: int, encoder: Callable[[st
         for batch in batches:
             if sink is None:
                 memo, sink = encoder(tokenizer, end_id), fs.open_output_stream(at + ".bin", compression=None, buffer_size=1 << 20)
-            for lo, hi in slices(batch.column(1), 8 << 20):
+            for lo, hi in slices(batch.column(1), 2 << 20):
                 got, n = memo.encode(batch.column(1).slice(lo, hi - lo))
                 sink.write(got.tobytes())
                 lengths.append(n)
@@ -285,7 +286,7 @@ def write_token_shards(rows: DataFrame, tokenizer: str, *, order: list[str], end
     # beginning they are dealt over shards too. A shard numbers the rows of a key that it holds.
     ranged = rows.repartitionByRange(shards, *[F.col(c).asc_nulls_first() for c in order], F.substring("text", 1, 48)).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order], "text")
     written = ranged.select("doc_id", "text").mapInArrow(tidy(write_shards(folder, tokenizer, end_id, encoder)), "shard long, path string, docs long, tokens long")
-    manifest = materialise(written, "manifest", arrow_rows=2000)
+    manifest = materialise(written, "manifest", arrow_rows=500)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard
     return manifest.withColumns({"base": F.coalesce(F.sum("tokens").over(before), F.lit(0)), "first": F.coalesce(F.sum("docs").over(before), F.lit(0))})
 

@@ -50,7 +50,7 @@ class Node:
 class LexiconAutomaton:
     """``terms``: (text, is_stem, most edits). A stem matches every word that begins with it."""
 
-    LIMIT = 40_000
+    LIMIT = 20_000
 
     def __init__(self, terms: list[tuple[str, bool, int]]):
         self.terms = terms
@@ -146,7 +146,7 @@ class LexiconAutomaton:
 class Matcher:
     """Matches of distinct words, kept in a bounded memory."""
 
-    KEPT = 1 << 18
+    KEPT = 1 << 17
 
     def __init__(self, automaton: LexiconAutomaton):
         self.automaton, self.misses, self.hits = automaton, set(), {}
@@ -267,17 +267,17 @@ def _pieces(text: str, longest: int) -> set[str]:
     return out
 
 
-def _count_pieces(longest: int):
-    """Partition function: (text) in, (piece, n) of its rows out."""
+def _count_pieces(longest: int, among: frozenset | None = None):
+    """Partition function: (text) in, (piece, n) of its rows out; of the pieces among the given ones, if any are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
             for text in _texts(batch.column(0)):
-                counts.update(_pieces(text, longest))
-            if len(counts) > 250_000:
-                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["piece", "n"])
-                counts = Counter()
+                counts.update(_pieces(text, longest) if among is None else _pieces(text, longest) & among)
+                if len(counts) > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["piece", "n"])
+                    counts = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["piece", "n"])
 
     return run
@@ -331,11 +331,13 @@ def mine_lexicon(sample: DataFrame, *, lift: float = 10, share: float = 0.003, l
     if not toxic or not clean:
         return []
     need = max(least, math.ceil(share * toxic))
-    count = lambda kind: sample.where(F.col("toxic") == kind).select("text").mapInArrow(_count_pieces(longest), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    # No cap by count: rare terms of small languages stand behind common neutral words until lift is looked at.
-    both = count(1).where(F.col("n") >= need).join(count(0).withColumnRenamed("n", "m"), "piece", "left").select("piece", "n", F.coalesce("m", F.lit(0)).alias("m"))
-    lifted = both.where(F.col("n") / toxic >= F.lit(float(lift)) * (F.col("m") + 0.5) / clean).collect()
-    good, outside = {r[0]: r[1] for r in lifted}, {r[0]: r[2] for r in lifted}
+    count = lambda kind, among=None: sample.where(F.col("toxic") == kind).select("text").mapInArrow(tidy(_count_pieces(longest, among)), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    # No cap by count: all pieces of enough toxic rows are counted in the clean ones, so rare terms of small languages
+    # don't stand behind common neutral words. The bounded sample bounds them.
+    often = {r[0]: r[1] for r in count(1).where(F.col("n") >= need).collect()}
+    elsewhere = {r[0]: r[1] for r in count(0, frozenset(often)).collect()}
+    good = {p: n for p, n in often.items() if n / toxic >= lift * (elsewhere.get(p, 0) + 0.5) / clean}
+    outside = {p: elsewhere.get(p, 0) for p in good}
     children: dict[str, list[str]] = {}
     for p in good:
         children.setdefault(p[:-1], []).append(p)
@@ -345,7 +347,7 @@ def mine_lexicon(sample: DataFrame, *, lift: float = 10, share: float = 0.003, l
             p = max(longer, key=lambda c: (good[c], c))
         pieces.add(p)
     holders: dict[str, list[int]] = {p: [] for p in pieces}
-    for i, row in enumerate(sample.where("toxic = 1").select("text").mapInArrow(_pieces_among(longest, frozenset(pieces)), "pieces array<string>").collect()):
+    for i, row in enumerate(sample.where("toxic = 1").select("text").mapInArrow(tidy(_pieces_among(longest, frozenset(pieces))), "pieces array<string>").collect()):
         for p in row[0]:
             holders[p].append(i)
     chosen = cover(holders, max(gain, share * toxic))
@@ -400,7 +402,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 20_00
         automaton = LexiconAutomaton([t[:3] for t in terms])
         if not terms:
             return ToxicityModel(automaton, [], [-4.0, 0.0, 0.0, 0.0])
-        rows = sample.mapInArrow(_found_of(automaton), "toxic int, hits array<struct<term int, edits int, weight double, n int>>").collect()
+        rows = sample.mapInArrow(tidy(_found_of(automaton)), "toxic int, hits array<struct<term int, edits int, weight double, n int>>").collect()
     finally:
         sample.unpersist()
     seen = [Counter(), Counter()]
