@@ -10,6 +10,11 @@ driver makes one period only, and a block's slot follows from its number. When a
 weight is dealt over the others in proportion and a new phase begins (``on_exhausted="renormalise"``, every
 row is emitted), or the mixture ends there (``"stop"``).
 
+The driver holds one row for each source. The schedule is made phase by phase, of a phase only what it emits and at
+most one period, so for any number of sources its size is bounded by the blocks and by a period for each source. Up to
+``MOST_ENTRIES`` numbers it is broadcast; a longer one is written in pieces of that size to the shared folder and joined
+with the rows by source and range of blocks, which splits a source of any size.
+
 Numbering: rows are numbered within their source in the order of a hash of id, source and text, so that rows
 without an id are dealt as well. Counts by (source, leading bits of the hash) give every group its first number, so a
 source of any size is dealt over many tasks. The order within a group is total but for rows that are equal, so a task
@@ -18,38 +23,62 @@ that is run again numbers them the same way.
 
 from __future__ import annotations
 
+import bisect
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakecraft.llm.shared import scratch
+
 MOST_ENTRIES = 4_000_000
+RANGE = 512  # blocks of a source that meet a written schedule under one key
+SCHEDULE = "source string, phase int, start long, period long, quanta int, places array<long>, from long, to long"
 
 
-def one_period(quanta: Mapping[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one period, by earliest deadline among released blocks."""
-    period = sum(quanta.values())
-    release: list[tuple[int, str, int]] = [(0, s, 0) for s in sorted(quanta)]
+def turns(groups: Mapping[int, list[str]], period: int) -> Iterator[str]:
+    """The source of each slot of one period: the earliest deadline among released blocks, of equal ones the first name.
+
+    ``groups``: the sources in order, by their quanta. Sources of one group have equal windows, so they take turns.
+    """
+    taken = dict.fromkeys(groups, 0)
+    release = [(0, q) for q in sorted(groups)]
     ready: list[tuple[int, str, int]] = []
-    out: dict[str, list[int]] = {s: [] for s in quanta}
-    heapq.heapify(release)
     for slot in range(period):
         while release and release[0][0] <= slot:
-            _, s, j = heapq.heappop(release)
-            heapq.heappush(ready, (-(-(j + 1) * period // quanta[s]), s, j))
-        _, s, j = heapq.heappop(ready)
+            q = heapq.heappop(release)[1]
+            j, nth = divmod(taken[q], len(groups[q]))
+            heapq.heappush(ready, (-(-(j + 1) * period // q), groups[q][nth], q))
+        _, s, q = heapq.heappop(ready)
+        yield s
+        taken[q] += 1
+        j = taken[q] // len(groups[q])
+        if j < q:
+            heapq.heappush(release, (j * period // q, q))
+
+
+def by_quanta(sources: Iterable[str], quanta: Mapping[str, int]) -> dict[int, list[str]]:
+    groups: dict[int, list[str]] = {}
+    for s in sorted(sources):
+        groups.setdefault(quanta[s], []).append(s)
+    return groups
+
+
+def one_period(quanta: Mapping[str, int]) -> dict[str, list[int]]:
+    """The slots of each source's blocks in one period."""
+    out: dict[str, list[int]] = {s: [] for s in quanta}
+    for slot, s in enumerate(turns(by_quanta(quanta, quanta), sum(quanta.values()))):
         out[s].append(slot)
-        if j + 1 < quanta[s]:
-            heapq.heappush(release, ((j + 1) * period // quanta[s], s, j + 1))
     return out
 
 
 @dataclass(frozen=True)
 class Phase:
-    """While the same sources are left: the first slot, the quanta, each source's blocks before it and in it."""
+    """While the same sources are left: the first slot, and of each source that emits blocks in it their places in
+    the first period, its blocks before the phase and those in it."""
 
     start: int
     slots: int
@@ -59,25 +88,60 @@ class Phase:
     blocks: dict[str, int]
 
 
-def phases(blocks: Mapping[str, int], quanta: Mapping[str, int], on_exhausted: str = "renormalise") -> list[Phase]:
-    left, done, out, start = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), [], 0
-    if sum(quanta[s] for s in left) * len(left) > MOST_ENTRIES:
-        raise ValueError("too many sources for this many quanta; give fewer quanta")
+def each_phase(blocks: Mapping[str, int], quanta: Mapping[str, int], on_exhausted: str = "renormalise") -> Iterator[Phase]:
+    left = {s: n for s, n in blocks.items() if n > 0}
+    done, groups, start = dict.fromkeys(left, 0), by_quanta(left, quanta), 0
     while left:
-        own = {s: quanta[s] for s in left}
-        period, places = sum(own.values()), one_period(own)
-        last = {s: (n - 1) // own[s] * period + places[s][(n - 1) % own[s]] for s, n in left.items()}
-        length = min(last.values()) + 1
-        full, rest = divmod(length, period)
-        took = {s: full * own[s] + sum(p < rest for p in places[s]) for s in left}
-        out.append(Phase(start, length, period, places, {s: done[s] for s in left}, took))
-        for s, n in took.items():
-            done[s] += n
-        left = {s: left[s] - took[s] for s in left if left[s] > took[s]}
+        period = sum(q * len(names) for q, names in groups.items())
+        places: dict[str, list[int]] = {}
+        length = 0
+        for s in turns(groups, period):
+            places.setdefault(s, []).append(length)
+            length += 1
+            if len(places[s]) == left[s]:  # it has run out
+                took = {s: len(p) for s, p in places.items()}
+                break
+        else:
+            last = {s: (n - 1) // quanta[s] * period + places[s][(n - 1) % quanta[s]] for s, n in left.items()}
+            length = min(last.values()) + 1
+            full, rest = divmod(length, period)
+            took = {s: full * quanta[s] + bisect.bisect_left(places[s], rest) for s in left}
+        yield Phase(start, length, period, places, {s: done[s] for s in places}, took)
         start += length
         if on_exhausted == "stop":
-            break
-    return out
+            return
+        for s, n in took.items():
+            done[s] += n
+            left[s] -= n
+            if not left[s]:
+                del left[s]
+                names = groups[quanta[s]]
+                del names[bisect.bisect_left(names, s)]
+                if not names:
+                    del groups[quanta[s]]
+
+
+def phases(blocks: Mapping[str, int], quanta: Mapping[str, int], on_exhausted: str = "renormalise") -> list[Phase]:
+    return list(each_phase(blocks, quanta, on_exhausted))
+
+
+def schedule_of(spark: SparkSession, plan: Iterable[Phase]) -> tuple[DataFrame, bool, int]:
+    """The plan as rows of ``SCHEDULE``, whether they are few enough for a broadcast, and how many slots there are."""
+    rows: list[tuple] = []
+    entries, slots, path = 0, 0, None
+    for k, p in enumerate(plan):
+        rows += [(s, k, p.start, p.period, len(v), v, p.before[s], p.before[s] + p.blocks[s]) for s, v in p.places.items()]
+        entries += sum(len(v) + 8 for v in p.places.values())
+        slots = p.start + p.slots
+        if entries > MOST_ENTRIES:
+            path = path or scratch(spark, "mixing-schedule")
+            spark.createDataFrame(rows, SCHEDULE).write.mode("append").parquet(path)
+            rows, entries = [], 0
+    if path is None:
+        return spark.createDataFrame(rows, SCHEDULE), True, slots
+    if rows:
+        spark.createDataFrame(rows, SCHEDULE).write.mode("append").parquet(path)
+    return spark.read.schema(SCHEDULE).parquet(path), False, slots
 
 
 def quanta_of(weights: Mapping[str, float], quanta: int) -> dict[str, int]:
@@ -122,16 +186,17 @@ def mixed_rows(docs: DataFrame, *, weights: Mapping[str, float] | None = None, t
     first = counts.select("source", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     within = Window.partitionBy("source", "group").orderBy("h", *[F.col("row").getField(f.name) for f in docs.schema if _orderable(f.dataType)])
     numbered = rows.withColumn("group", group).join(first, ["source", "group"]).withColumn("number", F.col("first") + F.row_number().over(within) - 1)
-    plan = phases({s: -(-n // block_rows) for s, n in totals.items()}, shares, on_exhausted)
-    table = [(s, k, p.start, p.period, len(p.places[s]), p.places[s], p.before[s], p.before[s] + p.blocks[s]) for k, p in enumerate(plan) for s in p.places]
-    schedule = spark.createDataFrame(table, "s string, phase int, start long, period long, quanta int, places array<int>, from long, to long")
-    schedule = schedule.groupBy(F.col("s").alias("source")).agg(F.sort_array(F.collect_list(F.struct("from", "to", "phase", "start", "period", "quanta", "places"))).alias("phases"))
+    schedule, small, slots = schedule_of(spark, each_phase({s: -(-n // block_rows) for s, n in totals.items()}, shares, on_exhausted))
+    parts = F.sort_array(F.collect_list(F.struct("from", "to", "phase", "start", "period", "quanta", "places"))).alias("phases")
     block = numbered.withColumn("block", F.floor(F.col("number") / block_rows).cast("long"))
-    # The schedule has at most MOST_ENTRIES numbers, whatever the number of rows.
-    placed = block.join(F.broadcast(schedule), "source").withColumn("p", F.get(F.filter("phases", lambda p: (F.col("block") >= p["from"]) & (F.col("block") < p["to"])), F.lit(0))).where("p is not null")
+    if small:
+        met = block.join(F.broadcast(schedule.groupBy("source").agg(parts)), "source")
+    else:
+        ranges = schedule.withColumn("range", F.explode(F.sequence(F.floor(F.col("from") / RANGE), F.floor((F.col("to") - 1) / RANGE))))
+        met = block.withColumn("range", F.floor(F.col("block") / RANGE)).join(ranges.groupBy("source", "range").agg(parts), ["source", "range"])
+    placed = met.withColumn("p", F.get(F.filter("phases", lambda p: (F.col("block") >= p["from"]) & (F.col("block") < p["to"])), F.lit(0))).where("p is not null")
     nth = F.col("block") - F.col("p.from")
     slot = F.col("p.start") + F.floor(nth / F.col("p.quanta")) * F.col("p.period") + F.get("p.places", F.pmod(nth, F.col("p.quanta")).cast("int"))
-    slots = plan[-1].start + plan[-1].slots if plan else 0
     return placed.select("row", "source", "number", "block", slot.cast("long").alias("slot"), F.col("p.phase").alias("phase")), slots
 
 

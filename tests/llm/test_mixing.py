@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from lakecraft.llm import mixing
 from lakecraft.llm.mixing import in_mixed_order, mix_sources, one_period, phases
 
 
@@ -78,3 +79,36 @@ def test_weights_without_a_source_and_rows_without_ids(spark):
     assert len(got) == len(rows) and len({(r.source, r.number) for r in got}) == len(rows)
     first = [r.source for r in sorted(got, key=lambda r: (r.slot, r.number)) if r.slot < 20]
     assert first.count("a") == first.count("b"), "no weight for a source that there is: equal shares"
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_phases_against_brute_force(seed):
+    rng = random.Random(seed)
+    quanta = {f"s{i}": rng.choice([1, 1, 1, 2, 5, 40]) for i in range(rng.randrange(1, 30))}
+    blocks = {s: rng.choice([0, 1, 1, 2, 9, 300]) for s in quanta}
+    order = {}
+    for p in phases(blocks, quanta):
+        for s, n in p.blocks.items():
+            for j in range(n):
+                turn, nth = divmod(j, len(p.places[s]))
+                slot = p.start + turn * p.period + p.places[s][nth]
+                assert p.start <= slot < p.start + p.slots and order.setdefault(slot, s) == s
+    assert [order[t] for t in range(len(order))] == brute(blocks, quanta)
+
+
+def test_a_written_schedule_gives_the_same_places(spark, monkeypatch):
+    frame = spark.createDataFrame([*rows_of({"a": 50, "b": 3000, "c": 7}), (None, None, None)], "doc_id long, source string, text string")
+    options = {"block_rows": 1, "quanta": 40}
+    places = lambda: sorted(map(tuple, mix_sources(frame, **options).collect()), key=str)
+    broadcast = places()
+    monkeypatch.setattr(mixing, "MOST_ENTRIES", 10)
+    monkeypatch.setattr(mixing, "RANGE", 16)
+    assert places() == broadcast and len(broadcast) == frame.count()
+
+
+def test_more_sources_than_quanta(spark):
+    sizes = {f"s{i:04d}": 1 + i % 3 for i in range(4000)}
+    rows = [(i, s, "x") for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string"), block_rows=1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(rows)))
+    assert sorted(r.slot for r in got) == list(range(len(rows)))
