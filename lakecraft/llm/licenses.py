@@ -1,7 +1,8 @@
 """License scans by diagonal voting, with DataFrame functions only.
 
 All rolling k-word hashes of every text are joined with the k-word hashes of the templates, a fixed list
-that is broadcast. A match at word p of the text and word q of a template votes for the diagonal p - q.
+that is broadcast. Where the words behind a hash are those of the template too, word p of the text and word q of
+the template vote for the diagonal p - q, so a span's coverage counts verified words only.
 Votes are summed by diagonal, diagonals that differ by a few words (an inserted or missing word) are merged,
 and a merged span counts if it covers enough of the template's words.
 
@@ -45,11 +46,15 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(low, F.lit(WORDS), F.lit(0))
 
 
+def gram_hash(words: list[Column]) -> Column:
+    return F.xxhash64(*words)
+
+
 def template_grams(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """(gram, places): for each k-word hash its places (template, tpos); as many rows as the fixed list has grams."""
-    rows = [(number, tpos, *words[tpos : tpos + K]) for number, (_, text) in enumerate(templates) for words in [text.split()] for tpos in range(len(words) - K + 1)]
-    frame = spark.createDataFrame(rows, "template int, tpos int, " + ", ".join(f"w{i} string" for i in range(K)))
-    return frame.groupBy(F.xxhash64(*[f"w{i}" for i in range(K)]).alias("gram")).agg(F.collect_list(F.struct("template", "tpos")).alias("places"))
+    """(gram, places): for each k-word hash its places (template, tpos, words); as many rows as the fixed list has grams."""
+    rows = [(number, tpos, words[tpos : tpos + K]) for number, (_, text) in enumerate(templates) for words in [text.split()] for tpos in range(len(words) - K + 1)]
+    frame = spark.createDataFrame(rows, "template int, tpos int, words array<string>")
+    return frame.groupBy(gram_hash([F.get("words", F.lit(i)) for i in range(K)]).alias("gram")).agg(F.collect_list(F.struct("template", "tpos", "words")).alias("places"))
 
 
 def license_scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES, neighbours: int = 2, coverage: float = 0.75) -> DataFrame:
@@ -73,11 +78,15 @@ def license_scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TE
         for i, w in enumerate(phrase.split()):
             match = match & (word[i] == w)
         base = F.when(match, F.lit(label)).otherwise(base)
-    grams = at.select("doc_id", "th", "pos", F.when(F.col("pos") < 0, F.size("words")).alias("n"), base.alias("base"), F.when(word[K - 1].isNotNull(), F.xxhash64(*word)).alias("gram"))
+    grams = at.select("doc_id", "th", "pos", F.when(F.col("pos") < 0, F.size("words")).alias("n"), base.alias("base"), F.when(word[K - 1].isNotNull(), gram_hash(word)).alias("gram"), "words")
     hits = grams.join(F.broadcast(template_grams(spark, templates)), "gram", "left").where("pos < 0 or base is not null or places is not null")
+    # Of the text only the K words at a hit go on.
+    spelled = F.when(F.col("places").isNotNull(), F.slice("words", F.greatest(F.col("pos") + 1, F.lit(1)), K)).alias("spelled")
+    hits = hits.select("doc_id", "th", "pos", "n", "base", spelled, "places")
+    same = F.transform(F.filter("places", lambda p: p["words"] == F.col("spelled")), lambda p: F.struct(p["template"].alias("template"), p["tpos"].alias("tpos")))
     own = F.when(F.col("n").isNotNull() | F.col("base").isNotNull(), F.array(F.struct(F.lit(None).cast("int").alias("template"), F.lit(None).cast("int").alias("tpos"))))
     none = F.expr("cast(array() as array<struct<template int, tpos int>>)")
-    votes = hits.select("doc_id", "th", "pos", "n", "base", F.inline(F.concat(F.coalesce(own, none), F.coalesce("places", none))))
+    votes = hits.select("doc_id", "th", "pos", "n", "base", F.inline(F.concat(F.coalesce(own, none), F.coalesce(same, none))))
     is_own = F.col("template").isNull()
     votes = votes.select("doc_id", "th", "template", (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos", F.when(is_own, F.col("n")).alias("n"), F.when(is_own, F.col("base")).alias("base"), F.when(is_own & F.col("base").isNotNull(), F.col("pos")).alias("place"))
     by_doc = votes.repartition("doc_id", "th")  # serves all that follows

@@ -1,5 +1,8 @@
 import pytest
 
+from pyspark.sql import functions as F
+
+from lakecraft.llm import licenses
 from lakecraft.llm.licenses import PHRASES, TEMPLATES, license_scan
 from tests.llm.test_decontamination import words
 
@@ -38,3 +41,11 @@ def test_voting_bridges_inserted_words(spark):
     assert got[6].labels == "" and 0.2 < got[6].score < 0.75
     assert got[3].labels == "cc-by,gpl,mit" and got[3].score == 1.0
     assert got[1].score == 0.0
+
+
+def test_words_are_compared_where_hashes_are_equal(spark, monkeypatch):
+    frame = spark.createDataFrame(ROWS[:-1], "doc_id long, text string, words string")
+    result = lambda: sorted(map(tuple, license_scan(frame).collect()), key=str)
+    true = result()
+    monkeypatch.setattr(licenses, "gram_hash", lambda w: F.pmod(F.xxhash64(*w), F.lit(3)))
+    assert result() == true
