@@ -73,45 +73,70 @@ def search(vectors: DataFrame, query: list[float], k: int, *, id: str = "entity_
     return top.select(*columns, "score") if columns else top
 
 
-def _local_top(ids: np.ndarray, queries: np.ndarray, k: int, id: str, kind: str):
+def _first(found: pd.DataFrame, k: int, id: str) -> pd.DataFrame:
+    return found.sort_values(["query_id", "score", id], ascending=[True, False, True]).groupby("query_id").head(k)
+
+
+def _best(pdf: pd.DataFrame, ids: np.ndarray, queries: np.ndarray, k: int, id: str) -> pd.DataFrame:
+    """(query_id, id, score) of the k best rows of a frame for each query, equal ones by id."""
+    rows, n, out = np.stack(pdf["embedding"].to_numpy()).astype(np.float64), min(k, len(pdf)), []
+    for lo in range(0, len(ids), 512):  # so many queries at a time
+        scores = rows @ queries[lo : lo + 512].T
+        # Ties at rank k have to meet: everything down to the k-th score is sorted.
+        floor = np.partition(scores, len(pdf) - n, axis=0)[len(pdf) - n]
+        row, q = np.nonzero(scores >= floor)
+        out.append(_first(pd.DataFrame({"query_id": ids[lo : lo + 512][q], id: pdf[id].to_numpy()[row], "score": scores[row, q]}), k, id))
+    return pd.concat(out)
+
+
+def _local_top(ids: np.ndarray, queries: np.ndarray, k: int, id: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: pd.DataFrame | None = None
         for pdf in frames:
             if pdf.empty:
                 continue
-            scores = np.stack(pdf["embedding"].to_numpy()).astype(np.float64) @ queries.T
-            n = min(k, len(pdf))
-            # Ties at rank k have to stay: everything down to the k-th score goes on.
-            floor = np.partition(scores, len(pdf) - n, axis=0)[len(pdf) - n]
-            row, q = np.nonzero(scores >= floor)
-            new = pd.DataFrame({"query_id": ids[q], id: pdf[id].to_numpy()[row], "score": scores[row, q]})
-            best = new if best is None else pd.concat([best, new])
-            best = best.sort_values(["query_id", "score", id], ascending=[True, False, True]).groupby("query_id").head(k)
+            new = _best(pdf, ids, queries, k, id)
+            best = new if best is None else _first(pd.concat([best, new]), k, id)
         if best is not None:
             yield best
 
     return run
 
 
+def _block_top(k: int, id: str):
+    def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or queries.empty:
+            return pd.DataFrame({"query_id": [], id: [], "score": []})
+        return _best(rows, queries["query_id"].to_numpy(), np.stack(queries["embedding"].to_numpy()).astype(np.float64), k, id)
+
+    return run
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_id", block: int = 4096, without_self: bool = False) -> DataFrame:
     """VEC-3, WIN-2: (query_id, id, score, rank) of the k best rows of each query, equal ones by id.
 
-    ``queries``: query_id, embedding; all of them, in blocks of ``block``, one scan of the vectors for each.
+    ``queries``: query_id, embedding; each id once. Up to ``block`` of them go with the function to one scan of the vectors.
+    More are dealt over blocks, as are the vectors, and tasks take a block of each: the driver holds none of them,
+    and a vector is sent once for each block of queries.
     """
     rows = vectors.select(id, "embedding").where("embedding is not null")
-    kind, query_kind = rows.schema[id].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
-    n = max(1, -(-queries.count() // block))
-    part = F.pmod(F.xxhash64("query_id"), F.lit(n))
-    found = None
-    for i in range(n):
-        got = queries.where(part == i).select("query_id", "embedding").orderBy("query_id").collect()
-        if not got:
-            continue
-        run = _local_top(np.array([g[0] for g in got]), np.array([g[1] for g in got], np.float64), k + without_self, id, kind)
-        one = rows.mapInPandas(run, f"query_id {query_kind}, {id} {kind}, score double")
-        found = one if found is None else found.union(one)
-    if found is None:
+    asked = queries.select("query_id", "embedding").where("embedding is not null")
+    kind, query_kind = rows.schema[id].dataType.simpleString(), asked.schema["query_id"].dataType.simpleString()
+    schema = f"query_id {query_kind}, {id} {kind}, score double"
+    n = -(-asked.count() // block)
+    if n == 0:
         found = rows.where("false").select(F.lit(None).cast(query_kind).alias("query_id"), id, F.lit(0.0).alias("score"))
+    elif n == 1:
+        got = asked.orderBy("query_id").collect()  # ``block`` rows at most
+        found = rows.mapInPandas(_local_top(np.array([g[0] for g in got]), np.array([g[1] for g in got], np.float64), k + without_self, id), schema)
+    else:
+        m = max(1, -(-rows.count() // block))
+        deal = lambda key, parts: F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+        every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+        left = rows.withColumn("of_rows", deal(id, m)).withColumn("of_queries", every(n))
+        right = asked.withColumn("of_queries", deal("query_id", n)).withColumn("of_rows", every(m))
+        keys = ["of_rows", "of_queries"]
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block_top(k + without_self, id), schema)
     if without_self:
         found = found.where(F.col("query_id") != F.col(id))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), id)

@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,21 @@ def test_top_k_keeps_ties_by_id(spark):
     assert vectors.overlap_summary(vectors.overlap(vectors.top_k(vs, qs, 3), vectors.top_k(vs, qs, 3))).first().mean == 1.0
 
 
+@pytest.mark.parametrize("block", [7, 1000])
+@pytest.mark.parametrize("without_self", [False, True])
+def test_top_k_in_blocks(spark, block, without_self):
+    vs = np.random.default_rng(1).integers(-2, 3, (60, 4)).astype(float)  # many equal scores
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vs)] + [(99, None)], "entity_id int, embedding array<double>")
+    asked = rows.where("entity_id >= 30").withColumnRenamed("entity_id", "query_id")
+    want = set()
+    for q in range(30, 60):
+        best = sorted((-float(v @ vs[q]), i) for i, v in enumerate(vs) if not (without_self and i == q))[:5]
+        want |= {(q, i, -s, rank) for rank, (s, i) in enumerate(best, 1)}
+    found = vectors.top_k(rows, asked, 5, block=block, without_self=without_self)
+    assert {tuple(r) for r in found.collect()} == want
+    assert vectors.top_k(rows, asked.where("false"), 5, block=block).count() == 0 and vectors.top_k(rows.where("false"), asked, 5, block=block).count() == 0
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"a":1}\nbroken\n\n{"b":2}\n')
     assert tuple(readers.line_counts(readers.read_jsonl(spark, str(tmp_path / "a.jsonl"))).first()) == (3, 2)
