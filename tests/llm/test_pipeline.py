@@ -49,3 +49,21 @@ def test_stages_keep_the_columns(spark):
     frame = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert corpus_pipeline.mixing(spark, frame, "").columns == frame.columns
     assert corpus_pipeline.token_ids(spark, frame, "").count() == 0
+
+
+def test_long_texts_and_repeated_rows(spark, tmp_path):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(50_000)}" for _ in range(n))
+    item, long = text(30), text(60_000)
+    docs = [(i, text(40), "en", "s", 1) for i in range(20)]
+    docs += [docs[3], docs[3]]  # rows repeated whole share their fate
+    docs += [(100, long, "en", "s", 1), (101, long + " more", "en", "t", 1), (102, text(50_000) + " " + item, "en", "t", 1), (103, docs[3][1], "en", "t", 1), (104, "", "en", None, 1), (None, text(20), None, None, None)]
+    folder = str(tmp_path)
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    left = [d for d in docs if d[0] not in (101, 102, 103)]
+    got = corpus_pipeline.run(spark, folder).collect()
+    of = lambda ids: (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    key = lambda r: (r[0] is not None, r[0] or 0)
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=key) == sorted(((d[0], *of(ids_of(d[1]))) for d in left), key=key)
