@@ -105,7 +105,7 @@ def q_place_records(spark, d):
 @query("""with p as (select s_suppkey k, s_suppkey % 3 r, s_name n from supplier)
     select k, substr(md5('google_places::' || case r when 0 then 'https://maps.example/' || k when 1 then 'https://old.example/' || k else 'q' || k end), 1, 16) entity_id, case when r < 2 then n end titulo, case r when 0 then 'museo' when 1 then 'cine' else 'cultural' end tipo,
     case r when 0 then 'San Juan De O''Higgins' end distrito, case r when 0 then 'Lugar en San Juan De O''Higgins de tipo museo' when 1 then 'Lugar en Lima de tipo cine con rating 4.5' else 'Lugar en Lima de tipo cultural con rating 0.0' end descripcion,
-    case r when 0 then 'museo|arte|San Juan De O''Higgins' when 1 then 'Cine' else '' end tags, case r when 0 then (k % 90)::double when 1 then -12.25 end lat, case r when 0 then -77.5 end lng, case r when 1 then 4.5 when 2 then 0.0 end::double rating,
+    case r when 0 then 'museo|arte|San Juan De O''Higgins' when 1 then 'Cine' else '' end tags, case r when 0 then (k % 90)::double when 1 then -12.25 end lat, case r when 0 then -77.5 end::double lng, case r when 1 then 4.5 when 2 then 0.0 end::double rating,
     case r when 1 then 12 end::bigint ratings_total, case r when 0 then 'un lugar muy bonito para ir' end resumen_reviews from p""")
 def q_places(spark, d):
     """PRJ-4, TXT-3, TXT-13, ARR-2, DED-5."""
