@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import benchmark_overlaps
+from .divergence import source_divergence
 from .exactdedup import exact_dedup
 from .licenses import PHRASES, TEMPLATES, license_scan
 from .mixing import mix_sources
@@ -100,7 +101,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_decontamination, op4_warc, op5_token_ids, op6_licenses, op7_url_filter, op8_secrets, op9_ngram_jaccard, op10_exact_dedup)}
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_decontamination, op4_warc, op5_token_ids, op6_licenses, op7_url_filter, op8_secrets, op9_ngram_jaccard, op10_exact_dedup, op12_source_divergence)}
 
 # The words of every text for DuckDB.
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -172,4 +177,22 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, max(doc_id) over (partition by t) keep_id, count(*) over (partition by t) group_size,
             doc_id is not distinct from max(doc_id) over (partition by t) kept, sha256(t) text_sha256
         from t""",
+    "op12_source_divergence": r"""
+        with d as (select row_number() over () id, coalesce(text, '') text, coalesce(lang, '') lang, coalesce(source, '') source from documents),
+        w as (select id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) term from d),
+        v as (select lang, term, count(*) n from w group by all having count(distinct id) >= 10),
+        l as (select lang, sum(n)::hugeint total, count(*)::hugeint terms from v group by lang),
+        g as (select distinct lang, source from d),
+        c as (select lang, source, term, count(*) n from w join v using (lang, term) group by all),
+        t as (select lang, source, sum(n)::hugeint total from c group by all),
+        p as (
+            select g.lang, g.source, v.term, coalesce(c.n, 0) n, v.n lang_n,
+                1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * l.terms) p, 1 + (1000000000::hugeint * (v.n + 2)) // (l.total + 2 * l.terms) q
+            from g join v using (lang) join l using (lang) left join t on t.lang = g.lang and t.source = g.source left join c on c.lang = g.lang and c.source = g.source and c.term = v.term),
+        s as (select x.lang, x.source, y.source item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) value from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all),
+        a as (
+            select x.lang, x.source, 'pair' part, y.source item, coalesce(s.value, 0) value from g x join g y on x.lang = y.lang and x.source <> y.source left join s on s.lang = x.lang and s.source = x.source and s.item = y.source
+            union all select lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) from p where n > 0 and p > q),
+        r as (select *, row_number() over (partition by lang, source, part order by value desc, item) rank from a)
+        select lang, source, part, item, cast(value as bigint) value, cast(rank as integer) rank from r where part = 'pair' or rank <= 10""",
 }
