@@ -93,6 +93,7 @@ def numbered_vocabulary(counts: DataFrame, least: int, chunk: int) -> DataFrame:
     sizes = kept.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
     dealt = kept.join(sizes, "lang").withColumn("chunk", F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int")).drop("chunks")
     nth = F.row_number().over(Window.partitionBy("lang", "chunk").orderBy("term")) - 1
+    dealt = dealt.repartition("lang", "chunk")  # else the window may take over the partitions by language of the join
     return materialise(dealt.withColumn("nth", nth), "vocabulary")
 
 

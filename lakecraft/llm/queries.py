@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import benchmark_overlaps
 from .divergence import source_divergence
 from .exactdedup import exact_dedup
+from .hardneg import hard_negatives
 from .licenses import PHRASES, TEMPLATES, license_scan
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
@@ -17,6 +18,7 @@ from .secrets import secret_scan
 from .shared import documents
 from .tokenstore import token_ids
 from .toxicity import fit_toxicity, toxicity_scores
+from .treeforest import near_duplicate_embeddings
 from .urlfilter import host_of, path_of, url_filter
 from .warc import warc_round_trip
 
@@ -101,11 +103,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_decontamination, op4_warc, op5_token_ids, op6_licenses, op7_url_filter, op8_secrets, op9_ngram_jaccard, op10_exact_dedup, op12_source_divergence)}
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicate_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_decontamination, op4_warc, op5_token_ids, op6_licenses, op7_url_filter, op8_secrets, op9_ngram_jaccard, op10_exact_dedup, op11_hard_negatives, op12_source_divergence, op13_embedding_near_dedup)}
 
 # The words of every text for DuckDB.
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -177,6 +190,14 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, max(doc_id) over (partition by t) keep_id, count(*) over (partition by t) group_size,
             doc_id is not distinct from max(doc_id) over (partition by t) kept, sha256(t) text_sha256
         from t""",
+    "op11_hard_negatives": """
+        with e as (
+            select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end label, list_transform(embedding, lambda x: floor(256 * x::double)) x
+            from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id anchor_id, b.vec_id, a.label = b.label same, cast(list_inner_product(a.x, b.x) as bigint) score from e a join e b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.x) = len(b.x)),
+        p as (select anchor_id, vec_id positive_id, score positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) rank, vec_id negative_id, positive_score, score negative_score
+        from p join s using (anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score qualify rank <= 3""",
     "op12_source_divergence": r"""
         with d as (select row_number() over () id, coalesce(text, '') text, coalesce(lang, '') lang, coalesce(source, '') source from documents),
         w as (select id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) term from d),
@@ -195,4 +216,12 @@ ORACLE_SQL: dict[str, str] = {
             union all select lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) from p where n > 0 and p > q),
         r as (select *, row_number() over (partition by lang, source, part order by value desc, item) rank from a)
         select lang, source, part, item, cast(value as bigint) value, cast(rank as integer) rank from r where part = 'pair' or rank <= 10""",
+    "op13_embedding_near_dedup": """
+        with recursive e as (
+            select vec_id, label, embedding::double[] x from embeddings
+            where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l as (select a.vec_id a, b.vec_id b from e a join e b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x) where list_cosine_similarity(a.x, b.x) >= 0.93),
+        r as (select vec_id a, vec_id b from embeddings union select r.a, l.b from r join l on r.b = l.a),
+        c as (select a vec_id, min(b) component_id from r group by a)
+        select vec_id, (select count(*) from l where l.a = c.vec_id) n_links, component_id, vec_id = component_id kept from c""",
 }
