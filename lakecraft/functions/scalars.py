@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import markup
+
 # Category fragments and their categories; the first fragment that a name contains decides.
 CATEGORIES = (
     ("centro_cultural", "evento_cultural"), ("galeria_de_arte", "galeria"), ("iglesia_histórica", "iglesia"), ("iglesia_historica", "iglesia"), ("catedral", "iglesia"),
@@ -111,8 +113,9 @@ def with_enrichment(text: Column, image: Column, summary: Column, tags: Column)
 
 
 def category_slug(c: Column | str, fallback: str) -> Column:
-    """TXT-9: lower case, everything but letters and digits as single hyphens."""
-    slug = F.regexp_replace(F.regexp_replace(F.lower(F.trim(F.coalesce(missing_to_null(c), F.lit(fallback)))), r"[^a-z0-9]+", "-"), "^-+|-+$", "")
+    """TXT-9: lower case, white space as single hyphens, everything else but letters, digits and hyphens dropped."""
+    raw = F.lower(markup.strip(F.coalesce(F.nullif(_c(c).cast("string"), F.lit("")), F.lit(fallback))))
+    slug = F.regexp_replace(F.regexp_replace(raw, r"(?U)\s+", "-"), r"[^a-z0-9-]", "")
     return F.coalesce(F.nullif(slug, F.lit("")), F.lit(fallback))
 
 
@@ -250,10 +253,8 @@ def ld_json(html: Column | str) -> Column:
 
 
 def activity_json(html: Column | str) -> Column:
-    """JSON-2: the object after ``"activity":`` in a page's script, as variant; the first of its known ends that gives JSON."""
-    ends = (r',\s*"blogs"', r',\s*"[A-Za-z_]+"\s*:', r"\}\s*(?:;|</script>)")
-    found = [F.try_parse_json(F.nullif(F.regexp_extract(_c(html), rf'(?s)"activity"\s*:\s*(\{{.*?\}})\s*{end}', 1), F.lit(""))) for end in ends]
-    return F.coalesce(*found)
+    """JSON-2: the object after ``"activity":`` in a page's script, as variant; what follows it has to be one of the known keys."""
+    return F.try_parse_json(markup.object_after(_c(html), "activity", ("blogs", "related", "recommended")))
 
 
 def links(html: Column | str) -> Column:
@@ -268,13 +269,11 @@ def tag_text(html: Column | str, tag: str) -> Column:
 
 
 def list_map(html: Column | str) -> Column:
-    """HTML-3: ``<li><strong>key:</strong> value</li>`` items as a map; the first of equal keys stays."""
+    """HTML-3: ``<li><strong>key:</strong> value</li>`` items as a map; of equal keys the last value stays."""
     items = F.transform(F.regexp_extract_all(_c(html), F.lit(r"(?is)<li[^>]*>\s*<(?:strong|b|span)[^>]*>(.*?</(?:strong|b|span)>.*?)</li>"), F.lit(1)), lambda x: F.split(x, r"(?i)</(?:strong|b|span)>", 2))
-    pairs = F.transform(items, lambda p: F.struct(F.regexp_replace(F.coalesce(clean_text(F.regexp_replace(F.get(p, F.lit(0)), r"<[^>]*>", " ")), F.lit("")), r"\s*:$", "").alias("k"), clean_text(F.regexp_replace(F.get(p, F.lit(1)), r"<[^>]*>", " ")).alias("v")))
-    # Folded over, so that each item is cleaned once.
-    none = F.array().cast("array<struct<k:string,v:string>>")
-    known = lambda acc, p: (p["k"] == "") | F.exists(acc, lambda q: q["k"] == p["k"])
-    return F.map_from_entries(F.aggregate(pairs, none, lambda acc, p: F.when(known(acc, p), acc).otherwise(F.array_append(acc, p))))
+    text = lambda p, k: clean_text(F.regexp_replace(F.get(p, F.lit(k)), r"<[^>]*>", " "))
+    pairs = F.transform(items, lambda p: F.struct(F.nullif(F.regexp_replace(F.coalesce(text(p, 0), F.lit("")), r"\s*:$", ""), F.lit("")).alias("k"), text(p, 1).alias("v")))
+    return markup.last_of_equal_keys(pairs)
 
 
 def meta_content(html: Column | str, name: str) -> Column:
@@ -290,11 +289,18 @@ def plain_url(c: Column | str, base: str | None = None) -> Column:
     return F.regexp_replace(F.regexp_replace(t, r"[?#].*$", ""), "/+$", "")
 
 
+def event_url(c: Column | str, base: str) -> Column:
+    """FIL-5: an event's URL on ``base``, without fragment, query and closing slashes; null for any other."""
+    on_base = lambda url: F.when(F.contains(url, F.lit("/events/")) & url.startswith(base.rstrip("/")), url)
+    return markup.let(markup.strip(_c(c)), lambda t: markup.let(plain_url(t, base), on_base))
+
+
 def item_url(direct: list[Column], slug: Column, category_name: str, base: str) -> Column:
-    """URL-2: the first direct candidate that is an event's URL or path, else one made from the slug."""
-    urls = [F.when(missing_to_null(d).startswith("http") | F.contains(missing_to_null(d), F.lit("/events/")), plain_url(missing_to_null(d), base)) for d in direct]
-    made = F.concat(F.lit(f"{base.rstrip('/')}/events/"), category_slug(F.lit(category_name), category_name), F.lit("/"), F.nullif(F.regexp_replace(missing_to_null(slug), "^/+|/+$", ""), F.lit("")))
-    return F.coalesce(*urls, made)
+    """URL-2: the first direct candidate that is an event's URL on ``base`` or a path to one, else one made from the slug."""
+    urls = [event_url(missing_to_null(d), base) for d in direct]
+    path = F.nullif(F.regexp_replace(missing_to_null(slug), "^/+|/+$", ""), F.lit(""))
+    made = F.concat(F.lit(f"{base.rstrip('/')}/events/"), category_slug(F.lit(category_name), category_name), F.lit("/"), path)
+    return F.coalesce(*urls, event_url(made, base))
 
 
 def percent_encode(c: Column | str) -> Column:

@@ -84,23 +84,3 @@ def enrich(df: DataFrame, provider: Callable[[pd.DataFrame], pd.DataFrame], *, m
     said = first.mapInPandas(run, "entity_id string, ai_tags array<string>, ai_summary string").withColumn("ai_tags", F.slice("ai_tags", 1, tags))
     out = df.join(said, "entity_id", "left")
     return out.withColumn("texto_embedding", s.with_enrichment(F.col("texto_embedding"), F.lit(None).cast("string"), F.col("ai_summary"), F.col("ai_tags")))
-
-
-def event_page(html: str = "html") -> dict[str, F.Column]:
-    """SRC-5: an event's fields from its page: ld+json, then meta tags, then the script's activity, then elements."""
-    ld, act = s.ld_json(html), s.activity_json(html)
-    of = lambda v, p: s.missing_to_null(F.try_variant_get(v, p, "string"))
-    offers = F.try_variant_get(ld, "$.offers", "array<variant>")
-    price = F.coalesce(F.array_min(F.transform(offers, lambda o: s.first_number(F.try_variant_get(o, "$.price", "string")))), s.first_number(of(ld, "$.offers.price")), s.first_number(of(act, "$.priceFrom")))
-    return {
-        "titulo": s.clean_text(F.coalesce(of(ld, "$.name"), s.meta_content(html, "og:title"), s.tag_text(html, "h1"))),
-        "descripcion": s.clean_text(F.coalesce(of(ld, "$.description"), of(act, "$.description"), s.meta_content(html, "og:description"))),
-        "fecha_inicio": of(ld, "$.startDate"),
-        "fecha_fin": of(ld, "$.endDate"),
-        "lugar": s.clean_text(F.coalesce(of(ld, "$.location.name"), of(act, "$.localName"))),
-        "direccion": s.clean_text(F.coalesce(of(ld, "$.location.address.streetAddress"), of(ld, "$.location.address"), of(act, "$.address"))),
-        "imagen": F.coalesce(of(ld, "$.image[0]"), of(ld, "$.image"), s.meta_content(html, "og:image"), of(act, "$.imageUrl")),
-        "categoria": F.coalesce(of(act, "$.category"), s.category_in_url("url")),
-        "precio_desde": price,
-        "distrito": F.coalesce(s.district_in(of(ld, "$.location.address")), s.district_in(of(ld, "$.location.name"))),
-    }

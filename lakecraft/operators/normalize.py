@@ -152,14 +152,19 @@ def documents_of(df: DataFrame) -> DataFrame:
     return df.where(s.missing_to_null("entity_id").isNotNull()).withColumns({"entity_type": F.coalesce(s.missing_to_null("entity_type"), F.lit("event")), "url_origen": s.first_present("url_origen", "url_evento"), "tags": tags})
 
 
-def only_available(df: DataFrame, names: list[str]) -> DataFrame:
+def only_available(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """PRJ-11, PRJ-12: the named columns that there are."""
     return df.select(*[c for c in names if c in df.columns])
 
 
 # The columns of a search result and of the metadata beside the vectors, in order.
-RESULT = "entity_id titulo tipo fecha_inicio lugar distrito precio url_origen score".split()
-METADATA = "entity_id entity_type event_id poi_id titulo descripcion tipo fecha_inicio fecha_fin hora_inicio lugar direccion distrito ciudad imagen_url precio url_origen url_evento fuente tags lat lng rating texto_embedding".split()
+RESULT = ("entity_id", "titulo", "tipo", "fecha_inicio", "lugar", "distrito", "precio", "url_origen", "score")
+METADATA = (
+    "entity_id", "entity_type", "event_id", "titulo", "tipo", "fecha_inicio", "lugar",
+    "precio", "fuente", "ciudad", "url_origen", "url_evento", "imagen_url",
+    "direccion", "distrito", "categoria_google", "rating", "ratings_total", "lat", "lng",
+    "resumen_reviews", "descripcion", "tags", "texto_embedding",
+)
 
 
 def search_result(df: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def check_bronze(lines: dict[str, tuple[int, int] | None], declared: dict[str, i
             continue
         total, good = got
         if good < total:
-            r.failures.append(f"{source}: {total - good} lines don't parse")
+            r.warnings.append(f"{source}: {total - good} lines don't parse")
         if declared[source] is not None and declared[source] != total:
             r.warnings.append(f"{source}: {total} lines, the manifest says {declared[source]}")
         r.metrics[source] = total
@@ -94,7 +94,7 @@ def check_silver(df: DataFrame, *, previous: dict[str, int] | None = None, expec
     if row.get("_dup"):
         r.failures.append(f"{row['_dup']} duplicated ids")
     if row.get("_old"):
-        r.failures.append(f"{row['_old']} rows of another schema version")
+        r.warnings.append(f"{row['_old']} rows of another schema version")
     r.warnings += [f"{c}: {row[c]:.2f} null" for c in there if row[c] > most_null]
     if "fuente" in df.columns:
         counts = {x[0]: x[1] for x in value_counts(df, "fuente", nulls=True).collect()}
@@ -106,19 +106,43 @@ def check_silver(df: DataFrame, *, previous: dict[str, int] | None = None, expec
     return r
 
 
-def check_gold(vectors: DataFrame | None, *, declared: int | None, dimension: int = DIMENSION, queries: DataFrame | None = None, theta: float = 0.95, tolerance: float = 1e-3, least_unit: float = 0.95, least_recall: float = 0.90, k: int = 5, sample: int = 300) -> Report:
-    """DQ-3, DQ-6: widths, finite cells, norms, near duplicates, self recall on a seeded sample of queries."""
+def check_gold(
+    vectors: DataFrame | None,
+    *,
+    declared: int | None,
+    dimension: int = DIMENSION,
+    declared_dimension: int | None = None,
+    queries: DataFrame | None = None,
+    theta: float = 0.95,
+    tolerance: float = 1e-3,
+    least_unit: float = 0.95,
+    least_recall: float = 0.90,
+    k: int = 5,
+    sample: int = 300,
+) -> Report:
+    """DQ-3: width, schema version, finite cells, norms, near duplicates, self recall on a seeded sample of queries.
+
+    ``declared``, ``declared_dimension``: what the run's manifest says. Vectors that the manifest says there are none of
+    are a warning if they are missing, missing ones and an empty file else are failures.
+    """
     r = Report()
     if vectors is None:
         (r.warnings if declared == 0 else r.failures).append("no vectors")
         return r
     p = vector_profile(vectors, dimension, tolerance).first()
     r.metrics |= p.asDict()
+    if not p.n:
+        r.failures.append("no rows of vectors")
+        return r
+    if "schema_version" in vectors.columns and vectors.where(~F.col("schema_version").eqNullSafe(F.lit(VERSION))).take(1):
+        r.warnings.append("rows of another schema version")
     if p.wrong_dim:
         r.failures.append(f"{p.wrong_dim} vectors have another width than {dimension}")
+    elif declared_dimension is not None and declared_dimension != dimension:
+        r.warnings.append(f"the manifest says width {declared_dimension}, the vectors have {dimension}")
     if p.finite_ratio is not None and p.finite_ratio < 1:
         r.failures.append(f"{1 - p.finite_ratio:.2%} of cells aren't finite")
-    if r.failures or not p.n:
+    if r.failures:
         return r
     if p.unit_rate < least_unit:
         r.warnings.append(f"{p.unit_rate:.2f} of vectors have unit length")

@@ -128,7 +128,7 @@ def q_ticket_raw(spark, d):
     return normalize.ticket_raw(events).select("k", "description", "time", "location", "ticket_availability")
 
 
-@query("""select s_suppkey k, case s_suppkey % 4 when 0 then 'https://t.example/events/' || s_suppkey when 1 then 'https://t.example/events/arte/' || s_suppkey when 2 then 'https://t.example/events/arte-cultura/slug-' || s_suppkey end url, s_name titulo,
+@query("""select s_suppkey k, case s_suppkey % 4 when 0 then 'https://t.example/events/' || s_suppkey when 1 then 'https://t.example/events/arte/' || s_suppkey when 2 then 'https://t.example/events/arte--cultura/slug-' || s_suppkey end url, s_name titulo,
     case when s_suppkey % 4 = 1 then 'Música' else 'Arte & Cultura' end categoria_principal, case s_suppkey % 4 when 0 then 'Sala' when 1 then 'Plaza' when 2 then 'Casa' end ubicacion_nombre, case when s_suppkey % 4 = 0 then 20.5 end::double precio_desde,
     case s_suppkey % 4 when 0 then 'i.png' when 1 then 'j.png' when 2 then 'k.png' end imagen_principal, 'PEN' moneda from supplier""")
 def q_seeds(spark, d):
@@ -136,7 +136,7 @@ def q_seeds(spark, d):
     k, lit = F.col("s_suppkey"), F.lit
     a = F.to_json(F.struct(F.col("s_name").alias("title"), F.concat(lit("https://t.example/events/"), k, lit("?x=1")).alias("url"), F.struct(lit("Sala").alias("venue")).alias("location"), F.array(F.struct(lit("i.png").alias("imageUrl"))).alias("images"), lit("S/ 20,5").alias("price")))
     b = F.to_json(F.struct(F.col("s_name").alias("name"), lit("relative").alias("canonicalUrl"), F.concat(lit("/events/arte/"), k, lit("/#y")).alias("urlRedirection"), lit("Música").alias("activityCategory"), lit("Plaza").alias("location"), lit("j.png").alias("images")))
-    c = F.to_json(F.struct(F.col("s_name").alias("title"), F.concat(lit("/slug-"), k, lit("/")).alias("slug"), F.struct(lit(" Casa ").alias("localName")).alias("location"), F.array(lit("k.png")).alias("images")))
+    c = F.to_json(F.struct(F.col("s_name").alias("title"), lit("https://blog.example/post").alias("canonicalUrl"), lit("https://blog.example/events/x").alias("url"), F.concat(lit("/slug-"), k, lit("/")).alias("slug"), F.struct(lit(" Casa ").alias("localName")).alias("location"), F.array(lit("k.png")).alias("images")))
     items = table(spark, d, "supplier").select(F.when(k % 4 == 0, a).when(k % 4 == 1, b).when(k % 4 == 2, c).otherwise(F.to_json(F.struct(F.col("s_name").alias("title")))).alias("item"))
     rows = normalize.seeds(items, "Arte & Cultura", "https://t.example/")
     return rows.join(table(spark, d, "supplier").select(F.col("s_name").alias("titulo"), k.alias("k")), "titulo").select("k", "url", "titulo", "categoria_principal", "ubicacion_nombre", "precio_desde", "imagen_principal", "moneda")
@@ -308,19 +308,6 @@ def q_enriched_text(spark, d):
     return enrich.enrich(rows, model, most=30).select(F.substring("entity_id", 2, 9).cast("bigint").alias("k"), F.col("texto_embedding").alias("texto"))
 
 
-@query("""select p_partkey k, case p_partkey % 4 when 0 then p_name when 1 then 'meta ' || p_partkey when 2 then 'cabeza' end titulo, case p_partkey % 4 when 0 then 12.5 when 2 then 7 end::double precio_desde, case p_partkey % 4 when 0 then 'Lince' end distrito, case p_partkey % 4 when 2 then 'Sala' end lugar,
-    case when p_partkey % 4 = 1 then 'arte' when p_partkey % 4 = 2 then 'teatro' else 'arte' end categoria, case p_partkey % 4 when 0 then '2026-05-01T20:00' end fecha_inicio from part""")
-def q_event_page(spark, d):
-    """SRC-5, JSON-1, JSON-2, HTML-4, AGG-13, URL-4: ld+json, then meta tags, then the script's activity, then elements."""
-    k, lit = F.col("p_partkey"), F.lit
-    ld = F.concat(lit('[{"@type":"Organization","name":"no"},'), F.to_json(F.struct(lit("MusicEvent").alias("@type"), F.col("p_name").alias("name"), lit("2026-05-01T20:00").alias("startDate"), F.struct(F.struct(lit("Av. 1, Lince").alias("streetAddress")).alias("address")).alias("location"), F.array(F.struct(lit("S/ 20").alias("price")), F.struct(lit("12,50").alias("price"))).alias("offers"))), lit("]"))
-    act = lit('<h1> <b>cabeza</b></h1><script>x={"activity": {"priceFrom": 7, "localName": "Sala", "category": "teatro"} , "blogs":[]}</script>')
-    html = F.when(k % 4 == 0, F.concat(lit('<script type="application/ld+json">{broken</script><SCRIPT id="a" type="application/ld+json">'), ld, lit("</SCRIPT><h1>other</h1>"))).when(k % 4 == 1, F.concat(lit('<meta property="og:title" content="meta '), k, lit('"><h1>other</h1>'))).when(k % 4 == 2, act).otherwise(lit("<p>nothing</p>"))
-    rows = table(spark, d, "part").select(k.alias("k"), html.alias("html"), F.concat(lit("https://t.example/events/arte/"), k, lit("/x")).alias("url"))
-    of = enrich.event_page("html")
-    return rows.select("k", *[of[c].alias(c) for c in ("titulo", "precio_desde", "distrito", "lugar", "categoria", "fecha_inicio")])
-
-
 @query("""select s_suppkey k, 'Av.%20' || s_suppkey || '%2C%20Per%C3%BA%20%26%20m%C3%A1s' encoded from supplier""")
 def q_percent_encode(spark, d):
     """URL-3."""
@@ -376,12 +363,18 @@ def q_position_join(spark, d):
     return vectors.at_positions(vectors.id_map(rows, "vec_id"), rows.select("vec_id", "label"), vectors.id_map(rows, "vec_id").where("pos % 7 = 3").select("pos"), "vec_id").select("pos", "vec_id", "label")
 
 
-@query("select 'titulo,tipo,score' available, 'entity_id,titulo,tipo' metadata")
+@query("""select 'p' || p_partkey entity_id, p_name titulo, p_type tipo, p_retailprice rating, p_size::bigint ratings_total, p_brand categoria_google, 'r' || p_partkey resumen_reviews, p_retailprice score,
+    'entity_id titulo tipo categoria_google rating ratings_total resumen_reviews' metadata, 'entity_id titulo tipo score' result from part""")
 def q_default_projections(spark, d):
-    """PRJ-11, PRJ-12: of the default names those that there are, in their order."""
-    rows = table(spark, d, "part").limit(1).select(F.col("p_type").alias("tipo"), F.col("p_name").alias("titulo"), F.lit("e").alias("entity_id"), F.lit(1.0).alias("score"), F.lit(0).alias("other"))
-    found, meta = normalize.search_result(rows).columns, normalize.metadata(rows).columns
-    return spark.createDataFrame([(",".join(c for c in found if c != "entity_id"), ",".join(meta))], "available string, metadata string")
+    """PRJ-11, PRJ-12: of the default columns those that there are, in their order, whatever the order of the rows' own."""
+    part = table(spark, d, "part")
+    rows = part.select(
+        F.lit(0).alias("other"), F.concat(F.lit("r"), "p_partkey").alias("resumen_reviews"), F.col("p_retailprice").alias("score"), F.col("p_size").cast("bigint").alias("ratings_total"), F.col("p_brand").alias("categoria_google"),
+        F.col("p_type").alias("tipo"), F.col("p_retailprice").alias("rating"), F.col("p_name").alias("titulo"), F.concat(F.lit("p"), "p_partkey").alias("entity_id"),
+    )
+    found, meta = normalize.search_result(rows), normalize.metadata(rows)
+    names = {"metadata": F.lit(" ".join(meta.columns)), "result": F.lit(" ".join(found.columns))}
+    return meta.join(found.select("entity_id", "score"), "entity_id").withColumns(names)
 
 
 @query("""select count(*) n_rows, count(*) filter (event_id % 10 > 0) sane, 'r20260102' latest, 'r20260101' previous, 'PASS' verdict from events""")
@@ -408,11 +401,17 @@ def q_lake(spark, d):
     return spark.createDataFrame([(back, sane, f"r{latest}", f"r{lake.previous('silver', 'eventos_estandar', latest)}", report.verdict)], "n_rows long, sane long, latest string, previous string, verdict string")
 
 
-@query(f"""with n as (select vec_id, sqrt({_DOT.format('embedding', 'embedding')}) n from embeddings), p as ({_PAIRS})
-    select count(*) n, round(stddev_pop(n), 6) norm_std, (select count(*) from p where score >= 0.95) near_duplicates, case when avg(case when abs(n - 1) <= 0.001 then 1.0 else 0.0 end) < 0.95 then 'WARN' else 'PASS' end verdict from n""")
+_BEST = "select id_a v, score from ({0}) union all select id_b, score from ({0})".format(_PAIRS)
+
+
+@query(f"""with n as (select vec_id, sqrt({_DOT.format('embedding', 'embedding')}) n from embeddings), p as ({_PAIRS}), t as (select v, max(score) top from ({_BEST}) group by 1),
+    s as (select vec_id, n * n own, coalesce(top, -1) top from n left join t on v = vec_id), h as (select * from s order by md5(vec_id || '|42'), vec_id limit 300)
+    select count(*) n, round(stddev_pop(n), 6) norm_std, (select count(*) from p where score >= 0.95) near_duplicates, (select round(avg(top), 5) from t) top1_mean, (select round(median(top), 5) from t) top1_median,
+        (select avg(case when own > top then 1.0 else 0.0 end) from h) recall_at_1, case when avg(case when abs(n - 1) <= 0.001 then 1.0 else 0.0 end) < 0.95 then 'WARN' else 'PASS' end verdict from n""")
 def q_check_gold(spark, d):
-    """DQ-3, DQ-4, DQ-6, AGG-6, AGG-8, AGG-10: widths, norms, near duplicates and recall of the rows' own vectors as queries."""
+    """DQ-3, DQ-4, DQ-6, AGG-6, AGG-8, AGG-10: widths, norms, nearest rows, near duplicates and recall of the rows' own vectors as queries."""
     rows = table(spark, d, "embeddings").withColumnRenamed("vec_id", "entity_id")
     report = quality.check_gold(rows, declared=None, dimension=64, queries=rows.select(F.col("entity_id").alias("query_id"), "embedding"))
     m = report.metrics
-    return spark.createDataFrame([(m["n"], round(m["norm_std"], 6), m["near_duplicates"], report.verdict)], "n long, norm_std double, near_duplicates long, verdict string")
+    told = (m["n"], round(m["norm_std"], 6), m["near_duplicates"], round(m["top1_mean"], 5), round(m["top1_median"], 5), m["recall_at_1"], report.verdict)
+    return spark.createDataFrame([told], "n long, norm_std double, near_duplicates long, top1_mean double, top1_median double, recall_at_1 double, verdict string")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import missing_to_null
 from ..operators import lifecycle, quality
 from ..operators.dedup import hash_sample, in_order
 from ..operators.enrich import Geocoder, geocode
 from ..operators.normalize import conform, documents_of, metadata, normalize_all, poi_catalog
-from ..operators.vectors import Encoder, embed, query_text
+from ..operators.vectors import Encoder, embed
 from ..schemas import GOLD_CATALOG, GOLD_VECTORS, SILVER, SOURCES
 from ..sources.lake import BronzeEntry, BronzeManifest, GoldManifest, Lake, SilverManifest
 from ..sources.readers import line_counts, read_jsonl
@@ -87,20 +89,37 @@ def silver(lake: Lake, run: Run, frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def export(lake: Lake, run: Run, df: DataFrame) -> None:
-    """SNK-6: the rows as CSV and JSON lines and their counts, in the run's folder."""
-    folder = lake.dataset("silver", "export", run.run_id)
+    """SNK-6: the rows as CSV (UTF-8 with a byte-order mark) and JSON lines, their counts, and the run's snapshot of the CSV.
+
+    The latest run's CSV is replaced with every run, snapshots stay.
+    """
+    folder, latest = lake.dataset("silver", "export", run.run_id), f"{lake.root}/silver/export/latest"
     flat = df.withColumn("tags", F.array_join("tags", ", ")) if "tags" in df.columns else df
-    flat.write.mode("overwrite").csv(f"{folder}/csv", header=True, escape='"')
+    flat = flat.withColumnRenamed(flat.columns[0], f"\ufeff{flat.columns[0]}")
+    for path in (f"{folder}/csv", f"{latest}/csv"):
+        flat.write.mode("overwrite").csv(path, header=True, escape='"')
     df.write.mode("overwrite").json(f"{folder}/json", ignoreNullFields=False)
     stats(df).write.mode("overwrite").json(f"{folder}/stats")
 
 
-def own_queries(df: DataFrame, encoder: Encoder, sample: int = 300) -> DataFrame:
-    """VEC-7: (query_id, embedding) of a seeded sample of rows, each asked for by its own disambiguated text."""
-    asked = hash_sample(df.withColumn("query", query_text()).select("entity_id", "query"), "entity_id", sample)
+def own_queries(df: DataFrame, encoder: Encoder, sample: int = 300, query: Column | None = None) -> DataFrame:
+    """VEC-7: (query_id, embedding) of a seeded sample of the rows with a title, each asked for by its title.
+
+    ``query``: another text, as :func:`~lakecraft.operators.vectors.query_text`, which tells equal titles apart.
+    """
+    asked = df.where(missing_to_null("titulo").isNotNull()).withColumn("query", F.col("titulo") if query is None else query)
+    asked = hash_sample(asked.select("entity_id", "query"), "entity_id", sample)
     return embed(asked, encoder, text="query").select(F.col("entity_id").alias("query_id"), "embedding")
 
 
+def contract(lake: Lake, run: Run, encoder: Encoder) -> str:
+    """SNK-8: what the vectors of a run are, beside them."""
+    told = {"run_id": run.run_id, "embedding_model": encoder.name, "embedding_dim": encoder.dimension, "embedding_similarity": "cosine", "normalize_embeddings": True, "generated_at_utc": run.run_ts}
+    path = f"{lake.root}/gold/_contract_{run.run_id}.json"
+    lake.write_text(path, json.dumps(told, ensure_ascii=False))
+    return path
+
+
 def gold(lake: Lake, run: Run, df: DataFrame, state: DataFrame | None = None) -> DataFrame | None:
     """Catalog, vectors, metadata, export and the new serving states; a rehearsal writes no state."""
     catalog = lake.write(conform(df, GOLD_CATALOG), "gold", "catalog_eventos", run.run_id)
@@ -109,11 +128,12 @@ def gold(lake: Lake, run: Run, df: DataFrame, state: DataFrame | None = None) ->
     if run.encoder is not None:
         manifest.vectors_path = lake.write(conform(embed(df, run.encoder), GOLD_VECTORS), "gold", "vectors", run.run_id)
         lake.write(metadata(df), "gold", "metadata", run.run_id)
+        contract(lake, run, run.encoder)
         vectors, queries = lake.read("gold", "vectors", run.run_id), own_queries(df, run.encoder)
         manifest.vector_count, manifest.model_name, manifest.embedding_dim = vectors.count(), run.encoder.name, run.encoder.dimension
         if manifest.vector_count != manifest.catalog_count:
             raise ValueError(f"{manifest.vector_count} vectors for {manifest.catalog_count} rows")
-    run.reports["gold"] = quality.check_gold(vectors, declared=manifest.vector_count, dimension=manifest.embedding_dim, queries=queries)
+    run.reports["gold"] = quality.check_gold(vectors, declared=manifest.vector_count, declared_dimension=manifest.embedding_dim, dimension=manifest.embedding_dim, queries=queries)
     poi_catalog(df, vectors).write.mode("overwrite").json(f"{lake.dataset('gold', 'poi_catalog', run.run_id)}")
     lake.write_manifest(manifest)
     if run.dry_run:

@@ -127,7 +127,7 @@ def q_html_links(spark, d):
     return table(spark, d, "pages").select("page_id", s.links("html").alias("l")).select("page_id", F.size("l").cast("bigint").alias("n_links"), F.array_join("l", " ").alias("links"))
 
 
-@query("select p_partkey, p_brand brand, p_type kind, case when p_partkey % 3 = 0 then 3 else 2 end::bigint n from part")
+@query("select p_partkey, 'otra' brand, p_type kind, case when p_partkey % 3 = 0 then 3 else 2 end::bigint n from part")
 def q_html_li_map(spark, d):
     html = F.concat(F.lit("<ul><li><strong>Marca:</strong> "), "p_brand", F.lit("</li>\n<li class='x'><strong>Tipo :</strong><i>"), "p_type", F.lit("</i></li><li><strong>Marca:</strong> otra</li>"), F.when(F.col("p_partkey") % 3 == 0, "<li><b>Más</b> x</li>").otherwise("<li><b> : </b> y</li>"), F.lit("</ul>"))
     return table(spark, d, "part").select("p_partkey", s.list_map(html).alias("m")).select("p_partkey", F.try_element_at("m", F.lit("Marca")).alias("brand"), F.try_element_at("m", F.lit("Tipo")).alias("kind"), F.size("m").cast("bigint").alias("n"))

@@ -18,7 +18,7 @@ def _schema(text: str) -> T.StructType:
 SILVER = _schema("entity_id string, entity_type string, event_id string, poi_id string, poi_id_version string, titulo string, descripcion string, tipo string, categoria_normalizada string, fecha_inicio date, fecha_fin date, hora_inicio string, lugar string, direccion string, distrito string, ciudad string, imagen_url string, precio string, url_origen string, url_evento string, fuente string, tags array<string>, geo_hash string, lat double, lng double, place_id string, rating double, ratings_total bigint, categoria_google string, resumen_reviews string, texto_embedding string, fecha_run date, scraped_at timestamp, schema_version string")
 GOLD_CATALOG = _schema("entity_id string, entity_type string, poi_id string, titulo string, descripcion string, tipo string, fecha_inicio date, fecha_fin date, hora_inicio string, lugar string, direccion string, distrito string, ciudad string, imagen_url string, precio string, url_origen string, fuente string, tags array<string>, geo_hash string, lat double, lng double, rating double, fecha_run date, schema_version string")
 GOLD_VECTORS = _schema("entity_id string, titulo string, tipo string, fuente string, fecha_inicio date, texto_embedding string, embedding array<float>, model_name string, schema_version string")
-REQUIRED = ("entity_id", "entity_type", "titulo", "url_origen", "fuente", "texto_embedding", "fecha_run", "scraped_at")
+REQUIRED = ("entity_id", "entity_type", "titulo", "fuente", "url_origen", "texto_embedding", "scraped_at", "fecha_run")
 CRITICAL = ("entity_id", "entity_type", "titulo", "fuente", "texto_embedding")
 SOURCES = ("bnp", "mali", "joinnus", "google_places")
 DIMENSION = 384

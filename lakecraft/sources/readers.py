@@ -29,12 +29,6 @@ def read_envelope(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(items).alias("item")).select(F.to_json("item").alias("item"))
 
 
-def page_count(response: str, size: int) -> F.Column:
-    """SRC-3: pages of an API answer (JSON text in a column): what it says, else the total over the page size."""
-    at = lambda p: F.get_json_object(response, f"$.{p}").try_cast("int")
-    return F.coalesce(F.greatest(at("totalPages"), at("total_pages"), at("pages"), at("lastPage")), F.ceil(F.greatest(at("total"), at("count"), at("totalItems"), at("total_count")) / size).cast("int"))
-
-
 def read_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """SRC-8: the file of the last name that matches, as texts."""
     files = spark.read.format("binaryFile").load(pattern).select("path").orderBy(F.desc("path")).limit(1).collect()  # names only

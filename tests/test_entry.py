@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from lakecraft.plans import catalog_queries  # noqa: F401  registers its queries
+from lakecraft.plans import catalog_queries, page_queries  # noqa: F401  they register their queries
 from lakecraft.plans.queries import QUERIES, SQL
 from lakecraft.streaming.ingest import stream_into_state, windowed_counts
 

@@ -105,7 +105,11 @@ def test_pages(ev):
 def test_urls(ev):
     base = "https://shop.example"
     assert ev(lambda c: s.plain_url(c, base), "/events/a/b/?q#f") == f"{base}/events/a/b"
-    assert ev(lambda c: s.item_url([c], F.lit("slug"), "Arte & Cultura", base), None) == f"{base}/events/arte-cultura/slug"
+    assert ev(lambda c: s.item_url([c], F.lit("slug"), "Arte & Cultura", base), None) == f"{base}/events/arte--cultura/slug"
     assert ev(lambda c: s.item_url([c], F.lit(None).cast("string"), "x", base), "/events/a/b") == f"{base}/events/a/b"
+    for foreign in ("https://blog.example/events/x", "https://blog.example/post", f"{base}/blog/x", "events"):
+        assert ev(lambda c: s.item_url([c], F.lit(" /slug/ "), "teatro", base), foreign) == f"{base}/events/teatro/slug"
+    assert ev(lambda c: s.category_slug(c, "arte"), "  Música \t y Más ") == "msica-y-ms"
+    assert ev(lambda c: s.category_slug(c, "arte"), "ñ") == "arte"
     assert ev(s.percent_encode, "a b/ñ") == "a%20b%2F%C3%B1"
     assert ev(s.category_in_url, f"{base}/events/teatro/x") == "teatro"
