@@ -25,13 +25,18 @@ from pyspark.sql import functions as F
 from .shared import materialise, text_of
 
 
+BLOCK = 64  # slots between two stored offsets
+
+
 @dataclass
 class CountingQuotientFilter:
     """``runs[i]`` fingerprints have the quotient ``first + i``; remainders are sorted within a run.
 
-    In bytes it is what such a filter is: for each quotient a bit whether its run is there, for each slot a bit whether its
-    run ends there, and the remainders with no more bits than they have. ``quotient_bits`` of a fingerprint's 64 bits address the run. ``segment`` of ``segments`` equal
-    parts of the address space is held here.
+    The first ``quotient_bits`` of a fingerprint's 64 bits address its run. By default there are as many quotients as
+    entries, up to a power of two, so a run has one entry on average. ``segment`` of 2**``segment_bits`` equal parts of the
+    address space is held here. In bytes: for each quotient a bit whether its run is there, for each entry a bit whether
+    its run ends there, the number of entries before every ``BLOCK`` quotients, the remainders with no more bits than they
+    have, the counters. A lookup reads one block of these and one run.
     """
 
     quotient_bits: int
@@ -42,8 +47,10 @@ class CountingQuotientFilter:
     counts: np.ndarray
 
     @classmethod
-    def of_sorted(cls, fingerprints: np.ndarray, counts: np.ndarray, segment: int, quotient_bits: int, segment_bits: int) -> CountingQuotientFilter:
+    def of_sorted(cls, fingerprints: np.ndarray, counts: np.ndarray, segment: int, segment_bits: int, quotient_bits: int | None = None) -> CountingQuotientFilter:
         """From ascending distinct fingerprints of one segment."""
+        if quotient_bits is None:
+            quotient_bits = min(63, segment_bits + max(1, (len(fingerprints) - 1).bit_length()))
         shift = np.uint64(64 - quotient_bits)
         quotients = (fingerprints >> shift).astype(np.int64) - (segment << (quotient_bits - segment_bits))
         runs = np.bincount(quotients, minlength=1 << (quotient_bits - segment_bits)).astype(np.uint32)
@@ -54,6 +61,21 @@ class CountingQuotientFilter:
         quotients = np.repeat(np.arange(first, first + len(self.runs), dtype=np.uint64), self.runs)
         return (quotients << np.uint64(64 - self.quotient_bits)) | self.remainders
 
+    def count_of(self, fingerprint: int) -> int:
+        """How often a fingerprint of the segment was counted; looks at one block of quotients and one run."""
+        quotient = (fingerprint >> (64 - self.quotient_bits)) - (self.segment << (self.quotient_bits - self.segment_bits))
+        block = quotient // BLOCK * BLOCK
+        start = int(self.offsets()[quotient // BLOCK]) + int(self.runs[block:quotient].sum())
+        run = self.remainders[start : start + int(self.runs[quotient])]
+        at = int(np.searchsorted(run, np.uint64(fingerprint & ((1 << (64 - self.quotient_bits)) - 1))))
+        found = at < len(run) and int(run[at]) == fingerprint & ((1 << (64 - self.quotient_bits)) - 1)
+        return int(self.counts[start + at]) if found else 0
+
+    def offsets(self) -> np.ndarray:
+        """The number of entries before each block of quotients."""
+        before = np.concatenate(([0], np.cumsum(self.runs, dtype=np.int64)))
+        return before[: len(self.runs) : BLOCK].astype(np.uint32)
+
     def merged(self, other: CountingQuotientFilter) -> CountingQuotientFilter:
         """Merge by sorted remainders: two ascending sequences become one, equal entries add their counters."""
         a, b = self.fingerprints(), other.fingerprints()
@@ -67,7 +89,7 @@ class CountingQuotientFilter:
         if not len(both):
             return self
         new = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
-        return self.of_sorted(both[new], np.add.reduceat(counts, new), self.segment, self.quotient_bits, self.segment_bits)
+        return self.of_sorted(both[new], np.add.reduceat(counts, new), self.segment, self.segment_bits)
 
     def to_bytes(self) -> bytes:
         small = self.counts.clip(max=255).astype(np.uint8)
@@ -75,11 +97,13 @@ class CountingQuotientFilter:
         ends = np.zeros(len(self.remainders), bool)
         ends[np.cumsum(self.runs[self.runs > 0].astype(np.int64)) - 1] = True
         bits = np.unpackbits(self.remainders.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, self.quotient_bits :]
-        return b"".join([len(self.remainders).to_bytes(8, "little"), np.packbits(self.runs > 0).tobytes(), np.packbits(ends).tobytes(), np.packbits(bits).tobytes(), small.tobytes(), large.astype("<i8").tobytes()])
+        head = len(self.remainders).to_bytes(8, "little") + self.quotient_bits.to_bytes(1, "little")
+        return b"".join([head, np.packbits(self.runs > 0).tobytes(), np.packbits(ends).tobytes(), self.offsets().tobytes(), np.packbits(bits).tobytes(), small.tobytes(), large.astype("<i8").tobytes()])
 
     @classmethod
-    def from_bytes(cls, raw: bytes, segment: int, quotient_bits: int, segment_bits: int) -> CountingQuotientFilter:
-        n, slots, at = int.from_bytes(raw[:8], "little"), 1 << (quotient_bits - segment_bits), 8
+    def from_bytes(cls, raw: bytes, segment: int, segment_bits: int) -> CountingQuotientFilter:
+        n, quotient_bits, at = int.from_bytes(raw[:8], "little"), raw[8], 9
+        slots = 1 << (quotient_bits - segment_bits)
 
         def bits(count: int) -> np.ndarray:
             nonlocal at
@@ -89,6 +113,7 @@ class CountingQuotientFilter:
             return out
 
         there, ends = bits(slots).astype(bool), bits(n).astype(bool)
+        at += 4 * -(-slots // BLOCK)  # the offsets follow from the bits before them
         runs = np.zeros(slots, np.uint32)
         runs[there] = np.diff(np.flatnonzero(ends), prepend=-1)
         wide = np.zeros((n, 64), np.uint8)
@@ -100,7 +125,7 @@ class CountingQuotientFilter:
         return cls(quotient_bits, segment_bits, segment, runs, remainders, counts)
 
 
-def build_filters(quotient_bits: int, segment_bits: int, flush: int):
+def build_filters(segment_bits: int, flush: int):
     """Partition function: fingerprints in, (segment, filter) rows out; at most ``flush`` distinct ones are held."""
 
     def emit(values: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -109,7 +134,7 @@ def build_filters(quotient_bits: int, segment_bits: int, flush: int):
         rows = []
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             s = int(segments[lo])
-            rows.append((s, CountingQuotientFilter.of_sorted(values[lo:hi], counts[lo:hi], s, quotient_bits, segment_bits).to_bytes()))
+            rows.append((s, CountingQuotientFilter.of_sorted(values[lo:hi], counts[lo:hi], s, segment_bits).to_bytes()))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["segment", "filter"])
 
@@ -128,7 +153,7 @@ def build_filters(quotient_bits: int, segment_bits: int, flush: int):
     return run
 
 
-def merge_filters(quotient_bits: int, segment_bits: int):
+def merge_filters(segment_bits: int):
     """Partition function over rows sorted by segment: merges each segment's filters, returns repeated fingerprints."""
 
     def repeated(filter_: CountingQuotientFilter | None) -> Iterator[pa.RecordBatch]:
@@ -150,7 +175,7 @@ def merge_filters(quotient_bits: int, segment_bits: int):
                 if segment != at:
                     yield from repeated(drained())
                     at = segment
-                new = CountingQuotientFilter.from_bytes(raw.as_py(), segment, quotient_bits, segment_bits)
+                new = CountingQuotientFilter.from_bytes(raw.as_py(), segment, segment_bits)
                 while held and len(held[-1].remainders) <= len(new.remainders):
                     new = held.pop().merged(new)
                 held.append(new)
@@ -159,20 +184,29 @@ def merge_filters(quotient_bits: int, segment_bits: int):
     return run
 
 
-SEGMENT_ROWS, RUN_BITS = 1 << 18, 4
+SEGMENT_ROWS = 1 << 18
+SLOTS = 1 << 20
 
 
-def repeated_fingerprints(rows: DataFrame, *, quotient_bits: int | None = None, segment_bits: int | None = None, flush: int = 1 << 20) -> DataFrame:
+def repeated_fingerprints(rows: DataFrame, *, segment_bits: int | None = None, flush: int = 1 << 20) -> DataFrame:
     """(fingerprint, copies) of the fingerprints that more than one row of ``rows.fingerprint`` has.
 
     ``segment_bits``: the merge has 2**segment_bits independent parts, by default so many that each has
-    ``SEGMENT_ROWS`` of the rows at most, up to hash variance. ``quotient_bits``: ``RUN_BITS`` more by default.
+    ``SEGMENT_ROWS`` of the rows at most, up to hash variance.
     """
     if segment_bits is None:
         segment_bits = max(8, (rows.count() // SEGMENT_ROWS).bit_length())
-    quotient_bits = segment_bits + RUN_BITS if quotient_bits is None else quotient_bits
-    filters = rows.select("fingerprint").mapInArrow(build_filters(quotient_bits, segment_bits, flush), "segment int, filter binary")
-    return filters.repartition("segment").sortWithinPartitions("segment").mapInArrow(merge_filters(quotient_bits, segment_bits), "fingerprint long, copies long")
+    filters = rows.select("fingerprint").mapInArrow(build_filters(segment_bits, flush), "segment int, filter binary")
+    return filters.repartition("segment").sortWithinPartitions("segment").mapInArrow(merge_filters(segment_bits), "fingerprint long, copies long")
+
+
+def on_repeated_slots(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows whose fingerprint falls on the slot of a repeated one, without an exchange of the others.
+
+    There are ``SLOTS`` slots, so what is broadcast is bounded; the fewer fingerprints are repeated, the fewer rows pass.
+    """
+    slot = F.pmod(F.xxhash64("fingerprint"), F.lit(SLOTS)).alias("slot")
+    return rows.withColumn("slot", slot).join(F.broadcast(repeated.select(slot).distinct()), "slot", "left_semi")
 
 
 def exact_dedup(docs: DataFrame, **options: int) -> DataFrame:
@@ -191,7 +225,7 @@ def exact_dedup(docs: DataFrame, **options: int) -> DataFrame:
     repeated = materialise(repeated_fingerprints(ids, **options), "dedup-repeated")
     # Byte verification: texts with a repeated fingerprint are grouped by their bytes. Equal rows of a task are combined
     # before the shuffle; the digest takes the text's place afterwards.
-    routed = rows.join(repeated.select("fingerprint"), "fingerprint", "left_semi")
+    routed = on_repeated_slots(rows, repeated).join(repeated.select("fingerprint"), "fingerprint", "left_semi")
     groups = routed.groupBy("fingerprint", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = groups.select("fingerprint", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
     found = ids.join(materialise(groups, "dedup-groups"), ["fingerprint", "text_sha256"], "left")
