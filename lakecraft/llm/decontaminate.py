@@ -7,7 +7,8 @@ position), along which the overlap is verified word by word: the segment of the
 counting one and a substitution minus four, must reach ``min_words`` matching words. The edges that such a
 segment loses to a substitution weigh in short items (of up to four words more than ``min_words``): one overlaps
 also where four fifths of its words match on the diagonal. A short item is cut into one part more than words
-may differ, and the parts are seeds too, so none of these places is missed.
+may differ, and the parts are seeds too, so none of these places is missed. Items of fewer than ``least_item`` words, such as
+an answer of one word, are no passages: clean texts hold them by chance. They overlap nothing; ``short_items`` reports them.
 
 The documents are scanned once, however large the benchmark is. What is broadcast is a Bloom filter of the
 benchmark's seeds of ``MOST_BITS`` bits at most: a fuller one lets more seeds pass, it loses none. Passing seeds
@@ -33,6 +34,7 @@ from .wordhash import mix, word_hashes
 MASKS = ("110100101011", "101100011011", "111001000111", "100111010011")
 #: What a substitution costs a segment, and the share (in fifths) of a short item that has to match.
 COST, FIFTHS = 4, 4
+LEAST_ITEM = 8
 MOST_BITS, BITS_A_SEED, MOST_PROBES = 1 << 28, 32, 6
 SLOTS = 1 << 20
 CELLS = 1 << 18  # of words against words at a time when diagonals are scored
@@ -246,7 +248,13 @@ def verify(min_words: int, types: list[pa.DataType]):
 _FOUND = ["doc_id", "th", "item", "item_id", "start_word", "n_words", "matched", "coverage"]
 
 
-def _overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int) -> DataFrame:
+def short_items(benchmark: DataFrame, *, least_item: int = LEAST_ITEM) -> DataFrame:
+    """(item_id, n_words) of the items that are too short to contaminate; null and empty ones have no words."""
+    words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    return text_of(benchmark, "item_id", "text").select("item_id", words.alias("n_words")).where(F.col("n_words") < least_item)
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int, least_item: int) -> DataFrame:
     """(doc_id, th, item, item_id, start_word, n_words, matched, coverage), written; ``th`` is the hash of the text, ``item`` a number."""
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -256,7 +264,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int) -> DataFram
     many = "seeds array<struct<seed bigint, places array<int>>>"
     item_kind = to_arrow_type(of_item)
     items = text_of(benchmark, "item_id", "text").distinct().mapInArrow(tidy(read_items(min_words, item_kind)), f"item bigint, item_id {of_item.simpleString()}, n bigint, words binary, {many}")
-    items = materialise(items.where("n > 0"), "benchmark-items")
+    items = materialise(items.where(F.col("n") >= max(1, least_item)), "benchmark-items")
     known = items.select("item", F.inline("seeds").alias("seed", "i"))
     told = items.agg(F.max("n"), F.collect_set(F.when(F.col("n") <= min_words + COST, F.col("n")))).first()  # lengths of short items, a few
     if not told[0]:
@@ -275,7 +283,7 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int) -> DataFram
         shared.unpersist()
 
 
-def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13) -> DataFrame:
+def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13, least_item: int = LEAST_ITEM) -> DataFrame:
     """Every (document, benchmark item) with a verified overlap.
 
     Returns doc_id, item_id, start_word (first word of the overlap in the document, from 0), n_words (its
@@ -285,14 +293,15 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, *, min_words: int
     Null and empty texts on either side overlap nothing. A null doc_id or item_id stays null in the result.
     Rows repeated in ``docs`` or ``benchmark`` (same id and text) give one row. Texts are scanned whole.
     Empty tables give no rows; other columns are ignored. An item of up to ``min_words`` + 4 words
-    overlaps also where at least four fifths of its words match in place, one of fewer than five words verbatim only.
+    overlaps also where at least four fifths of its words match in place. One of fewer than ``least_item`` words overlaps
+    nothing (see :func:`short_items`); where that is set below five, items of fewer than five words overlap verbatim only.
     """
     best = F.min(F.struct((-F.col("matched")).alias("m"), "start_word", "n_words", "matched", "coverage")).alias("b")
-    each = _overlaps(docs, benchmark, min_words).groupBy("doc_id", "th", "item", "item_id").agg(best)
+    each = _overlaps(docs, benchmark, min_words, least_item).groupBy("doc_id", "th", "item", "item_id").agg(best)
     return each.select("doc_id", "item_id", "b.start_word", "b.n_words", "b.matched", "b.coverage").distinct().withColumn("contaminated", F.lit(True))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int = 13, least_item: int = LEAST_ITEM) -> DataFrame:
     """``docs``, all columns, without the rows that overlap a benchmark item.
 
     Rules as in :func:`benchmark_overlaps`; rows whose text is null or empty stay. A row goes if its doc_id and
@@ -301,7 +310,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_words: int =
     """
     names = [f"c{k}" for k in range(len(docs.columns))]
     doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
-    found = _overlaps(docs, benchmark, min_words).select("doc_id", "th").distinct()
+    found = _overlaps(docs, benchmark, min_words, least_item).select("doc_id", "th").distinct()
     slot = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(SLOTS))
     marked = F.broadcast(found.select(slot("doc_id", "th").alias("slot")).distinct())
     th = F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))

@@ -57,9 +57,9 @@ def test_edges(spark, bits, monkeypatch):
     items = [(1, "a short item"), (2, None), (None, "Alpha, beta; gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"), (4, "!!!"), (1, "a short item")]
     docs = [(1, "here is A SHORT item indeed", 0), (2, None, 0), (None, "a short item", 0), (3, "", 0), (4, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu", 0), (5, "word " * 50_000 + "a short item", 0), (6, "short item", 0), (1, "here is A SHORT item indeed", 0)]
     frame, bench = spark.createDataFrame(docs, "doc_id long, text string, matched int"), spark.createDataFrame(items, "item_id long, text string")
-    got = sorted(((r.doc_id, r.item_id, r.start_word, r.matched) for r in benchmark_overlaps(frame, bench).collect()), key=str)
+    got = sorted(((r.doc_id, r.item_id, r.start_word, r.matched) for r in benchmark_overlaps(frame, bench, least_item=3).collect()), key=str)
     assert got == sorted([(1, 1, 2, 3), (None, 1, 0, 3), (4, None, 0, 13), (5, 1, 50_000, 3)], key=str)
-    assert sorted((r.doc_id for r in drop_contaminated(frame, bench).collect())) == [2, 3, 6]
+    assert sorted((r.doc_id for r in drop_contaminated(frame, bench, least_item=3).collect())) == [2, 3, 6]
     none = spark.createDataFrame([], "item_id long, text string")
     assert benchmark_overlaps(frame, none).count() == 0 and drop_contaminated(frame, none).count() == len(docs)
     assert benchmark_overlaps(frame.limit(0), bench).count() == 0
@@ -84,6 +84,36 @@ def test_repeated_words(spark):
     assert got == {(1, 1): (0, 800), (2, 2): (1, 600)}
 
 
+def best_place(w, b, least):
+    """(start, words, matches) by all segments of all diagonals: the highest sum of a diagonal, then most matches, then the first."""
+    found = []
+    for d in range(-len(b) + 1, len(w)):
+        lo, hi = max(0, d), min(len(w), d + len(b))
+        equal = [w[p] == b[p - d] for p in range(lo, hi)]
+        score, end, start = max((sum(1 if x else -4 for x in equal[s:e]), -e, s) for e in range(1, len(equal) + 1) for s in range(e))
+        matched = sum(equal[start:-end])
+        if matched >= least:
+            found.append((-matched, lo + start, -end - start))
+    return min(found, default=None)
+
+
+def test_places_and_lengths(spark):
+    rng = random.Random(23)
+    items = [(i, " ".join(f"b{rng.randrange(40)}" for _ in range(rng.randrange(18, 30)))) for i in range(4)]
+    docs = []
+    for i in range(16):
+        text = [f"f{rng.randrange(40)}" for _ in range(rng.randrange(1, 30))]
+        for _ in range(rng.randrange(1, 3)):
+            passage = rng.choice(items)[1].split()
+            for k in rng.sample(range(len(passage)), rng.randrange(0, 4)):
+                passage[k] = "other"
+            text += passage[rng.randrange(0, 3) :] + ["x"] * rng.randrange(0, 3)
+        docs.append((i, " ".join(text)))
+    got = benchmark_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = {(d, i): best_place(words(t), words(p), 13) for d, t in docs for i, p in items}
+    assert {(r.doc_id, r.item_id): (-r.matched, r.start_word, r.n_words) for r in got.collect()} == {k: v for k, v in want.items() if v}
+
+
 def test_one_scan_whatever_the_benchmark(spark):
     rng = random.Random(5)
     items = [(i, " ".join(f"b{rng.randrange(9000)}" for _ in range(30))) for i in range(3000)]
@@ -105,3 +135,13 @@ def test_seeds_survive_substitutions():
             tried += 1
             missed += not any((decontaminate.seeds(text, m) == decontaminate.seeds(item, m)).any() for m in decontaminate.MASKS)
     assert tried > 10_000 and missed == 0
+
+
+def test_items_too_short_to_contaminate(spark):
+    docs = [(i, f"yes it is document {i} with the answer forty two and more words of its own") for i in range(20)]
+    items = [(1, "yes"), (2, "forty two"), (3, "It is!"), (4, ""), (5, None), (6, "alpha beta gamma delta epsilon zeta eta"), (7, "one two three four five six seven eight")]
+    frame, bench = spark.createDataFrame(docs + [(99, items[-1][1]), (98, items[-2][1])], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(r.doc_id for r in drop_contaminated(frame, bench).collect()) == [*range(20), 98]
+    assert {(r.doc_id, r.item_id) for r in benchmark_overlaps(frame, bench).collect()} == {(99, 7)}
+    assert sorted((r.item_id, r.n_words) for r in decontaminate.short_items(bench).collect()) == [(1, 1), (2, 2), (3, 2), (4, 0), (5, 0), (6, 7)]
+    assert benchmark_overlaps(frame, bench, least_item=1).where("item_id = 1").count() == 20
