@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,7 +181,9 @@ def q_dedup_catalog(spark, d):
 
 
 def _coordinates(address: str) -> tuple[float, float] | None:
-    """A provider for the geocoding queries: knows addresses of odd length."""
+    """A provider for the geocoding queries: knows addresses of odd length, breaks on those with an x at their end."""
+    if address.endswith("x, Lima, Perú") and len(address) % 2 == 0:
+        raise OSError("no route")
     return (float(len(address)), -1.0) if len(address) % 2 else None
 
 
@@ -196,11 +198,12 @@ def q_geocode(spark, d):
 
 
 @query("""with r as (select c_custkey k, case when c_custkey % 4 <> 3 and c_custkey % 4 <> 1 then coalesce(case c_custkey % 2 when 0 then c_name end, 'Sala ' || (c_custkey % 7) || case when c_custkey % 3 = 0 then 'x' else '' end || ', Lima, Perú') end a from customer)
-    select distinct a address from r where a is not null and length(a) % 2 = 0 and a not in (select c_name from customer where c_custkey % 5 = 0 and c_custkey % 2 = 0)""")
+    select 'c' || k id, a address, case when a like '%x, Lima, Perú' then 'OSError: no route' else 'no results' end reason from r
+    where a is not null and length(a) % 2 = 0 and a not in (select c_name from customer where c_custkey % 5 = 0 and c_custkey % 2 = 0)""")
 def q_rejected_addresses(spark, d):
-    """SNK-13: what the provider has no coordinates for."""
+    """SNK-13: rows that the provider has no coordinates for, or breaks on, each with the reason."""
     rows, cache = _geocoding(spark, d)
-    return enrich.geocode(rows, cache, _coordinates)[2]
+    return enrich.geocode(rows.withColumn("poi_id", F.concat(F.lit("c"), "k")), cache, _coordinates)[2]
 
 
 def _geocoding(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -300,12 +303,18 @@ def q_place_text(spark, d):
 def q_enriched_text(spark, d):
     """TXT-8, ARR-3, WIN-6, ENR-1: the first rows only, twenty tags at most, null where the model fails."""
 
-    def model(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = [int(x[1:]) for x in pdf["entity_id"]]
-        return pd.DataFrame({"entity_id": pdf["entity_id"], "ai_tags": [[f"t{j}" for j in range(1, 31)] if i % 3 else None for i in n], "ai_summary": [f"resumen {i}" if i % 3 else None for i in n]})
+    class Model:
+        def text(self, event: dict) -> str:
+            n = int(event["titulo"])
+            if n % 3 == 0:
+                raise OSError("down") if n % 2 else ValueError("busy")
+            return json.dumps({"tags": [f" t{j} " for j in range(1, 31)] + [""], "summary": f"resumen {n} "})
 
-    rows = table(spark, d, "part").select(F.format_string("e%09d", "p_partkey").alias("entity_id"), F.lit(None).cast("string").alias("fecha_inicio"), F.col("p_name").alias("titulo"), F.lit("d").alias("descripcion"), F.lit("texto").alias("texto_embedding"))
-    return enrich.enrich(rows, model, most=30).select(F.substring("entity_id", 2, 9).cast("bigint").alias("k"), F.col("texto_embedding").alias("texto"))
+        def caption(self, image_url: str) -> str | None:
+            return None
+
+    rows = table(spark, d, "part").select(F.format_string("e%09d", "p_partkey").alias("entity_id"), F.lit(None).cast("string").alias("fecha_inicio"), F.col("p_partkey").cast("string").alias("titulo"), F.lit("d").alias("descripcion"), F.lit("texto").alias("texto_embedding"))
+    return enrich.enrich(rows, Model(), most=30).select(F.substring("entity_id", 2, 9).cast("bigint").alias("k"), F.col("texto_embedding").alias("texto"))
 
 
 @query("""select s_suppkey k, 'Av.%20' || s_suppkey || '%2C%20Per%C3%BA%20%26%20m%C3%A1s' encoded from supplier""")

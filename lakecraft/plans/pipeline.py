@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import missing_to_null
 from ..operators import lifecycle, quality
 from ..operators.dedup import hash_sample, in_order
-from ..operators.enrich import Geocoder, geocode
+from ..operators.enrich import Geocoder, Model, enrich, geocode
 from ..operators.normalize import conform, documents_of, metadata, normalize_all, poi_catalog
+from ..operators.providers import Pace
 from ..operators.vectors import Encoder, embed
 from ..schemas import GOLD_CATALOG, GOLD_VECTORS, SILVER, SOURCES
 from ..sources.lake import BronzeEntry, BronzeManifest, GoldManifest, Lake, SilverManifest
@@ -30,6 +31,9 @@ class Run:
     encoder: Encoder | None = None
     geocoder: Geocoder | None = None
     cache: DataFrame | None = None
+    model: Model | None = None
+    most_enriched: int = 200
+    pace: Pace = Pace()
     dry_run: bool = False
     policy: str = "hard"
     most_missed: int = 2
@@ -58,15 +62,14 @@ def bronze(lake: Lake, run: Run) -> dict[str, DataFrame]:
 
 
 def _geocoded(lake: Lake, run: Run, rows: DataFrame) -> DataFrame:
-    """Rows with coordinates; answers, cache and rejected addresses are written, the next run begins with this run's cache."""
+    """Rows with coordinates; answers, cache and rejected rows are written, the next run begins with this run's cache.
 
-    def keep(answers: DataFrame) -> DataFrame:
-        lake.write(answers, "silver", "geocode_answers", run.run_id)
-        return lake.read("silver", "geocode_answers", run.run_id)
+    A run that is started again under its id asks for the addresses that have no coordinates yet.
+    """
 
     before = lake.previous("silver", "geocode_cache", run.run_id)
     known = run.cache if run.cache is not None else lake.read("silver", "geocode_cache", before) if before else lake.spark.createDataFrame([], "address string, lat double, lng double")
-    out, cache, rejected = geocode(rows, known, run.geocoder, keep=keep)
+    out, cache, rejected = geocode(rows, known, run.geocoder, pace=run.pace, path=lake.dataset("silver", "geocode_answers", run.run_id))
     lake.write(cache, "silver", "geocode_cache", run.run_id)
     lake.write(rejected, "silver", "geocode_rejected", run.run_id)
     return out
@@ -122,6 +125,10 @@ def contract(lake: Lake, run: Run, encoder: Encoder) -> str:
 
 def gold(lake: Lake, run: Run, df: DataFrame, state: DataFrame | None = None) -> DataFrame | None:
     """Catalog, vectors, metadata, export and the new serving states; a rehearsal writes no state."""
+    if run.model is not None:
+        told = enrich(df, run.model, most=run.most_enriched, pace=run.pace, path=lake.dataset("gold", "model_answers", run.run_id))
+        lake.write(told, "gold", "enriched", run.run_id)
+        df = lake.read("gold", "enriched", run.run_id, df.schema)
     catalog = lake.write(conform(df, GOLD_CATALOG), "gold", "catalog_eventos", run.run_id)
     manifest = GoldManifest(run.run_id, run.run_ts, catalog, lake.read("gold", "catalog_eventos", run.run_id).count())
     vectors, queries = None, None
