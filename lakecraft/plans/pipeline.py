@@ -19,6 +19,7 @@ from ..operators.vectors import Encoder, embed
 from ..schemas import GOLD_CATALOG, GOLD_VECTORS, SILVER, SOURCES
 from ..sources.lake import BronzeEntry, BronzeManifest, GoldManifest, Lake, SilverManifest
 from ..sources.readers import line_counts, read_jsonl
+from ..sources.serving import BucketStore
 
 Source = Callable[[SparkSession], DataFrame]
 
@@ -123,8 +124,8 @@ def contract(lake: Lake, run: Run, encoder: Encoder) -> str:
     return path
 
 
-def gold(lake: Lake, run: Run, df: DataFrame, state: DataFrame | None = None) -> DataFrame | None:
-    """Catalog, vectors, metadata, export and the new serving states; a rehearsal writes no state."""
+def gold(lake: Lake, run: Run, df: DataFrame) -> DataFrame | None:
+    """Catalog, vectors, metadata, export and the serving states, of which the catalog's is returned; a rehearsal writes no state."""
     if run.model is not None:
         told = enrich(df, run.model, most=run.most_enriched, pace=run.pace, path=lake.dataset("gold", "model_answers", run.run_id))
         lake.write(told, "gold", "enriched", run.run_id)
@@ -147,13 +148,16 @@ def gold(lake: Lake, run: Run, df: DataFrame, state: DataFrame | None = None) ->
         return None
     full = lifecycle.is_full_run(list(run.sources), SOURCES, run.dry_run)
     rules = {"full_run": full, "policy": run.policy, "most_missed": run.most_missed}
-    new = lifecycle.step(state, documents_of(df).drop("fecha_run", "scraped_at"), run.run_id, run.run_ts, **rules)
-    lake.write(new, "serving", "catalog", run.run_id)  # a new path: the state that is read is never overwritten
+    served = serving(lake, "catalog")
+    served.apply(documents_of(df).drop("fecha_run", "scraped_at"), run.run_id, lambda old, new: lifecycle.step(old, new, run.run_id, run.run_ts, **rules), full_run=full)
     if vectors is not None:
-        before = lake.previous("serving", "vectors", run.run_id)
-        own = lake.read("serving", "vectors", before) if before else None
-        lake.write(lifecycle.vector_step(own, vectors, df, run.run_id, run.run_ts, **rules), "serving", "vectors", run.run_id)
-    return lake.read("serving", "catalog", run.run_id)
+        serving(lake, "vectors").apply(vectors, run.run_id, lambda old, new: lifecycle.vector_step(old, new, df, run.run_id, run.run_ts, **rules), full_run=full)
+    return served.read()
+
+
+def serving(lake: Lake, name: str) -> BucketStore:
+    """SNK-10, SNK-11: the state that is served, ``catalog`` or ``vectors``; a run rewrites the buckets that it meets."""
+    return BucketStore(lake.spark, f"{lake.root}/serving/{name}")
 
 
 def run_all(lake: Lake, run: Run, stage: str = "all") -> DataFrame | None:
@@ -164,8 +168,7 @@ def run_all(lake: Lake, run: Run, stage: str = "all") -> DataFrame | None:
     df = silver(lake, run, frames)
     if stage == "silver" or not df.take(1):
         return df
-    before = lake.previous("serving", "catalog", run.run_id)
-    return gold(lake, run, df, lake.read("serving", "catalog", before) if before else None)
+    return gold(lake, run, df)
 
 
 def stats(df: DataFrame) -> DataFrame:

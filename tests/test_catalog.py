@@ -223,7 +223,7 @@ def test_two_runs_ask_once(spark, tmp_path):
     assert lake.read("silver", "geocode_cache", "20260425_052341").count() == 1
     assert [r.address for r in lake.read("silver", "geocode_rejected", "20260425_052341").collect()] == ["Biblioteca Nacional del Perú, Lima, Perú"]
     assert {r.lat for r in states[1].collect()} == {-12.0, None}
-    served = lake.read("serving", "vectors", "20260425_052341").collect()
+    served = pipeline.serving(lake, "vectors").read().collect()
     assert len(served) == 2 and {r.last_seen_run_id for r in served} == {"20260425_052341"} and {r.fuente for r in served} == {"bnp"}
     assert reports[1]["bronze"].metrics == {"bnp": 2} and "recall_at_k" in reports[1]["gold"].metrics
     folder = lake.dataset("silver", "export", "20260425_052341")
