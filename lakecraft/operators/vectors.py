@@ -2,7 +2,8 @@
 
 Products of many vectors with many run as matrix products over Arrow batches. A query set goes to the
 executors in blocks of a bounded size; each task keeps its own best k, so only k rows of a query and task
-are shuffled. All pairs are compared block against block, each pair of blocks in one task.
+are shuffled. Where all meet all, rows are dealt over cells around pivots, and pairs of cells that cannot matter are
+not formed (``pruning``).
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import clean_text, dot, norm
 from ..schemas import DIMENSION
+from ..sources.scratch import written
+from . import pruning
 
 
 class Encoder(Protocol):
@@ -103,105 +106,181 @@ def _local_top(ids: np.ndarray, queries: np.ndarray, k: int, id: str):
     return run
 
 
-def _block_top(k: int, id: str):
-    def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], id: [], "score": []})
-        return _best(rows, queries["query_id"].to_numpy(), np.stack(queries["embedding"].to_numpy()).astype(np.float64), k, id)
-
-    return run
-
-
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_id", block: int = 4096, without_self: bool = False) -> DataFrame:
     """VEC-3, WIN-2: (query_id, id, score, rank) of the k best rows of each query, equal ones by id.
 
     ``queries``: query_id, embedding; each id once. Up to ``block`` of them go with the function to one scan of the vectors.
-    More are dealt over blocks, as are the vectors, and tasks take a block of each: the driver holds none of them,
-    and a vector is sent once for each block of queries.
+    More are answered cell by cell (see :func:`top_k_by_bounds`); the driver holds none of them.
     """
     rows = vectors.select(id, "embedding").where("embedding is not null")
     asked = queries.select("query_id", "embedding").where("embedding is not null")
     kind, query_kind = rows.schema[id].dataType.simpleString(), asked.schema["query_id"].dataType.simpleString()
     schema = f"query_id {query_kind}, {id} {kind}, score double"
-    n = -(-asked.count() // block)
+    n = asked.count()
     if n == 0:
         found = rows.where("false").select(F.lit(None).cast(query_kind).alias("query_id"), id, F.lit(0.0).alias("score"))
-    elif n == 1:
+    elif n <= block:
         got = asked.orderBy("query_id").collect()  # ``block`` rows at most
         found = rows.mapInPandas(_local_top(np.array([g[0] for g in got]), np.array([g[1] for g in got], np.float64), k + without_self, id), schema)
     else:
-        m = max(1, -(-rows.count() // block))
-        deal = lambda key, parts: F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-        every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-        left = rows.withColumn("of_rows", deal(id, m)).withColumn("of_queries", every(n))
-        right = asked.withColumn("of_queries", deal("query_id", n)).withColumn("of_rows", every(m))
-        keys = ["of_rows", "of_queries"]
-        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block_top(k + without_self, id), schema)
+        return top_k_by_bounds(rows, asked, k, id=id, block=block, without_self=without_self)[0]
     if without_self:
         found = found.where(F.col("query_id") != F.col(id))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), id)
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _blocks(vectors: DataFrame, id: str, block: int) -> tuple[DataFrame, int]:
-    """Every row once for each pair of blocks that its own is in."""
-    n = max(1, -(-vectors.count() // block))
-    own = F.pmod(F.xxhash64(id), F.lit(n)).cast("int")
-    rows = vectors.select(id, "embedding").where("embedding is not null").withColumn("own", own)
-    return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}), n
+def top_k_by_bounds(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_id", block: int = 4096, without_self: bool = False, first: int = 4) -> tuple[DataFrame, DataFrame]:
+    """VEC-3, VEC-5, WIN-2: as :func:`top_k`, and how much was read: (round, query_cells, cell_pairs, products, whole).
+
+    Queries and vectors are dealt over the cells of the same pivots. In rounds each cell of queries meets its next cells
+    of vectors, those of the highest bound first, twice as many as in the round before; it ends once the bound of the
+    next one is below the k-th score of all its queries. ``products`` are the scores that a round computed, ``whole`` those of
+    all queries with all vectors.
+    """
+    rows, asked = vectors.select(id, "embedding").where("embedding is not null"), queries.select("query_id", "embedding").where("embedding is not null")
+    spark = rows.sparkSession
+    kind, query_kind = rows.schema[id].dataType.simpleString(), asked.schema["query_id"].dataType.simpleString()
+    schema = f"query_id {query_kind}, {id} {kind}, score double"
+    m, n = rows.count(), asked.count()
+    pivots = pruning.pivots_of(rows, id, max(m, n), block)
+    right, left = pruning.in_cells(rows, pivots, "vector-cells"), pruning.in_cells(asked, pivots, "query-cells")
+    own, other = pruning.Cells.of(left, len(pivots)), pruning.Cells.of(right, len(pivots))
+    bound = pruning.bounds(pivots, own, other)[1]
+    bound[:, other.n == 0] = -np.inf
+    order, met, least = np.argsort(-bound, axis=1), np.zeros(len(pivots), int), np.full(len(pivots), -np.inf)
+    least[own.n == 0] = np.inf
+    found, report, take = None, [], first
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        if a.empty or b.empty:
+            return pd.DataFrame({"query_id": [], id: [], "score": []})
+        return _best(b, a["query_id"].to_numpy(), pruning.matrix(a["embedding"]), k + without_self, id)
+
+    while True:
+        pairs = [(c, int(v)) for c in np.flatnonzero(own.n) for v in order[c, met[c] : met[c] + take] if bound[c, v] >= least[c] and bound[c, v] > -np.inf]
+        if not pairs:
+            break
+        report.append((len(report), len({c for c, _ in pairs}), len(pairs), int(sum(own.n[c] * other.n[v] for c, v in pairs)), m * n))
+        parts = lambda x: int(-(-x // block))
+        asks = spark.createDataFrame([(int(c), v, parts(own.n[c]), parts(other.n[v])) for c, v in pairs], "a int, b int, na int, nb int")
+        both = pruning.tiles(left.withColumn(id, F.lit(None).cast(kind)), right.withColumn("query_id", F.lit(None).cast(query_kind)), "query_id", id, asks)
+        new = both.select("tile", "side", "query_id", id, "embedding").groupBy("tile").applyInPandas(compare, schema)
+        if without_self:
+            new = new.where(F.col("query_id") != F.col(id))
+        every = new if found is None else found.drop("rank").unionByName(new)
+        w = Window.partitionBy("query_id").orderBy(F.desc("score"), id)
+        found = written(every.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "best")
+        worst = left.select("query_id", "cell").join(found.where(F.col("rank") == k).select("query_id", "score"), "query_id", "left")
+        told = worst.groupBy("cell").agg(F.min(F.coalesce("score", F.lit(float("-inf")))).alias("least")).collect()  # a row for each pivot
+        for r in told:
+            least[r.cell] = r.least - 1e-12 * abs(r.least) if np.isfinite(r.least) else r.least  # equal scores go by the id
+        met += take
+        take *= 2
+    if found is None:
+        found = rows.where("false").select(F.lit(None).cast(query_kind).alias("query_id"), id, F.lit(0.0).alias("score"), F.lit(1).alias("rank"))
+    return found, spark.createDataFrame(report, "round int, query_cells int, cell_pairs int, products long, whole long")
+
+
+def cell_pairs(vectors: DataFrame, theta: float, *, id: str = "entity_id", block: int = 4096, collapse: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The vectors in cells, and each pair of cells (a <= b) with what is known of it: na, nb (parts), n (pairs of rows), kind.
+
+    ``skipped``: no product reaches ``theta``; ``whole``: every one does; ``compared``: neither is known. ``collapse``: of equal
+    vectors one row stays, with their number as ``copies``.
+    """
+    rows = vectors.select(id, "embedding").where("embedding is not null")
+    if collapse:
+        rows = written(rows.groupBy("embedding").agg(F.min(id).alias(id), F.count(F.lit(1)).alias("copies")).select(id, "embedding", "copies"), "vectors")
+    else:
+        rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    pivots = pruning.pivots_of(rows, id, rows.count(), block)
+    placed = pruning.in_cells(rows, pivots, "cells")
+    cells = pruning.Cells.of(placed, len(pivots))
+    least, most = pruning.bounds(pivots, cells, cells)
+    there = np.flatnonzero(cells.n)
+    i, j = np.meshgrid(there, there, indexing="ij")
+    i, j = i[i <= j], j[i <= j]
+    kind = np.where(most[i, j] < theta, "skipped", np.where(least[i, j] >= theta, "whole", "compared"))
+    n = np.where(i == j, cells.n[i] * (cells.n[i] - 1) // 2, cells.n[i] * cells.n[j])
+    parts = -(-cells.n // block)
+    told = pd.DataFrame({"a": i, "b": j, "na": parts[i], "nb": parts[j], "n": n, "kind": kind}).astype({"a": "int32", "b": "int32", "na": "int32", "nb": "int32"})
+    return placed, vectors.sparkSession.createDataFrame(told, "a int, b int, na int, nb int, n long, kind string")
+
+
+def pair_report(pairs: DataFrame) -> DataFrame:
+    """By kind of :func:`cell_pairs`: pairs of cells, pairs of rows, and the share of all of each."""
+    sums = pairs.groupBy("kind").agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows"))
+    whole = pairs.agg(F.count(F.lit(1)).alias("_c"), F.sum("n").alias("_r"))
+    return sums.crossJoin(F.broadcast(whole)).select("kind", "cells", (F.col("cells") / F.col("_c")).alias("cell_share"), "rows", (F.col("rows") / F.col("_r")).alias("row_share"))  # one row
+
+
+def _sides(pdf: pd.DataFrame, id: str) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    pdf = pdf.sort_values(id)
+    cross = bool(pdf["cross"].iat[0])
+    return (pdf[pdf["side"] == 0], pdf[pdf["side"] == 1], True) if cross else (pdf, pdf, False)
 
 
 def _pairs_of(id: str, theta: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id)
-        if pdf["lo"].iat[0] == pdf["hi"].iat[0]:
-            a = b = pdf
-        else:
-            a, b = pdf[pdf["own"] == pdf["lo"]], pdf[pdf["own"] == pdf["hi"]]
-        if a.empty or b.empty:
-            return pd.DataFrame({"id_a": [], "id_b": [], "score": []})
-        s = np.stack(a["embedding"].to_numpy()).astype(np.float64) @ np.stack(b["embedding"].to_numpy()).astype(np.float64).T
-        x, y = a[id].to_numpy(), b[id].to_numpy()
-        i, j = np.nonzero(s >= theta)
-        keep = x[i] < y[j] if a is b else np.ones(len(i), bool)
-        i, j = i[keep], j[keep]
-        return pd.DataFrame({"id_a": np.minimum(x[i], y[j]), "id_b": np.maximum(x[i], y[j]), "score": s[i, j]})
+        a, b, cross = _sides(pdf, id)
+        out = [pd.DataFrame({"id_a": [], "id_b": [], "score": []})]
+        if len(a) and len(b):
+            w, x, y = pruning.matrix(b["embedding"]).T, a[id].to_numpy(), b[id].to_numpy()
+            for lo in range(0, len(a), 512):  # so many rows against a block at a time
+                s = pruning.matrix(a["embedding"].iloc[lo : lo + 512]) @ w
+                i, j = np.nonzero(s >= theta)
+                keep = np.ones(len(i), bool) if cross else lo + i < j
+                i, j = i[keep], j[keep]
+                out.append(pd.DataFrame({"id_a": np.minimum(x[lo + i], y[j]), "id_b": np.maximum(x[lo + i], y[j]), "score": s[i, j]}))
+        return pd.concat([o for o in out if len(o)] or out)
 
     return run
 
 
 def near_duplicate_pairs(vectors: DataFrame, theta: float = 0.95, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
-    """VEC-4, JOIN-9: (id_a, id_b, score) of all pairs id_a < id_b with an inner product of ``theta`` or more; exact."""
+    """VEC-4, JOIN-9: (id_a, id_b, score) of all pairs id_a < id_b with an inner product of ``theta`` or more; exact.
+
+    Pairs of cells whose bound is below ``theta`` are never formed (:func:`cell_pairs`, :func:`pair_report`).
+    """
     kind = vectors.schema[id].dataType.simpleString()
-    rows, _ = _blocks(vectors, id, block)
-    return rows.groupBy("lo", "hi").applyInPandas(_pairs_of(id, theta), f"id_a {kind}, id_b {kind}, score double")
+    rows, pairs = cell_pairs(vectors, theta, id=id, block=block)
+    both = pruning.tiles(rows, None, id, id, pairs.where("kind <> 'skipped'"))
+    return both.select("tile", "cross", "side", id, "embedding").groupBy("tile").applyInPandas(_pairs_of(id, theta), f"id_a {kind}, id_b {kind}, score double").where("id_a <> id_b")
 
 
 def _counts_of(id: str, theta: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        same = pdf["lo"].iat[0] == pdf["hi"].iat[0]
-        a, b = (pdf, pdf) if same else (pdf[pdf["own"] == pdf["lo"]], pdf[pdf["own"] == pdf["hi"]])
+        a, b, cross = _sides(pdf, id)
         n = 0
         if len(a) and len(b):
-            y, w = b[id].to_numpy(), np.stack(b["embedding"].to_numpy()).astype(np.float64).T
-            for lo in range(0, len(a), 512):  # so many rows against a block at a time
-                part = a.iloc[lo : lo + 512]
-                near = np.stack(part["embedding"].to_numpy()).astype(np.float64) @ w >= theta
-                if same:
-                    near &= part[id].to_numpy()[:, None] < y
-                n += int(near.sum())
+            w, of_a, of_b = pruning.matrix(b["embedding"]).T, a["copies"].to_numpy(), b["copies"].to_numpy()
+            for lo in range(0, len(a), 512):
+                near = pruning.matrix(a["embedding"].iloc[lo : lo + 512]) @ w >= theta
+                if not cross:
+                    near &= lo + np.arange(len(near))[:, None] < np.arange(len(b))
+                n += int((of_a[lo : lo + 512] * (near @ of_b)).sum())
         return pd.DataFrame({"n": [n]})
 
     return run
 
 
 def near_duplicate_count(vectors: DataFrame, theta: float = 0.95, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
-    """AGG-9: (pairs, ratio) of near pairs and of those among all pairs; counted block by block, no pair becomes a row."""
-    rows, _ = _blocks(vectors, id, block)
-    counts = rows.groupBy("lo", "hi").applyInPandas(_counts_of(id, theta), "n long")
-    n = vectors.where("embedding is not null").agg(F.count(F.lit(1)).alias("m"))
+    """AGG-9: (pairs, ratio) of near pairs and of those among all pairs; no pair becomes a row.
+
+    Equal vectors are one row with their number; cells whose products all reach ``theta`` are counted, not compared.
+    """
+    rows, pairs = cell_pairs(vectors, theta, id=id, block=block, collapse=True)
+    both = pruning.tiles(rows, None, id, id, pairs.where("kind = 'compared'"))
+    compared = both.select("tile", "cross", "side", id, "embedding", "copies").groupBy("tile").applyInPandas(_counts_of(id, theta), "n long")
+    sums = rows.groupBy("cell").agg(F.sum("copies").alias("w"), F.sum(F.col("copies") * F.col("copies")).alias("q"))
+    whole = pairs.where("kind = 'whole'").join(sums.select(F.col("cell").alias("a"), F.col("w").alias("wa"), "q"), "a").join(sums.select(F.col("cell").alias("b"), F.col("w").alias("wb")), "b")
+    whole = whole.select(F.when(F.col("a") == F.col("b"), F.expr("(wa * wa - q) div 2")).otherwise(F.col("wa") * F.col("wb")).alias("n"))
+    equal = rows.where((F.col("copies") > 1) & (F.col("length") * F.col("length") >= theta)).select(F.expr("copies * (copies - 1) div 2").alias("n"))
+    n = rows.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("m"))
     every = F.col("m") * (F.col("m") - 1) / 2
-    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs")).crossJoin(F.broadcast(n)).select("pairs", F.when(every > 0, F.col("pairs") / every).otherwise(0.0).alias("ratio"))  # one row each
+    counts = compared.unionByName(whole).unionByName(equal).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"))
+    return counts.crossJoin(F.broadcast(n)).select("pairs", F.when(every > 0, F.col("pairs") / every).otherwise(0.0).alias("ratio"))  # one row each
 
 
 def first_pairs(vectors: DataFrame, theta: float = 0.95, n: int = 10, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
@@ -210,22 +289,10 @@ def first_pairs(vectors: DataFrame, theta: float = 0.95, n: int = 10, *, id: str
 
 
 def nearest_other(vectors: DataFrame, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
-    """VEC-5: (id, score) of the nearest other row; null for a single row."""
-    kind = vectors.schema[id].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        same = pdf["lo"].iat[0] == pdf["hi"].iat[0]
-        a, b = (pdf, pdf) if same else (pdf[pdf["own"] == pdf["lo"]], pdf[pdf["own"] == pdf["hi"]])
-        if a.empty or b.empty:
-            return pd.DataFrame({id: [], "score": []})
-        s = np.stack(a["embedding"].to_numpy()).astype(np.float64) @ np.stack(b["embedding"].to_numpy()).astype(np.float64).T
-        if same:
-            np.fill_diagonal(s, -np.inf)
-            return pd.DataFrame({id: a[id], "score": s.max(axis=1)})
-        return pd.DataFrame({id: np.concatenate((a[id], b[id])), "score": np.concatenate((s.max(axis=1), s.max(axis=0)))})
-
-    rows, _ = _blocks(vectors, id, block)
-    return rows.groupBy("lo", "hi").applyInPandas(run, f"{id} {kind}, score double").groupBy(id).agg(F.nullif(F.max("score"), F.lit(float("-inf"))).alias("score"))
+    """VEC-5: (id, score) of the nearest other row, found by bounds; null for a single row."""
+    rows = vectors.select(id, "embedding").where("embedding is not null")
+    best, _ = top_k_by_bounds(rows, rows.withColumnRenamed(id, "query_id"), 1, id=id, block=block, without_self=True)
+    return rows.select(id).join(best.select(F.col("query_id").alias(id), "score"), id, "left")
 
 
 def vector_profile(vectors: DataFrame, dimension: int, tolerance: float = 1e-3) -> DataFrame:
