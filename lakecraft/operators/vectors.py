@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import clean_text, dot, norm
 from ..schemas import DIMENSION
+from ..sources.positions import Positions
 from ..sources.scratch import written
 from . import pruning
 
@@ -311,19 +312,17 @@ def vector_profile(vectors: DataFrame, dimension: int, tolerance: float = 1e-3)
     )
 
 
-def id_map(vectors: DataFrame, id: str = "poi_id") -> DataFrame:
-    """SNK-9, WIN-7: (pos, id) of rows with a vector, numbered from 0 in the order of the id, without a single sorting task."""
-    rows = vectors.where("embedding is not null").select(id)
-    parts = rows.repartitionByRange(id).sortWithinPartitions(id).select(id, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("m"))
-    at = parts.select(id, "part", F.col("m").bitwiseAND(F.lit((1 << 33) - 1)).alias("nth"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    first = at.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
-    return at.join(F.broadcast(first), "part").select((F.col("first") + F.col("nth")).alias("pos"), id)  # a row for each partition
+def id_map(vectors: DataFrame, id: str = "poi_id", path: str | None = None) -> DataFrame:
+    """SNK-9, WIN-7: (pos, id) of rows with a vector, numbered from 0 in the order of the id, without a single sorting task.
+
+    The run is written, to ``path`` or a new shared folder (see :class:`~lakecraft.sources.positions.Positions`).
+    """
+    return Positions.write(vectors.where("embedding is not null").select(id), id, path).read()
 
 
-def at_positions(index: DataFrame, rows: DataFrame, positions: DataFrame, id: str = "poi_id") -> DataFrame:
-    """JOIN-5: the rows at an index's positions: (pos) to ids by :func:`id_map`'s table, ids to rows."""
-    return positions.join(index, "pos").join(rows, id)
+def at_positions(index: Positions, rows: DataFrame, positions: DataFrame, id: str = "poi_id") -> DataFrame:
+    """JOIN-5: the rows at an index's positions: positions to ids, by the index's files that hold them, and ids to rows."""
+    return index.at(positions).join(rows, id)
 
 
 def query_text() -> Column:

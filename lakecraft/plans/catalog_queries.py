@@ -14,6 +14,7 @@ from ..operators import dedup, enrich, lifecycle, normalize, quality, vectors
 from ..schemas import GOLD_CATALOG, VERSION
 from ..sources import readers
 from ..sources.lake import BronzeManifest, Lake, SilverManifest
+from ..sources.positions import Positions
 from .queries import _DOT, query, table
 
 RUN_TS = "2026-04-25 05:23:46"
@@ -367,9 +368,11 @@ def q_poi_catalog(spark, d):
 
 @query("""with m as (select vec_id, row_number() over (order by vec_id) - 1 pos from embeddings) select pos, vec_id, label from m join embeddings using (vec_id) where pos % 7 = 3""")
 def q_position_join(spark, d):
-    """JOIN-5: positions of an index to ids to rows."""
+    """JOIN-5, SNK-9: positions of a written index to ids to rows."""
     rows = table(spark, d, "embeddings")
-    return vectors.at_positions(vectors.id_map(rows, "vec_id"), rows.select("vec_id", "label"), vectors.id_map(rows, "vec_id").where("pos % 7 = 3").select("pos"), "vec_id").select("pos", "vec_id", "label")
+    index = Positions.write(rows.where("embedding is not null").select("vec_id"), "vec_id")
+    asked = index.read().where("pos % 7 = 3").select("pos")
+    return vectors.at_positions(index, rows.select("vec_id", "label"), asked, "vec_id").select("pos", "vec_id", "label")
 
 
 @query("""select 'p' || p_partkey entity_id, p_name titulo, p_type tipo, p_retailprice rating, p_size::bigint ratings_total, p_brand categoria_google, 'r' || p_partkey resumen_reviews, p_retailprice score,
