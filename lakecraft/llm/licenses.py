@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import materialise
+
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 4
 # Phrases and their labels.
@@ -40,6 +42,9 @@ TEMPLATES = (
 )
 
 
+COPIES = 4096
+
+
 def words_of(text: Column) -> Column:
     """The words of a text with A-Z lowered; a null text has none."""
     low = F.translate(F.coalesce(text.cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -89,8 +94,8 @@ def license_scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TE
     votes = hits.select("doc_id", "th", "pos", "n", "base", F.inline(F.concat(F.coalesce(own, none), F.coalesce(same, none))))
     is_own = F.col("template").isNull()
     votes = votes.select("doc_id", "th", "template", (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos", F.when(is_own, F.col("n")).alias("n"), F.when(is_own, F.col("base")).alias("base"), F.when(is_own & F.col("base").isNotNull(), F.col("pos")).alias("place"))
-    by_doc = votes.repartition("doc_id", "th")  # serves all that follows
-    diagonals = by_doc.groupBy("doc_id", "th", "template", "diagonal").agg(
+    # Equal votes are counted before they are sent, so a row repeated however often is one row for each task here.
+    diagonals = votes.groupBy("doc_id", "th", "template", "diagonal").agg(
         F.collect_set("tpos").alias("tpos"),
         F.max("n").alias("n"),
         F.count("n").alias("copies"),
@@ -99,6 +104,7 @@ def license_scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TE
         F.max("place").alias("last_word"),
         F.collect_set("base").alias("base"),
     )
+    diagonals = diagonals.repartition("doc_id", "th")  # serves all that follows
     line = Window.partitionBy("doc_id", "th", "template").orderBy("diagonal")
     new = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(line) > neighbours, F.lit(True))
     merged = diagonals.withColumn("new", new.cast("int")).withColumn("span", F.sum("new").over(line))
@@ -130,6 +136,11 @@ def license_scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TE
         text(F.col("base")).alias("base_labels"),
         text(F.array_union("base", "found")).alias("labels"),
         F.when(F.col("places") > 0, F.lit(1.0)).otherwise(F.coalesce("covered", F.lit(0.0))).alias("score"),
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+        "copies",
     )
-    return out.drop("copy")
+    out = materialise(out, "licenses")
+    # A row for each copy: some thousand of one row at a time, those of the others are dealt anew.
+    many = out.where(F.col("copies") > COPIES).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}"))))
+    many = many.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).withColumn("copies", F.least(F.lit(COPIES), F.col("copies") - F.col("nth") * COPIES)).drop("nth")
+    every = out.where(F.col("copies") <= COPIES).unionByName(many)
+    return every.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copy", "copies")

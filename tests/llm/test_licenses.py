@@ -49,3 +49,11 @@ def test_words_are_compared_where_hashes_are_equal(spark, monkeypatch):
     true = result()
     monkeypatch.setattr(licenses, "gram_hash", lambda w: F.pmod(F.xxhash64(*w), F.lit(3)))
     assert result() == true
+
+
+def test_a_row_repeated_many_times(spark):
+    one = spark.createDataFrame([(7, "under the MIT license we grant"), (None, "")], "doc_id long, text string")
+    rows = one.crossJoin(spark.range(9000).select()).unionByName(one)
+    got = license_scan(rows)
+    told = {tuple(r)[:7]: r.n for r in got.groupBy("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {(k[0], k[2]): n for k, n in told.items()} == {(7, 1): 9001, (None, 0): 9001}
