@@ -20,7 +20,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -78,14 +78,14 @@ def lowered(value: str) -> str:
     return "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
 
 
-def pieces(value: str) -> set[str]:
-    """All letter sequences in a value, also in its leet form, that could be words."""
-    out = set()
-    for form in {lowered(value), lowered(value).translate(LEET)}:
+def pieces(value: str) -> Iterator[str]:
+    """The letter sequences in a value, also in its leet form, that could be words; by position, so some come again."""
+    for form in {lowered(value): 0, lowered(value).translate(LEET): 0}:
         for m in LETTERS.finditer(form):
             run = m.group()
-            out.update(run[i:j] for i in range(len(run)) for j in range(i + LEAST_WORD, min(len(run), i + LONGEST_WORD) + 1))
-    return out
+            for i in range(len(run)):
+                for j in range(i + LEAST_WORD, min(len(run), i + LONGEST_WORD) + 1):
+                    yield run[i:j]
 
 
 class _Case:
@@ -156,12 +156,17 @@ def guess_cost(value: str, words: Mapping[str, float] = RANKED) -> float:
     return float(best[n])
 
 
+def assigned(text: str) -> list[tuple[int, int, str]]:
+    """Start, end and value of the base spans that assign one."""
+    low = text.lower()
+    if not any(k in low for k in KEYWORDS):
+        return []
+    return [(m.start(), m.end(), m.group(2)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST]
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end), sorted by start, then kind."""
-    low = text.lower()
-    out = []
-    if any(k in low for k in KEYWORDS):
-        out += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_LEAST]
+    out = [(a, 0, b) for a, b, _ in assigned(text)]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
@@ -183,10 +188,11 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 _VALUES = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("value", pa.string())]))
+_GIVEN = pa.list_(pa.string())
 
 
 def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partition function: (doc_id, text) in; a row's number, counts, digest and base spans, and the values in a context out."""
+    """Partition function: (doc_id, text) in; a row's number, counts, digest, base spans, the values in a context and those of base spans out."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 33  # used only once it is written
@@ -197,10 +203,10 @@ def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base = base_spans(text)
                 kinds = [k for _, k, _ in base]
                 spans = joined(base)
-                rows.append((number, kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(spans.encode()).hexdigest(), spans, [{"a": a, "b": b, "value": text[a:b]} for a, b in contexts(text, base)]))
+                rows.append((number, kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(spans.encode()).hexdigest(), spans, [{"a": a, "b": b, "value": text[a:b]} for a, b in contexts(text, base)], [v for _, _, v in assigned(text)]))
                 number += 1
-            types = [*[pa.int64()] * 4, pa.string(), pa.string(), _VALUES]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], ["doc_id", "nr", "n_assign", "n_access", "n_hex", "base_sha256", "base", "guess"])
+            types = [*[pa.int64()] * 4, pa.string(), pa.string(), _VALUES, _GIVEN]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], ["doc_id", "nr", "n_assign", "n_access", "n_hex", "base_sha256", "base", "guess", "given"])
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,13 +225,12 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partition function: (value) in, (value, piece) out."""
+    """Partition function: (vid, value) in, (vid, piece) out; so many pieces at a time, each once among them."""
     for batch in batches:
-        for value in batch.column(0).to_pylist():
-            found = sorted(pieces(value))
-            for lo in range(0, len(found), 1 << 14):
-                part = found[lo : lo + (1 << 14)]
-                yield pa.RecordBatch.from_arrays([pa.array([value] * len(part), pa.string()), pa.array(part, pa.string())], ["value", "piece"])
+        for vid, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            every = pieces(value)
+            while part := set(islice(every, 1 << 14)):
+                yield pa.RecordBatch.from_arrays([pa.array([vid] * len(part), pa.int64()), pa.array(sorted(part), pa.string())], ["vid", "piece"])
 
 
 def cost_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,15 +248,15 @@ def cost_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def value_costs(values: DataFrame, texts: DataFrame) -> DataFrame:
     """(value, cost) of each distinct ``values.value``, by the words of ``texts.text``; words of the values themselves don't count."""
-    every = values.groupBy("value").agg(F.count(F.lit(1)).alias("times"))
-    cut = every.select("value").mapInArrow(cut_values, "value string, piece string")
+    every = materialise(values.groupBy("value").agg(F.count(F.lit(1)).alias("times")).select(F.monotonically_increasing_id().alias("vid"), "value"), "secret-values")
+    cut = every.mapInArrow(cut_values, "vid long, piece string").distinct()
     words = lambda df: df.mapInArrow(count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialise(words(texts.select("text")).where("word <> ''"), "secret-words")
     own = words(values.select(F.col("value").alias("text"))).withColumnRenamed("n", "m")
     total = counts.agg(F.sum("n")).first()[0] or 0
     rest = counts.join(own, "word", "left").select("word", (F.col("n") - F.coalesce("m", F.lit(0))).alias("n")).where("n > 0")
-    known = cut.join(rest, cut["piece"] == rest["word"]).select("value", F.struct("piece", (F.log10(F.lit(float(max(1, total)))) - F.log10("n") + CUT).alias("cost")).alias("w"))
-    costed = every.select("value").join(known.groupBy("value").agg(F.collect_list("w").alias("words")), "value", "left")  # of one value
+    known = cut.join(rest, cut["piece"] == rest["word"]).select("vid", F.struct("piece", (F.log10(F.lit(float(max(1, total)))) - F.log10("n") + CUT).alias("cost")).alias("w"))
+    costed = every.join(known.groupBy("vid").agg(F.collect_list("w").alias("words")), "vid", "left").select("value", "words")  # words of one value
     return costed.mapInArrow(cost_values, "value string, cost double")
 
 
@@ -260,26 +265,32 @@ def secret_scan(docs: DataFrame, *, least_cost: float = 10.0) -> DataFrame:
 
     Returns a row for each row of ``docs``: doc_id, n_assign, n_access, n_hex (base spans of each kind),
     base_sha256 (hex digest of the base spans ``kind:start:end`` by start, then kind, comma-joined), spans
-    (base and guess spans, joined likewise), n_guess. Positions are code points, ends exclusive.
+    (base and guess spans, joined likewise), n_guess, least_cost (the least guess cost of the values that base spans
+    assign, null without any), n_cheap (how many of these values cost less than ``least_cost``: placeholders, and
+    passwords that are soon guessed). Positions are code points, ends exclusive. Base spans stay whatever they cost.
 
     A null text counts as empty: no spans, the digest of the empty string. A null doc_id stays null, repeated
     rows each get a row, texts are scanned whole. An empty table gives no rows; other columns are ignored.
     """
     rows = text_of(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    told = materialise(rows.mapInArrow(scan, f"doc_id {kind}, nr long, n_assign long, n_access long, n_hex long, base_sha256 string, base string, guess array<struct<a long, b long, value string>>"), "secret-spans", arrow_rows=2000)
-    some = told.where(F.size("guess") > 0)
-    values = some.select("nr", F.inline("guess"))
+    told = materialise(rows.mapInArrow(scan, f"doc_id {kind}, nr long, n_assign long, n_access long, n_hex long, base_sha256 string, base string, guess array<struct<a long, b long, value string>>, given array<string>"), "secret-spans", arrow_rows=2000)
+    asked = (F.size("guess") > 0) | (F.size("given") > 0)
+    some = told.where(asked)
     columns = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
-    plain = told.where(F.size("guess") == 0).select(*columns, F.col("base").alias("spans"), F.lit(0).cast("long").alias("n_guess"))
+    zero = F.lit(0).cast("long")
+    plain = told.where(~asked).select(*columns, F.col("base").alias("spans"), zero.alias("n_guess"), F.lit(None).cast("double").alias("least_cost"), zero.alias("n_cheap"))
     if not some.take(1):
         return plain
-    dear = materialise(value_costs(values.select("value"), rows).where(F.col("cost") >= least_cost), "secret-costs")
-    found = values.join(dear, "value").groupBy("nr").agg(F.collect_list(F.struct("a", "b")).alias("found"))  # of one row of docs
+    values = some.select("nr", F.inline("guess")).unionByName(some.select("nr", F.explode("given").alias("value")), allowMissingColumns=True)
+    costs = materialise(value_costs(values.select("value"), rows), "secret-costs")
+    dear, own = F.col("a").isNotNull() & (F.col("cost") >= least_cost), F.col("a").isNull()
+    spans = F.collect_list(F.when(dear, F.struct("a", "b"))).alias("found")  # of one row of docs
+    found = values.join(costs, "value").groupBy("nr").agg(spans, F.min(F.when(own, F.col("cost"))).alias("least_cost"), F.count(F.when(own & (F.col("cost") < least_cost), 1)).alias("n_cheap"))
     # Base spans as numbers, so that all can be put in order by start, then kind.
     parts = F.transform(F.filter(F.split("base", ","), lambda x: x != ""), lambda x: F.split(x, ":"))
     base = F.transform(parts, lambda x: F.struct(x[1].cast("long").alias("a"), F.array_position(F.array(*map(F.lit, KINDS)), x[0]).cast("int").alias("k"), x[2].cast("long").alias("b")))
     more = F.transform(F.coalesce("found", F.array().cast("array<struct<a:bigint,b:bigint>>")), lambda x: F.struct(x["a"].alias("a"), F.lit(len(KINDS)).alias("k"), x["b"].alias("b")))
     names = F.array(*map(F.lit, KINDS))
     spans = F.array_join(F.transform(F.array_sort(F.concat(base, more)), lambda x: F.concat_ws(":", F.element_at(names, x["k"]), x["a"], x["b"])), ",")
-    return plain.unionByName(some.join(found, "nr", "left").select(*columns, spans.alias("spans"), F.size(more).cast("long").alias("n_guess")))
+    return plain.unionByName(some.join(found, "nr", "left").select(*columns, spans.alias("spans"), F.size(more).cast("long").alias("n_guess"), "least_cost", F.coalesce("n_cheap", zero).alias("n_cheap")))

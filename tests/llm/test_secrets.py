@@ -147,3 +147,36 @@ def test_planted_values(spark):
 def test_brute_force_alone_is_the_bound():
     for value in map("".join, itertools.product("qz9", repeat=4)):
         assert guess_cost(value) <= len(value) * math.log10(36) + 1e-9
+
+
+def test_costs_of_base_values(spark):
+    """The query's method on the values that base spans assign: placeholders are cheap, random ones are not."""
+    docs = [
+        (1, "password=abcabcabcabc and token: x9Kq2vLzR7wT"),
+        (2, "secret = qwertyuiop2024"),
+        (3, "api_key: kJ8sdf98WqkZ2mQ0"),
+        (4, "nothing here, deadbeefdeadbeef"),
+        (5, "password=passwordpassword pwd: x9$Kq2!vLz"),
+        (6, None),
+    ]
+    got = {r.doc_id: r for r in secret_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {k: r.n_cheap for k, r in got.items()} == {1: 1, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0}
+    assert got[3].least_cost > 20 and got[4].least_cost is None and got[6].least_cost is None
+    assert abs(got[2].least_cost - guess_cost("qwertyuiop2024")) < 1e-9
+    assert got[1].n_assign == 2 and got[1].spans.count("assign") == 2 and got[5].n_guess == 1
+
+
+def test_pieces_of_a_long_value_are_streamed():
+    import tracemalloc
+
+    from lakecraft.llm.secrets import cut_values
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    value = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([value])], ["vid", "value"])
+    tracemalloc.start()
+    n = sum(len(b) for b in cut_values(iter([batch])))
+    assert n > 2_000_000 and tracemalloc.get_traced_memory()[1] < 40e6
+    tracemalloc.stop()
