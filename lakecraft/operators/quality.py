@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import missing_to_null
 from ..schemas import CRITICAL, DIMENSION, REQUIRED, SOURCES, VERSION
 from .dedup import hash_sample
-from .vectors import near_duplicate_count, nearest_other, self_recall, vector_profile
+from .vectors import first_pairs, near_duplicate_count, nearest_other, self_recall, vector_profile
 
 
 @dataclass
@@ -157,6 +157,80 @@ def check_gold(
     return r
 
 
+# The columns that an exported file has to have.
+EXPORTED = ("entity_id", "entity_type", "titulo", "fuente", "texto_embedding", "url_origen")
+
+
+def check_export(csv: DataFrame | None, json: DataFrame | None, stats: DataFrame, previous: DataFrame | None = None, *, expected: tuple[str, ...] = (), most_null: float = 0.30, most_drop: float = 0.70) -> Report:
+    """DQ-5: the exported CSV and JSON, and the counts by source of two runs' stats (column, value, n).
+
+    A missing or empty file, a missing column and repeated ids are failures; nulls, sources without rows and a source
+    that fell by ``most_drop`` or more are warnings. A value of blanks only in the CSV is null.
+    """
+    r = Report()
+    for name, df in (("CSV", csv), ("JSON", json)):
+        if df is None or not df.take(1):
+            r.failures.append(f"no rows in the {name}")
+    if r.failures:
+        return r
+    csv = csv.withColumnRenamed(csv.columns[0], csv.columns[0].lstrip("\ufeff"))
+    if lacking := [c for c in EXPORTED if c not in csv.columns]:
+        r.failures.append(f"missing columns: {', '.join(lacking)}")
+        return r
+    critical = [c for c in EXPORTED if c in CRITICAL]
+    row = csv.agg(F.count(F.lit(1)).alias("_n"), (F.count(F.lit(1)) - F.countDistinct("entity_id")).alias("_dup"), *[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in critical]).first().asDict()
+    r.metrics |= {"rows": row["_n"], "duplicates": row["_dup"], "null_ratios": {c: row[c] for c in critical}}
+    if row["_dup"]:
+        r.failures.append(f"{row['_dup']} duplicated ids")
+    r.warnings += [f"{c}: {row[c]:.2f} null" for c in critical if row[c] > most_null]
+    sources = {x.fuente: x.n for x in value_counts(csv, "fuente", nulls=True).collect()}
+    r.metrics["sources"] = sources
+    r.warnings += [f"no rows of {s}" for s in expected if not sources.get(s)]
+    if previous is not None:
+        by_source = lambda df: df.where("column = 'fuente'").select(F.col("value").alias("fuente"), "n")
+        drops = coverage_drop(by_source(previous), csv.groupBy("fuente").agg(F.count(F.lit(1)).alias("n"))).where("drop > 0").orderBy("fuente").collect()  # sources
+        r.metrics["drops"] = {x.fuente: round(x["drop"], 4) for x in drops}
+        r.warnings += [f"{x.fuente} fell from {x.before} to {x.now}" for x in drops if x["drop"] >= most_drop]
+    return r
+
+
+def check_embeddings(vectors: DataFrame, metadata: DataFrame, contract: dict, *, queries: DataFrame | None = None, theta: float = 0.95, tolerance: float = 1e-3, k: int = 5, sample: int = 300, examples: int = 10) -> Report:
+    """DQ-6: vectors against their metadata and contract.
+
+    No vectors or unequal widths, another number of metadata rows, cells that are not finite and another width than the
+    contract's are failures; too few unit vectors and a low self recall are warnings. Metrics name the first near pairs.
+    """
+    r = Report()
+    width = vectors.agg(F.max(F.size("embedding")).alias("d")).first().d
+    p = vector_profile(vectors, width or 0, tolerance).first()
+    r.metrics |= p.asDict() | {"dimension": width, "metadata": metadata.count()}
+    if not p.n or p.wrong_dim or not width:
+        r.failures.append("the vectors have no common width")
+        return r
+    if r.metrics["metadata"] != p.n:
+        r.failures.append(f"{r.metrics['metadata']} rows of metadata for {p.n} vectors")
+    if p.finite_ratio < 1:
+        r.failures.append(f"{1 - p.finite_ratio:.2%} of cells aren't finite")
+    if contract.get("embedding_dim") is not None and int(contract["embedding_dim"]) != width:
+        r.failures.append(f"the contract says width {contract['embedding_dim']}, the vectors have {width}")
+    if p.unit_rate < 0.95:
+        r.warnings.append(f"{p.unit_rate:.2f} of vectors have unit length")
+    if p.finite_ratio < 1:
+        return r
+    near = near_duplicate_count(vectors, theta).first()
+    named = metadata.select("entity_id", *[c for c in ("titulo", "fuente") if c in metadata.columns])
+    pairs = first_pairs(vectors, theta, examples)
+    side = lambda x: named.select(*[F.col(c).alias(f"{c}_{x}") for c in named.columns])
+    told = pairs.join(side("a"), F.col("id_a") == F.col("entity_id_a"), "left").join(side("b"), F.col("id_b") == F.col("entity_id_b"), "left").orderBy("id_a", "id_b")
+    r.metrics |= {"near_duplicates": near.pairs, "near_duplicate_ratio": near.ratio, "examples": [x.asDict() for x in told.collect()]}  # ``examples`` rows
+    if queries is not None:
+        got = self_recall(vectors, hash_sample(queries, "query_id", sample), k).first()
+        r.metrics |= {"recall_at_1": got.recall_at_1, "recall_at_k": got.recall_at_k}
+        if got.recall_at_k is not None and got.recall_at_k < 0.90:
+            r.warnings.append(f"recall@{k} is {got.recall_at_k:.2f}")
+    return r
+
+
 def blank_ratio(df: DataFrame, column: str) -> DataFrame:
     """FIL-8: the share of rows whose text is missing."""
     return df.agg(F.avg(missing_to_null(column).isNull().cast("int")).alias("ratio"))

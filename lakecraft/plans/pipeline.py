@@ -15,7 +15,7 @@ from ..operators.dedup import hash_sample, in_order
 from ..operators.enrich import Geocoder, Model, enrich, geocode
 from ..operators.normalize import conform, documents_of, metadata, normalize_all, poi_catalog
 from ..operators.providers import Pace
-from ..operators.vectors import Encoder, embed
+from ..operators.vectors import Encoder, embed, query_text
 from ..schemas import GOLD_CATALOG, GOLD_VECTORS, SILVER, SOURCES
 from ..sources.lake import BronzeEntry, BronzeManifest, GoldManifest, Lake, SilverManifest
 from ..sources.readers import line_counts, read_jsonl
@@ -106,6 +106,29 @@ def export(lake: Lake, run: Run, df: DataFrame) -> None:
     stats(df).write.mode("overwrite").json(f"{folder}/stats")
 
 
+def validate_export(lake: Lake, run_id: str, expected: tuple[str, ...] = ()) -> quality.Report:
+    """DQ-5 over a run's exported files and the stats of that run and the one before."""
+    spark, folder = lake.spark, lake.dataset("silver", "export", run_id)
+    csv = spark.read.csv(f"{folder}/csv", header=True, escape='"', multiLine=True) if lake.exists(f"{folder}/csv") else None
+    json_ = spark.read.json(f"{folder}/json") if lake.exists(f"{folder}/json") else None
+    stats_of = lambda r: spark.read.schema("column string, value string, n long").json(f"{lake.dataset('silver', 'export', r)}/stats")
+    before = lake.previous("silver", "export", run_id)
+    return quality.check_export(csv, json_, stats_of(run_id), stats_of(before) if before else None, expected=expected)
+
+
+def validate_embeddings(lake: Lake, run_id: str, encoder: Encoder | None = None) -> quality.Report:
+    """DQ-6 over a run's vectors, metadata and contract; rows are asked for by the text that tells equal titles apart."""
+    told = json.loads(lake.read_text(f"{lake.root}/gold/_contract_{run_id}.json"))
+    meta, vectors = lake.read("gold", "metadata", run_id), lake.read("gold", "vectors", run_id)
+    queries = own_queries(_texts_for_queries(meta), encoder, query=query_text()) if encoder else None
+    return quality.check_embeddings(vectors, meta, told, queries=queries)
+
+
+def _texts_for_queries(meta: DataFrame) -> DataFrame:
+    lacking = [c for c in ("hora_inicio", "categoria_google", "distrito") if c not in meta.columns]
+    return meta.withColumns({c: F.lit(None).cast("string") for c in lacking})
+
+
 def own_queries(df: DataFrame, encoder: Encoder, sample: int = 300, query: Column | None = None) -> DataFrame:
     """VEC-7: (query_id, embedding) of a seeded sample of the rows with a title, each asked for by its title.
 
