@@ -46,10 +46,12 @@ def child(node: int, path: int) -> int:
     return int(mix(key).astype(np.int64)[0])
 
 
-def fit_splits(x: np.ndarray, tree: int, node: int, share: float, margin: float) -> dict[int, tuple[int, float]]:
-    """Splits by path (1 is the node, 2p and 2p+1 are the children of p): (direction's number, threshold).
+def fit_splits(x: np.ndarray, tree: int, node: int, share: float, apart: float) -> dict[int, tuple[int, float, float]]:
+    """Splits by path (1 is the node, 2p and 2p+1 are the children of p): (direction's number, threshold, margin).
 
-    ``share``: of the rows that a leaf may have at most.
+    ``share``: of the rows that a leaf may have at most. ``apart``: the spread of what two rows at the threshold differ in
+    along a direction. The margin is half of it where rows spread far more, and all of it in a crowd, where a split would
+    part many links; a crowd is then hardly divided by it and soon no longer split.
     """
     splits, todo = {}, [(1, np.arange(len(x)))]
     while todo:
@@ -59,9 +61,10 @@ def fit_splits(x: np.ndarray, tree: int, node: int, share: float, margin: float)
         projected = [x[rows] @ direction(tree, node, path, c, x.shape[1]) for c in range(3)]
         c = int(np.argmax([p.std() for p in projected]))
         at = float(np.median(projected[c]))
+        margin = apart * min(1.0, max(0.5, apart / max(1e-12, float(projected[c].std()))))
         low, high = rows[projected[c] <= at + margin], rows[projected[c] >= at - margin]
         if max(len(low), len(high)) <= STUCK * len(rows):
-            splits[path] = (c, at)
+            splits[path] = (c, at, margin)
             todo += [(2 * path, low), (2 * path + 1, high)]
     return splits
 
@@ -82,7 +85,7 @@ def fit_balls(x: np.ndarray, cosine: float) -> np.ndarray:
     return x[pivots]
 
 
-def route(x: np.ndarray, tree: int, node: int, splits: dict[int, tuple[int, float]], margin: float) -> Iterator[tuple[int, np.ndarray]]:
+def route(x: np.ndarray, tree: int, node: int, splits: dict[int, tuple[int, float, float]]) -> Iterator[tuple[int, np.ndarray]]:
     """(path, rows) of the leaves that a node's splits send rows to."""
     todo = [(1, np.arange(len(x)))]
     while todo:
@@ -91,7 +94,7 @@ def route(x: np.ndarray, tree: int, node: int, splits: dict[int, tuple[int, floa
             if len(rows):
                 yield path, rows
             continue
-        c, at = splits[path]
+        c, at, margin = splits[path]
         p = x[rows] @ direction(tree, node, path, c, x.shape[1])
         todo += [(2 * path, rows[p <= at + margin]), (2 * path + 1, rows[p >= at - margin])]
 
@@ -124,8 +127,9 @@ def near_duplicate_embeddings(vectors: DataFrame, *, id: str = "vec_id", label:
     """Links of vectors of one label whose cosine is ``threshold`` or more, and their components.
 
     Returns a row for each row: the id, n_links (other rows linked directly), component_id (smallest id reachable), kept
-    (the id is component_id). Every link is verified in double precision; ``trees`` trees with spill miss one in some
-    hundred thousand of the links at the threshold itself, and fewer above. Roots of up to ``leaf`` rows are compared whole.
+    (the id is component_id). Every link is verified in double precision. A tree parts a link at the threshold itself with a
+    chance of some hundredths at each level, ``trees`` trees with spill lose one in thousands (tests measure it by brute
+    force, at the threshold, in crowds, several rounds deep). Roots of up to ``leaf`` rows are compared whole.
 
     ``sample``: rows of a node that its splits are fitted on, at most but for chance; every row is routed. ``block``: rows of
     a side of a comparison; larger leaves are compared block against block, but for blocks of one ball.
@@ -150,18 +154,19 @@ def near_duplicate_embeddings(vectors: DataFrame, *, id: str = "vec_id", label:
     sized = groups.join(sizes, "node")
     leaves = sized.where(F.col("n") <= leaf).select("gid", "node")
     every = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-    active = sized.where(F.col("n") > leaf).select("gid", "v", every.alias("tree"), "node").withColumn("node", F.xxhash64("node", "tree"))
-    active, balls, turn = materialise(active, "nodes"), None, 0
+    # Nodes are written without the vectors; those of rows that go on are joined when they are routed again.
+    active = sized.where(F.col("n") > leaf).select("gid", every.alias("tree"), "node", "v").withColumn("node", F.xxhash64("node", "tree"))
+    balls, turn = None, 0
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         tree, node, n = int(pdf["tree"].iat[0]), int(pdf["node"].iat[0]), int(pdf["n"].iat[0])
         x = unit(pdf.sort_values("gid")["v"])
-        splits = fit_splits(x, tree, node, leaf / n, chord / 2 / math.sqrt(x.shape[1]))
+        splits = fit_splits(x, tree, node, leaf / n, chord / math.sqrt(x.shape[1]))
         pivots = fit_balls(x, half) if tree == 0 else x[:0]
         paths = list(splits)
-        return pd.DataFrame({"tree": [tree], "node": [node], "n": [n], "paths": [paths], "choices": [[splits[p][0] for p in paths]], "at": [[splits[p][1] for p in paths]], "pivots": [pivots.astype(np.float64).ravel().tolist()]})
+        return pd.DataFrame({"tree": [tree], "node": [node], "n": [n], "paths": [paths], "choices": [[splits[p][0] for p in paths]], "at": [[splits[p][1] for p in paths]], "margins": [[splits[p][2] for p in paths]], "pivots": [pivots.astype(np.float64).ravel().tolist()]})
 
-    fitted = "tree int, node long, n long, paths array<int>, choices array<int>, at array<double>, pivots array<double>"
+    fitted = "tree int, node long, n long, paths array<int>, choices array<int>, at array<double>, margins array<double>, pivots array<double>"
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spec = None
@@ -172,7 +177,8 @@ def near_duplicate_embeddings(vectors: DataFrame, *, id: str = "vec_id", label:
                 part = pdf.iloc[lo:hi]
                 if len(part) and not part["data"].iat[0]:
                     head = part.iloc[0]
-                    spec = (int(head["tree"]), int(head["node"]), dict(zip(map(int, head["paths"]), zip(map(int, head["choices"]), head["at"], strict=True), strict=True)), np.asarray(head["pivots"], np.float64))
+                    splits = dict(zip(map(int, head["paths"]), zip(map(int, head["choices"]), head["at"], head["margins"], strict=True), strict=True))
+                    spec = (int(head["tree"]), int(head["node"]), splits, np.asarray(head["pivots"], np.float64))
                     part = part.iloc[1:]
                 if part.empty:
                     continue
@@ -182,29 +188,31 @@ def near_duplicate_embeddings(vectors: DataFrame, *, id: str = "vec_id", label:
                 if len(pivots):
                     near = x @ pivots.reshape(-1, x.shape[1]).T >= half
                     ball = np.where(near.any(axis=1), near.argmax(axis=1), -1)
-                for path, i in route(x, tree, node, splits, chord / 2 / math.sqrt(x.shape[1])):
-                    out = part.iloc[i][["gid", "v"]].assign(tree=tree, node=child(node, path), split=path != 1)
+                for path, i in route(x, tree, node, splits):
+                    out = part.iloc[i][["gid"]].assign(tree=tree, node=child(node, path), split=path != 1)
                     yield out.assign(ball=[child(node, 1000 + int(b)) if b >= 0 else None for b in ball[i]])
 
-    routed = "gid long, v array<double>, tree int, node long, split boolean, ball long"
+    routed = "gid long, tree int, node long, split boolean, ball long"
     while not active.isEmpty():
         sizes = materialise(active.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n")), "sizes")
-        done = active.join(sizes.where(F.col("n") <= leaf), ["tree", "node"]).select("gid", "node")
-        leaves = leaves.unionByName(done)
-        large = active.join(sizes.where(F.col("n") > leaf), ["tree", "node"])
+        large = active.join(sizes, ["tree", "node"])
         taken = F.pmod(F.xxhash64("gid", F.lit(turn)), F.lit(1 << 30)) < F.lit(sample << 30) / F.col("n")
-        fits = materialise(large.where(taken).select("gid", F.col("v").cast("array<double>").alias("v"), "tree", "node", "n").groupBy("tree", "node").applyInPandas(fit, fitted), "splits")
+        fits = materialise(large.where(taken).select("gid", "v", "tree", "node", "n").groupBy("tree", "node").applyInPandas(fit, fitted), "splits")
         salts = F.ceil(F.col("n") / SALT).cast("int")
         data = active.join(fits.select("tree", "node", salts.alias("salts")), ["tree", "node"])
-        data = data.select("tree", "node", F.pmod(F.xxhash64("gid"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("data"), "gid", F.col("v").cast("array<double>").alias("v"))
-        heads = fits.select("tree", "node", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(False).alias("data"), "paths", "choices", "at", "pivots")
+        data = data.select("tree", "node", F.pmod(F.xxhash64("gid"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("data"), "gid", "v")
+        heads = fits.select("tree", "node", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(False).alias("data"), "paths", "choices", "at", "margins", "pivots")
         key = ["tree", "node", "salt"]
         dealt = data.unionByName(heads, allowMissingColumns=True).repartition(tasks, *key).sortWithinPartitions(*key, "data")
         sent = materialise(dealt.mapInPandas(send, routed), "nodes", arrow_rows=2000)
         found = sent.where("ball is not null").select("gid", F.struct(F.lit(turn).alias("turn"), "ball").alias("ball"))
         balls = found if balls is None else balls.unionByName(found)
         leaves = leaves.unionByName(sent.where("not split").select("gid", "node"))  # no split divides these
-        active, turn = sent.where("split").select("gid", "v", "tree", "node"), turn + 1
+        on = sent.where("split").select("gid", "tree", "node")
+        left = materialise(on.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        leaves = leaves.unionByName(on.join(left.where(F.col("n") <= leaf), ["tree", "node"]).select("gid", "node"))
+        on = on.join(left.where(F.col("n") > leaf).select("tree", "node"), ["tree", "node"])
+        active, turn = on.join(groups.select("gid", "v"), "gid").select("gid", "tree", "node", "v"), turn + 1
     return _linked(rows, usable, groups, materialise(leaves, "leaves"), balls, kind, threshold, block)
 
 
@@ -261,7 +269,7 @@ def _linked(rows: DataFrame, usable: Column, groups: DataFrame, leaves: DataFram
         some = links > 0
         return pd.DataFrame({"gid": gid[some], "root": gid[labels[some]], "links": links[some]})
 
-    tasks = asked.select("leaf", "tile", "cross", "side", "gid", F.col("v").cast("array<double>").alias("v"), "copies", "leaves", "ball").groupBy("leaf", "tile")
+    tasks = asked.select("leaf", "tile", "cross", "side", "gid", "v", "copies", "leaves", "ball").groupBy("leaf", "tile")
     links = materialise(tasks.applyInPandas(compare, "gid long, root long, links long"), "links")
     inside = members.where("ball is not null")
     heads = inside.groupBy("ball").agg(F.min("gid").alias("root"), F.sum("copies").alias("n"))
