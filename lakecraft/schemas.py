@@ -7,17 +7,89 @@ from pyspark.sql import types as T
 VERSION = "1.0.0"
 
 
-_KINDS = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(), "array<string>": T.ArrayType(T.StringType()), "array<float>": T.ArrayType(T.FloatType())}
-
-
-def _schema(text: str) -> T.StructType:
-    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (part.split() for part in text.split(", "))])
-
+TEXT, DOUBLE, LONG, DAY, INSTANT = T.StringType(), T.DoubleType(), T.LongType(), T.DateType(), T.TimestampType()
+TEXTS, VECTOR = T.ArrayType(TEXT), T.ArrayType(T.FloatType())
 
 # Columns of the layers, required and critical ones, vector width.
-SILVER = _schema("entity_id string, entity_type string, event_id string, poi_id string, poi_id_version string, titulo string, descripcion string, tipo string, categoria_normalizada string, fecha_inicio date, fecha_fin date, hora_inicio string, lugar string, direccion string, distrito string, ciudad string, imagen_url string, precio string, url_origen string, url_evento string, fuente string, tags array<string>, geo_hash string, lat double, lng double, place_id string, rating double, ratings_total bigint, categoria_google string, resumen_reviews string, texto_embedding string, fecha_run date, scraped_at timestamp, schema_version string")
-GOLD_CATALOG = _schema("entity_id string, entity_type string, poi_id string, titulo string, descripcion string, tipo string, fecha_inicio date, fecha_fin date, hora_inicio string, lugar string, direccion string, distrito string, ciudad string, imagen_url string, precio string, url_origen string, fuente string, tags array<string>, geo_hash string, lat double, lng double, rating double, fecha_run date, schema_version string")
-GOLD_VECTORS = _schema("entity_id string, titulo string, tipo string, fuente string, fecha_inicio date, texto_embedding string, embedding array<float>, model_name string, schema_version string")
+SILVER = T.StructType(
+    [
+        T.StructField("entity_id", TEXT),
+        T.StructField("entity_type", TEXT),
+        T.StructField("event_id", TEXT),
+        T.StructField("poi_id", TEXT),
+        T.StructField("poi_id_version", TEXT),
+        T.StructField("titulo", TEXT),
+        T.StructField("descripcion", TEXT),
+        T.StructField("tipo", TEXT),
+        T.StructField("categoria_normalizada", TEXT),
+        T.StructField("fecha_inicio", DAY),
+        T.StructField("fecha_fin", DAY),
+        T.StructField("hora_inicio", TEXT),
+        T.StructField("lugar", TEXT),
+        T.StructField("direccion", TEXT),
+        T.StructField("distrito", TEXT),
+        T.StructField("ciudad", TEXT),
+        T.StructField("imagen_url", TEXT),
+        T.StructField("precio", TEXT),
+        T.StructField("url_origen", TEXT),
+        T.StructField("url_evento", TEXT),
+        T.StructField("fuente", TEXT),
+        T.StructField("tags", TEXTS),
+        T.StructField("geo_hash", TEXT),
+        T.StructField("lat", DOUBLE),
+        T.StructField("lng", DOUBLE),
+        T.StructField("place_id", TEXT),
+        T.StructField("rating", DOUBLE),
+        T.StructField("ratings_total", LONG),
+        T.StructField("categoria_google", TEXT),
+        T.StructField("resumen_reviews", TEXT),
+        T.StructField("texto_embedding", TEXT),
+        T.StructField("fecha_run", DAY),
+        T.StructField("scraped_at", INSTANT),
+        T.StructField("schema_version", TEXT),
+    ]
+)
+GOLD_CATALOG = T.StructType(
+    [
+        T.StructField("entity_id", TEXT),
+        T.StructField("entity_type", TEXT),
+        T.StructField("poi_id", TEXT),
+        T.StructField("titulo", TEXT),
+        T.StructField("descripcion", TEXT),
+        T.StructField("tipo", TEXT),
+        T.StructField("fecha_inicio", DAY),
+        T.StructField("fecha_fin", DAY),
+        T.StructField("hora_inicio", TEXT),
+        T.StructField("lugar", TEXT),
+        T.StructField("direccion", TEXT),
+        T.StructField("distrito", TEXT),
+        T.StructField("ciudad", TEXT),
+        T.StructField("imagen_url", TEXT),
+        T.StructField("precio", TEXT),
+        T.StructField("url_origen", TEXT),
+        T.StructField("fuente", TEXT),
+        T.StructField("tags", TEXTS),
+        T.StructField("geo_hash", TEXT),
+        T.StructField("lat", DOUBLE),
+        T.StructField("lng", DOUBLE),
+        T.StructField("rating", DOUBLE),
+        T.StructField("fecha_run", DAY),
+        T.StructField("schema_version", TEXT),
+    ]
+)
+GOLD_VECTORS = T.StructType(
+    [
+        T.StructField("entity_id", TEXT),
+        T.StructField("titulo", TEXT),
+        T.StructField("tipo", TEXT),
+        T.StructField("fuente", TEXT),
+        T.StructField("fecha_inicio", DAY),
+        T.StructField("texto_embedding", TEXT),
+        T.StructField("embedding", VECTOR),
+        T.StructField("model_name", TEXT),
+        T.StructField("schema_version", TEXT),
+    ]
+)
 REQUIRED = ("entity_id", "entity_type", "titulo", "fuente", "url_origen", "texto_embedding", "scraped_at", "fecha_run")
 CRITICAL = ("entity_id", "entity_type", "titulo", "fuente", "texto_embedding")
 SOURCES = ("bnp", "mali", "joinnus", "google_places")
