@@ -4,11 +4,15 @@ Every vector goes to the pivot of the smallest angle. A cell knows the largest a
 norms; by the triangle inequality of angles this bounds every product between two cells from above and below, so most
 pairs of cells are never formed, and some need not be compared. Pivots are ``MOST_PIVOTS`` at most: what the driver
 holds and the tasks get does not grow with the vectors.
+
+Where many cells meet many, they travel in bands of neighbouring cells: a row is sent once for each band that its own
+meets (``BANDS`` at most, until bands are ``MOST_BAND`` rows), not once for each cell, and the task passes over the pairs of
+cells that cannot matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +25,9 @@ from ..sources.scratch import written
 
 MOST_PIVOTS = 2048
 SLACK = 1e-7  # for rounding, in radians and in parts of a product
+ROUNDING = 1e-12  # of a matrix product, in parts of the lengths' product
+# Bands: how many a table is cut into, and the rows of one at least and at most.
+BANDS, LEAST_BAND, MOST_BAND = 16, 2048, 65536
 
 
 def pivots_of(vectors: DataFrame, id: str, n: int, block: int) -> np.ndarray:
@@ -86,25 +93,126 @@ def bounds(pivots: np.ndarray, a: Cells, b: Cells) -> tuple[np.ndarray, np.ndarr
     return least - SLACK * (1 + long), most + SLACK * (1 + long)
 
 
-def tiles(rows: DataFrame, others: DataFrame | None, id: str, other_id: str, pairs: DataFrame) -> DataFrame:
-    """Rows of both sides, once for each tile of theirs: columns of the rows, tile, cross, side.
+def tiles(rows: DataFrame, others: DataFrame, id: str, other_id: str, pairs: DataFrame) -> DataFrame:
+    """Rows of both sides, once for each tile of theirs: columns of the rows, tile, side.
 
-    ``pairs``: a, b (cells), na, nb (parts of each); a tile is a part of a cell against one of another. Without
-    ``others`` both sides are of ``rows``, and a part meets itself in a tile of its own (cross false).
+    ``pairs``: a, b (cells), na, nb (parts of each); a tile is a part of a cell against one of another.
     """
     both = pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("na") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    if others is None:
-        both = both.where((F.col("a") < F.col("b")) | (F.col("i") <= F.col("j")))
-    same = (F.col("a") == F.col("b")) & (F.col("i") == F.col("j")) if others is None else F.lit(False)
-    both = both.withColumns({"tile": F.xxhash64("a", "b", "i", "j"), "cross": ~same})
-    left = both.select(F.col("a").alias("cell"), F.col("i").alias("nth"), F.col("na").alias("parts"), "tile", "cross", F.lit(0).alias("side"))
-    right = both.where("cross").select(F.col("b").alias("cell"), F.col("j").alias("nth"), F.col("nb").alias("parts"), "tile", "cross", F.lit(1).alias("side"))
+    both = both.withColumn("tile", F.xxhash64("a", "b", "i", "j"))
+    left = both.select(F.col("a").alias("cell"), F.col("i").alias("nth"), F.col("na").alias("parts"), "tile", F.lit(0).alias("side"))
+    right = both.select(F.col("b").alias("cell"), F.col("j").alias("nth"), F.col("nb").alias("parts"), "tile", F.lit(1).alias("side"))
 
     def dealt(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
         sizes = wanted.select("cell", "parts").distinct()
         placed = table.join(sizes, "cell").withColumn("nth", F.pmod(F.xxhash64(F.col(key)), F.col("parts")).cast("int")).drop("parts")
         return placed.join(wanted.drop("parts"), ["cell", "nth"])
 
-    if others is None:
-        return dealt(rows, id, left.unionByName(right))
     return dealt(rows, id, left).unionByName(dealt(others, other_id, right))
+
+
+@dataclass
+class Bands:
+    """The band of each part of each cell, and which cells a band holds."""
+
+    of: list[list[int]]
+    cells: np.ndarray
+
+    @classmethod
+    def cut(cls, cells: Cells, block: int) -> Bands:
+        """Cells in their order, in parts of about ``block`` rows, filled into bands of equal size."""
+        size = min(MOST_BAND, max(LEAST_BAND, -(-int(cells.n.sum()) // BANDS)))
+        parts = -(-cells.n // block)
+        each = np.repeat(cells.n / np.maximum(parts, 1), parts)
+        band = (np.cumsum(each) - each / 2).astype(np.int64) // size
+        ends = np.cumsum(parts)
+        of = [band[e - p : e].tolist() for e, p in zip(ends, parts, strict=True)]
+        held = np.zeros((int(band.max(initial=-1)) + 1, len(cells.n)), np.float32)
+        held[band, np.repeat(np.arange(len(parts)), parts)] = 1
+        return cls(of, held)
+
+    def place(self, rows: DataFrame, id: str) -> DataFrame:
+        """The rows with nth (the part of their cell) and band."""
+        told = [(c, b) for c, b in enumerate(self.of) if b]
+        sizes = rows.sparkSession.createDataFrame(told, "cell int, bands array<int>")
+        placed = rows.join(F.broadcast(sizes), "cell").withColumn("nth", F.pmod(F.xxhash64(F.col(id)), F.size("bands")).cast("int"))  # a row for each pivot
+        return placed.withColumn("band", F.get("bands", F.col("nth"))).drop("bands")
+
+
+def band_tiles(rows: DataFrame, bands: Bands, id: str, needed: np.ndarray, others: DataFrame | None = None, other_bands: Bands | None = None, other_id: str | None = None) -> tuple[DataFrame, int]:
+    """Rows of both sides, once for each tile (a band against another) with a pair of cells that is ``needed``, and the number of tiles.
+
+    Columns of the rows, tile, side, cross. Without ``others`` both sides are of ``rows``; a band meets itself in a tile with cross false.
+    """
+    met = bands.cells @ needed.astype(np.float32) @ (bands if other_bands is None else other_bands).cells.T > 0
+    pairs = [(int(a), int(b)) for a, b in np.argwhere(met) if others is not None or a <= b]
+    asked = [[(n, a, others is not None or a != b) for n, (a, b) in enumerate(pairs)], [(n, b, True) for n, (a, b) in enumerate(pairs) if others is not None or a != b]]
+
+    def dealt(table: DataFrame, own: Bands, key: str, wanted: list, side: int) -> DataFrame:
+        told = table.sparkSession.createDataFrame(wanted, "tile int, band int, cross boolean").withColumn("side", F.lit(side))
+        return own.place(table, key).join(F.broadcast(told), "band")  # a row for each tile
+
+    if others is None:
+        both = asked[0] + asked[1]
+        told = rows.sparkSession.createDataFrame([(*x, int(k >= len(asked[0]))) for k, x in enumerate(both)], "tile int, band int, cross boolean, side int")
+        out = bands.place(rows, id).join(F.broadcast(told), "band")  # a row for each tile and side
+    else:
+        out = dealt(rows, bands, id, asked[0], 0).unionByName(dealt(others, other_bands, other_id, asked[1], 1))
+    return out.drop("nth", "band").repartition(max(1, 2 * len(pairs)), "tile"), len(pairs)
+
+
+class Side:
+    """The rows of one side of a tile in the order of cell and id, as a matrix."""
+
+    def __init__(self, pdf: pd.DataFrame, id: str):
+        self.rows = pdf.sort_values(["cell", id])
+        self.x, self.ids = matrix(self.rows["embedding"]), self.rows[id].to_numpy()
+        self.cells, self.starts = np.unique(self.rows["cell"].to_numpy(), return_index=True)
+        self.ends = np.append(self.starts[1:], len(self.rows))
+        self.longest = float(np.sqrt((self.x * self.x).sum(axis=1).max()))
+
+
+def sides(pdf: pd.DataFrame, id: str, other_id: str | None = None) -> tuple[Side, Side, bool] | None:
+    """Both sides of a tile and whether they differ; None if one is empty."""
+    cross = bool(pdf["cross"].iat[0])
+    a, b = (pdf[pdf["side"] == n] for n in (0, 1))
+    if not cross:
+        one = Side(a, id)
+        return one, one, False
+    return None if a.empty or b.empty else (Side(a, id), Side(b, other_id or id), True)
+
+
+def packed(needed: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A matrix of yes and no as bits, for tasks; gives the part of some rows and columns."""
+    bits, width = np.packbits(needed, axis=1), needed.shape[1]
+    return lambda a, b: np.unpackbits(bits[a], axis=1, count=width)[:, b].astype(bool)
+
+
+def meetings(a: Side, b: Side, cross: bool, needed: Callable[[np.ndarray, np.ndarray], np.ndarray], rows: int = 512, columns: int = 4096) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(i0, i1, [(j0, j1), ..]): rows of one cell of ``a`` and the ranges of ``b`` that its needed cells make; so many at a time.
+
+    Of a tile with itself only ranges beyond i0.
+    """
+    meet = needed(a.cells, b.cells)
+    for c in range(len(a.cells)):
+        on = np.flatnonzero(meet[c])
+        if not len(on):
+            continue
+        runs = [(int(b.starts[r[0]]), int(b.ends[r[-1]])) for r in np.split(on, np.flatnonzero(np.diff(on) > 1) + 1)]
+        for i0 in range(int(a.starts[c]), int(a.ends[c]), rows):
+            ranges = [(j, min(j + columns, hi)) for lo, hi in runs for j in range(lo if cross else max(lo, i0 + 1), hi, columns)]
+            if ranges:
+                yield i0, min(i0 + rows, int(a.ends[c])), ranges
+
+
+def places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of what is true; much faster than ``np.nonzero`` where that is little."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row, summed from the first component on: the same for the same two vectors wherever they stand."""
+    out = np.zeros(len(a))
+    for k in range(a.shape[1]):
+        out += a[:, k] * b[:, k]
+    return out

@@ -3,7 +3,7 @@
 Products of many vectors with many run as matrix products over Arrow batches. A query set goes to the
 executors in blocks of a bounded size; each task keeps its own best k, so only k rows of a query and task
 are shuffled. Where all meet all, rows are dealt over cells around pivots, and pairs of cells that cannot matter are
-not formed (``pruning``).
+not formed; rows travel in bands of cells, once for each band that theirs meets (``pruning``).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -68,11 +69,15 @@ def embed(df: DataFrame, encoder: Encoder, text: str = "texto_embedding") -> Dat
     return df.drop("embedding", "model_name").mapInPandas(run, schema)
 
 
-def search(vectors: DataFrame, query: list[float], k: int, *, id: str = "entity_id", prefilter: Column | None = None, where: Column | None = None, columns: list[str] | None = None) -> DataFrame:
-    """VEC-3, FIL-7: the k rows of the highest inner product, equal ones by id; ``where`` filters them afterwards, ``prefilter`` before."""
+def search(vectors: DataFrame, query: list[float], k: int, *, id: str = "entity_id", prefilter: Column | None = None, where: Column | None = None, columns: list[str] | None = None, digits: int | None = None) -> DataFrame:
+    """VEC-3, FIL-7: the k rows of the highest inner product, equal ones by id; ``where`` filters them afterwards, ``prefilter`` before.
+
+    With ``digits`` scores are rounded, and ranked as they are then.
+    """
     rows = vectors if prefilter is None else vectors.where(prefilter)
     q = F.array(*[F.lit(float(x)) for x in query])
-    top = rows.withColumn("score", dot(F.col("embedding"), q)).orderBy(F.desc("score"), id).limit(k)
+    score = dot(F.col("embedding"), q)
+    top = rows.withColumn("score", score if digits is None else F.round(score, digits)).orderBy(F.desc("score"), id).limit(k)
     top = top if where is None else top.where(where)
     return top.select(*columns, "score") if columns else top
 
@@ -84,12 +89,13 @@ def _first(found: pd.DataFrame, k: int, id: str) -> pd.DataFrame:
 def _best(pdf: pd.DataFrame, ids: np.ndarray, queries: np.ndarray, k: int, id: str) -> pd.DataFrame:
     """(query_id, id, score) of the k best rows of a frame for each query, equal ones by id."""
     rows, n, out = np.stack(pdf["embedding"].to_numpy()).astype(np.float64), min(k, len(pdf)), []
+    slack = pruning.ROUNDING * (1 + np.sqrt((rows * rows).sum(axis=1).max() * (queries * queries).sum(axis=1).max(initial=0)))
     for lo in range(0, len(ids), 512):  # so many queries at a time
         scores = rows @ queries[lo : lo + 512].T
-        # Ties at rank k have to meet: everything down to the k-th score is sorted.
-        floor = np.partition(scores, len(pdf) - n, axis=0)[len(pdf) - n]
-        row, q = np.nonzero(scores >= floor)
-        out.append(_first(pd.DataFrame({"query_id": ids[lo : lo + 512][q], id: pdf[id].to_numpy()[row], "score": scores[row, q]}), k, id))
+        # Ties at rank k have to meet: everything down to the k-th score is scored again and sorted.
+        floor = np.partition(scores, len(pdf) - n, axis=0)[len(pdf) - n] - slack
+        row, q = pruning.places(scores >= floor)
+        out.append(_first(pd.DataFrame({"query_id": ids[lo : lo + 512][q], id: pdf[id].to_numpy()[row], "score": pruning.products(rows[row], queries[lo + q])}), k, id))
     return pd.concat(out)
 
 
@@ -131,13 +137,38 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_i
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _best_of_tile(needed, k: int, id: str):
+    """(query_id, id, score) of the k best rows of a tile for each of its queries, equal ones by id."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query_id": [], id: [], "score": []})]
+        if (both := pruning.sides(pdf.rename(columns={"query_id": "_q"}).assign(**{id: pdf[id]}), "_q", id)) is None:
+            return out[0]
+        a, b, cross = both
+        slack = pruning.ROUNDING * (1 + a.longest * b.longest)
+        for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
+            floor, found = np.full(i1 - i0, -np.inf), []
+            for j0, j1 in ranges:
+                s = a.x[i0:i1] @ b.x[j0:j1].T
+                if j1 - j0 >= k:
+                    floor = np.maximum(floor, np.partition(s, j1 - j0 - k, axis=1)[:, j1 - j0 - k] - slack)
+                i, j = pruning.places(s >= floor[:, None])
+                found.append((i, j + j0, s[i, j]))
+            i, j, s = (np.concatenate(x) for x in zip(*found, strict=True))
+            keep = s >= floor[i]
+            i, j = i[keep] + i0, j[keep]
+            out.append(_first(pd.DataFrame({"query_id": a.ids[i], id: b.ids[j], "score": pruning.products(a.x[i], b.x[j])}), k, id))
+        return pd.concat([o for o in out if len(o)] or out)
+
+    return run
+
+
 def top_k_by_bounds(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_id", block: int = 4096, without_self: bool = False, first: int = 4) -> tuple[DataFrame, DataFrame]:
     """VEC-3, VEC-5, WIN-2: as :func:`top_k`, and how much was read: (round, query_cells, cell_pairs, products, whole).
 
-    Queries and vectors are dealt over the cells of the same pivots. In rounds each cell of queries meets its next cells
-    of vectors, those of the highest bound first, twice as many as in the round before; it ends once the bound of the
-    next one is below the k-th score of all its queries. ``products`` are the scores that a round computed, ``whole`` those of
-    all queries with all vectors.
+    Queries and vectors are dealt over the cells of the same pivots. First each cell of queries meets the ``first`` cells of
+    vectors of the highest bounds (more if they hold fewer than k rows), then, in bands, all others whose bound is not below the k-th score of all
+    its queries. ``products`` are the scores that a round computed, ``whole`` those of all queries with all vectors.
     """
     rows, asked = vectors.select(id, "embedding").where("embedding is not null"), queries.select("query_id", "embedding").where("embedding is not null")
     spark = rows.sparkSession
@@ -149,9 +180,10 @@ def top_k_by_bounds(vectors: DataFrame, queries: DataFrame, k: int, *, id: str =
     own, other = pruning.Cells.of(left, len(pivots)), pruning.Cells.of(right, len(pivots))
     bound = pruning.bounds(pivots, own, other)[1]
     bound[:, other.n == 0] = -np.inf
-    order, met, least = np.argsort(-bound, axis=1), np.zeros(len(pivots), int), np.full(len(pivots), -np.inf)
-    least[own.n == 0] = np.inf
-    found, report, take = None, [], first
+    bound[own.n == 0] = -np.inf
+    order, least = np.argsort(-bound, axis=1, kind="stable"), np.full(len(pivots), -np.inf)
+    left, right = left.withColumn(id, F.lit(None).cast(kind)), right.withColumn("query_id", F.lit(None).cast(query_kind))
+    found, report = None, []
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
@@ -159,37 +191,50 @@ def top_k_by_bounds(vectors: DataFrame, queries: DataFrame, k: int, *, id: str =
             return pd.DataFrame({"query_id": [], id: [], "score": []})
         return _best(b, a["query_id"].to_numpy(), pruning.matrix(a["embedding"]), k + without_self, id)
 
-    while True:
-        pairs = [(c, int(v)) for c in np.flatnonzero(own.n) for v in order[c, met[c] : met[c] + take] if bound[c, v] >= least[c] and bound[c, v] > -np.inf]
-        if not pairs:
-            break
-        report.append((len(report), len({c for c, _ in pairs}), len(pairs), int(sum(own.n[c] * other.n[v] for c, v in pairs)), m * n))
-        parts = lambda x: int(-(-x // block))
-        asks = spark.createDataFrame([(int(c), v, parts(own.n[c]), parts(other.n[v])) for c, v in pairs], "a int, b int, na int, nb int")
-        both = pruning.tiles(left.withColumn(id, F.lit(None).cast(kind)), right.withColumn("query_id", F.lit(None).cast(query_kind)), "query_id", id, asks)
-        new = both.select("tile", "side", "query_id", id, "embedding").groupBy("tile").applyInPandas(compare, schema)
+    def ranked(new: DataFrame) -> DataFrame:
         if without_self:
             new = new.where(F.col("query_id") != F.col(id))
         every = new if found is None else found.drop("rank").unionByName(new)
         w = Window.partitionBy("query_id").orderBy(F.desc("score"), id)
-        found = written(every.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "best")
+        return written(every.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "best")
+
+    def told(met: np.ndarray) -> None:
+        report.append((len(report), int(met.any(axis=1).sum()), int(met.sum()), int(own.n @ met.astype(np.int64) @ other.n), m * n))
+
+    met = np.zeros(bound.shape, bool)
+    for c in np.flatnonzero(own.n):
+        enough = np.searchsorted(np.cumsum(other.n[order[c]]), k + without_self) + 1
+        met[c, order[c, : max(first, enough)]] = True
+    met &= bound > -np.inf
+    if met.any():
+        told(met)
+        parts = lambda x: int(-(-x // block))
+        asks = spark.createDataFrame([(int(c), int(v), parts(own.n[c]), parts(other.n[v])) for c, v in np.argwhere(met)], "a int, b int, na int, nb int")
+        both = pruning.tiles(left, right, "query_id", id, asks)
+        found = ranked(both.select("tile", "side", "query_id", id, "embedding").groupBy("tile").applyInPandas(compare, schema))
         worst = left.select("query_id", "cell").join(found.where(F.col("rank") == k).select("query_id", "score"), "query_id", "left")
-        told = worst.groupBy("cell").agg(F.min(F.coalesce("score", F.lit(float("-inf")))).alias("least")).collect()  # a row for each pivot
-        for r in told:
+        for r in worst.groupBy("cell").agg(F.min(F.coalesce("score", F.lit(float("-inf")))).alias("least")).collect():  # a row for each pivot
             least[r.cell] = r.least - 1e-12 * abs(r.least) if np.isfinite(r.least) else r.least  # equal scores go by the id
-        met += take
-        take *= 2
+        rest = (bound >= least[:, None]) & (bound > -np.inf) & ~met
+        if rest.any():
+            told(rest)
+            both, _ = pruning.band_tiles(left, pruning.Bands.cut(own, block), "query_id", rest, right, pruning.Bands.cut(other, block), id)
+            found = ranked(both.select("tile", "cross", "side", "cell", "query_id", id, "embedding").groupBy("tile").applyInPandas(_best_of_tile(pruning.packed(rest), k + without_self, id), schema))
     if found is None:
         found = rows.where("false").select(F.lit(None).cast(query_kind).alias("query_id"), id, F.lit(0.0).alias("score"), F.lit(1).alias("rank"))
     return found, spark.createDataFrame(report, "round int, query_cells int, cell_pairs int, products long, whole long")
 
 
-def cell_pairs(vectors: DataFrame, theta: float, *, id: str = "entity_id", block: int = 4096, collapse: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The vectors in cells, and each pair of cells (a <= b) with what is known of it: na, nb (parts), n (pairs of rows), kind.
+@dataclass
+class _Meeting:
+    """Vectors in cells and, by two cells, what is known of the products between them."""
 
-    ``skipped``: no product reaches ``theta``; ``whole``: every one does; ``compared``: neither is known. ``collapse``: of equal
-    vectors one row stays, with their number as ``copies``.
-    """
+    placed: DataFrame
+    cells: pruning.Cells
+    kind: np.ndarray
+
+
+def _meeting(vectors: DataFrame, theta: float, id: str, block: int, collapse: bool) -> _Meeting:
     rows = vectors.select(id, "embedding").where("embedding is not null")
     if collapse:
         rows = written(rows.groupBy("embedding").agg(F.min(id).alias(id), F.count(F.lit(1)).alias("copies")).select(id, "embedding", "copies"), "vectors")
@@ -199,14 +244,28 @@ def cell_pairs(vectors: DataFrame, theta: float, *, id: str = "entity_id", block
     placed = pruning.in_cells(rows, pivots, "cells")
     cells = pruning.Cells.of(placed, len(pivots))
     least, most = pruning.bounds(pivots, cells, cells)
-    there = np.flatnonzero(cells.n)
+    least, most = np.minimum(least, least.T), np.maximum(most, most.T)  # the same both ways
+    return _Meeting(placed, cells, np.where(most < theta, _SKIPPED, np.where(least >= theta, _WHOLE, _COMPARED)).astype(np.int8))
+
+
+_KINDS = ("skipped", "whole", "compared")
+_SKIPPED, _WHOLE, _COMPARED = range(3)
+
+
+def cell_pairs(vectors: DataFrame, theta: float, *, id: str = "entity_id", block: int = 4096, collapse: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The vectors in cells, and each pair of cells (a <= b) with what is known of it: na, nb (parts), n (pairs of rows), kind.
+
+    ``skipped``: no product reaches ``theta``; ``whole``: every one does; ``compared``: neither is known. ``collapse``: of equal
+    vectors one row stays, with their number as ``copies``.
+    """
+    m = _meeting(vectors, theta, id, block, collapse)
+    there = np.flatnonzero(m.cells.n)
     i, j = np.meshgrid(there, there, indexing="ij")
     i, j = i[i <= j], j[i <= j]
-    kind = np.where(most[i, j] < theta, "skipped", np.where(least[i, j] >= theta, "whole", "compared"))
-    n = np.where(i == j, cells.n[i] * (cells.n[i] - 1) // 2, cells.n[i] * cells.n[j])
-    parts = -(-cells.n // block)
-    told = pd.DataFrame({"a": i, "b": j, "na": parts[i], "nb": parts[j], "n": n, "kind": kind}).astype({"a": "int32", "b": "int32", "na": "int32", "nb": "int32"})
-    return placed, vectors.sparkSession.createDataFrame(told, "a int, b int, na int, nb int, n long, kind string")
+    n = np.where(i == j, m.cells.n[i] * (m.cells.n[i] - 1) // 2, m.cells.n[i] * m.cells.n[j])
+    parts = -(-m.cells.n // block)
+    told = pd.DataFrame({"a": i, "b": j, "na": parts[i], "nb": parts[j], "n": n, "kind": np.array(_KINDS)[m.kind[i, j]]}).astype({"a": "int32", "b": "int32", "na": "int32", "nb": "int32"})
+    return m.placed, vectors.sparkSession.createDataFrame(told, "a int, b int, na int, nb int, n long, kind string")
 
 
 def pair_report(pairs: DataFrame) -> DataFrame:
@@ -216,24 +275,27 @@ def pair_report(pairs: DataFrame) -> DataFrame:
     return sums.crossJoin(F.broadcast(whole)).select("kind", "cells", (F.col("cells") / F.col("_c")).alias("cell_share"), "rows", (F.col("rows") / F.col("_r")).alias("row_share"))  # one row
 
 
-def _sides(pdf: pd.DataFrame, id: str) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
-    pdf = pdf.sort_values(id)
-    cross = bool(pdf["cross"].iat[0])
-    return (pdf[pdf["side"] == 0], pdf[pdf["side"] == 1], True) if cross else (pdf, pdf, False)
+def _beyond(i0: int, i1: int, j0: int, j1: int) -> np.ndarray:
+    """Of a tile with itself: whether the column stands behind the row."""
+    return np.arange(j0, j1)[None, :] > np.arange(i0, i1)[:, None]
 
 
-def _pairs_of(id: str, theta: float):
+def _pairs_of(needed, id: str, theta: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, cross = _sides(pdf, id)
         out = [pd.DataFrame({"id_a": [], "id_b": [], "score": []})]
-        if len(a) and len(b):
-            w, x, y = pruning.matrix(b["embedding"]).T, a[id].to_numpy(), b[id].to_numpy()
-            for lo in range(0, len(a), 512):  # so many rows against a block at a time
-                s = pruning.matrix(a["embedding"].iloc[lo : lo + 512]) @ w
-                i, j = np.nonzero(s >= theta)
-                keep = np.ones(len(i), bool) if cross else lo + i < j
-                i, j = i[keep], j[keep]
-                out.append(pd.DataFrame({"id_a": np.minimum(x[lo + i], y[j]), "id_b": np.maximum(x[lo + i], y[j]), "score": s[i, j]}))
+        if (both := pruning.sides(pdf, id)) is None:
+            return out[0]
+        a, b, cross = both
+        least = theta - pruning.ROUNDING * (1 + a.longest * b.longest)
+        for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
+            for j0, j1 in ranges:
+                near = a.x[i0:i1] @ b.x[j0:j1].T >= least
+                if not cross and j0 < i1:
+                    near &= _beyond(i0, i1, j0, j1)
+                i, j = pruning.places(near)
+                s = pruning.products(a.x[i + i0], b.x[j + j0])
+                x, y, s = a.ids[i + i0][s >= theta], b.ids[j + j0][s >= theta], s[s >= theta]
+                out.append(pd.DataFrame({"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "score": s}))
         return pd.concat([o for o in out if len(o)] or out)
 
     return run
@@ -245,22 +307,25 @@ def near_duplicate_pairs(vectors: DataFrame, theta: float = 0.95, *, id: str = "
     Pairs of cells whose bound is below ``theta`` are never formed (:func:`cell_pairs`, :func:`pair_report`).
     """
     kind = vectors.schema[id].dataType.simpleString()
-    rows, pairs = cell_pairs(vectors, theta, id=id, block=block)
-    both = pruning.tiles(rows, None, id, id, pairs.where("kind <> 'skipped'"))
-    return both.select("tile", "cross", "side", id, "embedding").groupBy("tile").applyInPandas(_pairs_of(id, theta), f"id_a {kind}, id_b {kind}, score double").where("id_a <> id_b")
+    m = _meeting(vectors, theta, id, block, collapse=False)
+    needed = m.kind != _SKIPPED
+    both, _ = pruning.band_tiles(m.placed, pruning.Bands.cut(m.cells, block), id, needed)
+    return both.select("tile", "cross", "side", "cell", id, "embedding").groupBy("tile").applyInPandas(_pairs_of(pruning.packed(needed), id, theta), f"id_a {kind}, id_b {kind}, score double").where("id_a <> id_b")
 
 
-def _counts_of(id: str, theta: float):
+def _counts_of(needed, id: str, theta: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, cross = _sides(pdf, id)
         n = 0
-        if len(a) and len(b):
-            w, of_a, of_b = pruning.matrix(b["embedding"]).T, a["copies"].to_numpy(), b["copies"].to_numpy()
-            for lo in range(0, len(a), 512):
-                near = pruning.matrix(a["embedding"].iloc[lo : lo + 512]) @ w >= theta
-                if not cross:
-                    near &= lo + np.arange(len(near))[:, None] < np.arange(len(b))
-                n += int((of_a[lo : lo + 512] * (near @ of_b)).sum())
+        if both := pruning.sides(pdf, id):
+            a, b, cross = both
+            of_a, of_b = (x.rows["copies"].to_numpy().astype(np.float64) for x in (a, b))
+            single = bool((of_a == 1).all() and (of_b == 1).all())
+            for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
+                for j0, j1 in ranges:
+                    near = a.x[i0:i1] @ b.x[j0:j1].T >= theta
+                    if not cross and j0 < i1:
+                        near &= _beyond(i0, i1, j0, j1)
+                    n += int(np.count_nonzero(near)) if single else sum(map(int, of_a[i0:i1] * (near @ of_b[j0:j1])))
         return pd.DataFrame({"n": [n]})
 
     return run
@@ -271,16 +336,21 @@ def near_duplicate_count(vectors: DataFrame, theta: float = 0.95, *, id: str = "
 
     Equal vectors are one row with their number; cells whose products all reach ``theta`` are counted, not compared.
     """
-    rows, pairs = cell_pairs(vectors, theta, id=id, block=block, collapse=True)
-    both = pruning.tiles(rows, None, id, id, pairs.where("kind = 'compared'"))
-    compared = both.select("tile", "cross", "side", id, "embedding", "copies").groupBy("tile").applyInPandas(_counts_of(id, theta), "n long")
-    sums = rows.groupBy("cell").agg(F.sum("copies").alias("w"), F.sum(F.col("copies") * F.col("copies")).alias("q"))
-    whole = pairs.where("kind = 'whole'").join(sums.select(F.col("cell").alias("a"), F.col("w").alias("wa"), "q"), "a").join(sums.select(F.col("cell").alias("b"), F.col("w").alias("wb")), "b")
-    whole = whole.select(F.when(F.col("a") == F.col("b"), F.expr("(wa * wa - q) div 2")).otherwise(F.col("wa") * F.col("wb")).alias("n"))
+    m = _meeting(vectors, theta, id, block, collapse=True)
+    rows, needed = m.placed, m.kind == _COMPARED
+    both, _ = pruning.band_tiles(rows, pruning.Bands.cut(m.cells, block), id, needed)
+    compared = both.select("tile", "cross", "side", "cell", id, "embedding", "copies").groupBy("tile").applyInPandas(_counts_of(pruning.packed(needed), id, theta), "n long")
+    w = np.zeros(len(m.kind), object)
+    whole = 0
+    for r in rows.groupBy("cell").agg(F.sum("copies").alias("w"), F.sum(F.col("copies") * F.col("copies")).alias("q")).collect():  # a row for each pivot
+        w[r.cell] = r.w
+        whole += (r.w * r.w - r.q) // 2 if m.kind[r.cell, r.cell] == _WHOLE else 0
+    for c in range(len(w)):
+        whole += w[c] * int(w[c + 1 :][m.kind[c, c + 1 :] == _WHOLE].sum())
     equal = rows.where((F.col("copies") > 1) & (F.col("length") * F.col("length") >= theta)).select(F.expr("copies * (copies - 1) div 2").alias("n"))
     n = rows.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("m"))
     every = F.col("m") * (F.col("m") - 1) / 2
-    counts = compared.unionByName(whole).unionByName(equal).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"))
+    counts = compared.unionByName(equal).agg((F.coalesce(F.sum("n"), F.lit(0)) + F.lit(int(whole)).cast("long")).alias("pairs"))
     return counts.crossJoin(F.broadcast(n)).select("pairs", F.when(every > 0, F.col("pairs") / every).otherwise(0.0).alias("ratio"))  # one row each
 
 
@@ -289,11 +359,59 @@ def first_pairs(vectors: DataFrame, theta: float = 0.95, n: int = 10, *, id: str
     return near_duplicate_pairs(vectors, theta, id=id, block=block).orderBy("id_a", "id_b").limit(n)
 
 
+def _nearest_of(needed, id: str):
+    """(id, cell, score): of both sides of a tile each row's highest product with a row of the other side."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({id: [], "cell": [], "score": []})
+        if (both := pruning.sides(pdf, id)) is None:
+            return out
+        a, b, cross = both
+        top_a = np.full(len(a.ids), -np.inf)
+        top_b = np.full(len(b.ids), -np.inf) if cross else top_a
+        repeated = len(np.intersect1d(a.ids, b.ids)) if cross else len(a.ids) - len(np.unique(a.ids))
+        for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
+            for j0, j1 in ranges:
+                s = a.x[i0:i1] @ b.x[j0:j1].T
+                if not cross and j0 < i1:
+                    s[~_beyond(i0, i1, j0, j1)] = -np.inf
+                if repeated:
+                    s[a.ids[i0:i1, None] == b.ids[None, j0:j1]] = -np.inf
+                np.maximum(top_a[i0:i1], s.max(axis=1), out=top_a[i0:i1])
+                np.maximum(top_b[j0:j1], s.max(axis=0), out=top_b[j0:j1])
+        found = [pd.DataFrame({id: x.ids, "cell": x.rows["cell"].to_numpy(), "score": top}) for x, top in ((a, top_a), (b, top_b))[: 1 + cross]]
+        out = pd.concat(found)
+        return out[out["score"] > -np.inf]
+
+    return run
+
+
 def nearest_other(vectors: DataFrame, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
-    """VEC-5: (id, score) of the nearest other row, found by bounds; null for a single row."""
+    """VEC-5: (id, score) of the nearest other row; null for a single row.
+
+    First rows meet those of their own cell, then, in bands, cells whose bound is not below what all rows of one of the two have found;
+    two rows meet once for both.
+    """
     rows = vectors.select(id, "embedding").where("embedding is not null")
-    best, _ = top_k_by_bounds(rows, rows.withColumnRenamed(id, "query_id"), 1, id=id, block=block, without_self=True)
-    return rows.select(id).join(best.select(F.col("query_id").alias(id), "score"), id, "left")
+    pivots = pruning.pivots_of(rows, id, rows.count(), block)
+    placed = pruning.in_cells(rows, pivots, "cells")
+    cells = pruning.Cells.of(placed, len(pivots))
+    bands = pruning.Bands.cut(cells, block)
+    schema = f"{id} {rows.schema[id].dataType.simpleString()}, cell int, score double"
+    every = pruning.packed(np.ones((len(pivots),) * 2, bool))
+    near = bands.place(placed, id).select("cell", "nth", id, "embedding", F.lit(False).alias("cross"), F.lit(0).alias("side"))
+    own = written(near.groupBy("cell", "nth").applyInPandas(_nearest_of(every, id), schema), "own")
+    found, least = np.zeros(len(pivots), np.int64), np.full(len(pivots), -np.inf)
+    for r in own.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).collect():  # a row for each pivot
+        found[r.cell], least[r.cell] = r.n, r.least
+    least[found < cells.n] = -np.inf
+    bound = pruning.bounds(pivots, cells, cells)[1]
+    bound = np.maximum(bound, bound.T)
+    needed = (bound >= least[:, None]) | (bound >= least[None, :])
+    both, _ = pruning.band_tiles(placed, bands, id, needed)
+    met = both.select("tile", "cross", "side", "cell", id, "embedding").groupBy("tile").applyInPandas(_nearest_of(pruning.packed(needed), id), schema)
+    best = own.unionByName(met).groupBy(id).agg(F.max("score").alias("score"))
+    return rows.select(id).join(best, id, "left")
 
 
 def vector_profile(vectors: DataFrame, dimension: int, tolerance: float = 1e-3) -> DataFrame:

@@ -1,0 +1,33 @@
+"""Cells that meet in bands: each row is sent once for each band, not once for each cell, and nothing is lost."""
+
+import numpy as np
+import pytest
+
+from lakecraft.operators import pruning, vectors
+
+N = 700
+
+
+@pytest.fixture
+def random(spark, monkeypatch):
+    """Vectors of which bounds tell nothing, with copies, in bands of 90; a tile of two cells is an error."""
+    monkeypatch.setattr(pruning, "LEAST_BAND", 90)
+    x = np.random.default_rng(5).normal(size=(N, 8))
+    x[650:] = x[3]
+    return x, spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "entity_id int, embedding array<double>")
+
+
+def no_tiles(*_):
+    raise AssertionError("one tile for each pair of cells")
+
+
+def test_nearest_other_in_bands(spark, random, monkeypatch):
+    x, df = random
+    monkeypatch.setattr(pruning, "tiles", no_tiles)
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    got = {r.entity_id: r.score for r in vectors.nearest_other(df, block=20).collect()}
+    assert sorted(got) == list(range(N)) and max(abs(got[k] - s[k].max()) for k in got) < 1e-9
+    twice = vectors.nearest_other(df.where("entity_id < 5").unionByName(df.where("entity_id < 5")), block=20)  # an id is no other row than itself
+    want = (x[:5] @ x[:5].T - np.diag([np.inf] * 5)).max(axis=1)
+    assert {r.entity_id: round(r.score, 9) for r in twice.collect()} == {k: round(float(v), 9) for k, v in enumerate(want)}
