@@ -40,3 +40,18 @@ def test_equal_rounded_scores_go_by_id(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert [r.vec_id for r in QUERIES["q_topk"](spark, str(tmp_path)).collect()] == list(range(10))
     assert [r.vec_id for r in QUERIES["q_topk_prefiltered"](spark, str(tmp_path)).collect()] == list(range(30))
+
+
+def test_pairs_in_bands(spark, random, monkeypatch):
+    x, df = random
+    monkeypatch.setattr(pruning, "tiles", no_tiles)
+    s = x @ x.T
+    want = {(int(i), int(j)) for i, j in np.argwhere(np.triu(s >= 9.0, 1))}
+    got = vectors.near_duplicate_pairs(df, 9.0, block=20).collect()
+    assert len(got) == len(want) and {(r.id_a, r.id_b) for r in got} == want
+    placed = vectors.cell_pairs(df, 9.0, block=20)[0]
+    cells = pruning.Cells.of(placed, int(placed.agg({"cell": "max"}).first()[0]) + 1)
+    bands = pruning.Bands.cut(cells, 20)
+    sent, tiles = pruning.band_tiles(placed, bands, "entity_id", np.ones((len(cells.n),) * 2, bool))
+    b = len(bands.cells)
+    assert tiles == b * (b + 1) // 2 and sent.count() == N * b and (cells.n > 0).sum() > 5 * b
