@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lakecraft.operators import pruning, vectors
+from lakecraft.operators import pruning, quality, vectors
 from lakecraft.plans.queries import QUERIES
 
 N = 700
@@ -55,3 +55,13 @@ def test_pairs_in_bands(spark, random, monkeypatch):
     sent, tiles = pruning.band_tiles(placed, bands, "entity_id", np.ones((len(cells.n),) * 2, bool))
     b = len(bands.cells)
     assert tiles == b * (b + 1) // 2 and sent.count() == N * b and (cells.n > 0).sum() > 5 * b
+
+
+def test_check_gold_in_bands(spark, random, monkeypatch):
+    x, df = random
+    monkeypatch.setattr(pruning, "tiles", no_tiles)
+    s = x @ x.T
+    m = quality.check_gold(df, declared=N, dimension=8, theta=9.0).metrics
+    assert m["near_duplicates"] == int(np.triu(s >= 9.0, 1).sum())
+    np.fill_diagonal(s, -np.inf)
+    assert abs(m["top1_mean"] - s.max(axis=1).mean()) < 1e-9
