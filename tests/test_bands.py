@@ -65,3 +65,12 @@ def test_check_gold_in_bands(spark, random, monkeypatch):
     assert m["near_duplicates"] == int(np.triu(s >= 9.0, 1).sum())
     np.fill_diagonal(s, -np.inf)
     assert abs(m["top1_mean"] - s.max(axis=1).mean()) < 1e-9
+
+
+def test_top_k_takes_two_rounds(spark, random):
+    x, df = random
+    found, report = vectors.top_k_by_bounds(df, df.withColumnRenamed("entity_id", "query_id"), 3, block=20)
+    s = np.round(x @ x.T, 9)
+    got = {(r.query_id, r["rank"]): r.entity_id for r in found.collect()}
+    assert got == {(q, k + 1): int(c) for q in range(N) for k, c in enumerate(np.lexsort((np.arange(N), -s[q]))[:3])}
+    assert report.count() == 2
