@@ -74,3 +74,11 @@ def test_top_k_takes_two_rounds(spark, random):
     got = {(r.query_id, r["rank"]): r.entity_id for r in found.collect()}
     assert got == {(q, k + 1): int(c) for q in range(N) for k, c in enumerate(np.lexsort((np.arange(N), -s[q]))[:3])}
     assert report.count() == 2
+
+
+def test_first_pairs_in_bands(spark, random, monkeypatch):
+    x, df = random
+    monkeypatch.setattr(pruning, "tiles", no_tiles)
+    s = x @ x.T
+    want = sorted((int(i), int(j)) for i, j in np.argwhere(np.triu(s >= 9.0, 1)))[:7]
+    assert [(r.id_a, r.id_b) for r in vectors.first_pairs(df, 9.0, 7, block=20).collect()] == want
