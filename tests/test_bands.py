@@ -82,3 +82,11 @@ def test_first_pairs_in_bands(spark, random, monkeypatch):
     s = x @ x.T
     want = sorted((int(i), int(j)) for i, j in np.argwhere(np.triu(s >= 9.0, 1)))[:7]
     assert [(r.id_a, r.id_b) for r in vectors.first_pairs(df, 9.0, 7, block=20).collect()] == want
+
+
+@pytest.mark.parametrize("theta", [9.0, -30.0])
+def test_counts_in_bands(spark, random, monkeypatch, theta):
+    x, df = random
+    monkeypatch.setattr(pruning, "tiles", no_tiles)
+    want = int(np.triu(x @ x.T >= theta, 1).sum())
+    assert vectors.near_duplicate_count(df, theta, block=20).first().pairs == want
