@@ -53,8 +53,8 @@ def decoded(c: Column) -> Column:
         name = F.try_element_at(table, F.regexp_extract(piece, r"^&(\w+);$", 1))
         return F.when(F.substring(piece, 1, 1) == "&", F.coalesce(code, name, piece)).otherwise(piece)
 
-    pieces = F.regexp_extract_all(c, F.lit(r"(?s)&#?\w{1,10};|[^&]++|&"), F.lit(0))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, one), "")).otherwise(c)
+    pieces = lambda t: F.regexp_extract_all(t, F.lit(r"(?s)&#?\w{1,10};|[^&]++|&"), F.lit(0))
+    return let(c, lambda t: F.when(F.contains(t, F.lit("&")), F.array_join(F.transform(pieces(t), one), "")).otherwise(t))
 
 
 def strip(c: Column) -> Column:
@@ -162,13 +162,20 @@ def first(page: Column | str, selector: str, box: Column | None = None) -> Colum
 
 
 def _pieces(page: Column | str, e: Column, but: Column | None = None) -> Column:
-    """The pieces of text in an element, those of scripts and comments left out, and of the element ``but``."""
+    """The pieces of text in an element, those of scripts and comments left out, and of the element ``but``.
+
+    The element is looked up once, however often its ends are asked for.
+    """
     page = F.col(page) if isinstance(page, str) else page
-    inner = F.when(e["j"] > e["i"] + 1, F.slice(page["tokens"], e["i"] + 2, e["j"] - e["i"] - 1)).when(e.isNotNull(), F.array().cast("array<string>"))
     text = lambda t: ~F.regexp_like(t, F.lit("^<[a-zA-Z/!?]"))
-    if but is None:
-        return F.filter(inner, text)
-    return F.filter(inner, lambda t, k: text(t) & F.coalesce((k + e["i"] + 1 < but["i"]) | (k + e["i"] + 1 > but["j"]), F.lit(True)))
+
+    def of(e: Column) -> Column:
+        inner = F.when(e["j"] > e["i"] + 1, F.slice(page["tokens"], e["i"] + 2, e["j"] - e["i"] - 1)).when(e.isNotNull(), F.array().cast("array<string>"))
+        if but is None:
+            return F.filter(inner, text)
+        return F.filter(inner, lambda t, k: text(t) & F.coalesce((k + e["i"] + 1 < but["i"]) | (k + e["i"] + 1 > but["j"]), F.lit(True)))
+
+    return let(e, of)
 
 
 def whole_text(page: Column | str, e: Column) -> Column:

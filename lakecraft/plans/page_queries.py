@@ -5,6 +5,7 @@ The pages are made from the tables, so that what stands in them is known to SQL
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
@@ -12,6 +13,11 @@ from ..operators import pages
 from .queries import query, table
 
 
+def _dealt(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
+    """A table's rows over all cores: a few bytes of a row become a page here, so the table's splits are far too few for the work."""
+    return table(spark, d, name).select(*columns).repartition(4 * spark.sparkContext.defaultParallelism)
+
+
 def _when(test, text):
     return F.when(test, text).otherwise(F.lit(""))
 
@@ -45,7 +51,7 @@ def q_event_page(spark, d):
         lit("Seed venue").alias("ubicacion_nombre"), lit("Ca. 3, Surquillo").alias("ubicacion_direccion"), lit(30.0).alias("precio_desde"), lit(None).cast("string").alias("moneda"), lit("seed.png").alias("imagen_principal"),
     )
     html = F.concat(_when(bit(16), meta), _when(k % 2 == 1, ld), _when(bit(2), act), block, _when(bit(8), nodes))
-    rows = table(spark, d, "part").select(k.alias("k"), html.alias("html"), F.concat(lit("https://t.example/events/arte/"), k, lit("/x")).alias("url"), F.when(bit(4), seed).alias("seed"))
+    rows = _dealt(spark, d, "part", "p_partkey", "p_name").select(k.alias("k"), html.alias("html"), F.concat(lit("https://t.example/events/arte/"), k, lit("/x")).alias("url"), F.when(bit(4), seed).alias("seed"))
     names = ("titulo", "categoria_principal", "descripcion_corta", "descripcion_completa", "fecha_inicio", "ubicacion_nombre", "ubicacion_direccion", "precio_desde", "moneda", "imagen_principal", "distrito")
     return pages.event_page(rows, "k", seed="seed").select("k", *names)
 
@@ -56,7 +62,7 @@ def q_activity_json(spark, d):
     k, lit = F.col("p_partkey"), F.lit
     cases = {0: '{"loc": {"a": {}}, "b": "nested"}, "blogs": []', 1: '{"b": "} \\" {", "c": []}\n , "related": 1', 2: '{"x": {"blogs": 2, "y": {"related": {}}}, "b": "recommended"},"recommended":{}', 3: '{"b": "no end"', 4: '{"b": "another key"}, "other": 1', 5: "{b: broken}, \"blogs\": []"}
     html = F.concat(lit('<p>{</p><script>s = {"first": {}, "activity" : '), F.coalesce(*[F.when(k % 6 == n, lit(t)) for n, t in cases.items()]), lit("}</script>"))
-    return table(spark, d, "part").select(k.alias("k"), F.try_variant_get(s.activity_json(html), "$.b", "string").alias("b"))
+    return _dealt(spark, d, "part", "p_partkey").select(k.alias("k"), F.try_variant_get(s.activity_json(html), "$.b", "string").alias("b"))
 
 
 @query("""select p_partkey k, case when p_partkey % 4 = 0 then p_type else p_name || ' & ' || p_partkey end titulo, 'Taller' tipo, 'Auditorio ' || p_partkey sede, case when p_partkey % 3 = 0 then 'libre' end ingreso, case when p_partkey % 3 = 0 then 2 else 1 end::bigint labels,
@@ -77,7 +83,7 @@ def q_library_page(spark, d):
         _when(k % 5 > 0, F.concat(lit("<img class='a img-event-detail' alt=\"a > b\" src=i/"), k, lit(".png>"))),
     )
     # The first paragraph with AM has to lose against none: it is taken out of the page below.
-    rows = table(spark, d, "part").select(k.alias("k"), F.replace(html, lit("<span>AM</p>"), lit("</p>")).alias("html"))
+    rows = _dealt(spark, d, "part", "p_partkey", "p_name", "p_type").select(k.alias("k"), F.replace(html, lit("<span>AM</p>"), lit("</p>")).alias("html"))
     label = lambda name: F.try_element_at("etiquetas", lit(name))
     return pages.library_page(rows, "k").select("k", "titulo", "tipo", label("Sede").alias("sede"), label("Ingreso").alias("ingreso"), F.size("etiquetas").cast("bigint").alias("labels"), "imagen", "descripcion", "info_adicional", "estado")
 
@@ -88,7 +94,7 @@ def q_listing_pages(spark, d):
     k, lit = F.col("s_suppkey"), F.lit
     a = F.concat(lit('<a href="/agenda-cultural/out">no</a><div class="row portfolio"><div><a href="/agenda-cultural/'), k, lit('">x</a></div><a href="/otro/1">no</a><a href=\'/agenda-cultural/x\'>y</a><a href="/agenda-cultural/'), k, lit('">again</a><a>none</a></div><a href="/agenda-cultural/after">no</a>'))
     b = F.concat(lit('<a class="thumblink" href=""><h4>no</h4></a><a href="s/0" class="other"><h4>no</h4></a><a class="thumblink big" href="s/'), k, lit('"><div><h4> '), "s_name", lit("</h4>"), _when(k % 2 == 0, lit("<p>18/04/2026</p>")), lit("</div></a><p>no</p>"))
-    rows = table(spark, d, "supplier").select(k.alias("k"), a.alias("a"), b.alias("b"))
+    rows = _dealt(spark, d, "supplier", "s_suppkey", "s_name").select(k.alias("k"), a.alias("a"), b.alias("b"))
     links = pages.library_links(rows, "https://b.example", "k", html="a").select("k", F.array_join("links", " ").alias("links"))
     cards = pages.museum_cards(rows, "k", html="b")
     return links.join(cards.withColumnRenamed("url", "card"), "k")
@@ -112,6 +118,6 @@ def q_museum_page(spark, d):
         lit("</div><p>outside</p><div class='card-body'><p>second</p></div>"),
     )
     # The label's paragraph is one of the box's too, so it is left out of what is compared.
-    rows = table(spark, d, "supplier").select(k.alias("k"), html.alias("html"))
+    rows = _dealt(spark, d, "supplier", "s_suppkey", "s_name").select(k.alias("k"), html.alias("html"))
     told = F.nullif(F.trim(F.replace("descripcion", lit("Hora : 7:00 PM"), lit(""))), lit(""))
     return pages.museum_page(rows, "k").withColumn("descripcion", told)
