@@ -57,7 +57,8 @@ def museum_cards(rows: DataFrame, *keep: str, html: str = "html") -> DataFrame:
     text = lambda e, name: m.whole_text(PAGE, m.first(PAGE, name, e))
     cards = F.transform(m.select(PAGE, "a.thumblink"), lambda e: F.struct(m.attribute(e["tag"], "href").alias("url"), text(e, "h4").alias("titulo_lista"), text(e, "p").alias("fecha_lista")))
     found = _raw(rows, html, {"cards": F.filter(cards, lambda c: F.coalesce(c["url"], F.lit("")) != "")}, keep)
-    return found.select(*keep, F.inline("cards"))
+    # Outer, as for an inner one Spark infers a filter that parses every page once more, before rows are dealt out.
+    return found.select(*keep, F.inline_outer("cards")).where(F.col("url").isNotNull())
 
 
 def museum_page(rows: DataFrame, *keep: str, html: str = "html") -> DataFrame:
