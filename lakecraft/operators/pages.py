@@ -123,7 +123,7 @@ def event_page(rows: DataFrame, *keep: str, html: str = "html", url: str = "url"
     image = F.when(kind(ld, "$.image") == "ARRAY", F.coalesce(text(ld, "$.image[0]"), seeded("imagen_principal")))
     image = image.when(kind(ld, "$.image") == "STRING", F.try_variant_get(ld, "$.image", "string")).otherwise(seeded("imagen_principal"))
     short = F.coalesce(F.nullif(seeded("descripcion_corta"), F.lit("")), _meta("og:description"), told(act, "$.description"))
-    block = s.clean_text(m.joined_text(PAGE, m.first(PAGE, ".description-html,.content_description")))
+    block = m.let(m.joined_text(PAGE, m.first(PAGE, ".description-html,.content_description")), s.clean_text)
     in_path = F.nullif(F.regexp_extract(url, r"/events/([^/]+)/", 1), F.lit(""))
     fields = {
         "titulo": F.coalesce(told(ld, "$.name"), F.nullif(seeded("titulo"), F.lit("")), _meta("og:title")),
