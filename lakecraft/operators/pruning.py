@@ -7,7 +7,8 @@ holds and the tasks get does not grow with the vectors.
 
 Where many cells meet many, they travel in bands of neighbouring cells: a row is sent once for each band that its own
 meets (``BANDS`` at most, until bands are ``MOST_BAND`` rows), not once for each cell, and the task passes over the pairs of
-cells that cannot matter.
+cells that cannot matter. The other products are screened in single precision, what is near the threshold is computed
+again in double.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ MOST_PIVOTS = 2048
 SLACK = 1e-7  # for rounding, in radians and in parts of a product
 ROUNDING = 1e-12  # of a matrix product, in parts of the lengths' product
 # Bands: how many a table is cut into, and the rows of one at least and at most.
-BANDS, LEAST_BAND, MOST_BAND = 16, 2048, 65536
+BANDS, LEAST_BAND, MOST_BAND = 8, 1024, 98304
+LONGEST_NARROW = 1e15  # of a vector that is screened in single precision
 
 
 def pivots_of(vectors: DataFrame, id: str, n: int, block: int) -> np.ndarray:
@@ -111,6 +113,11 @@ def tiles(rows: DataFrame, others: DataFrame, id: str, other_id: str, pairs: Dat
     return dealt(rows, id, left).unionByName(dealt(others, other_id, right))
 
 
+def band_rows(n: int, bands: int = 0) -> int:
+    """The rows of a band where ``n`` are cut into so many (``BANDS`` if not told)."""
+    return min(MOST_BAND, max(LEAST_BAND, -(-n // (bands or BANDS))))
+
+
 @dataclass
 class Bands:
     """The band of each part of each cell, and which cells a band holds."""
@@ -119,9 +126,9 @@ class Bands:
     cells: np.ndarray
 
     @classmethod
-    def cut(cls, cells: Cells, block: int) -> Bands:
-        """Cells in their order, in parts of about ``block`` rows, filled into bands of equal size."""
-        size = min(MOST_BAND, max(LEAST_BAND, -(-int(cells.n.sum()) // BANDS)))
+    def cut(cls, cells: Cells, block: int, size: int = 0) -> Bands:
+        """Cells in their order, in parts of about ``block`` rows, filled into bands of equal size (``size`` rows, or by their number)."""
+        size = size or band_rows(int(cells.n.sum()))
         parts = -(-cells.n // block)
         each = np.repeat(cells.n / np.maximum(parts, 1), parts)
         band = (np.cumsum(each) - each / 2).astype(np.int64) // size
@@ -162,14 +169,18 @@ def band_tiles(rows: DataFrame, bands: Bands, id: str, needed: np.ndarray, other
 
 
 class Side:
-    """The rows of one side of a tile in the order of cell and id, as a matrix."""
+    """The rows of one side of a tile in the order of cell and id, as a matrix (of single precision if they are)."""
 
     def __init__(self, pdf: pd.DataFrame, id: str):
         self.rows = pdf.sort_values(["cell", id])
-        self.x, self.ids = matrix(self.rows["embedding"]), self.rows[id].to_numpy()
+        x = np.stack(self.rows["embedding"].to_numpy())
+        self.x, self.ids = x if x.dtype == np.float32 else x.astype(np.float64, copy=False), self.rows[id].to_numpy()
         self.cells, self.starts = np.unique(self.rows["cell"].to_numpy(), return_index=True)
         self.ends = np.append(self.starts[1:], len(self.rows))
-        self.longest = float(np.sqrt((self.x * self.x).sum(axis=1).max()))
+        self.longest = float(np.sqrt(np.einsum("ij,ij->i", self.x, self.x, dtype=np.float64).max()))
+
+    def wide(self, i0: int, i1: int) -> np.ndarray:
+        return self.x[i0:i1].astype(np.float64, copy=False)
 
 
 def sides(pdf: pd.DataFrame, id: str, other_id: str | None = None) -> tuple[Side, Side, bool] | None:
@@ -188,21 +199,31 @@ def packed(needed: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]
     return lambda a, b: np.unpackbits(bits[a], axis=1, count=width)[:, b].astype(bool)
 
 
-def meetings(a: Side, b: Side, cross: bool, needed: Callable[[np.ndarray, np.ndarray], np.ndarray], rows: int = 512, columns: int = 4096) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
-    """(i0, i1, [(j0, j1), ..]): rows of one cell of ``a`` and the ranges of ``b`` that its needed cells make; so many at a time.
+def meetings(a: Side, b: Side, cross: bool, needed: Callable[[np.ndarray, np.ndarray], np.ndarray], rows: int = 512, columns: int = 2048) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(i0, i1, [(j0, j1), ..]): rows of ``a``, of neighbouring cells that need the same, and the ranges of ``b`` that these make; so many at a time.
 
     Of a tile with itself only ranges beyond i0.
     """
     meet = needed(a.cells, b.cells)
-    for c in range(len(a.cells)):
+    first = np.flatnonzero(np.append(True, (meet[1:] != meet[:-1]).any(axis=1)))
+    for c, last in zip(first, np.append(first[1:], len(a.cells)) - 1, strict=True):
         on = np.flatnonzero(meet[c])
         if not len(on):
             continue
         runs = [(int(b.starts[r[0]]), int(b.ends[r[-1]])) for r in np.split(on, np.flatnonzero(np.diff(on) > 1) + 1)]
-        for i0 in range(int(a.starts[c]), int(a.ends[c]), rows):
+        end = int(a.ends[last])
+        for i0 in range(int(a.starts[c]), end, rows):
             ranges = [(j, min(j + columns, hi)) for lo, hi in runs for j in range(lo if cross else max(lo, i0 + 1), hi, columns)]
             if ranges:
-                yield i0, min(i0 + rows, int(a.ends[c])), ranges
+                yield i0, min(i0 + rows, end), ranges
+
+
+def screen(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray, float]:
+    """Matrices of both sides, and how far from the true score a product of their rows can be."""
+    long = a.longest * b.longest
+    if not max(a.longest, b.longest) < LONGEST_NARROW:
+        return a.x.astype(np.float64, copy=False), b.x.astype(np.float64, copy=False), ROUNDING * (1 + long)
+    return a.x.astype(np.float32, copy=False), b.x.astype(np.float32, copy=False), ROUNDING * (1 + long) + (a.x.shape[1] + 8) * 2.0**-24 * long
 
 
 def places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,8 +232,13 @@ def places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, summed from the first component on: the same for the same two vectors wherever they stand."""
+    """Row by row, in double precision, summed from the first component on: the same for the same two vectors wherever they stand."""
     out = np.zeros(len(a))
     for k in range(a.shape[1]):
-        out += a[:, k] * b[:, k]
+        out += a[:, k].astype(np.float64, copy=False) * b[:, k]
     return out
+
+
+def scores(a: Side, b: Side, i: np.ndarray, j: np.ndarray, piece: int = 1 << 15) -> np.ndarray:
+    """:func:`products` of rows ``i`` of one side with rows ``j`` of the other, so many at a time."""
+    return np.concatenate([np.zeros(0), *(products(a.x[i[k : k + piece]], b.x[j[k : k + piece]]) for k in range(0, len(i), piece))])

@@ -149,7 +149,7 @@ def _best_of_tile(needed, k: int, id: str):
         for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
             floor, found = np.full(i1 - i0, -np.inf), []
             for j0, j1 in ranges:
-                s = a.x[i0:i1] @ b.x[j0:j1].T
+                s = a.wide(i0, i1) @ b.wide(j0, j1).T
                 if j1 - j0 >= k:
                     floor = np.maximum(floor, np.partition(s, j1 - j0 - k, axis=1)[:, j1 - j0 - k] - slack)
                 i, j = pruning.places(s >= floor[:, None])
@@ -157,7 +157,7 @@ def _best_of_tile(needed, k: int, id: str):
             i, j, s = (np.concatenate(x) for x in zip(*found, strict=True))
             keep = s >= floor[i]
             i, j = i[keep] + i0, j[keep]
-            out.append(_first(pd.DataFrame({"query_id": a.ids[i], id: b.ids[j], "score": pruning.products(a.x[i], b.x[j])}), k, id))
+            out.append(_first(pd.DataFrame({"query_id": a.ids[i], id: b.ids[j], "score": pruning.scores(a, b, i, j)}), k, id))
         return pd.concat([o for o in out if len(o)] or out)
 
     return run
@@ -286,15 +286,18 @@ def _pairs_of(needed, id: str, theta: float):
         if (both := pruning.sides(pdf, id)) is None:
             return out[0]
         a, b, cross = both
-        least = theta - pruning.ROUNDING * (1 + a.longest * b.longest)
+        left, right, slack = pruning.screen(a, b)
         for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
             for j0, j1 in ranges:
-                near = a.x[i0:i1] @ b.x[j0:j1].T >= least
+                near = left[i0:i1] @ right[j0:j1].T >= theta - slack
                 if not cross and j0 < i1:
                     near &= _beyond(i0, i1, j0, j1)
                 i, j = pruning.places(near)
-                s = pruning.products(a.x[i + i0], b.x[j + j0])
-                x, y, s = a.ids[i + i0][s >= theta], b.ids[j + j0][s >= theta], s[s >= theta]
+                if not len(i):
+                    continue
+                i, j = i + i0, j + j0
+                s = pruning.scores(a, b, i, j)
+                x, y, s = a.ids[i][s >= theta], b.ids[j][s >= theta], s[s >= theta]
                 out.append(pd.DataFrame({"id_a": np.minimum(x, y), "id_b": np.maximum(x, y), "score": s}))
         return pd.concat([o for o in out if len(o)] or out)
 
@@ -318,14 +321,19 @@ def _counts_of(needed, id: str, theta: float):
         n = 0
         if both := pruning.sides(pdf, id):
             a, b, cross = both
-            of_a, of_b = (x.rows["copies"].to_numpy().astype(np.float64) for x in (a, b))
-            single = bool((of_a == 1).all() and (of_b == 1).all())
+            of_a, of_b = (x.rows["copies"].to_numpy() for x in (a, b))
+            left, right, slack = pruning.screen(a, b)
             for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
                 for j0, j1 in ranges:
-                    near = a.x[i0:i1] @ b.x[j0:j1].T >= theta
+                    s = left[i0:i1] @ right[j0:j1].T
+                    near = s >= theta - slack
                     if not cross and j0 < i1:
                         near &= _beyond(i0, i1, j0, j1)
-                    n += int(np.count_nonzero(near)) if single else sum(map(int, of_a[i0:i1] * (near @ of_b[j0:j1])))
+                    i, j = pruning.places(near)
+                    unsure = s[i, j] <= theta + slack
+                    counted = ~unsure
+                    counted[unsure] = pruning.scores(a, b, i[unsure] + i0, j[unsure] + j0) >= theta
+                    n += int((of_a[i[counted] + i0] * of_b[j[counted] + j0]).sum())
         return pd.DataFrame({"n": [n]})
 
     return run
@@ -372,7 +380,7 @@ def _nearest_of(needed, id: str):
         repeated = len(np.intersect1d(a.ids, b.ids)) if cross else len(a.ids) - len(np.unique(a.ids))
         for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
             for j0, j1 in ranges:
-                s = a.x[i0:i1] @ b.x[j0:j1].T
+                s = a.wide(i0, i1) @ b.wide(j0, j1).T
                 if not cross and j0 < i1:
                     s[~_beyond(i0, i1, j0, j1)] = -np.inf
                 if repeated:
