@@ -218,7 +218,8 @@ def top_k_by_bounds(vectors: DataFrame, queries: DataFrame, k: int, *, id: str =
         rest = (bound >= least[:, None]) & (bound > -np.inf) & ~met
         if rest.any():
             told(rest)
-            both, _ = pruning.band_tiles(left, pruning.Bands.cut(own, block), "query_id", rest, right, pruning.Bands.cut(other, block), id)
+            size = pruning.band_rows(m, 2 * pruning.BANDS)  # of both: few queries are few bands, so that rows are sent a few times
+            both, _ = pruning.band_tiles(left, pruning.Bands.cut(own, block, size), "query_id", rest, right, pruning.Bands.cut(other, block, size), id)
             found = ranked(both.select("tile", "cross", "side", "cell", "query_id", id, "embedding").groupBy("tile").applyInPandas(_best_of_tile(pruning.packed(rest), k + without_self, id), schema))
     if found is None:
         found = rows.where("false").select(F.lit(None).cast(query_kind).alias("query_id"), id, F.lit(0.0).alias("score"), F.lit(1).alias("rank"))
@@ -459,9 +460,64 @@ def query_text() -> Column:
     return F.when(clean_text("titulo").isNotNull(), F.array_join(F.filter(parts, lambda x: x.isNotNull()), " | ")).otherwise("")
 
 
-def self_recall(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_id") -> DataFrame:
-    """AGG-10: how often a row is the first and among the first k answers to its own query (query_id is its id)."""
-    own = top_k(vectors, queries, k, id=id).where(F.col("query_id") == F.col(id)).select("query_id", "rank")
+def _better_of(needed, k: int, id: str):
+    """(query_id, better): for each query of a tile, how many rows come before its own; k rows are as good as more."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if (both := pruning.sides(pdf, "query_id", id)) is None:
+            return pd.DataFrame({"query_id": [], "better": []})
+        a, b, cross = both
+        own, n = a.rows["own"].to_numpy(), np.zeros(len(a.ids), np.int64)
+        left, right, slack = pruning.screen(a, b)
+        for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
+            for j0, j1 in ranges:
+                i, j = pruning.places(left[i0:i1] @ right[j0:j1].T >= (own[i0:i1, None] - slack).astype(left.dtype))
+                open = n[i + i0] < k
+                i, j = i[open] + i0, j[open] + j0
+                s = pruning.scores(a, b, i, j)
+                before = (s > own[i]) | ((s == own[i]) & (b.ids[j] < a.ids[i]))
+                np.add.at(n, i[before], 1)
+        return pd.DataFrame({"query_id": a.ids[n > 0], "better": n[n > 0]})
+
+    return run
+
+
+def own_ranks(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
+    """AGG-10: (query_id, rank) of the row of each query's id among all rows by the query, where that is ``k`` or better.
+
+    Rows before a query's own one are counted, no ranking is made. Cells whose bound is below the own score of all of a cell's
+    queries are passed over; a tile holds some hundredth of the products at least, so that rows and queries are sent a few times.
+    """
+    rows = vectors.select(id, "embedding").where("embedding is not null")
+    mine = rows.select(F.col(id).alias("query_id"), F.col("embedding").alias("_own"))
+    asked = queries.select("query_id", "embedding").where("embedding is not null").join(mine, "query_id")
+    asked = asked.select("query_id", "embedding", dot(F.col("embedding"), F.col("_own")).alias("own"))
+    kind, query_kind = rows.schema[id].dataType.simpleString(), asked.schema["query_id"].dataType.simpleString()
+    n = rows.count()
+    pivots = pruning.pivots_of(rows, id, n, block)
+    right, left = pruning.in_cells(rows, pivots, "vector-cells"), pruning.in_cells(asked, pivots, "query-cells")
+    own, other = pruning.Cells.of(left, len(pivots)), pruning.Cells.of(right, len(pivots))
+    least = np.full(len(pivots), np.inf)
+    for r in left.groupBy("cell").agg(F.min("own").alias("least")).collect():  # a row for each pivot
+        least[r.cell] = r.least - pruning.ROUNDING * (1 + abs(r.least))
+    needed = (pruning.bounds(pivots, own, other)[1] >= least[:, None]) & (own.n > 0)[:, None] & (other.n > 0)[None, :]
+    size = pruning.band_rows(n, 2 * pruning.BANDS)
+    left, right = left.withColumn(id, F.lit(None).cast(kind)), right.withColumn("query_id", F.lit(None).cast(query_kind)).withColumn("own", F.lit(None).cast("double"))
+    both, _ = pruning.band_tiles(left, pruning.Bands.cut(own, block, size), "query_id", needed, right, pruning.Bands.cut(other, block, size), id)
+    counts = both.select("tile", "cross", "side", "cell", "query_id", id, "embedding", "own").groupBy("tile").applyInPandas(_better_of(pruning.packed(needed), k, id), f"query_id {query_kind}, better long")
+    rank = (F.coalesce(F.sum("better"), F.lit(0)) + 1).alias("rank")
+    return left.select("query_id").join(counts, "query_id", "left").groupBy("query_id").agg(rank).where(F.col("rank") <= k)
+
+
+def self_recall(vectors: DataFrame, queries: DataFrame, k: int, *, id: str = "entity_id", few: int = 512) -> DataFrame:
+    """AGG-10: how often a row is the first and among the first k answers to its own query (query_id is its id).
+
+    ``few`` queries are answered by one scan (:func:`top_k`), of more the own rows' ranks are counted (:func:`own_ranks`).
+    """
+    if queries.where("embedding is not null").count() <= few:
+        own = top_k(vectors, queries, k, id=id, block=few).where(F.col("query_id") == F.col(id)).select("query_id", "rank")
+    else:
+        own = own_ranks(vectors, queries, k, id=id)
     return queries.select("query_id").join(own, "query_id", "left").agg(F.count(F.lit(1)).alias("n"), F.avg(F.coalesce((F.col("rank") == 1).cast("int"), F.lit(0))).alias("recall_at_1"), F.avg(F.col("rank").isNotNull().cast("int")).alias("recall_at_k"))
 
 

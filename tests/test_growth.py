@@ -35,3 +35,35 @@ def test_pairs_next_to_the_threshold(spark, kind, scale):
     theta = float(np.sort(s[i, j])[-500])
     got = {(r.id_a, r.id_b): r.score for r in vectors.near_duplicate_pairs(frame(spark, x, kind), theta, block=50).collect()}
     assert got == {(int(a), int(b)): s[a, b] for a, b in zip(i, j, strict=True) if s[a, b] >= theta} and len(got) == 500
+
+
+def test_recall_of_many_queries_counts_ranks(spark, monkeypatch):
+    """More queries than are collected: no cell is sent to each cell that it meets, no ranking is made."""
+
+    def no_tiles(*_):
+        raise AssertionError("one tile for each pair of cells")
+
+    monkeypatch.setattr(pruning, "tiles", no_tiles)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4200, 6)).astype(np.float32).astype(np.float64)
+    x[4000:] = x[:200]  # equal scores go by the id
+    asked = x + 0.6 * rng.normal(size=x.shape)
+    s = sum(np.outer(asked[:, k], x[:, k]) for k in range(6))
+    own = np.diag(s)[:, None]
+    rank = 1 + (s > own).sum(axis=1) + ((s == own) & (np.arange(4200)[None, :] < np.arange(4200)[:, None])).sum(axis=1)
+    queries = frame(spark, asked).withColumnRenamed("entity_id", "query_id")
+    for df in (frame(spark, x, "float"), frame(spark, x)):
+        got = vectors.self_recall(df, queries, 5).first()
+        assert (got.n, round(got.recall_at_1, 9), round(got.recall_at_k, 9)) == (4200, round((rank == 1).mean(), 9), round((rank <= 5).mean(), 9))
+
+
+def test_ranks_of_own_rows(spark, monkeypatch):
+    """Cells that are passed over, a query without a row, one without a vector; the same by either way."""
+    monkeypatch.setattr(pruning, "LEAST_BAND", 90)
+    x = np.random.default_rng(7).normal(size=(700, 8)) * np.linspace(0.1, 3, 700)[:, None]
+    df = frame(spark, x)
+    queries = df.withColumnRenamed("entity_id", "query_id").where("query_id % 3 = 0")
+    queries = queries.unionByName(spark.createDataFrame([(1000, x[0].tolist()), (1, None)], "query_id int, embedding array<double>"))
+    want = {r.query_id: r["rank"] for r in vectors.top_k(df, queries, 5).where("query_id = entity_id").collect()}
+    assert {r.query_id: r["rank"] for r in vectors.own_ranks(df, queries, 5, block=20).collect()} == want and len(want) > 50
+    assert vectors.self_recall(df, queries, 5, few=10).collect() == vectors.self_recall(df, queries, 5).collect()
