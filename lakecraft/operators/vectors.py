@@ -363,9 +363,54 @@ def near_duplicate_count(vectors: DataFrame, theta: float = 0.95, *, id: str = "
     return counts.crossJoin(F.broadcast(n)).select("pairs", F.when(every > 0, F.col("pairs") / every).otherwise(0.0).alias("ratio"))  # one row each
 
 
-def first_pairs(vectors: DataFrame, theta: float = 0.95, n: int = 10, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
-    """SRT-5: the first ``n`` near pairs in the order of their ids."""
-    return near_duplicate_pairs(vectors, theta, id=id, block=block).orderBy("id_a", "id_b").limit(n)
+def _pairs_with(ids: np.ndarray, x: np.ndarray, theta: float, n: int, id: str):
+    """Of each task the first ``n`` near pairs (id_a, id_b, score) of given rows with rows of larger ids."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = pd.DataFrame({"id_a": [], "id_b": [], "score": []})
+        given = pruning.Side(pd.DataFrame({"cell": 0, id: ids, "embedding": list(x)}), id)
+        for pdf in frames:
+            if pdf.empty:
+                continue
+            b = pruning.Side(pdf.assign(cell=0), id)
+            left, right, slack = pruning.screen(given, b)
+            found = [best] if len(best) else []
+            for j0 in range(0, len(b.ids), 2048):
+                near = left @ right[j0 : j0 + 2048].T >= theta - slack
+                near &= given.ids[:, None] < b.ids[None, j0 : j0 + 2048]
+                i, j = pruning.places(near)
+                j = j + j0
+                s = pruning.scores(given, b, i, j)
+                found.append(pd.DataFrame({"id_a": given.ids[i], "id_b": b.ids[j], "score": s})[s >= theta])
+            best = pd.concat([f for f in found if len(f)] or [best]).sort_values(["id_a", "id_b"]).head(n)
+        yield best
+
+    return run
+
+
+def first_pairs(vectors: DataFrame, theta: float = 0.95, n: int = 10, *, id: str = "entity_id", block: int = 4096, head: int = 1024) -> DataFrame:
+    """SRT-5: the first ``n`` near pairs in the order of their ids.
+
+    The ``head`` rows of the smallest ids meet all rows in one scan. Only if they have fewer than ``n`` pairs, the rows behind
+    them meet each other (:func:`near_duplicate_pairs`).
+    """
+    rows = vectors.select(id, "embedding").where(F.col(id).isNotNull() & F.col("embedding").isNotNull())
+    kind, number = rows.schema[id].dataType.simpleString(), rows.schema["embedding"].dataType.elementType
+    first = rows.orderBy(id).limit(head + 1).collect()  # ``head`` rows and one
+    behind = None
+    if len(first) > head:
+        last = first[-1][0]  # its rows may not be whole here
+        first = [r for r in first if r[0] < last]
+        behind = rows.where(F.col(id) >= F.lit(last))
+    found = None
+    if first:
+        x = np.array([r[1] for r in first], np.float32 if isinstance(number, T.FloatType) else np.float64)
+        found = rows.mapInPandas(_pairs_with(np.array([r[0] for r in first]), x, theta, n, id), f"id_a {kind}, id_b {kind}, score double")
+        found = written(found.orderBy("id_a", "id_b").limit(n), "first-pairs")
+    if found is None or (behind is not None and found.count() < n):
+        more = near_duplicate_pairs(rows if behind is None else behind, theta, id=id, block=block)
+        found = more if found is None else found.unionByName(more)
+    return found.orderBy("id_a", "id_b").limit(n)
 
 
 def _nearest_of(needed, id: str):

@@ -67,3 +67,28 @@ def test_ranks_of_own_rows(spark, monkeypatch):
     want = {r.query_id: r["rank"] for r in vectors.top_k(df, queries, 5).where("query_id = entity_id").collect()}
     assert {r.query_id: r["rank"] for r in vectors.own_ranks(df, queries, 5, block=20).collect()} == want and len(want) > 50
     assert vectors.self_recall(df, queries, 5, few=10).collect() == vectors.self_recall(df, queries, 5).collect()
+
+
+def test_first_pairs_without_all_pairs(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(900, 8))
+    s = ordered(x)
+
+    def no_bands(*_):
+        raise AssertionError("all rows meet all")
+
+    monkeypatch.setattr(pruning, "band_tiles", no_bands)
+    want = [(int(i), int(j)) for i, j in np.argwhere(np.triu(s >= 9.0, 1))][:30]  # by row, then column
+    got = vectors.first_pairs(frame(spark, x), 9.0, 30, block=200).collect()
+    assert [(r.id_a, r.id_b) for r in got] == want and [r.score for r in got] == [s[p] for p in want]
+
+
+@pytest.mark.parametrize("head", [1, 3, 40])
+def test_first_pairs_behind_the_head(spark, head):
+    """Few pairs, rows without an id or a vector, two rows of one id."""
+    x = np.random.default_rng(5).normal(size=(60, 8))
+    ids = [*range(57), 2, 2, None]
+    s = ordered(x)
+    rows = [(k, v.tolist()) for k, v in zip(ids, x, strict=True)] + [(5, None)]
+    want = sorted((ids[i], ids[j], s[i, j]) for i, j in np.argwhere(s >= 5.0) if ids[i] is not None and ids[j] is not None and ids[i] < ids[j])
+    got = vectors.first_pairs(spark.createDataFrame(rows, "entity_id int, embedding array<double>"), 5.0, 1000, block=20, head=head).collect()
+    assert 3 < len(want) < 1000 and sorted(tuple(r) for r in got) == want and [r.id_a for r in got] == [w[0] for w in want]
