@@ -92,3 +92,17 @@ def test_first_pairs_behind_the_head(spark, head):
     want = sorted((ids[i], ids[j], s[i, j]) for i, j in np.argwhere(s >= 5.0) if ids[i] is not None and ids[j] is not None and ids[i] < ids[j])
     got = vectors.first_pairs(spark.createDataFrame(rows, "entity_id int, embedding array<double>"), 5.0, 1000, block=20, head=head).collect()
     assert 3 < len(want) < 1000 and sorted(tuple(r) for r in got) == want and [r.id_a for r in got] == [w[0] for w in want]
+
+
+def test_counts_take_the_scores_of_pairs(spark, monkeypatch):
+    """A pair whose score is the threshold itself counts, however a matrix product rounds; in as many tiles as in a smaller table."""
+    monkeypatch.setattr(pruning, "LEAST_BAND", 20)
+    x = np.random.default_rng(8).normal(size=(1200, 64))
+    s = ordered(x)
+    i, j = np.triu_indices(1200, 1)
+    below = np.flatnonzero((x @ x.T)[i, j] < s[i, j])
+    theta = float(np.sort(s[i, j][below])[-100])
+    tiles, band_tiles = [], pruning.band_tiles
+    monkeypatch.setattr(pruning, "band_tiles", lambda *a: tiles.append(band_tiles(*a)) or tiles[-1])
+    assert vectors.near_duplicate_count(frame(spark, x), theta, block=20).first().pairs == int((s[i, j] >= theta).sum())
+    assert tiles[0][1] <= 9 * 10 // 2
