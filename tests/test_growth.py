@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lakecraft.operators import pruning, vectors
+from lakecraft.operators import pruning, quality, vectors
 
 
 def frame(spark, x, kind="double"):
@@ -37,6 +37,31 @@ def test_pairs_next_to_the_threshold(spark, kind, scale):
     assert got == {(int(a), int(b)): s[a, b] for a, b in zip(i, j, strict=True) if s[a, b] >= theta} and len(got) == 500
 
 
+def test_first_pairs_without_all_pairs(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(900, 8))
+    s = ordered(x)
+
+    def no_bands(*_):
+        raise AssertionError("all rows meet all")
+
+    monkeypatch.setattr(pruning, "band_tiles", no_bands)
+    want = [(int(i), int(j)) for i, j in np.argwhere(np.triu(s >= 9.0, 1))][:30]  # by row, then column
+    got = vectors.first_pairs(frame(spark, x), 9.0, 30, block=200).collect()
+    assert [(r.id_a, r.id_b) for r in got] == want and [r.score for r in got] == [s[p] for p in want]
+
+
+@pytest.mark.parametrize("head", [1, 3, 40])
+def test_first_pairs_behind_the_head(spark, head):
+    """Few pairs, rows without an id or a vector, two rows of one id."""
+    x = np.random.default_rng(5).normal(size=(60, 8))
+    ids = [*range(57), 2, 2, None]
+    s = ordered(x)
+    rows = [(k, v.tolist()) for k, v in zip(ids, x, strict=True)] + [(5, None)]
+    want = sorted((ids[i], ids[j], s[i, j]) for i, j in np.argwhere(s >= 5.0) if ids[i] is not None and ids[j] is not None and ids[i] < ids[j])
+    got = vectors.first_pairs(spark.createDataFrame(rows, "entity_id int, embedding array<double>"), 5.0, 1000, block=20, head=head).collect()
+    assert 3 < len(want) < 1000 and sorted(tuple(r) for r in got) == want and [r.id_a for r in got] == [w[0] for w in want]
+
+
 def test_recall_of_many_queries_counts_ranks(spark, monkeypatch):
     """More queries than are collected: no cell is sent to each cell that it meets, no ranking is made."""
 
@@ -69,31 +94,6 @@ def test_ranks_of_own_rows(spark, monkeypatch):
     assert vectors.self_recall(df, queries, 5, few=10).collect() == vectors.self_recall(df, queries, 5).collect()
 
 
-def test_first_pairs_without_all_pairs(spark, monkeypatch):
-    x = np.random.default_rng(4).normal(size=(900, 8))
-    s = ordered(x)
-
-    def no_bands(*_):
-        raise AssertionError("all rows meet all")
-
-    monkeypatch.setattr(pruning, "band_tiles", no_bands)
-    want = [(int(i), int(j)) for i, j in np.argwhere(np.triu(s >= 9.0, 1))][:30]  # by row, then column
-    got = vectors.first_pairs(frame(spark, x), 9.0, 30, block=200).collect()
-    assert [(r.id_a, r.id_b) for r in got] == want and [r.score for r in got] == [s[p] for p in want]
-
-
-@pytest.mark.parametrize("head", [1, 3, 40])
-def test_first_pairs_behind_the_head(spark, head):
-    """Few pairs, rows without an id or a vector, two rows of one id."""
-    x = np.random.default_rng(5).normal(size=(60, 8))
-    ids = [*range(57), 2, 2, None]
-    s = ordered(x)
-    rows = [(k, v.tolist()) for k, v in zip(ids, x, strict=True)] + [(5, None)]
-    want = sorted((ids[i], ids[j], s[i, j]) for i, j in np.argwhere(s >= 5.0) if ids[i] is not None and ids[j] is not None and ids[i] < ids[j])
-    got = vectors.first_pairs(spark.createDataFrame(rows, "entity_id int, embedding array<double>"), 5.0, 1000, block=20, head=head).collect()
-    assert 3 < len(want) < 1000 and sorted(tuple(r) for r in got) == want and [r.id_a for r in got] == [w[0] for w in want]
-
-
 def test_counts_take_the_scores_of_pairs(spark, monkeypatch):
     """A pair whose score is the threshold itself counts, however a matrix product rounds; in as many tiles as in a smaller table."""
     monkeypatch.setattr(pruning, "LEAST_BAND", 20)
@@ -106,3 +106,17 @@ def test_counts_take_the_scores_of_pairs(spark, monkeypatch):
     monkeypatch.setattr(pruning, "band_tiles", lambda *a: tiles.append(band_tiles(*a)) or tiles[-1])
     assert vectors.near_duplicate_count(frame(spark, x), theta, block=20).first().pairs == int((s[i, j] >= theta).sum())
     assert tiles[0][1] <= 9 * 10 // 2
+
+
+def test_check_gold_in_as_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(pruning, "LEAST_BAND", 20)
+    x = np.random.default_rng(9).normal(size=(1200, 8))
+    tiles, band_tiles, cut = [], pruning.band_tiles, pruning.Bands.cut
+    monkeypatch.setattr(pruning, "band_tiles", lambda *a: tiles.append(band_tiles(*a)) or tiles[-1])
+    monkeypatch.setattr(pruning.Bands, "cut", lambda cells, block, *a: cut(cells, 20, *a))
+    m = quality.check_gold(frame(spark, x), declared=1200, dimension=8, theta=9.0).metrics
+    s = ordered(x)
+    assert m["near_duplicates"] == int(np.triu(s >= 9.0, 1).sum())
+    np.fill_diagonal(s, -np.inf)
+    assert abs(m["top1_mean"] - s.max(axis=1).mean()) < 1e-9
+    assert [n <= 9 * 10 // 2 for _, n in tiles] == [True, True]
