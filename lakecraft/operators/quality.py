@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import missing_to_null
 from ..schemas import CRITICAL, DIMENSION, REQUIRED, SOURCES, VERSION
+from ..sources.scratch import written
 from .dedup import hash_sample
 from .vectors import first_pairs, near_duplicate_count, nearest_other, self_recall, vector_profile
 
@@ -146,8 +147,9 @@ def check_gold(
         return r
     if p.unit_rate < least_unit:
         r.warnings.append(f"{p.unit_rate:.2f} of vectors have unit length")
-    top = nearest_other(vectors).agg(F.avg("score").alias("mean"), F.median("score").alias("median"), F.percentile("score", 0.95).alias("p95")).first()
-    near = near_duplicate_count(vectors, theta).first()
+    nearest = written(nearest_other(vectors), "nearest")
+    top = nearest.agg(F.avg("score").alias("mean"), F.median("score").alias("median"), F.percentile("score", 0.95).alias("p95")).first()
+    near = near_duplicate_count(vectors, theta, nearest=nearest).first()
     r.metrics |= {"near_duplicates": near.pairs, "near_duplicate_ratio": near.ratio} | {f"top1_{c}": top[c] for c in ("mean", "median", "p95")}
     if queries is not None:
         got = self_recall(vectors, hash_sample(queries, "query_id", sample), k).first()

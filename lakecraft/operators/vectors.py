@@ -340,12 +340,22 @@ def _counts_of(needed, id: str, theta: float):
     return run
 
 
-def near_duplicate_count(vectors: DataFrame, theta: float = 0.95, *, id: str = "entity_id", block: int = 4096) -> DataFrame:
+def _with_near(vectors: DataFrame, nearest: DataFrame, theta: float, id: str) -> DataFrame:
+    """The rows that can be in a near pair by their nearest other one; those of a repeated id or without a score may be too."""
+    long = vectors.agg(F.max(norm("embedding"))).first()[0] or 0.0
+    least = theta - pruning.ROUNDING * (1 + long * long)
+    by_id = nearest.groupBy(F.col(id).alias("_id")).agg(F.min("score").alias("score"), F.count(F.lit(1)).alias("n"))
+    some = by_id.where((F.col("n") > 1) | F.col("score").isNull() | (F.col("score") >= least))
+    return vectors.join(some, F.col(id).eqNullSafe(F.col("_id")), "left_semi")
+
+
+def near_duplicate_count(vectors: DataFrame, theta: float = 0.95, *, id: str = "entity_id", block: int = 4096, nearest: DataFrame | None = None) -> DataFrame:
     """AGG-9: (pairs, ratio) of near pairs and of those among all pairs; no pair becomes a row.
 
     Equal vectors are one row with their number; cells whose products all reach ``theta`` are counted, not compared.
+    With ``nearest``, the rows of :func:`nearest_other` for these (finite) vectors, only rows whose nearest other is near are compared.
     """
-    m = _meeting(vectors, theta, id, block, collapse=True)
+    m = _meeting(vectors if nearest is None else _with_near(vectors, nearest, theta, id), theta, id, block, collapse=True)
     rows, needed = m.placed, m.kind == _COMPARED
     both, _ = pruning.band_tiles(rows, pruning.Bands.cut(m.cells, block), id, needed)
     compared = both.select("tile", "cross", "side", "cell", id, "embedding", "copies").groupBy("tile").applyInPandas(_counts_of(pruning.packed(needed), id, theta), "n long")
@@ -357,7 +367,7 @@ def near_duplicate_count(vectors: DataFrame, theta: float = 0.95, *, id: str = "
     for c in range(len(w)):
         whole += w[c] * int(w[c + 1 :][m.kind[c, c + 1 :] == _WHOLE].sum())
     equal = rows.where((F.col("copies") > 1) & (F.col("length") * F.col("length") >= theta)).select(F.expr("copies * (copies - 1) div 2").alias("n"))
-    n = rows.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("m"))
+    n = rows.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("m")) if nearest is None else nearest.agg(F.count(F.lit(1)).alias("m"))
     every = F.col("m") * (F.col("m") - 1) / 2
     counts = compared.unionByName(equal).agg((F.coalesce(F.sum("n"), F.lit(0)) + F.lit(int(whole)).cast("long")).alias("pairs"))
     return counts.crossJoin(F.broadcast(n)).select("pairs", F.when(every > 0, F.col("pairs") / every).otherwise(0.0).alias("ratio"))  # one row each
@@ -413,6 +423,13 @@ def first_pairs(vectors: DataFrame, theta: float = 0.95, n: int = 10, *, id: str
     return found.orderBy("id_a", "id_b").limit(n)
 
 
+def _highest(s: np.ndarray, top: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of screened products that can improve what they have found, and which of their products can be the highest."""
+    high = s.max(axis=1)
+    row = np.flatnonzero((high >= top - slack) & (high > -np.inf))
+    return row, s[row] >= np.maximum(high[row] - 2 * slack, top[row] - slack).astype(s.dtype)[:, None]
+
+
 def _nearest_of(needed, id: str):
     """(id, cell, score): of both sides of a tile each row's highest product with a row of the other side."""
 
@@ -424,15 +441,29 @@ def _nearest_of(needed, id: str):
         top_a = np.full(len(a.ids), -np.inf)
         top_b = np.full(len(b.ids), -np.inf) if cross else top_a
         repeated = len(np.intersect1d(a.ids, b.ids)) if cross else len(a.ids) - len(np.unique(a.ids))
+        left, right, slack = pruning.screen(a, b)
+
+        def other(s: np.ndarray, i0: int, i1: int, j0: int, j1: int) -> np.ndarray:
+            if not cross and j0 < i1:
+                s[~_beyond(i0, i1, j0, j1)] = -np.inf
+            if repeated:
+                s[a.ids[i0:i1, None] == b.ids[None, j0:j1]] = -np.inf
+            return s
+
         for i0, i1, ranges in pruning.meetings(a, b, cross, needed):
             for j0, j1 in ranges:
-                s = a.wide(i0, i1) @ b.wide(j0, j1).T
-                if not cross and j0 < i1:
-                    s[~_beyond(i0, i1, j0, j1)] = -np.inf
-                if repeated:
-                    s[a.ids[i0:i1, None] == b.ids[None, j0:j1]] = -np.inf
-                np.maximum(top_a[i0:i1], s.max(axis=1), out=top_a[i0:i1])
-                np.maximum(top_b[j0:j1], s.max(axis=0), out=top_b[j0:j1])
+                s = other(left[i0:i1] @ right[j0:j1].T, i0, i1, j0, j1)
+                (row, right_of), (column, left_of) = _highest(s, top_a[i0:i1], slack), _highest(s.T, top_b[j0:j1], slack)
+                if 32 * (np.count_nonzero(right_of) + np.count_nonzero(left_of)) > s.size:  # too many are alike to score them one by one
+                    s = other(a.wide(i0, i1) @ b.wide(j0, j1).T, i0, i1, j0, j1)
+                    np.maximum(top_a[i0:i1], s.max(axis=1), out=top_a[i0:i1])
+                    np.maximum(top_b[j0:j1], s.max(axis=0), out=top_b[j0:j1])
+                elif len(row) or len(column):
+                    (i, j), (y, x) = pruning.places(right_of), pruning.places(left_of)
+                    i, j = np.append(row[i], x) + i0, np.append(j, column[y]) + j0
+                    score = pruning.scores(a, b, i, j)
+                    np.maximum.at(top_a, i, score)
+                    np.maximum.at(top_b, j, score)
         found = [pd.DataFrame({id: x.ids, "cell": x.rows["cell"].to_numpy(), "score": top}) for x, top in ((a, top_a), (b, top_b))[: 1 + cross]]
         out = pd.concat(found)
         return out[out["score"] > -np.inf]

@@ -120,3 +120,48 @@ def test_check_gold_in_as_many_tiles(spark, monkeypatch):
     np.fill_diagonal(s, -np.inf)
     assert abs(m["top1_mean"] - s.max(axis=1).mean()) < 1e-9
     assert [n <= 9 * 10 // 2 for _, n in tiles] == [True, True]
+
+
+@pytest.mark.parametrize(("kind", "scale"), [("float", 1.0), ("double", 1.0), ("double", 1e20), ("double", 1e-20)])
+def test_nearest_rows_closer_than_single_precision(spark, kind, scale, monkeypatch):
+    """Rows that differ by less than single precision can tell, copies, a repeated id; in bands, too."""
+    monkeypatch.setattr(pruning, "LEAST_BAND", 60)
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(300, 64))
+    x[100:200] = x[:100] * (1 + 1e-9 * rng.normal(size=(100, 1)))
+    x[280:] = x[5]
+    x = x * scale
+    x = x.astype(np.float32).astype(np.float64) if kind == "float" else x
+    ids = [*range(299), 7]
+    s = ordered(x)
+    s[np.equal.outer(ids, ids)] = -np.inf
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in zip(ids, x, strict=True)], f"entity_id int, embedding array<{kind}>")
+    want = {k: s[k].max() for k in range(299)}
+    want[7] = max(want[7], s[299].max())
+    got = {r.entity_id: r.score for r in vectors.nearest_other(rows, block=20).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= 1e-12 * abs(want[k]) for k in want)
+
+
+def test_check_gold_sends_rows_once_for_both(spark, monkeypatch):
+    """Near duplicates are looked for among rows whose nearest other is near: not all rows meet all a second time."""
+    x = np.random.default_rng(11).normal(size=(900, 8))
+    x[890:] = x[:10]  # copies
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    met, band_tiles = [], pruning.band_tiles
+    monkeypatch.setattr(pruning, "band_tiles", lambda rows, *a: met.append(rows.count()) or band_tiles(rows, *a))
+    s = ordered(x)
+    i, j = np.triu_indices(900, 1)
+    theta = float(np.sort(s[i, j])[-40])  # the threshold is a pair's score
+    m = quality.check_gold(frame(spark, x), declared=900, dimension=8, theta=theta).metrics
+    assert m["near_duplicates"] == int((s[i, j] >= theta).sum()) and m["near_duplicate_ratio"] == m["near_duplicates"] / (900 * 899 / 2)
+    assert met[0] == 900 and met[1] <= 80
+    assert quality.check_gold(frame(spark, x[:800]), declared=800, dimension=8, theta=1.5).metrics["near_duplicates"] == 0
+
+
+def test_near_rows_of_repeated_and_missing_ids(spark):
+    """Rows of one id are no other rows to each other, yet pairs."""
+    x = np.eye(6)[[0, 0, 1, 1, 2, 3, 4, 4, 4]]
+    ids = [1, 1, 2, 3, 4, 5, None, None, 6]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in zip(ids, x, strict=True)] + [(9, None)], "entity_id int, embedding array<double>")
+    got = vectors.near_duplicate_count(df, 0.9, nearest=vectors.nearest_other(df)).first()
+    assert got == vectors.near_duplicate_count(df, 0.9).first() and got.pairs == 5
