@@ -393,7 +393,8 @@ def _pairs_with(ids: np.ndarray, x: np.ndarray, theta: float, n: int, id: str):
                 s = pruning.scores(given, b, i, j)
                 found.append(pd.DataFrame({"id_a": given.ids[i], "id_b": b.ids[j], "score": s})[s >= theta])
             best = pd.concat([f for f in found if len(f)] or [best]).sort_values(["id_a", "id_b"]).head(n)
-        yield best
+        if len(best):
+            yield best
 
     return run
 
